@@ -329,12 +329,12 @@ def map_values(c, mapping: Mapping[str, str], default: str | None = "self", lowe
 
 def key_to_string(c) -> Column:
     """Integer-valued key (possibly stored as double) -> canonical string."""
-    return F.try_cast(F.try_cast(_c(c), "double"), "bigint").cast("string")
+    return _c(c).try_cast("double").try_cast("bigint").cast("string")
 
 
 def strip_zeros(c) -> Column:
     """Remove leading zeros."""
-    return F.ltrim(F.lit("0"), _c(c))
+    return F.ltrim(_c(c), F.lit("0"))
 
 
 def zfill(c, width: int = 5) -> Column:

@@ -91,7 +91,7 @@ def replace_values(df: DataFrame, col: str, fixes: Mapping[str, str]) -> DataFra
 
 def to_number(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Numeric coercion, bad text -> NULL."""
-    return df.withColumns({c: F.try_cast(F.col(c).cast("string"), "double") for c in cols})
+    return df.withColumns({c: F.col(c).cast("string").try_cast("double") for c in cols})
 
 
 def fill_nulls(df: DataFrame, value=0, include_strings: bool = True) -> DataFrame:
