@@ -1,3 +1,3 @@
 """Composed queries over the driver tables (Spark plan + DuckDB oracle SQL)."""
 from .registry import QUERIES, SQL, query  # noqa: F401
-from . import elections, metro, minutes, web  # noqa: F401,E402
+from . import corpus, elections, metro, minutes, web  # noqa: F401,E402

@@ -1 +1,163 @@
-"""Pages (placeholder)."""
+"""Pages — link harvesting, filtering, grouping, page text, URL parts and
+incremental skip-landed, on the driver ``pages`` table (page_id, url, html).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import scalar as X
+from ..operators import aggregate as A
+from ..operators import documents as D
+from ..operators import merge as M
+from ..sources import sinks as K
+from ..sources.readers import table
+from .registry import query
+
+_HREF_SQL = "regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1)"
+
+# Resolution of common href forms against the page URL (absolute,
+# protocol-relative, root-relative, query-only, fragment-only, relative
+# without dot segments) — the oracle for X29 on this data.
+_RESOLVE_SQL = """
+CASE WHEN regexp_matches(h, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN h
+     WHEN starts_with(h, '//') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*):', 1) || ':' || h
+     WHEN h = '' THEN regexp_replace(url, '#.*$', '')
+     WHEN starts_with(h, '#') THEN regexp_replace(url, '#.*$', '') || h
+     WHEN starts_with(h, '?') THEN regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', '') || h
+     WHEN starts_with(h, '/') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || h
+     ELSE regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1)
+          || regexp_replace(coalesce(nullif(regexp_extract(regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', ''),
+                 '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(/.*)?$', 1), ''), '/'), '[^/]*$', '') || h END
+"""
+
+LINKS_SQL = f"""
+raw AS (SELECT page_id, url, regexp_replace(unnest({_HREF_SQL}), '^\\s+|\\s+$', '', 'g') AS h FROM pages),
+links AS (SELECT page_id, url, h AS href, {_RESOLVE_SQL} AS link FROM raw)
+"""
+
+
+def links(spark: SparkSession, sf: str) -> DataFrame:
+    """D1 (regex path) + X29: every href of every page resolved against the page URL."""
+    g = table(spark, sf, "pages").select("page_id", "url", "html")
+    e = g.select("page_id", "url", F.explode(D.href_links("html")).alias("href"))
+    e = e.withColumn("href", X.strip("href"))
+    return e.withColumn("link", X.resolve_url("url", "href"))
+
+
+@query("link_extract", sql=f"""
+WITH {LINKS_SQL}
+SELECT DISTINCT link FROM links
+""")
+def link_extract(spark: SparkSession, sf: str) -> DataFrame:
+    """D1 + X29 + P24: distinct absolute links over all pages."""
+    return links(spark, sf).select("link").distinct()
+
+
+@query("link_parse")
+def link_parse(spark: SparkSession, sf: str) -> DataFrame:
+    """D1 with the HTML tokenizer (mapInPandas over the stdlib parser):
+    anchors with text, inside the content container when a page has one."""
+    ln = D.extract_links(table(spark, sf, "pages"))
+    return ln.withColumn("link", X.resolve_url("url", "href"))
+
+
+@query("link_filter", sql=f"""
+WITH {LINKS_SQL}
+SELECT page_id, count(*) AS n_links,
+  count(*) FILTER (WHERE regexp_matches(lower(href), '\\.html?$') AND NOT contains(lower(href), 'agenda')) AS n_page_links,
+  count(*) FILTER (WHERE ends_with(lower(link), '.pdf') AND contains(lower(link), 'minute')
+                   AND NOT regexp_matches(lower(link), '(example|template|sample)\\.pdf$')) AS n_minutes_docs,
+  count(*) FILTER (WHERE contains(lower(href), 'e')) AS n_with_e
+FROM links GROUP BY page_id
+""")
+def link_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """F7 + F8: page-link and minutes-document predicates counted per page."""
+    ln = links(spark, sf)
+    return ln.groupBy("page_id").agg(
+        F.count(F.lit(1)).alias("n_links"),
+        F.count(F.when(X.is_page_link("href"), 1)).alias("n_page_links"),
+        F.count(F.when(X.is_minutes_doc("link", F.lit("")), 1)).alias("n_minutes_docs"),
+        F.count(F.when(F.lower("href").contains("e"), 1)).alias("n_with_e"))
+
+
+@query("links_by_year", sql=f"""
+WITH {LINKS_SQL},
+k AS (SELECT coalesce(nullif(regexp_extract(url, '(\\d+)', 1), ''), 'unknown') AS year, link FROM links)
+SELECT year, count(*) AS n_links, count(DISTINCT link) AS n_distinct FROM k GROUP BY year
+""")
+def links_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    """A20 + A22 + X31: links grouped by the first digit run of the page URL
+    ('unknown' when none): counts and distinct links per group."""
+    ln = links(spark, sf).withColumn(
+        "year", F.coalesce(F.nullif(F.regexp_extract("url", r"(\d+)", 1), F.lit("")), F.lit("unknown")))
+    uniq = A.sorted_unique_by(ln, "year", "link")
+    n_distinct = uniq.groupBy("year").agg(F.count(F.lit(1)).alias("n_distinct"))
+    return A.count_by(ln, "year", "n_links").join(n_distinct, "year")
+
+
+@query("page_text")
+def page_text(spark: SparkSession, sf: str) -> DataFrame:
+    """D2 + D3 (+ D20 table count) with the HTML tokenizer, one pass per page."""
+    t = D.page_texts(table(spark, sf, "pages"))
+    return t.select("page_id", F.length("paragraph_text").cast("bigint").alias("paragraph_chars"),
+                    F.length("page_text").cast("bigint").alias("page_chars"), "n_tables")
+
+
+@query("page_tables")
+def page_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of every table on the pages (any class)."""
+    return D.extract_tables(table(spark, sf, "pages"), table_class=None)
+
+
+# FIXED VALUES: URL templates filled per page.
+TEMPLATES = ["{origin}/archive/{stem}", "{origin}/minutes?year={year}", "{origin}/meetings/{stem}.pdf"]
+
+
+@query("url_parts", sql="""
+WITH p AS (SELECT page_id, url,
+    regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) AS origin,
+    regexp_extract(regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?([^?#]*)', 1), '([^/]*)$', 1) AS base,
+    coalesce(nullif(regexp_extract(url, '(\\d{4})', 1), ''), 'unknown') AS year
+  FROM pages),
+q AS (SELECT *, regexp_replace(base, '\\.[^.]*$', '') AS stem,
+             regexp_replace(coalesce(url_decode(base), base), '[\\\\/*?:"<>|]', '_', 'g') AS safe_name FROM p)
+SELECT page_id, CAST(t.pos AS BIGINT) AS template_pos,
+  replace(replace(replace(t.tpl, '{origin}', origin), '{stem}', stem), '{year}', year) AS filled,
+  stem AS url_stem, base AS url_basename, safe_name, year
+FROM q, (SELECT unnest(['{origin}/archive/{stem}', '{origin}/minutes?year={year}', '{origin}/meetings/{stem}.pdf']) AS tpl,
+                unnest([1, 2, 3]) AS pos) t
+""")
+def url_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """X30 + X31 + X32 + J9: basename, stem, sanitised name, year and a short
+    list of templates filled per page (an exploded literal array, no cross join)."""
+    g = table(spark, sf, "pages").select("page_id", "url")
+    g = g.select("page_id", "url",
+                 F.regexp_extract("url", r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1).alias("origin"),
+                 X.url_basename("url").alias("url_basename"), X.url_stem("url").alias("url_stem"),
+                 X.safe_name("url").alias("safe_name"), X.url_year("url").alias("year"))
+    t = g.select("*", F.posexplode(F.array(*[F.lit(x) for x in TEMPLATES])).alias("template_pos", "tpl"))
+    filled = F.replace(F.replace(F.replace("tpl", F.lit("{origin}"), "origin"), F.lit("{stem}"), "url_stem"),
+                       F.lit("{year}"), "year")
+    return t.select("page_id", (F.col("template_pos") + 1).cast("bigint").alias("template_pos"),
+                    filled.alias("filled"), "url_stem", "url_basename", "safe_name", "year")
+
+
+@query("skip_landed", sql=f"""
+WITH {LINKS_SQL},
+all_links AS (SELECT DISTINCT link FROM links),
+landed AS (SELECT DISTINCT link FROM links WHERE contains(url, '/en/'))
+SELECT status, count(*) AS n FROM (
+  SELECT CASE WHEN link IN (SELECT link FROM landed) THEN 'exists' ELSE 'to_download' END AS status FROM all_links)
+GROUP BY status
+""")
+def skip_landed(spark: SparkSession, sf: str) -> DataFrame:
+    """K8 + A21: links already landed (those harvested from English pages in
+    an earlier run) are skipped; the rest are to be fetched; outcome counts."""
+    ln = links(spark, sf)
+    all_links = ln.select("link").distinct()
+    landed = ln.filter(F.col("url").contains("/en/")).select("link").distinct()
+    todo = K.skip_landed(all_links, landed, "link").withColumn("status", F.lit("to_download"))
+    exists = M.matching_keys(all_links, landed, "link").withColumn("status", F.lit("exists"))
+    return A.count_by(M.union_strict(todo, exists), "status", "n")
