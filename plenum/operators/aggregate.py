@@ -212,10 +212,24 @@ def collapse_units(df: DataFrame, unit_keys, year: str, value: str, mean_out: st
 
 
 # ---------------------------------------------------------------- window-like
+def explode_nonempty(df: DataFrame, keep, array_expr, names=("pos", "item"), with_pos: bool = True) -> DataFrame:
+    """Rows of a computed array (with its 0-based position when ``with_pos``).
+
+    Written with the ``_outer`` generator plus a filter on the generated
+    column: a plain ``explode`` makes Catalyst infer ``size(array) > 0`` on
+    the generator's input and push it below the projection, which evaluates
+    an expensive array expression (a regex split of a whole document) twice
+    or more — once in that pushed-down filter and once in the projection."""
+    gen = F.posexplode_outer if with_pos else F.explode_outer
+    arr = F.col(array_expr) if isinstance(array_expr, str) else array_expr
+    out = df.select(*keep, gen(arr).alias(*names))
+    return out.filter(F.col(names[0]).isNotNull())
+
+
 def with_ordinal(df: DataFrame, array_col: str, out: str = "item", pos: str = "pos", base: int = 1) -> DataFrame:
     """Explode an array with its 1-based ordinal."""
     keep = [c for c in df.columns if c != array_col]
-    return df.select(*keep, F.posexplode(array_col).alias(pos, out)).withColumn(pos, F.col(pos) + base)
+    return explode_nonempty(df, keep, array_col, (pos, out)).withColumn(pos, F.col(pos) + base)
 
 
 def marker_spans(df: DataFrame, doc: str, start: str, end: str = "end", length: str | None = None) -> DataFrame:

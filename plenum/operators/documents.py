@@ -77,7 +77,9 @@ def explode_blocks(df: DataFrame, blocks_col: str, out: str = "block", pos: str
     """One row per block with its 1-based ordinal (W3). Documents are few and
     large; blocks are many and small, so callers may spread them again."""
     keep = [c for c in df.columns if c != blocks_col]
-    res = df.select(*keep, F.posexplode(blocks_col).alias(pos, out)).withColumn(pos, F.col(pos) + 1)
+    from .aggregate import explode_nonempty
+
+    res = explode_nonempty(df, keep, blocks_col, (pos, out)).withColumn(pos, F.col(pos) + 1)
     return res.repartition(repartition) if repartition else res
 
 

@@ -83,10 +83,9 @@ def salvage_fields(pred, keys: Sequence[str] = P.REQUIRED_KEYS, list_sep: str =
         lst = F.regexp_extract(_c(pred), rf'(?i)"{k}"\s*:\s*(\[[^\]]*?\])', 1)
         parsed = F.from_json(lst, "array<string>")
         scal = F.regexp_extract(_c(pred), rf'(?i)"{k}"\s*:\s*"([^"]*?)"', 1)
-        has_scal = _c(pred).rlike(rf'(?i)"{k}"\s*:\s*"([^"]*?)"')
+        # no scalar match and an empty scalar both give '' — one regex suffices
         v = (F.when(lst != "", F.coalesce(F.array_join(parsed, list_sep), F.lit("")))
-             .when(has_scal, X.strip(scal))
-             .otherwise(F.lit("")))
+             .otherwise(X.strip(scal)))
         fields.append(v.alias(k))
     return F.struct(*fields)
 
@@ -202,8 +201,10 @@ def explode_votes(records: DataFrame, case_col: str = "case_number", date_col: s
     vote_cols = vote_cols or {"ayes": "aye", "noes": "no", "absent": "absent"}
     parts = []
     for col, label in vote_cols.items():
-        parts.append(records.select(case_col, date_col, F.explode(X.split_names(col)).alias("member"),
-                                    F.lit(label).alias("vote")))
+        from .aggregate import explode_nonempty
+
+        parts.append(explode_nonempty(records, [case_col, date_col], X.split_names(col), ("member",), with_pos=False)
+                     .withColumn("vote", F.lit(label)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

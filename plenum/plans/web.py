@@ -41,7 +41,7 @@ links AS (SELECT page_id, url, h AS href, {_RESOLVE_SQL} AS link FROM raw)
 def links(spark: SparkSession, sf: str) -> DataFrame:
     """D1 (regex path) + X29: every href of every page resolved against the page URL."""
     g = table(spark, sf, "pages").select("page_id", "url", "html")
-    e = g.select("page_id", "url", F.explode(D.href_links("html")).alias("href"))
+    e = A.explode_nonempty(g, ["page_id", "url"], D.href_links("html"), ("href",), with_pos=False)
     e = e.withColumn("href", X.strip("href"))
     return e.withColumn("link", X.resolve_url("url", "href"))
 
