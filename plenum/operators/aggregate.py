@@ -109,8 +109,8 @@ def pivot_unique(df: DataFrame, index, col: str, value: str, values: Sequence, n
     counts = [F.count(F.when(F.col(col) == F.lit(v), F.lit(1))) for v in values]
     out = df.groupBy(*index).agg(*aggs, F.greatest(*counts, F.lit(0)).alias("__n"))
     if check:
-        out = out.withColumn("__n", F.when(F.col("__n") > 1, F.raise_error(F.lit("pivot: duplicate cell")))
-                             .otherwise(F.col("__n")))
+        # a filter, not a projected column: column pruning would drop the check
+        out = out.filter(F.when(F.col("__n") > 1, F.raise_error(F.lit("pivot: duplicate cell"))).otherwise(F.lit(True)))
     return out.drop("__n")
 
 
