@@ -54,6 +54,25 @@ def split_blocks(text) -> Column:
             .otherwise(F.array(X.strip(t))))
 
 
+def with_blocks(df: DataFrame, text: str = "text", blocks: str = "blocks", mode: str | None = "mode") -> DataFrame:
+    """D6 as a DataFrame step: adds the block array (and the rule that
+    applied). The case-header split is staged in its own projection: it is
+    referenced by the condition and by the value, and a column referenced
+    several times is not inlined by Catalyst, so each document is split once
+    instead of two or three times."""
+    t = F.col(text)
+    staged = df.withColumn("__by_case", pieces_after(t, P.CASE_HEADER_RE)) \
+               .withColumn("__has_item", t.rlike(P.AGENDA_ITEM_RE))
+    n_case = F.size("__by_case")
+    out = staged.withColumn(blocks, F.when(n_case >= 2, F.col("__by_case"))
+                            .when(F.col("__has_item"), pieces_after(t, P.AGENDA_ITEM_RE))
+                            .otherwise(F.array(X.strip(t))))
+    if mode:
+        out = out.withColumn(mode, F.when(n_case >= 2, F.lit("case")).when(F.col("__has_item"), F.lit("item"))
+                             .otherwise(F.lit("whole")))
+    return out.drop("__by_case", "__has_item")
+
+
 def block_mode(text) -> Column:
     """Which rule of D6 applied: 'case', 'item' or 'whole'."""
     t = _c(text)

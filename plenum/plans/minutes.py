@@ -202,7 +202,7 @@ def _sql_mode(text: str) -> str:
 
 def blocks_of(docs: DataFrame, keys) -> DataFrame:
     """D6 + W3: one row per block with its ordinal and the splitting mode."""
-    d = docs.select(*keys, D.block_mode("text").alias("mode"), D.split_blocks("text").alias("blocks"))
+    d = D.with_blocks(docs.select(*keys, "text")).drop("text")
     return D.explode_blocks(d, "blocks")
 
 
@@ -233,7 +233,7 @@ FROM documents
 def split_documents(spark: SparkSession, sf: str) -> DataFrame:
     """D6 on the driver documents (whole texts)."""
     d = table(spark, sf, "documents").select("doc_id", "text")
-    b = d.select("doc_id", D.block_mode("text").alias("mode"), D.split_blocks("text").alias("blocks"))
+    b = D.with_blocks(d)
     return b.select("doc_id", "mode", F.size("blocks").cast("bigint").alias("n_blocks"),
                     F.length(F.get("blocks", 0)).cast("bigint").alias("first_block_chars"))
 
@@ -259,7 +259,7 @@ FROM g
 def tag_untag(spark: SparkSession, sf: str) -> DataFrame:
     """D7 + D8: blocks wrapped in start/end tags, then extracted again; the
     round trip is the identity on non-blank blocks."""
-    m = minutes(spark, sf).select("o_orderkey", D.split_blocks("text").alias("blocks"))
+    m = D.with_blocks(minutes(spark, sf).select("o_orderkey", "text"), mode=None).select("o_orderkey", "blocks")
     g = m.withColumn("tagged", D.tag_blocks("blocks"))
     return g.select("o_orderkey", F.size("blocks").cast("bigint").alias("n_blocks"),
                     F.length("tagged").cast("bigint").alias("tagged_chars"), F.md5("tagged").alias("tagged_md5"),
@@ -414,10 +414,16 @@ def item_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- records
-def _damaged_pred(block: Column, ok: Column, pos: Column) -> Column:
+def _with_damaged_pred(df: DataFrame, out: str = "pred") -> DataFrame:
     """Model-like output from the rule predictor, damaged deterministically:
-    a third cut short (invalid JSON), a third with a broken list."""
-    pred = R.rule_predictor(block)
+    a third cut short (invalid JSON), a third with a broken list. The raw
+    prediction is staged in its own column (referenced by every branch), so
+    it is computed once per block."""
+    staged = df.withColumn("__raw", R.rule_predictor("block"))
+    return staged.withColumn(out, _damaged_pred(F.col("__raw"), F.col("o_orderkey"), F.col("pos"))).drop("__raw")
+
+
+def _damaged_pred(pred: Column, ok: Column, pos: Column) -> Column:
     k = F.pmod(ok + pos, F.lit(3))
     return (F.when(k == 0, F.substring(pred, 1, F.greatest(F.length(pred) - 40, F.lit(1))))
             .when(k == 1, F.replace(pred, F.lit('"noes": ['), F.lit('"noes": [,')))
@@ -471,7 +477,7 @@ _SALVAGE_KEYS = ["case_number", "project_address", "action", "ayes", "noes", "vo
 def _predictions(spark: SparkSession, sf: str) -> DataFrame:
     m = minutes(spark, sf)
     b = blocks_of(m, ["o_orderkey", "source_file"])
-    return b.withColumn("pred", _damaged_pred(F.col("block"), F.col("o_orderkey"), F.col("pos")))
+    return _with_damaged_pred(b)
 
 
 @query("salvage_json", sql=f"""
@@ -508,7 +514,7 @@ def valid_json_ratio(spark: SparkSession, sf: str) -> DataFrame:
     """Share of predictions that are valid JSON, per year."""
     m = minutes(spark, sf)
     b = blocks_of(m, ["o_orderkey", "year"])
-    p = b.withColumn("pred", X.before_token(_damaged_pred(F.col("block"), F.col("o_orderkey"), F.col("pos"))))
+    p = _with_damaged_pred(b).withColumn("pred", X.before_token("pred"))
     p = p.withColumn("ok", R.is_valid_json("pred"))
     return A.valid_ratio(p, "ok", "year").withColumn("valid_json_ratio", F.round("valid_json_ratio", 6))
 

@@ -34,7 +34,7 @@ def minutes_to_records(docs: DataFrame) -> DataFrame:
     d = docs.select(F.col("file_name").alias("source_file"),
                     F.regexp_replace("text", "\r\n?", "\n").alias("text"))
     d = d.withColumn("meeting_date", X.parse_weekday_date("text").cast("string"))
-    b = explode_nonempty(d, ["source_file", "meeting_date"], D.split_blocks("text"), ("pos", "block"))
+    b = explode_nonempty(D.with_blocks(d, mode=None), ["source_file", "meeting_date"], "blocks", ("pos", "block"))
     return b.select("source_file", "meeting_date", (F.col("pos") + 1).alias("pos"),
                     X.block_header("block").alias("block_header"),
                     D.case_code("block").alias("case_number"),
