@@ -129,6 +129,16 @@ def rstrip(c) -> Column:
     return F.regexp_replace(_c(c), r"(?U)\s+$", "")
 
 
+def head_lines(c, k: int = 20) -> Column:
+    """The first ``k`` lines of a text, as an array."""
+    return F.slice(F.split(_c(c), "\n"), 1, k)
+
+
+def first_match(c, pattern: str, group: int = 0) -> Column:
+    """T4: the first match of ``pattern`` (or one of its groups); '' when none."""
+    return F.regexp_extract(_c(c), pattern, group)
+
+
 def block_header(c, n: int = 120) -> Column:
     """First line, first ``n`` characters."""
     return F.substring(F.substring_index(_c(c), "\n", 1), 1, n)

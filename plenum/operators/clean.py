@@ -54,6 +54,18 @@ def stringify_lower(df: DataFrame, null_token: str | None = "nan",
     return df.select(out)
 
 
+def map_columns(df: DataFrame, fn, cols: Sequence[str] | None = None) -> DataFrame:
+    """V2: apply a Column -> Column function to every (or each listed)
+    column, keeping names; stays a single native projection."""
+    targets = set(cols or df.columns)
+    return df.select(*[fn(F.col(f"`{c}`")).alias(c) if c in targets else F.col(f"`{c}`") for c in df.columns])
+
+
+def row_key(*cols: str) -> Column:
+    """V3: a composite key value (the tuple built per row in pandas) as a struct."""
+    return F.struct(*[F.col(c) for c in cols])
+
+
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """P4 by name."""
     return df.withColumnsRenamed(dict(mapping))

@@ -127,6 +127,18 @@ def infer(df: DataFrame, prompt_col: str, predictor: Callable[[pd.Series], pd.Se
     return df.withColumn(out, udf(F.col(prompt_col)))
 
 
+def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str | T.StructType) -> DataFrame:
+    """V7: a batched map over a dataset (e.g. tokenisation) — ``fn`` gets
+    Arrow-backed pandas batches of each partition and returns frames of
+    ``schema``; Spark partitions and schedules the work."""
+
+    def run(it):
+        for pdf in it:
+            yield fn(pdf)
+
+    return df.mapInPandas(run, schema)
+
+
 def assemble_records(df: DataFrame, source_file: str, meeting_date: str, block: str, pred: str,
                      pos: str = "pos") -> DataFrame:
     """One result row per block: source file, meeting date, block header,

@@ -164,3 +164,18 @@ def test_kde_matches_numpy_and_integrates(spark):
         assert np.trapezoid(got, grid) == pytest.approx(1.0, abs=0.03)
     binned = {(r.g, r.grid_index): r.density for r in S.kde_binned(df, "x", "g", n, bins=4096).collect()}
     assert max(abs(binned[k] - out[k][1]) for k in out) < 1e-3
+
+
+def test_map_columns_row_key_and_batches(spark):
+    from plenum.functions import scalar as X
+    from plenum.operators import records as R
+
+    df = spark.createDataFrame([("A b", "C")], "x string, y string")
+    assert rows(C.map_columns(df, F.lower)) == [("a b", "c")]
+    assert rows(C.map_columns(df, F.lower, ["y"])) == [("A b", "c")]
+    assert df.select(C.row_key("x", "y").alias("k")).first().k.asDict() == {"x": "A b", "y": "C"}
+    out = R.map_batches(df, lambda p: p.assign(n=p["x"].str.len()), "x string, y string, n long")
+    assert rows(out) == [("A b", "C", 3)]
+    t = spark.createDataFrame([("l1\nl2\nl3",)], "t string")
+    assert t.select(X.head_lines("t", 2)).first()[0] == ["l1", "l2"]
+    assert t.select(X.first_match("t", r"l(\d)", 1)).first()[0] == "1"
