@@ -99,8 +99,14 @@ _LINE_COLS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discoun
               "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
+PAGE_LINES = 64
+
+
 def minutes(spark: SparkSession, sf: str) -> DataFrame:
-    """One minutes document per order: (o_orderkey, year, source_file, text).
+    """Minutes documents: (o_orderkey, page, year, source_file, text), one per
+    order and page of at most ``PAGE_LINES`` items (line numbers 1-64 are
+    page 0, 65-128 page 1, ...). Paging bounds the per-document collect even
+    if one order held a third of all line items; ordinary orders are one page.
 
     Plan: the narrow numeric line columns are collected per order key (the
     only shuffle of line items; a handful of small structs per order), then
@@ -110,7 +116,8 @@ def minutes(spark: SparkSession, sf: str) -> DataFrame:
     sf0.1. Blocks are ordered by the line fields (line number first), the same
     tie order the SQL oracle uses."""
     li = table(spark, sf, "lineitem").select("l_orderkey", *_LINE_COLS)
-    lines = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+    li = li.withColumn("page", F.floor((F.col("l_linenumber") - 1) / PAGE_LINES).cast("bigint"))
+    lines = li.groupBy(F.col("l_orderkey").alias("o_orderkey"), "page").agg(
         F.array_sort(F.collect_list(F.struct(*_LINE_COLS))).alias("lines"))
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     j = lines.join(o, "o_orderkey")
@@ -118,14 +125,14 @@ def minutes(spark: SparkSession, sf: str) -> DataFrame:
     body = F.array_join(F.transform("lines", lambda x: _block(x, ok, od)), "\n")
     text = F.concat(_header(ok, F.col("o_custkey"), od, F.col("o_orderpriority"), F.col("o_orderstatus")),
                     F.lit("\n\n"), body)
-    return j.select("o_orderkey", _s(F.year(od)).alias("year"),
+    return j.select("o_orderkey", "page", _s(F.year(od)).alias("year"),
                     F.concat(F.lit("minutes_"), _s(ok), F.lit(".txt")).alias("source_file"),
                     text.alias("text"))
 
 
 MINUTES_CTE = f"""
 mlines AS (
-  SELECT l.l_orderkey AS o_orderkey, l.l_linenumber AS ln, l.l_partkey AS s1, l.l_suppkey AS s2, l.l_quantity AS s3,
+  SELECT l.l_orderkey AS o_orderkey, (l.l_linenumber - 1) // 64 AS page, l.l_linenumber AS ln, l.l_partkey AS s1, l.l_suppkey AS s2, l.l_quantity AS s3,
     l.l_discount AS s4, l.l_returnflag AS s5, l.l_linestatus AS s6, l.l_shipdate AS s7,
     CASE WHEN o.o_orderkey % 2 = 0 THEN
       (CASE WHEN l.l_linenumber % 2 = 0 THEN CAST(year(o.o_orderdate) AS VARCHAR)
@@ -160,7 +167,7 @@ mlines AS (
     END AS block
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 minutes AS (
-  SELECT o.o_orderkey, CAST(year(o.o_orderdate) AS VARCHAR) AS year,
+  SELECT o.o_orderkey, b.page, CAST(year(o.o_orderdate) AS VARCHAR) AS year,
     'minutes_' || CAST(o.o_orderkey AS VARCHAR) || '.txt' AS source_file,
     dayname(o.o_orderdate) || ', ' || monthname(o.o_orderdate) || ' ' || CAST(day(o.o_orderdate) AS VARCHAR)
       || CASE WHEN o.o_orderpriority = '4-NOT SPECIFIED' THEN ' ' ELSE ', ' END || CAST(year(o.o_orderdate) AS VARCHAR)
@@ -172,7 +179,8 @@ minutes AS (
     || chr(10) || 'ABSENT: ' || CASE WHEN o.o_orderkey % 3 = 0 THEN 'None' ELSE {_SQL_NAMES}[(o.o_custkey + 5) % 12 + 1] END
     || chr(10) || 'STAFF IN ATTENDANCE: ' || {_SQL_NAMES}[(o.o_orderkey + 7) % 12 + 1] || ', ' || {_SQL_NAMES}[(o.o_orderkey + 9) % 12 + 1]
     || chr(10) || chr(10) || b.body AS text
-  FROM orders o JOIN (SELECT o_orderkey, string_agg(block, chr(10) ORDER BY ln, s1, s2, s3, s4, s5, s6, s7) AS body FROM mlines GROUP BY o_orderkey) b
+  FROM orders o JOIN (SELECT o_orderkey, page, string_agg(block, chr(10) ORDER BY ln, s1, s2, s3, s4, s5, s6, s7) AS body
+                     FROM mlines GROUP BY o_orderkey, page) b
     ON o.o_orderkey = b.o_orderkey)
 """
 
@@ -208,21 +216,21 @@ def blocks_of(docs: DataFrame, keys) -> DataFrame:
 
 BLOCKS_SQL = f"""
 blocks AS (
-  SELECT o_orderkey, year, source_file, mode, CAST(pos AS BIGINT) AS pos, blocks[pos] AS block
-  FROM (SELECT o_orderkey, year, source_file, {_sql_mode('text')} AS mode, {_sql_blocks('text')} AS blocks FROM minutes) s,
+  SELECT o_orderkey, page, year, source_file, mode, CAST(pos AS BIGINT) AS pos, blocks[pos] AS block
+  FROM (SELECT o_orderkey, page, year, source_file, {_sql_mode('text')} AS mode, {_sql_blocks('text')} AS blocks FROM minutes) s,
        range(1, len(blocks) + 1) r(pos))
 """
 
 
 @query("split_blocks", sql=f"""
 WITH {MINUTES_CTE}, {BLOCKS_SQL}
-SELECT o_orderkey, mode, pos, block FROM blocks
+SELECT o_orderkey, page, mode, pos, block FROM blocks
 """)
 def split_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """D6 + W2/W3: minutes -> project blocks (case headers, else numbered
     items, else the whole text) with their ordinal."""
-    b = blocks_of(minutes(spark, sf), ["o_orderkey"])
-    return b.select("o_orderkey", "mode", F.col("pos").cast("bigint").alias("pos"), "block")
+    b = blocks_of(minutes(spark, sf), ["o_orderkey", "page"])
+    return b.select("o_orderkey", "page", "mode", F.col("pos").cast("bigint").alias("pos"), "block")
 
 
 @query("split_documents", sql=f"""
@@ -250,18 +258,19 @@ def _sql_untag(tagged: str) -> str:
 
 @query("tag_untag", sql=f"""
 WITH {MINUTES_CTE},
-t AS (SELECT o_orderkey, {_sql_blocks('text')} AS blocks FROM minutes),
-g AS (SELECT o_orderkey, blocks, {_sql_tag('blocks')} AS tagged FROM t)
-SELECT o_orderkey, CAST(len(blocks) AS BIGINT) AS n_blocks, CAST(length(tagged) AS BIGINT) AS tagged_chars,
+t AS (SELECT o_orderkey, page, {_sql_blocks('text')} AS blocks FROM minutes),
+g AS (SELECT o_orderkey, page, blocks, {_sql_tag('blocks')} AS tagged FROM t)
+SELECT o_orderkey, page, CAST(len(blocks) AS BIGINT) AS n_blocks, CAST(length(tagged) AS BIGINT) AS tagged_chars,
        md5(tagged) AS tagged_md5, {_sql_untag('tagged')} = blocks AS roundtrip
 FROM g
 """)
 def tag_untag(spark: SparkSession, sf: str) -> DataFrame:
     """D7 + D8: blocks wrapped in start/end tags, then extracted again; the
     round trip is the identity on non-blank blocks."""
-    m = D.with_blocks(minutes(spark, sf).select("o_orderkey", "text"), mode=None).select("o_orderkey", "blocks")
+    m = D.with_blocks(minutes(spark, sf).select("o_orderkey", "page", "text"), mode=None) \
+        .select("o_orderkey", "page", "blocks")
     g = m.withColumn("tagged", D.tag_blocks("blocks"))
-    return g.select("o_orderkey", F.size("blocks").cast("bigint").alias("n_blocks"),
+    return g.select("o_orderkey", "page", F.size("blocks").cast("bigint").alias("n_blocks"),
                     F.length("tagged").cast("bigint").alias("tagged_chars"), F.md5("tagged").alias("tagged_md5"),
                     (D.untag_blocks("tagged") == F.col("blocks")).alias("roundtrip"))
 
@@ -272,7 +281,7 @@ def _sql_squash(x: str) -> str:
 
 @query("meeting_header", sql=f"""
 WITH {MINUTES_CTE},
-h AS (SELECT o_orderkey, year, text,
+h AS (SELECT o_orderkey, page, year, text,
   regexp_extract(text, '{P.DATE_RE}', 1) AS date,
   regexp_extract(text, '{P.DAY_RE}', 1) AS day_of_week,
   regexp_extract(text, '{P.MEET_TYPE_RE}', 1) AS meeting_type,
@@ -283,7 +292,7 @@ h AS (SELECT o_orderkey, year, text,
   {_sql_squash(f"regexp_extract(text, '{P.STAFF_RE}', 1)")} AS staff,
   regexp_extract(text, '{P.HEADER_DATE_RE}', 2) AS wd_date
   FROM minutes)
-SELECT o_orderkey, date, day_of_week, meeting_type, location, present, absent, staff,
+SELECT o_orderkey, page, date, day_of_week, meeting_type, location, present, absent, staff,
   CAST(CASE WHEN wd_date <> '' THEN CAST(try_strptime(wd_date, '%B %d, %Y') AS DATE) END AS VARCHAR) AS meeting_date,
   coalesce(nullif(replace(replace(replace(date, ',', ''), '/', '-'), ' ', '_'), ''), year || '_minutes_' || CAST(o_orderkey AS VARCHAR)) AS file_key
 FROM h
@@ -292,21 +301,21 @@ def meeting_header(spark: SparkSession, sf: str) -> DataFrame:
     """D9 + X10 + X17 + X26 + X28: header fields of each minutes document,
     the weekday-prefixed meeting date and the file key."""
     m = minutes(spark, sf)
-    h = m.select("o_orderkey", "year", D.meeting_header("text").alias("h"),
+    h = m.select("o_orderkey", "page", "year", D.meeting_header("text").alias("h"),
                  X.parse_weekday_date("text").cast("string").alias("meeting_date"))
-    return h.select("o_orderkey", "h.*", "meeting_date",
+    return h.select("o_orderkey", "page", "h.*", "meeting_date",
                     X.file_key("h.date", "year", F.lit("minutes"), "o_orderkey").alias("file_key"))
 
 
 @query("date_strings", sql=f"""
 WITH {MINUTES_CTE},
-d AS (SELECT o_orderkey, unnest(list_distinct(regexp_extract_all(text, '{P.DATE_RE}', 1))) AS date_text FROM minutes)
-SELECT o_orderkey, date_text, lower(strftime(CAST(try_strptime(date_text, '%B %d, %Y') AS DATE), '%B-%d-%Y')) AS slug FROM d
+d AS (SELECT o_orderkey, page, unnest(list_distinct(regexp_extract_all(text, '{P.DATE_RE}', 1))) AS date_text FROM minutes)
+SELECT o_orderkey, page, date_text, lower(strftime(CAST(try_strptime(date_text, '%B %d, %Y') AS DATE), '%B-%d-%Y')) AS slug FROM d
 """)
 def date_strings(spark: SparkSession, sf: str) -> DataFrame:
     """D5 + X8 + X9: distinct month-name dates per document and their slugs."""
     m = minutes(spark, sf)
-    d = A.explode_nonempty(m, ["o_orderkey"], D.extract_dates("text"), ("date_text",), with_pos=False)
+    d = A.explode_nonempty(m, ["o_orderkey", "page"], D.extract_dates("text"), ("date_text",), with_pos=False)
     return d.withColumn("slug", X.date_slug(X.parse_long_date("date_text")))
 
 
@@ -320,34 +329,36 @@ def _meeting_pages(spark: SparkSession, sf: str) -> DataFrame:
     anchor = F.concat(_s(F.month(sd)), F.lit("_"), _s(F.dayofmonth(sd)), F.lit("_"), F.lpad(_s(F.year(sd) % 100), 2, "0"))
     piece = F.struct("l_linenumber", F.concat(F.lit('<a name="'), anchor, F.lit('"></a><p>Item '),
                                               _s(F.col("l_linenumber")), F.lit("</p>")).alias("html"))
-    g = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(piece)).alias("p"))
+    page = F.floor((F.col("l_linenumber") - 1) / PAGE_LINES).cast("bigint").alias("page")
+    g = li.groupBy(F.col("l_orderkey").alias("o_orderkey"), page).agg(F.array_sort(F.collect_list(piece)).alias("p"))
     g = g.join(o, "o_orderkey")
     body = F.array_join(F.transform("p", lambda x: x["html"]), "")
     body = F.when(F.col("o_orderstatus") == "P", F.regexp_replace(body, r'<a name="[^"]*"></a>', "")).otherwise(body)
-    return g.select("o_orderkey", F.concat(F.lit("<html><body><p>Preamble</p>"), body, F.lit("</body></html>")).alias("html"))
+    return g.select("o_orderkey", "page",
+                    F.concat(F.lit("<html><body><p>Preamble</p>"), body, F.lit("</body></html>")).alias("html"))
 
 
 @query("split_meetings", sql="""
 WITH pieces AS (
-  SELECT l.l_orderkey AS o_orderkey, l.l_linenumber AS ln,
+  SELECT l.l_orderkey AS o_orderkey, (l.l_linenumber - 1) // 64 AS page, l.l_linenumber AS ln,
     '<a name="' || CAST(month(l.l_shipdate) AS VARCHAR) || '_' || CAST(day(l.l_shipdate) AS VARCHAR) || '_'
       || lpad(CAST(year(l.l_shipdate) % 100 AS VARCHAR), 2, '0') || '"></a><p>Item ' || CAST(l.l_linenumber AS VARCHAR) || '</p>' AS html
   FROM lineitem l),
 pg AS (
-  SELECT p.o_orderkey, '<html><body><p>Preamble</p>' ||
+  SELECT p.o_orderkey, p.page, '<html><body><p>Preamble</p>' ||
     CASE WHEN o.o_orderstatus = 'P' THEN regexp_replace(string_agg(p.html, '' ORDER BY p.ln, p.html), '<a name="[^"]*"></a>', '', 'g')
          ELSE string_agg(p.html, '' ORDER BY p.ln, p.html) END || '</body></html>' AS html
-  FROM pieces p JOIN orders o ON p.o_orderkey = o.o_orderkey GROUP BY p.o_orderkey, o.o_orderstatus),
+  FROM pieces p JOIN orders o ON p.o_orderkey = o.o_orderkey GROUP BY p.o_orderkey, p.page, o.o_orderstatus),
 parts AS (
-  SELECT o_orderkey, html,
+  SELECT o_orderkey, page, html,
     string_split(regexp_replace(html, '<a\\s+name="(\\d+_\\d{1,2}_\\d{2})"\\s*>(?:\\s*</a>)?', chr(1) || '\\1' || chr(2), 'g'), chr(1))[2:] AS ps
   FROM pg),
 m AS (
-  SELECT o_orderkey, CAST(pos AS BIGINT) AS meeting_pos,
+  SELECT o_orderkey, page, CAST(pos AS BIGINT) AS meeting_pos,
     CASE WHEN len(ps) > 0 THEN split_part(ps[pos], chr(2), 1) ELSE 'single' END AS anchor,
     CASE WHEN len(ps) > 0 THEN split_part(ps[pos], chr(2), 2) ELSE html END AS mhtml
   FROM parts, range(1, greatest(len(ps), 1) + 1) r(pos))
-SELECT o_orderkey, meeting_pos, anchor,
+SELECT o_orderkey, page, meeting_pos, anchor,
   CASE WHEN regexp_matches(anchor, '(\\d{1,2})_(\\d{1,2})_(\\d{2})')
     THEN lpad(regexp_extract(anchor, '(\\d{1,2})_(\\d{1,2})_(\\d{2})', 1), 2, '0') || '/' ||
          lpad(regexp_extract(anchor, '(\\d{1,2})_(\\d{1,2})_(\\d{2})', 2), 2, '0') || '/19' ||
@@ -359,22 +370,22 @@ def split_meetings(spark: SparkSession, sf: str) -> DataFrame:
     """D4 + X27: pages cut into meetings at named anchors (a page without
     anchors is one meeting named 'single') and the anchor's fallback date."""
     pg = _meeting_pages(spark, sf)
-    m = A.explode_nonempty(pg, ["o_orderkey"], D.split_meetings("html"), ("meeting_pos", "m"))
-    return m.select("o_orderkey", (F.col("meeting_pos") + 1).cast("bigint").alias("meeting_pos"),
+    m = A.explode_nonempty(pg, ["o_orderkey", "page"], D.split_meetings("html"), ("meeting_pos", "m"))
+    return m.select("o_orderkey", "page", (F.col("meeting_pos") + 1).cast("bigint").alias("meeting_pos"),
                     F.col("m.anchor").alias("anchor"), X.anchor_date("m.anchor").alias("anchor_date"),
                     F.length("m.html").cast("bigint").alias("html_chars"))
 
 
 @query("case_codes", sql=f"""
 WITH {MINUTES_CTE}, {BLOCKS_SQL}
-SELECT o_orderkey, pos, upper(replace(coalesce(regexp_extract(block, '{P.CASE_CODE_RE}', 1), ''), ' ', '')) AS code,
+SELECT o_orderkey, page, pos, upper(replace(coalesce(regexp_extract(block, '{P.CASE_CODE_RE}', 1), ''), ' ', '')) AS code,
   upper(replace(coalesce(regexp_extract(block, '\\b((?:\\d{{2}}|\\d{{4}})\\.\\d{{3,}}(?: ?[A-Z0-9/]+)?)\\b', 1), ''), ' ', '')) AS code_lenient
 FROM blocks
 """)
 def case_codes(spark: SparkSession, sf: str) -> DataFrame:
     """D10 + X16: normalised case code of every block (strict and lenient)."""
-    b = blocks_of(minutes(spark, sf), ["o_orderkey"])
-    return b.select("o_orderkey", F.col("pos").cast("bigint").alias("pos"), D.case_code("block").alias("code"),
+    b = blocks_of(minutes(spark, sf), ["o_orderkey", "page"])
+    return b.select("o_orderkey", "page", F.col("pos").cast("bigint").alias("pos"), D.case_code("block").alias("code"),
                     D.case_code("block", lenient=True).alias("code_lenient"))
 
 
@@ -384,16 +395,16 @@ def _sql_initcap(x: str) -> str:
 
 @query("item_records", sql=f"""
 WITH {MINUTES_CTE},
-it AS (SELECT o_orderkey, {_sql_pieces('text', P.ITEM_HEADER_RE)} AS items FROM minutes),
-b AS (SELECT o_orderkey, CAST(pos AS BIGINT) AS pos, items[pos] AS b FROM it, range(1, len(items) + 1) r(pos)),
-f AS (SELECT o_orderkey, pos, b,
+it AS (SELECT o_orderkey, page, {_sql_pieces('text', P.ITEM_HEADER_RE)} AS items FROM minutes),
+b AS (SELECT o_orderkey, page, CAST(pos AS BIGINT) AS pos, items[pos] AS b FROM it, range(1, len(items) + 1) r(pos)),
+f AS (SELECT o_orderkey, page, pos, b,
   list_filter(string_split(b, chr(10))[2:], lambda l: regexp_replace(l, '^\\s+|\\s+$', '', 'g') <> ''
               AND NOT starts_with(regexp_replace(l, '^\\s+|\\s+$', '', 'g'), '(')) AS rest,
   list_transform(regexp_extract_all(regexp_replace(regexp_extract(b, '{P.SPEAKERS_RE}', 1), '^\\s+|\\s+$', '', 'g'), '{P.SPEAKER_LINE_RE}', 0),
                  lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')) AS sp,
   regexp_extract(b, '{P.ADDRESS_RE}', 1) AS addr
   FROM b)
-SELECT o_orderkey, pos,
+SELECT o_orderkey, page, pos,
   regexp_extract(b, '^(\\d{{1,2}})[a-zA-Z]?\\.', 1) AS item_num,
   regexp_extract(b, '^\\d{{1,2}}[a-zA-Z]?\\.\\s+(\\d{{4}}-\\d{{6,}}[A-Z]*)', 1) AS code,
   regexp_extract(b, '^\\d{{1,2}}[a-zA-Z]?\\.\\s+\\d{{4}}-\\d{{6,}}[A-Z]*\\s+\\((.*?)\\)', 1) AS staff,
@@ -408,9 +419,9 @@ FROM f
 """)
 def item_records(spark: SparkSession, sf: str) -> DataFrame:
     """D11 + D12 + X20 + X21: modern-format items parsed into fields."""
-    m = minutes(spark, sf).select("o_orderkey", D.parse_items("text").alias("items"))
-    e = A.explode_nonempty(m, ["o_orderkey"], "items", ("pos", "r"))
-    return e.select("o_orderkey", (F.col("pos") + 1).cast("bigint").alias("pos"), "r.*")
+    m = minutes(spark, sf).select("o_orderkey", "page", D.parse_items("text").alias("items"))
+    e = A.explode_nonempty(m, ["o_orderkey", "page"], "items", ("pos", "r"))
+    return e.select("o_orderkey", "page", (F.col("pos") + 1).cast("bigint").alias("pos"), "r.*")
 
 
 # ---------------------------------------------------------------- records
@@ -456,10 +467,10 @@ _SQL_RULE_PRED = (
 
 PRED_SQL = f"""
 preds AS (
-  SELECT o_orderkey, pos, source_file, block, raw,
+  SELECT o_orderkey, page, pos, source_file, block, raw,
     CASE (o_orderkey + pos) % 3 WHEN 0 THEN substr(raw, 1, greatest(length(raw) - 40, 1))
          WHEN 1 THEN replace(raw, '"noes": [', '"noes": [,') ELSE raw END AS pred
-  FROM (SELECT o_orderkey, pos, source_file, block, {_SQL_RULE_PRED} AS raw FROM blocks) s)
+  FROM (SELECT o_orderkey, page, pos, source_file, block, {_SQL_RULE_PRED} AS raw FROM blocks) s)
 """
 
 
@@ -476,15 +487,15 @@ _SALVAGE_KEYS = ["case_number", "project_address", "action", "ayes", "noes", "vo
 
 def _predictions(spark: SparkSession, sf: str) -> DataFrame:
     m = minutes(spark, sf)
-    b = blocks_of(m, ["o_orderkey", "source_file"])
+    b = blocks_of(m, ["o_orderkey", "page", "source_file"])
     return _with_damaged_pred(b)
 
 
 @query("salvage_json", sql=f"""
 WITH {MINUTES_CTE}, {BLOCKS_SQL}, {PRED_SQL},
-s AS (SELECT o_orderkey, pos, source_file, block, substr(pred, 1, CASE WHEN strpos(pred, '{P.TERMINATOR}') > 0
+s AS (SELECT o_orderkey, page, pos, source_file, block, substr(pred, 1, CASE WHEN strpos(pred, '{P.TERMINATOR}') > 0
         THEN strpos(pred, '{P.TERMINATOR}') - 1 ELSE length(pred) END) AS p FROM preds)
-SELECT o_orderkey, CAST(pos AS BIGINT) AS pos, source_file, substr(split_part(block, chr(10), 1), 1, 120) AS block_header,
+SELECT o_orderkey, page, CAST(pos AS BIGINT) AS pos, source_file, substr(split_part(block, chr(10), 1), 1, 120) AS block_header,
   {", ".join(_sql_salvage("p", k) + " AS " + k for k in _SALVAGE_KEYS)},
   CASE WHEN regexp_matches(p, '^\\s*(\\d{{1,4}})\\b') THEN regexp_extract(p, '^\\s*(\\d{{1,4}})\\b', 1)
        ELSE regexp_replace(p, '^\\s+|\\s+$', '', 'g') END IS NOT NULL AS has_text,
@@ -495,25 +506,25 @@ def salvage_json(spark: SparkSession, sf: str) -> DataFrame:
     """D15/D16 + X12/X13/X18/X19: fields salvaged from damaged predictions,
     the block header and strict JSON validity."""
     p = _predictions(spark, sf).withColumn("p", X.before_token("pred"))
-    return p.select("o_orderkey", F.col("pos").cast("bigint").alias("pos"), "source_file",
+    return p.select("o_orderkey", "page", F.col("pos").cast("bigint").alias("pos"), "source_file",
                     X.block_header("block").alias("block_header"),
                     R.salvage_fields("p", _SALVAGE_KEYS).alias("f"),
                     X.clean_block_no("p").isNotNull().alias("has_text"),
                     R.is_valid_json(X.outer_object("p")).alias("valid_json")).select(
-        "o_orderkey", "pos", "source_file", "block_header", "f.*", "has_text", "valid_json")
+        "o_orderkey", "page", "pos", "source_file", "block_header", "f.*", "has_text", "valid_json")
 
 
 @query("valid_json_ratio", sql=f"""
 WITH {MINUTES_CTE}, {BLOCKS_SQL}, {PRED_SQL},
 s AS (SELECT year_of, substr(pred, 1, CASE WHEN strpos(pred, '{P.TERMINATOR}') > 0
         THEN strpos(pred, '{P.TERMINATOR}') - 1 ELSE length(pred) END) AS p
-      FROM (SELECT p.*, b.year AS year_of FROM preds p JOIN blocks b ON p.o_orderkey = b.o_orderkey AND p.pos = b.pos) q)
+      FROM (SELECT p.*, b.year AS year_of FROM preds p JOIN blocks b ON p.o_orderkey = b.o_orderkey AND p.page = b.page AND p.pos = b.pos) q)
 SELECT year_of AS year, round(avg(CASE WHEN json_valid(p) THEN 1.0 ELSE 0.0 END), 6) AS valid_json_ratio FROM s GROUP BY year_of
 """)
 def valid_json_ratio(spark: SparkSession, sf: str) -> DataFrame:
     """Share of predictions that are valid JSON, per year."""
     m = minutes(spark, sf)
-    b = blocks_of(m, ["o_orderkey", "year"])
+    b = blocks_of(m, ["o_orderkey", "page", "year"])
     p = _with_damaged_pred(b).withColumn("pred", X.before_token("pred"))
     p = p.withColumn("ok", R.is_valid_json("pred"))
     return A.valid_ratio(p, "ok", "year").withColumn("valid_json_ratio", F.round("valid_json_ratio", 6))
@@ -521,17 +532,17 @@ def valid_json_ratio(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("prompts_infer", sql=f"""
 WITH {MINUTES_CTE}, {BLOCKS_SQL}
-SELECT o_orderkey, CAST(pos AS BIGINT) AS pos, CAST(length('{P.PROMPT_INSTRUCTION.replace(chr(10), "' || chr(10) || '")}' || block) AS BIGINT) AS prompt_chars,
+SELECT o_orderkey, page, CAST(pos AS BIGINT) AS pos, CAST(length('{P.PROMPT_INSTRUCTION.replace(chr(10), "' || chr(10) || '")}' || block) AS BIGINT) AS prompt_chars,
   {_SQL_RULE_PRED} AS pred
 FROM blocks
 """)
 def prompts_infer(spark: SparkSession, sf: str) -> DataFrame:
     """D13 + D14: prompt = instruction + block; predictions from the default
     (rule) predictor in the batch-inference surface."""
-    b = blocks_of(minutes(spark, sf), ["o_orderkey"])
+    b = blocks_of(minutes(spark, sf), ["o_orderkey", "page"])
     b = b.withColumn("prompt", R.build_prompts("block"))
     r = R.infer(b, "prompt", None, "pred", block_col="block")
-    return r.select("o_orderkey", F.col("pos").cast("bigint").alias("pos"),
+    return r.select("o_orderkey", "page", F.col("pos").cast("bigint").alias("pos"),
                     F.length("prompt").cast("bigint").alias("prompt_chars"), "pred")
 
 
@@ -590,7 +601,7 @@ pairs AS (
 
 def _pairs(spark: SparkSession, sf: str):
     m = minutes(spark, sf)
-    blocks = blocks_of(m, ["o_orderkey", "year"])
+    blocks = blocks_of(m, ["o_orderkey", "page", "year"])
     labels = _labels(spark, sf)
     pairs = R.training_pairs(labels, blocks, ["case_number", "action"], year="year")
     return labels, blocks, pairs
@@ -666,9 +677,9 @@ def _stats(labels: DataFrame, blocks: DataFrame, pairs: DataFrame, matched_codes
 def _records(spark: SparkSession, sf: str) -> DataFrame:
     """Structured records from the rule predictor (case, date, address,
     action, vote lists as text)."""
-    m = minutes(spark, sf).select("o_orderkey", "text", "year")
+    m = minutes(spark, sf).select("o_orderkey", "page", "text", "year")
     m = m.withColumn("meeting_date", X.parse_weekday_date("text").cast("string"))
-    b = blocks_of(m, ["o_orderkey", "meeting_date"])
+    b = blocks_of(m, ["o_orderkey", "page", "meeting_date"])
     p = b.withColumn("f", R.salvage_fields(X.before_token(R.rule_predictor("block")),
                                            ["case_number", "project_address", "action", "ayes", "noes", "absent"]))
     return p.select("o_orderkey", "pos", "meeting_date", "f.*")
@@ -683,7 +694,7 @@ recs AS (
     regexp_replace(regexp_extract(b.block, '{P.ACTION_RE}', 1), '^\\s+|\\s+$', '', 'g') AS action,
     array_to_string({_sql_names_list(f"regexp_extract(b.block, '{P.AYES_RE}', 1)")}, ', ') AS ayes,
     array_to_string({_sql_names_list(f"regexp_extract(b.block, '{P.NAYS_RE}', 1)")}, ', ') AS noes
-  FROM blocks b JOIN minutes m ON b.o_orderkey = m.o_orderkey)
+  FROM blocks b JOIN minutes m ON b.o_orderkey = m.o_orderkey AND b.page = m.page)
 """
 
 
