@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..operators import aggregate as A
 from ..operators import clean as C
+from ..operators import merge as M
 from ..operators import records as R
 from ..sources.readers import matrix_json_to_rows, table
 from .registry import query
@@ -139,7 +140,7 @@ def api_matrix(spark: SparkSession, sf: str) -> DataFrame:
     cells = F.array(F.col("n_nationkey").cast("string"), F.col("n_name"),
                     F.when(F.col("n_nationkey") % 4 == 0, F.lit("n/a"))
                     .otherwise((F.col("n_nationkey") * 1.5).cast("string")))
-    rows = n.join(F.broadcast(r), "n_regionkey").groupBy("region").agg(
+    rows = n.join(M.bounded_broadcast(r), "n_regionkey").groupBy("region").agg(
         F.array_sort(F.collect_list(F.struct(F.col("n_nationkey").alias("k"), cells.alias("c")))).alias("rs"))
     payload = rows.select("region", F.to_json(F.concat(
         F.array(F.array(F.lit("n_nationkey"), F.lit("n_name"), F.lit("score"))),

@@ -90,10 +90,30 @@ m AS (SELECT CASE WHEN a.c_custkey IS NOT NULL AND b.c_custkey IS NOT NULL THEN
 SELECT _merge, count(*) AS n FROM m GROUP BY _merge
 """)
 def merge_side_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """rows per side of the merge indicator."""
-    m = merge_indicator(spark, sf)
-    sides = [M.keep_side(m, s).select(F.lit(s).alias("_merge")) for s in ("both", "left_only", "right_only")]
-    return A.count_by(M.union_strict(*sides), "_merge", "n")
+    """Rows per side of the merge indicator (one aggregate over the merge)."""
+    return A.count_by(merge_indicator(spark, sf), "_merge", "n")
+
+
+@query("merge_both_zscore", sql="""
+WITH a AS (SELECT c_custkey, c_acctbal FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
+b AS (SELECT o_custkey AS c_custkey, sum(o_totalprice) AS order_total FROM orders
+      WHERE o_orderdate >= TIMESTAMP '1997-01-01' GROUP BY o_custkey),
+both_sides AS (SELECT a.c_custkey, a.c_acctbal, b.order_total FROM a JOIN b ON a.c_custkey = b.c_custkey)
+SELECT c_custkey,
+  round((c_acctbal - (SELECT avg(c_acctbal) FROM both_sides)) / (SELECT stddev_samp(c_acctbal) FROM both_sides), 6) AS acctbal_z,
+  round((order_total - (SELECT avg(order_total) FROM both_sides)) / (SELECT stddev_samp(order_total) FROM both_sides), 6) AS order_total_z
+FROM both_sides
+""")
+def merge_both_zscore(spark: SparkSession, sf: str) -> DataFrame:
+    """F9 + A9: rows present on both sides of the merge, z-scored on both
+    measures (the step before the index-vs-index line fit)."""
+    a = table(spark, sf, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD").select("c_custkey", "c_acctbal")
+    b = (table(spark, sf, "orders").filter(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+         .groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.sum("o_totalprice").alias("order_total")))
+    both = M.keep_side(M.merge_indicator(a, b, "c_custkey"), "both")
+    z = S.zscore(both, ["c_acctbal", "order_total"])
+    return z.select("c_custkey", F.round("c_acctbal_z", 6).alias("acctbal_z"),
+                    F.round("order_total_z", 6).alias("order_total_z"))
 
 
 @query("zscore_global", sql="""
