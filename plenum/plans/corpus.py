@@ -127,7 +127,7 @@ def ensure_and_order(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("api_matrix", sql="""
 SELECT lower(r.r_name) AS region, CAST(n.n_nationkey AS DOUBLE) AS n_nationkey, n.n_name,
-  CASE WHEN n.n_nationkey % 4 = 0 THEN NULL ELSE n.n_nationkey * 1.5 END AS score
+  CAST(CASE WHEN n.n_nationkey % 4 = 0 THEN NULL ELSE n.n_nationkey * 1.5 END AS DOUBLE) AS score
 FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 """)
 def api_matrix(spark: SparkSession, sf: str) -> DataFrame:

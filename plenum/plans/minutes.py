@@ -132,7 +132,7 @@ def minutes(spark: SparkSession, sf: str) -> DataFrame:
 
 MINUTES_CTE = f"""
 mlines AS (
-  SELECT l.l_orderkey AS o_orderkey, (l.l_linenumber - 1) // 64 AS page, l.l_linenumber AS ln, l.l_partkey AS s1, l.l_suppkey AS s2, l.l_quantity AS s3,
+  SELECT l.l_orderkey AS o_orderkey, CAST((l.l_linenumber - 1) // 64 AS BIGINT) AS page, l.l_linenumber AS ln, l.l_partkey AS s1, l.l_suppkey AS s2, l.l_quantity AS s3,
     l.l_discount AS s4, l.l_returnflag AS s5, l.l_linestatus AS s6, l.l_shipdate AS s7,
     CASE WHEN o.o_orderkey % 2 = 0 THEN
       (CASE WHEN l.l_linenumber % 2 = 0 THEN CAST(year(o.o_orderdate) AS VARCHAR)
@@ -340,7 +340,7 @@ def _meeting_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("split_meetings", sql="""
 WITH pieces AS (
-  SELECT l.l_orderkey AS o_orderkey, (l.l_linenumber - 1) // 64 AS page, l.l_linenumber AS ln,
+  SELECT l.l_orderkey AS o_orderkey, CAST((l.l_linenumber - 1) // 64 AS BIGINT) AS page, l.l_linenumber AS ln,
     '<a name="' || CAST(month(l.l_shipdate) AS VARCHAR) || '_' || CAST(day(l.l_shipdate) AS VARCHAR) || '_'
       || lpad(CAST(year(l.l_shipdate) % 100 AS VARCHAR), 2, '0') || '"></a><p>Item ' || CAST(l.l_linenumber AS VARCHAR) || '</p>' AS html
   FROM lineitem l),
