@@ -154,25 +154,37 @@ def assemble_records(df: DataFrame, source_file: str, meeting_date: str, block:
 
 
 # ---------------------------------------------------------------- pairs
+def code_summary(blocks: DataFrame, block_col: str = "block", year: str = "year", pos: str = "pos",
+                 lenient: bool = False) -> DataFrame:
+    """One pass over the blocks: per (year, normalised code) the number of
+    blocks and the longest block (first on ties, A19); code '' collects the
+    blocks without a code. Partially aggregated, so a hot code stays cheap;
+    every pairing statistic is derived from this one (small) frame."""
+    coded = blocks.select(year, pos, block_col, D.case_code(block_col, lenient).alias("code"))
+    best = F.max_by(F.struct(F.col(pos).alias(pos), F.col(block_col).alias(block_col)),
+                    F.struct(F.length(block_col), -F.col(pos)))
+    return coded.groupBy(year, "code").agg(F.count(F.lit(1)).alias("n_blocks"), best.alias("__b")) \
+        .select(year, "code", "n_blocks", F.col(f"__b.{pos}").alias(pos), F.col(f"__b.{block_col}").alias(block_col))
+
+
 def block_codes(blocks: DataFrame, block_col: str = "block", year: str = "year", pos: str = "pos",
-                lenient: bool = False) -> DataFrame:
+                lenient: bool = False, summary: DataFrame | None = None) -> DataFrame:
     """Blocks with their normalised case code; blocks without a code dropped;
     one (the longest, first on ties) block per (year, code) — A19."""
-    from .aggregate import longest_per_key
-
-    coded = blocks.withColumn("code", D.case_code(block_col, lenient)).filter(F.col("code") != "")
-    return longest_per_key(coded.select(year, "code", pos, block_col), [year, "code"], block_col, pos)
+    s = summary if summary is not None else code_summary(blocks, block_col, year, pos, lenient)
+    return s.filter(F.col("code") != "").select(year, "code", pos, block_col)
 
 
 def training_pairs(labels: DataFrame, blocks: DataFrame, label_cols: Sequence[str], year: str = "year",
                    case_col: str = "case_number", block_col: str = "block", pos: str = "pos",
-                   list_keys: Sequence[str] = P.LIST_KEYS, required: Sequence[str] = P.REQUIRED_KEYS) -> DataFrame:
+                   list_keys: Sequence[str] = P.LIST_KEYS, required: Sequence[str] = P.REQUIRED_KEYS,
+                   summary: DataFrame | None = None) -> DataFrame:
     """Join labels to the longest block of their (year, normalised code);
     backfill required keys; completion = label JSON + ' ' + terminator;
     prompt = block + blank line. Returns every label with ``paired``."""
     from .clean import ensure_fields
 
-    coded = block_codes(blocks, block_col, year, pos)
+    coded = block_codes(blocks, block_col, year, pos, summary=summary)
     lab = ensure_fields(labels, list(required), list(list_keys))
     keys_out = list(dict.fromkeys(list(label_cols) + list(required)))
     lab = lab.withColumn("code", X.normalise_case(case_col)) \
@@ -184,7 +196,7 @@ def training_pairs(labels: DataFrame, blocks: DataFrame, label_cols: Sequence[st
 
 
 def pairing_diagnostics(pairs: DataFrame, blocks: DataFrame, year: str = "year", block_col: str = "block",
-                        pos: str = "pos") -> DataFrame:
+                        pos: str = "pos", summary: DataFrame | None = None) -> DataFrame:
     """D18 in long form: (year, kind, code) for label codes without a block
     (blank -> '<missing case_number>') and block codes without a label,
     sorted. Long rows rather than per-year arrays, so a large year is never
@@ -192,7 +204,7 @@ def pairing_diagnostics(pairs: DataFrame, blocks: DataFrame, year: str = "year",
     missing = pairs.filter(~F.col("paired")).select(
         year, F.lit("missing_label_case_numbers").alias("kind"),
         F.when(F.col("code") == "", F.lit(P.MISSING_CASE)).otherwise(F.col("code")).alias("code"))
-    coded = block_codes(blocks, block_col, year, pos)
+    coded = block_codes(blocks, block_col, year, pos, summary=summary)
     unmatched = coded.join(pairs.filter("paired").select(year, "code"), [year, "code"], "left_anti") \
         .select(year, F.lit("unmatched_block_case_numbers").alias("kind"), "code")
     return missing.unionByName(unmatched).orderBy(year, "kind", "code")
@@ -210,17 +222,18 @@ def split_train_test(df: DataFrame, id_col: str, seed: int = 42, test_pct: int =
 def explode_votes(records: DataFrame, case_col: str = "case_number", date_col: str = "meeting_date",
                   vote_cols: Mapping[str, str] | None = None) -> DataFrame:
     """Long vote table (case, date, member, vote) from joined name lists."""
+    from .aggregate import explode_nonempty
+
     vote_cols = vote_cols or {"ayes": "aye", "noes": "no", "absent": "absent"}
-    parts = []
-    for col, label in vote_cols.items():
-        from .aggregate import explode_nonempty
+    # one array of (member, vote) per record and a single explode: the records
+    # are read once, not once per vote column as a union would
+    def tag(label: str):
+        # one-argument lambda: F.transform passes the index to a 2-argument one
+        return lambda m: F.struct(m.alias("member"), F.lit(label).alias("vote"))
 
-        parts.append(explode_nonempty(records, [case_col, date_col], X.split_names(col), ("member",), with_pos=False)
-                     .withColumn("vote", F.lit(label)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    tagged = F.concat(*[F.transform(X.split_names(col), tag(label)) for col, label in vote_cols.items()])
+    out = explode_nonempty(records, [case_col, date_col], tagged, ("v",), with_pos=False)
+    return out.select(case_col, date_col, "v.member", "v.vote")
 
 
 def project_history(records: DataFrame, case_col: str = "case_number", date_col: str = "meeting_date",
@@ -229,7 +242,8 @@ def project_history(records: DataFrame, case_col: str = "case_number", date_col:
     action at the last meeting (max_by, partially aggregated)."""
     return records.filter(F.col(case_col) != "").groupBy(case_col).agg(
         F.min(date_col).alias("first_meeting"), F.max(date_col).alias("last_meeting"),
-        F.count(F.lit(1)).alias("appearances"), F.max_by(action_col, date_col).alias("last_action"))
+        F.count(F.lit(1)).alias("appearances"), F.max_by(action_col, date_col).alias("last_action"),
+        F.countDistinct(action_col).cast("bigint").alias("n_actions"))
 
 
 def canonical_keys(label_map, aliases: Mapping[str, str]) -> Column:

@@ -25,6 +25,7 @@ from ..functions import scalar as X
 from ..operators import aggregate as A
 from ..operators import documents as D
 from ..operators import records as R
+from ..session import cut_lineage
 from ..sources.readers import table
 from .registry import query
 
@@ -599,12 +600,19 @@ pairs AS (
 """
 
 
-def _pairs(spark: SparkSession, sf: str):
+def _pairs(spark: SparkSession, sf: str, materialize: bool = False):
     m = minutes(spark, sf)
     blocks = blocks_of(m, ["o_orderkey", "page", "year"])
+    # The summary (one row per (year, code)) feeds the pairs, the block counts
+    # and the unmatched codes. With several consumers it is written once to the shared checkpoint
+    # folder, so the expensive text stages (minutes -> split -> codes) run once
+    # and a lost executor re-reads the small checkpoint instead of recomputing.
+    summary = R.code_summary(blocks, "block", "year", "pos")
+    if materialize:
+        summary = cut_lineage(summary)
     labels = _labels(spark, sf)
-    pairs = R.training_pairs(labels, blocks, ["case_number", "action"], year="year")
-    return labels, blocks, pairs
+    pairs = R.training_pairs(labels, blocks, ["case_number", "action"], year="year", summary=summary)
+    return labels, summary, pairs
 
 
 @query("training_pairs", sql=f"""
@@ -629,8 +637,8 @@ WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.paired AND p.year = c.year AND p
 """)
 def pairing_diagnostics(spark: SparkSession, sf: str) -> DataFrame:
     """D18 (long form): label codes without a block, block codes without a label."""
-    _, blocks, pairs = _pairs(spark, sf)
-    return R.pairing_diagnostics(pairs, blocks, "year")
+    _, summary, pairs = _pairs(spark, sf, materialize=True)
+    return R.pairing_diagnostics(pairs, None, "year", summary=summary)
 
 
 @query("pairing_stats", sql=f"""
@@ -653,36 +661,44 @@ SELECT NULL, CAST(sum(labels) AS BIGINT), CAST(sum(blocks_found) AS BIGINT), CAS
 """)
 def pairing_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Per-year pairing counts plus a grand total row."""
-    labels, blocks, pairs = _pairs(spark, sf)
-    coded = R.block_codes(blocks, "block", "year", "pos")
+    labels, summary, pairs = _pairs(spark, sf, materialize=True)
+    coded = R.block_codes(None, "block", "year", "pos", summary=summary)
     matched = coded.join(pairs.filter("paired").select("year", "code").distinct().withColumn("m", F.lit(True)),
                          ["year", "code"], "left").withColumn("matched", F.coalesce("m", F.lit(False)))
-    return _stats(labels, blocks, pairs, matched)
+    return _stats(labels, summary, pairs, matched)
 
 
-def _stats(labels: DataFrame, blocks: DataFrame, pairs: DataFrame, matched_codes: DataFrame) -> DataFrame:
+def _stats(labels: DataFrame, summary: DataFrame, pairs: DataFrame, matched_codes: DataFrame) -> DataFrame:
     lab = labels.groupBy("year").agg(F.count(F.lit(1)).alias("labels"))
-    blk = blocks.groupBy("year").agg(F.count(F.lit(1)).alias("blocks_found"))
+    blk = summary.groupBy("year").agg(F.sum("n_blocks").alias("blocks_found"))
     par = pairs.groupBy("year").agg(F.sum(F.col("paired").cast("int")).alias("paired"),
                                     F.sum((~F.col("paired")).cast("int")).alias("labels_without_block"))
     unm = matched_codes.filter(~F.col("matched")).groupBy("year").agg(F.count(F.lit(1)).alias("unmatched_blocks"))
     metrics = ["labels", "blocks_found", "paired", "labels_without_block", "unmatched_blocks"]
     per_year = lab.join(blk, "year", "full").join(par, "year", "full").join(unm, "year", "full").na.fill(0, metrics)
-    per_year = per_year.select("year", *[F.col(m).cast("bigint").alias(m) for m in metrics])
+    # tiny (one row per year); materialised so the total row does not re-run it
+    per_year = cut_lineage(per_year.select("year", *[F.col(m).cast("bigint").alias(m) for m in metrics]))
     total = per_year.agg(*[F.sum(m).cast("bigint").alias(m) for m in metrics]).select(
         F.lit(None).cast("string").alias("year"), *metrics)
     return per_year.unionByName(total)
 
 
 def _records(spark: SparkSession, sf: str) -> DataFrame:
-    """Structured records from the rule predictor (case, date, address,
-    action, vote lists as text)."""
+    """Structured records per block (case, meeting date, address, action,
+    vote lists as text), extracted directly with the rule predictor's field
+    patterns — one regex per field instead of generating JSON and salvaging
+    it back."""
     m = minutes(spark, sf).select("o_orderkey", "page", "text", "year")
     m = m.withColumn("meeting_date", X.parse_weekday_date("text").cast("string"))
     b = blocks_of(m, ["o_orderkey", "page", "meeting_date"])
-    p = b.withColumn("f", R.salvage_fields(X.before_token(R.rule_predictor("block")),
-                                           ["case_number", "project_address", "action", "ayes", "noes", "absent"]))
-    return p.select("o_orderkey", "pos", "meeting_date", "f.*")
+    blk = F.col("block")
+    return b.select(
+        "o_orderkey", "pos", "meeting_date",
+        F.regexp_extract(blk, P.CASE_CODE_RE, 1).alias("case_number"),
+        X.strip(F.regexp_extract(blk, r"[–-]\s*([^\n]*)", 1)).alias("project_address"),
+        X.strip(F.regexp_extract(blk, P.ACTION_RE, 1)).alias("action"),
+        F.array_join(X.split_names(F.regexp_extract(blk, P.AYES_RE, 1)), ", ").alias("ayes"),
+        F.array_join(X.split_names(F.regexp_extract(blk, P.NAYS_RE, 1)), ", ").alias("noes"))
 
 
 _RECORDS_SQL = f"""
@@ -721,6 +737,4 @@ def project_history(spark: SparkSession, sf: str) -> DataFrame:
     """History of each project across meetings (first/last meeting,
     appearances, distinct actions)."""
     r = _records(spark, sf).filter((F.col("project_address") != "") & F.col("meeting_date").isNotNull())
-    h = R.project_history(r, "project_address", "meeting_date", "action")
-    n = r.groupBy("project_address").agg(F.countDistinct("action").cast("bigint").alias("n_actions"))
-    return h.drop("last_action").join(n, "project_address")
+    return R.project_history(r, "project_address", "meeting_date", "action").drop("last_action")
