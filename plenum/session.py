@@ -60,6 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if not configured:
         configured = fallback or os.environ.get("PLENUM_CHECKPOINT_DIR")
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would vanish with its executor
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder (HDFS/S3/ABFS) on a cluster")
         import tempfile
 
         configured = tempfile.mkdtemp(prefix="plenum-ckpt-")
