@@ -141,7 +141,7 @@ def api_matrix(spark: SparkSession, sf: str) -> DataFrame:
                     F.when(F.col("n_nationkey") % 4 == 0, F.lit("n/a"))
                     .otherwise((F.col("n_nationkey") * 1.5).cast("string")))
     rows = n.join(M.bounded_broadcast(r), "n_regionkey").groupBy("region").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("n_nationkey").alias("k"), cells.alias("c")))).alias("rs"))
+        F.sort_array(F.collect_list(F.struct(F.col("n_nationkey").alias("k"), cells.alias("c")))).alias("rs"))
     payload = rows.select("region", F.to_json(F.concat(
         F.array(F.array(F.lit("n_nationkey"), F.lit("n_name"), F.lit("score"))),
         F.transform("rs", lambda x: x["c"]))).alias("payload"))

@@ -119,7 +119,7 @@ def minutes(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").select("l_orderkey", *_LINE_COLS)
     li = li.withColumn("page", F.floor((F.col("l_linenumber") - 1) / PAGE_LINES).cast("bigint"))
     lines = li.groupBy(F.col("l_orderkey").alias("o_orderkey"), "page").agg(
-        F.array_sort(F.collect_list(F.struct(*_LINE_COLS))).alias("lines"))
+        F.sort_array(F.collect_list(F.struct(*_LINE_COLS))).alias("lines"))
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     j = lines.join(o, "o_orderkey")
     ok, od = F.col("o_orderkey"), F.col("o_orderdate")
@@ -331,7 +331,7 @@ def _meeting_pages(spark: SparkSession, sf: str) -> DataFrame:
     piece = F.struct("l_linenumber", F.concat(F.lit('<a name="'), anchor, F.lit('"></a><p>Item '),
                                               _s(F.col("l_linenumber")), F.lit("</p>")).alias("html"))
     page = F.floor((F.col("l_linenumber") - 1) / PAGE_LINES).cast("bigint").alias("page")
-    g = li.groupBy(F.col("l_orderkey").alias("o_orderkey"), page).agg(F.array_sort(F.collect_list(piece)).alias("p"))
+    g = li.groupBy(F.col("l_orderkey").alias("o_orderkey"), page).agg(F.sort_array(F.collect_list(piece)).alias("p"))
     g = g.join(o, "o_orderkey")
     body = F.array_join(F.transform("p", lambda x: x["html"]), "")
     body = F.when(F.col("o_orderstatus") == "P", F.regexp_replace(body, r'<a name="[^"]*"></a>', "")).otherwise(body)

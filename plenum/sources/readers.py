@@ -81,7 +81,7 @@ def read_documents(spark: SparkSession, glob: str, name_pattern: str | None = No
 def concat_parts(df: DataFrame, key: str, name: str = "file_name", text: str = "text", sep: str = "\n\n") -> DataFrame:
     """Several files of one key joined in name order with ``sep``. The
     number of files per key is small by construction (a year's samples)."""
-    g = df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(name, text))).alias("__p"))
+    g = df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(name, text))).alias("__p"))
     return g.select(key, F.array_join(F.transform("__p", lambda s: s[text]), sep).alias(text))
 
 
