@@ -73,6 +73,37 @@ def with_blocks(df: DataFrame, text: str = "text", blocks: str = "blocks", mode:
     return out.drop("__by_case", "__has_item")
 
 
+def _raw_pieces(text: Column, boundary_re: str) -> Column:
+    marked = F.regexp_replace(text, boundary_re, SENTINEL + "$0")
+    return F.slice(F.split(marked, SENTINEL), 2, 1 << 30)
+
+
+def explode_block_rows(df: DataFrame, keys, text: str = "text", out: str = "block", pos: str = "pos",
+                       mode: str | None = "mode") -> DataFrame:
+    """D6 + W3 as rows: one row per block with its 1-based ordinal.
+
+    Fast path of ``with_blocks`` + ``explode_blocks``: both boundary patterns
+    match non-blank text (the case code, the item number), so no piece after a
+    boundary is blank and the 'drop empty pieces' step is a no-op; the raw
+    pieces are exploded and each is stripped in a flat projection (whole-stage
+    codegen) instead of interpreted array lambdas. Same result as
+    ``split_blocks``."""
+    from .aggregate import explode_nonempty
+
+    t = F.col(text)
+    staged = df.select(*keys, text, _raw_pieces(t, P.CASE_HEADER_RE).alias("__case"),
+                       t.rlike(P.AGENDA_ITEM_RE).alias("__item"))
+    n_case = F.size("__case")
+    m = F.when(n_case >= 2, F.lit("case")).when(F.col("__item"), F.lit("item")).otherwise(F.lit("whole"))
+    raw = (F.when(n_case >= 2, F.col("__case"))
+           .when(F.col("__item"), _raw_pieces(t, P.AGENDA_ITEM_RE))
+           .otherwise(F.array(t)))
+    staged = staged.select(*keys, m.alias("__mode"), raw.alias("__raw"))
+    rows = explode_nonempty(staged, [*keys, "__mode"], "__raw", (pos, out))
+    cols = [*keys] + ([F.col("__mode").alias(mode)] if mode else [])
+    return rows.select(*cols, (F.col(pos) + 1).alias(pos), X.strip(out).alias(out))
+
+
 def block_mode(text) -> Column:
     """Which rule of D6 applied: 'case', 'item' or 'whole'."""
     t = _c(text)

@@ -211,8 +211,7 @@ def _sql_mode(text: str) -> str:
 
 def blocks_of(docs: DataFrame, keys) -> DataFrame:
     """D6 + W3: one row per block with its ordinal and the splitting mode."""
-    d = D.with_blocks(docs.select(*keys, "text")).drop("text")
-    return D.explode_blocks(d, "blocks")
+    return D.explode_block_rows(docs, keys)
 
 
 BLOCKS_SQL = f"""

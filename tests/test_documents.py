@@ -159,3 +159,11 @@ def test_html_links_texts_tables(spark):
     assert [r.cells for r in rows] == [["Year", "Gov"], ["1999", "D"]]
     fast = spark.createDataFrame([(PAGE,)], "h string").select(D.href_links("h")).first()[0]
     assert fast == ["/outside.html", "minutes/1998.htm", "Agenda.html"]
+
+
+def test_block_rows_fast_path_equals_array_path(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "id int, text string")
+    fast = sorted(tuple(r) for r in D.explode_block_rows(df, ["id"]).collect())
+    slow = D.explode_blocks(D.with_blocks(df).drop("text"), "blocks")
+    slow = sorted(tuple(r) for r in slow.select("id", "mode", "pos", "block").collect())
+    assert fast == slow
