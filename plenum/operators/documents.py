@@ -183,33 +183,47 @@ def parse_items(text) -> Column:
     speakers_count, speakers_raw). Values may sit on the line after their
     label. Text before the first item is dropped."""
     blocks = pieces_after(text, P.ITEM_HEADER_RE)
+    return F.transform(blocks, _item_fields)
 
-    def one(b: Column) -> Column:
-        lines = F.split(b, "\n")
-        rest = F.filter(F.slice(lines, 2, 1 << 30), lambda l: (X.strip(l) != "") & ~X.strip(l).startswith("("))
-        sp = F.regexp_extract(b, P.SPEAKERS_RE, 1)
-        sp_list = F.transform(F.regexp_extract_all(X.strip(sp), F.lit(P.SPEAKER_LINE_RE), 0), lambda s: X.strip(s))
-
-        def opt(pattern: str, g: int = 1) -> Column:
-            v = F.regexp_extract(b, pattern, g)
-            return F.when(v != "", X.strip(v))
-
-        addr = F.regexp_extract(b, P.ADDRESS_RE, 1)
-        return F.struct(
-            F.regexp_extract(b, r"^(\d{1,2})[a-zA-Z]?\.", 1).alias("item_num"),
-            F.regexp_extract(b, r"^\d{1,2}[a-zA-Z]?\.\s+(\d{4}-\d{6,}[A-Z]*)", 1).alias("code"),
-            F.regexp_extract(b, r"^\d{1,2}[a-zA-Z]?\.\s+\d{4}-\d{6,}[A-Z]*\s+\((.*?)\)", 1).alias("staff"),
-            F.coalesce(X.strip(F.get(rest, 0)), F.lit("")).alias("title"),
-            F.when(addr != "", X.title_address(addr)).alias("address"),
-            opt(P.ACTION_RE).alias("action"),
-            opt(P.AYES_RE).alias("aye_votes"),
-            opt(P.NAYS_RE).alias("nay_votes"),
-            opt(P.MOTION_RE, 2).alias("motion_or_resolution"),
-            F.size(sp_list).cast("bigint").alias("speakers_count"),
-            F.array_join(sp_list, "; ").alias("speakers_raw"),
-        )
-
-    return F.transform(blocks, one)
+
+def item_rows(df: DataFrame, keys, text: str = "text", pos: str = "pos") -> DataFrame:
+    """D11 as rows: one row per item with its 1-based ordinal and the fields
+    of ``parse_items``. The item header always matches non-blank text, so the
+    raw pieces are exploded and parsed in a flat projection (codegen) rather
+    than inside an array lambda."""
+    from .aggregate import explode_nonempty
+
+    staged = df.select(*keys, _raw_pieces(F.col(text), P.ITEM_HEADER_RE).alias("__items"))
+    rows = explode_nonempty(staged, keys, "__items", (pos, "__b"))
+    rows = rows.select(*keys, (F.col(pos) + 1).alias(pos), X.strip("__b").alias("__b"))
+    return rows.select(*keys, pos, _item_fields(F.col("__b")).alias("__f")).select(*keys, pos, "__f.*")
+
+
+def _item_fields(b: Column) -> Column:
+    """Fields of one stripped item block."""
+    lines = F.split(b, "\n")
+    rest = F.filter(F.slice(lines, 2, 1 << 30), lambda l: (X.strip(l) != "") & ~X.strip(l).startswith("("))
+    sp = F.regexp_extract(b, P.SPEAKERS_RE, 1)
+    sp_list = F.transform(F.regexp_extract_all(X.strip(sp), F.lit(P.SPEAKER_LINE_RE), 0), lambda s: X.strip(s))
+
+    def opt(pattern: str, g: int = 1) -> Column:
+        v = F.regexp_extract(b, pattern, g)
+        return F.when(v != "", X.strip(v))
+
+    addr = F.regexp_extract(b, P.ADDRESS_RE, 1)
+    return F.struct(
+        F.regexp_extract(b, r"^(\d{1,2})[a-zA-Z]?\.", 1).alias("item_num"),
+        F.regexp_extract(b, r"^\d{1,2}[a-zA-Z]?\.\s+(\d{4}-\d{6,}[A-Z]*)", 1).alias("code"),
+        F.regexp_extract(b, r"^\d{1,2}[a-zA-Z]?\.\s+\d{4}-\d{6,}[A-Z]*\s+\((.*?)\)", 1).alias("staff"),
+        F.coalesce(X.strip(F.get(rest, 0)), F.lit("")).alias("title"),
+        F.when(addr != "", X.title_address(addr)).alias("address"),
+        opt(P.ACTION_RE).alias("action"),
+        opt(P.AYES_RE).alias("aye_votes"),
+        opt(P.NAYS_RE).alias("nay_votes"),
+        opt(P.MOTION_RE, 2).alias("motion_or_resolution"),
+        F.size(sp_list).cast("bigint").alias("speakers_count"),
+        F.array_join(sp_list, "; ").alias("speakers_raw"),
+    )
 
 
 def speakers(block) -> Column:

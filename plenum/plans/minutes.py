@@ -419,9 +419,8 @@ FROM f
 """)
 def item_records(spark: SparkSession, sf: str) -> DataFrame:
     """D11 + D12 + X20 + X21: modern-format items parsed into fields."""
-    m = minutes(spark, sf).select("o_orderkey", "page", D.parse_items("text").alias("items"))
-    e = A.explode_nonempty(m, ["o_orderkey", "page"], "items", ("pos", "r"))
-    return e.select("o_orderkey", "page", (F.col("pos") + 1).cast("bigint").alias("pos"), "r.*")
+    r = D.item_rows(minutes(spark, sf), ["o_orderkey", "page"])
+    return r.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 # ---------------------------------------------------------------- records

@@ -167,3 +167,11 @@ def test_block_rows_fast_path_equals_array_path(spark):
     slow = D.explode_blocks(D.with_blocks(df).drop("text"), "blocks")
     slow = sorted(tuple(r) for r in slow.select("id", "mode", "pos", "block").collect())
     assert fast == slow
+
+
+def test_item_rows_equal_parse_items(spark):
+    df = spark.createDataFrame([(1, ITEMS)], "id int, t string")
+    arr = df.select(D.parse_items("t").alias("i")).first().i
+    rows = D.item_rows(df, ["id"], "t").orderBy("pos").collect()
+    assert [r.pos for r in rows] == [1, 2]
+    assert [tuple(r)[2:] for r in rows] == [tuple(x) for x in arr]
