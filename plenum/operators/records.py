@@ -95,13 +95,18 @@ def build_prompts(block, instruction: str = P.PROMPT_INSTRUCTION) -> Column:
     return F.concat(F.lit(instruction), _c(block))
 
 
-def rule_predictor(block) -> Column:
+def _name_lists(b: Column) -> tuple[Column, Column, Column]:
+    return (X.split_names(F.regexp_extract(b, P.AYES_RE, 1)),
+            X.split_names(F.regexp_extract(b, P.NAYS_RE, 1)),
+            X.split_names(F.regexp_extract(b, r"ABSENT:\s+([^\n]+)", 1)))
+
+
+def rule_predictor(block, names: tuple[Column, Column, Column] | None = None) -> Column:
     """Default predictor for D14: a rule-based extractor written as built-in
-    expressions (no model). Emits a JSON object with the required keys."""
+    expressions (no model). Emits a JSON object with the required keys.
+    ``names`` may pass pre-computed (ayes, noes, absent) arrays."""
     b = _c(block)
-    ayes = X.split_names(F.regexp_extract(b, P.AYES_RE, 1))
-    noes = X.split_names(F.regexp_extract(b, P.NAYS_RE, 1))
-    absent = X.split_names(F.regexp_extract(b, r"ABSENT:\s+([^\n]+)", 1))
+    ayes, noes, absent = names if names is not None else _name_lists(b)
     action = X.strip(F.regexp_extract(b, P.ACTION_RE, 1))
     parts = {
         "case_number": json_string(F.regexp_extract(b, P.CASE_CODE_RE, 1)),
@@ -116,13 +121,23 @@ def rule_predictor(block) -> Column:
     return F.concat(F.lit("{"), body, F.lit("} "), F.lit(P.TERMINATOR))
 
 
+def with_rule_prediction(df: DataFrame, block_col: str = "block", out: str = "pred") -> DataFrame:
+    """``rule_predictor`` as a DataFrame step: the three name lists are staged
+    as columns first (each is read twice, for its JSON list and for the vote
+    count), so each list is split once per block."""
+    a, n, s = _name_lists(F.col(block_col))
+    staged = df.withColumns({"__ayes": a, "__noes": n, "__absent": s})
+    res = staged.withColumn(out, rule_predictor(block_col, (F.col("__ayes"), F.col("__noes"), F.col("__absent"))))
+    return res.drop("__ayes", "__noes", "__absent")
+
+
 def infer(df: DataFrame, prompt_col: str, predictor: Callable[[pd.Series], pd.Series] | None = None,
           out: str = "pred", block_col: str | None = None) -> DataFrame:
     """Apply a predictor to prompts in Arrow batches. ``predictor`` maps a
     pandas Series of prompts to a Series of strings (e.g. a model wrapper);
     without one the built-in rule predictor runs on ``block_col``."""
     if predictor is None:
-        return df.withColumn(out, rule_predictor(block_col or prompt_col))
+        return with_rule_prediction(df, block_col or prompt_col, out)
     udf = F.pandas_udf(predictor, T.StringType())
     return df.withColumn(out, udf(F.col(prompt_col)))
 

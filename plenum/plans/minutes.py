@@ -429,7 +429,7 @@ def _with_damaged_pred(df: DataFrame, out: str = "pred") -> DataFrame:
     a third cut short (invalid JSON), a third with a broken list. The raw
     prediction is staged in its own column (referenced by every branch), so
     it is computed once per block."""
-    staged = df.withColumn("__raw", R.rule_predictor("block"))
+    staged = R.with_rule_prediction(df, "block", "__raw")
     return staged.withColumn(out, _damaged_pred(F.col("__raw"), F.col("o_orderkey"), F.col("pos"))).drop("__raw")
 
 
