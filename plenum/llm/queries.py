@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import table
-from . import chunk_dedup, decontaminate, piece_table, toxicity, weighted_minhash
+from . import chunk_dedup, decontaminate, language_id, piece_table, reshard, toxicity, weighted_minhash
 from .common import id_crc
 from .registry import query
 
@@ -78,3 +78,18 @@ def op7_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op8_piece_table(spark: SparkSession, sf: str) -> DataFrame:
     """SentencePiece ids and their decoding through tables of distinct words."""
     return piece_table.encode_documents(table(spark, sf, "documents"), piece_table.read_model(model_path()), keep_ids=False)
+
+
+@query("op2_byte_cnn")
+def op2_byte_cnn(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every whole text; held-out ids are not trained on."""
+    docs = table(spark, sf, "documents")
+    held = F.pmod(id_crc(F.col("doc_id")), F.lit(3)) == 1
+    return language_id.predict(docs, language_id.fit(docs)).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_flow_reshard")
+def op5_flow_reshard(spark: SparkSession, sf: str) -> DataFrame:
+    """From 16 shards by source (one of them hot) to 24 of equal bytes."""
+    docs = table(spark, sf, "documents")
+    return reshard.reshard(docs, F.xxhash64(F.coalesce("source", F.lit(""))), 16, 24)
