@@ -8,16 +8,23 @@ the tuple of their states; a clause that ends in a matched state yields a *path*
 raises an insult or threat, negation and reported speech lower it. A document's
 evidence is the weighted sum over its matched clauses, not over isolated words.
 
-Word weights and the two constants that turn evidence into a probability are
+The insult transducer also reads *learned patterns*, word beginnings that in
+labelled rows occur (once, or two or three times) in toxic documents and nearly
+no others. They are found by covering: of the toxic documents that the grammar
+does not explain yet, the purest pattern in most of them is taken, until none
+explains enough more. So other languages than the lexicon's are learned.
+
+Pattern weights and the two constants that turn evidence into a probability are
 learned from labels; a document without a matched clause gets the base rate.
-Fitting keeps counts for lexicon words only and a bounded sample of labelled
-rows (``MAX_LABELLED``); scoring reads every whole text in one pass and needs
-no shuffle.
+Fitting looks at a bounded sample of labelled rows (``MAX_LABELLED``, the
+smallest hashes of the id); scoring reads every whole text in one pass and
+needs no shuffle.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, id_crc, map_in_place, slices, split_words, text_bytes
+from .common import id_and_text, id_crc, map_in_place, materialise, slices, split_words, text_bytes
 
 # FIXED VALUES: the lexicon.
 INSULTS = ("idiot", "idiots", "moron", "morons", "scum", "trash", "garbage", "pathetic", "worthless", "stupid",
@@ -44,18 +51,23 @@ REPORTS = ("said", "says", "wrote", "writes", "claimed", "claims", "called", "qu
            "alleged", "testified", "posted", "replied")
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
-CLASSES: dict[bytes, int] = {w.encode(): c for c, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS),
-                                                         (INSULT, INSULTS), (THREAT, THREATS)) for w in ws}
+WORD_CLASSES: dict[bytes, int] = {w.encode(): c for c, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS))
+                                  for w in ws}
 LEXICON: tuple[bytes, ...] = tuple(w.encode() for w in INSULTS + THREATS)
-TRIGGERS: dict[bytes, int] = {w: i for i, w in enumerate(LEXICON)}
 
 #: How far (in words) a negation reaches forward, and the longest clause read at once.
 NEGATION_REACH, CLAUSE_WORDS = 2, 40
 #: A path's factor on the word's weight.
 FACTORS = {"plain": 1.0, "target": 1.5}
 NEGATED, REPORTED = 0.35, 0.5
-#: Bound on the labelled rows used to fit the final two constants.
-MAX_LABELLED = 50_000
+#: Bound on the labelled rows that fitting looks at.
+MAX_LABELLED = 20_000
+#: A learned pattern: so many characters of a word's beginning, at least so many times in a
+#: text; in at most this share as many other documents as toxic ones; each pattern explains
+#: MIN_SUPPORT more toxic documents and MIN_SHARE of those the lexicon leaves unexplained.
+PATTERN_CHARS, REPEATS, IMPURITY, MIN_SUPPORT, MIN_SHARE = range(3, 8), (1, 2, 3), 0.1, 6, 0.02
+#: Candidates of the covering (the best supported ones); words a task remembers.
+MAX_CANDIDATES, MEMO_WORDS = 50_000, 400_000
 
 _CLAUSE = re.compile(rb"[.,;:!?()\n\r\"]+")
 
@@ -100,53 +112,86 @@ def compose() -> dict[tuple[int, ...], tuple[tuple[int, ...], ...]]:
 MACHINE = compose()
 
 
-def match_clause(words: list[bytes]) -> list[tuple[int, float]]:
-    """Matches of one clause: (lexicon word, path factor). An insult always
-    matches; a threat matches when a target follows it. A later word of the
-    same clause may still add the target, so factors are settled at its end."""
-    state = (0,) * len(STEPS)
-    found: list[tuple[int, int, bool, bool]] = []  # word, class, negated, reported
-    threats_with_target = 0
-    for w in words:
-        c = CLASSES.get(w, OTHER)
-        negated = state[3] > 0
-        state = MACHINE[state][c]
-        if c in (INSULT, THREAT):
-            found.append((TRIGGERS[w], c, negated, bool(state[4])))
-        threats_with_target = max(threats_with_target, state[1])
-    out = []
-    for word, c, negated, reported in found:
-        if c == THREAT and threats_with_target < 2:
-            continue
-        factor = FACTORS["target" if state[2] else "plain"]
-        out.append((word, factor * (NEGATED if negated else 1.0) * (REPORTED if reported else 1.0)))
-    return out
-
-
-def match_text(text: bytes) -> list[tuple[int, float]]:
-    """Matches of a whole text. Texts without a trigger word are left at once;
-    clauses end at punctuation, line ends and after CLAUSE_WORDS words."""
-    words = split_words(text)
-    if TRIGGERS.keys().isdisjoint(words):
-        return []
-    out = []
-    for clause in _CLAUSE.split(text):
-        ws = split_words(clause)
-        for a in range(0, len(ws), CLAUSE_WORDS):
-            part = ws[a:a + CLAUSE_WORDS]
-            if not TRIGGERS.keys().isdisjoint(part):
-                out += match_clause(part)
-    return out
+class Grammar(dict):
+    """Word -> class * 2**20 + pattern number, worked out once a word and task.
+    Patterns are the lexicon's words and then the learned word beginnings."""
+
+    def __init__(self, learned: tuple[tuple[bytes, int], ...] = ()):
+        super().__init__()
+        self.learned = tuple(learned)  # (word beginning, least number of occurrences)
+        self.exact = {w: i for i, w in enumerate(LEXICON)}
+        self.begins = {w: len(LEXICON) + i for i, (w, _) in enumerate(self.learned)}
+        self.least = [1] * len(LEXICON) + [k for _, k in self.learned]
+        self.lengths = tuple(sorted({len(w) for w, _ in self.learned}, reverse=True))
+
+    def __reduce__(self):
+        return Grammar, (self.learned,)
+
+    @property
+    def size(self) -> int:
+        return len(LEXICON) + len(self.learned)
+
+    def __missing__(self, word: bytes) -> int:
+        i = self.exact.get(word)
+        if i is None:
+            i = next((k for n in self.lengths if (k := self.begins.get(word[:n])) is not None), None)
+        c = WORD_CLASSES.get(word, OTHER) if i is None else (THREAT if len(INSULTS) <= i < len(LEXICON) else INSULT)
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        self[word] = code = (c << 20) + (i or 0)
+        return code
+
+    def triggers(self, words: list[bytes]) -> bool:
+        """Does any word open a match? (INSULT and THREAT are classes 1 and 2.)"""
+        return any([1 << 20 <= self[w] < 3 << 20 for w in words])
+
+    def match_clause(self, words: list[bytes]) -> list[tuple[int, float]]:
+        """Matches of one clause: (pattern, path factor). An insult always
+        matches; a threat matches when a target follows it. A later word of the
+        same clause may still add the target, so factors are settled at its end."""
+        state = (0,) * len(STEPS)
+        found: list[tuple[int, int, bool, bool]] = []  # pattern, class, negated, reported
+        threats_with_target = 0
+        for w in words:
+            c, pattern = divmod(self[w], 1 << 20)
+            negated = state[3] > 0
+            state = MACHINE[state][c]
+            if c in (INSULT, THREAT):
+                found.append((pattern, c, negated, bool(state[4])))
+            threats_with_target = max(threats_with_target, state[1])
+        out = []
+        for pattern, c, negated, reported in found:
+            if c == THREAT and threats_with_target < 2:
+                continue
+            factor = FACTORS["target" if state[2] else "plain"]
+            out.append((pattern, factor * (NEGATED if negated else 1.0) * (REPORTED if reported else 1.0)))
+        return out
+
+    def match_text(self, text: bytes) -> list[tuple[int, float]]:
+        """Matches of a whole text. Texts without a trigger word are left at once;
+        clauses end at punctuation, line ends and after CLAUSE_WORDS words."""
+        if not self.triggers(split_words(text)):
+            return []
+        out = []
+        for clause in _CLAUSE.split(text):
+            ws = split_words(clause)
+            for a in range(0, len(ws), CLAUSE_WORDS):
+                part = ws[a:a + CLAUSE_WORDS]
+                if self.triggers(part):
+                    out += self.match_clause(part)
+        times = Counter(p for p, _ in out)
+        return [m for m in out if times[m[0]] >= self.least[m[0]]]
 
 
 @dataclass
 class ToxicityModel:
-    word_weights: list[float]
+    grammar: Grammar
+    weights: list[float]
     bias: float
     slope: float
 
     def evidence(self, matches: list[tuple[int, float]]) -> float:
-        return sum(self.word_weights[w] * f for w, f in matches)
+        return sum(self.weights[w] * f for w, f in matches)
 
     def score(self, matches: list[tuple[int, float]]) -> float:
         """Probability of label 1; evidence counts on a logarithmic scale."""
@@ -154,45 +199,114 @@ class ToxicityModel:
         return float(1.0 / (1.0 + np.exp(-z)))
 
 
-def _matches(docs: DataFrame) -> DataFrame:
-    """(doc_id, words, factors) of every document, in one pass."""
+def beginnings(text: bytes) -> set[str]:
+    """Candidate patterns of a text: ``k`` and a word beginning that occurs k times or more."""
+    words = Counter(split_words(text))
+    times: Counter[str] = Counter()
+    for w, n in words.items():
+        word = w.decode("utf-8", "ignore")
+        for chars in PATTERN_CHARS:
+            if len(word) >= chars:
+                times[word[:chars]] += n
+    return {f"{k}{p}" for p, n in times.items() for k in REPEATS if n >= k}
+
+
+def _count(rows: DataFrame, label: int, grammar: Grammar, wanted: frozenset[str] | None, lists: bool = False) -> DataFrame:
+    """(pattern, n): in how many documents of a label each beginning occurs; of
+    toxic ones only those that the grammar does not explain. With ``lists``:
+    (doc_id, patterns) instead."""
+    shared = rows.sparkSession.sparkContext.broadcast((grammar, wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, only = shared.value
+        seen: Counter[str] = Counter()
         for batch in batches:
-            got = [match_text(t) for t in text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([[w for w, _ in g] for g in got], pa.list_(pa.int32())),
-                pa.array([[f for _, f in g] for g in got], pa.list_(pa.float64()))], ["doc_id", "words", "factors"])
-
-    return id_and_text(docs).mapInArrow(run, "doc_id long, words array<int>, factors array<double>")
+            docs, found = [], []
+            for doc, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
+                if label and known.triggers(split_words(text)):
+                    continue
+                got = beginnings(text)
+                got = got if only is None else got & only
+                if lists:
+                    docs.append(doc)
+                    found.append(sorted(got))
+                else:
+                    seen.update(got)
+            if lists:
+                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(found, pa.list_(pa.string()))],
+                                                 ["doc_id", "patterns"])
+        if not lists:
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
+                                             ["pattern", "n"])
+
+    part = rows.where(F.col("toxic") == label).select("doc_id", "text")
+    if lists:
+        return part.mapInArrow(run, "doc_id long, patterns array<string>")
+    return part.mapInArrow(run, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+
+
+def learn_patterns(rows: DataFrame) -> tuple[tuple[bytes, int], ...]:
+    """Cover the unexplained toxic rows of the (bounded) sample by pure patterns."""
+    grammar = Grammar()
+    toxic = {r.pattern: r.n for r in _count(rows, 1, grammar, None).where(F.col("n") >= MIN_SUPPORT)
+             .orderBy(F.desc("n"), "pattern").limit(MAX_CANDIDATES).collect()}
+    if not toxic:
+        return ()
+    clean = {r.pattern: r.n for r in _count(rows, 0, grammar, frozenset(toxic)).collect()}
+    pure = frozenset(p for p, n in toxic.items() if clean.get(p, 0) <= IMPURITY * n)
+    left = {r.doc_id: set(r.patterns) for r in _count(rows, 1, grammar, pure, lists=True).collect()}
+    enough = max(MIN_SUPPORT, MIN_SHARE * len(left))
+    chosen: dict[str, int] = {}
+    while left:
+        cover = Counter(p for ps in left.values() for p in ps)
+        if not cover:
+            break
+        best = max(cover, key=lambda p: (cover[p] - clean.get(p, 0) / IMPURITY / 2, len(p), p))
+        if cover[best] < enough:
+            break
+        chosen[best[1:]] = min(int(best[0]), chosen.get(best[1:], 9))
+        left = {d: ps for d, ps in left.items() if best not in ps}
+    return tuple((p.encode(), k) for p, k in chosen.items())
 
 
-def fit(docs: DataFrame, labels: DataFrame, hold_out: bool = True, max_labelled: int = MAX_LABELLED) -> ToxicityModel:
-    """Learn word weights and the two constants from ``labels.toxic``; with
-    ``hold_out``, rows whose crc32(doc_id) mod 5 is 0 are not looked at. Null
-    labels and labels of unknown documents are ignored; without any label the
-    prior weights hold."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, hold_out: bool = True, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """(doc_id, text, toxic) of a bounded sample of labelled documents, the same
+    in every run. The sample's ids are broadcast: ``max_labelled`` rows at most."""
     lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")) \
         .where("doc_id IS NOT NULL AND toxic IN (0, 1)")
     if hold_out:
         lab = lab.where(F.pmod(id_crc(F.col("doc_id")), F.lit(5)) != 0)
-    lab = lab.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    # A bounded sample, the same in every run: the rows with the smallest hashes.
-    sample = lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    rows = _matches(docs).join(sample, "doc_id").groupBy("doc_id").agg(
-        F.max("toxic").alias("toxic"), F.max(F.struct("words", "factors")).alias("m")).collect()
-    hits, toxic = np.zeros(len(LEXICON)), np.zeros(len(LEXICON))
-    for r in rows:
-        for w in set(r.m.words):
+    sample = lab.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    return id_and_text(docs).join(F.broadcast(sample), "doc_id")
+
+
+def fit(docs: DataFrame, labels: DataFrame, hold_out: bool = True, max_labelled: int = MAX_LABELLED) -> ToxicityModel:
+    """Learn patterns, their weights and the two constants from ``labels.toxic``;
+    with ``hold_out``, rows whose crc32(doc_id) mod 5 is 0 are not looked at. Null
+    labels and labels of unknown documents are ignored; without any label the
+    prior weights hold."""
+    rows = materialise(labelled_sample(docs, labels, hold_out, max_labelled))
+    grammar = Grammar(learn_patterns(rows))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [grammar.match_text(t) for t in text_bytes(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(1), pa.array([[w for w, _ in g] for g in got], pa.list_(pa.int32())),
+                pa.array([[f for _, f in g] for g in got], pa.list_(pa.float64()))], ["toxic", "patterns", "factors"])
+
+    got = rows.select("text", "toxic").mapInArrow(run, "toxic int, patterns array<int>, factors array<double>").collect()
+    hits, toxic = np.zeros(grammar.size), np.zeros(grammar.size)
+    for r in got:
+        for w in set(r.patterns):
             hits[w] += 1
             toxic[w] += r.toxic
-    # Rate of label 1 among the documents with the word, drawn towards 0.9 where few are known.
+    # Rate of label 1 among the documents with the pattern, drawn towards 0.9 where few are known.
     rate = (toxic + 0.9 * 4) / (hits + 4)
-    weights = np.clip(np.log(rate / (1 - rate)), 0.25, 4.0)
-    model = ToxicityModel(weights.tolist(), -3.0, 4.0)
-    if rows:
-        x = np.log1p([model.evidence(list(zip(r.m.words, r.m.factors, strict=True))) for r in rows])
-        model.bias, model.slope = _logistic(x, np.array([r.toxic for r in rows], float))
+    model = ToxicityModel(grammar, np.clip(np.log(rate / (1 - rate)), 0.25, 4.0).tolist(), -3.0, 4.0)
+    if got:
+        x = np.log1p([model.evidence(list(zip(r.patterns, r.factors, strict=True))) for r in got])
+        model.bias, model.slope = _logistic(x, np.array([r.toxic for r in got], float))
     return model
 
 
@@ -219,7 +333,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [match_text(t) for t in text_bytes(batch.column(1))]
+            got = [model.grammar.match_text(t) for t in text_bytes(batch.column(1))]
             score = [model.score(g) for g in got]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(score, pa.float64()), pa.array([int(s >= 0.5) for s in score], pa.int32()),
@@ -236,7 +350,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, at):
-                keep = [model.score(match_text(t)) < 0.5 for t in text_bytes(part.column(at))]
+                keep = [model.score(model.grammar.match_text(t)) < 0.5 for t in text_bytes(part.column(at))]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
     return map_in_place(docs, run)
