@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import table
-from . import chunk_dedup, decontaminate, language_id, piece_table, reshard, toxicity, weighted_minhash
+from . import (chunk_dedup, cotrain, decontaminate, language_id, piece_table, quote_threads, reshard, toxicity,
+               weighted_minhash)
 from .common import id_crc
 from .registry import query
 
@@ -93,3 +94,55 @@ def op5_flow_reshard(spark: SparkSession, sf: str) -> DataFrame:
     """From 16 shards by source (one of them hot) to 24 of equal bytes."""
     docs = table(spark, sf, "documents")
     return reshard.reshard(docs, F.xxhash64(F.coalesce("source", F.lit(""))), 16, 24)
+
+
+@query("op9_cotrain_quality")
+def op9_cotrain_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of every document from two co-trained views; labels of held-out
+    ids (crc32 mod 5 is 0) are not looked at."""
+    docs = table(spark, sf, "documents")
+    model = cotrain.fit(docs, table(spark, sf, "labels"))
+    return cotrain.score_documents(docs, model).select(
+        "doc_id", (F.pmod(id_crc(F.col("doc_id")), F.lit(5)) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "content_score", "metadata_score")
+
+
+@query("op10_quote_threads", sql=r"""
+WITH RECURSIVE c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+p AS (SELECT conv_id, turn, max(text) AS t FROM c GROUP BY ALL),
+m AS (SELECT c.conv_id, c.turn, c.role, concat(
+        CASE WHEN c.turn % 2 = 0 AND p2.t IS NOT NULL THEN '> > ' || replace(p2.t, chr(10), chr(10) || '> > ') || chr(10) ELSE '' END,
+        CASE WHEN p1.t IS NOT NULL THEN '> ' || replace(p1.t, chr(10), chr(10) || '> ') || chr(10) ELSE '' END, c.text) AS text
+      FROM c LEFT JOIN p p1 ON p1.conv_id = c.conv_id AND p1.turn = c.turn - 1
+             LEFT JOIN p p2 ON p2.conv_id = c.conv_id AND p2.turn = c.turn - 2),
+l AS (SELECT row_number() OVER () AS rid, * FROM m),
+ln AS (SELECT rid, conv_id, turn, i, len(regexp_replace(regexp_extract(s, '^((?:[ \t]*>)*)[ \t]?(.*)$', 1), '[^>]', '', 'g')) AS level,
+              regexp_extract(s, '^((?:[ \t]*>)*)[ \t]?(.*)$', 2) AS content
+       FROM (SELECT rid, conv_id, turn, unnest(string_split(text, chr(10))) AS s,
+                    generate_subscripts(string_split(text, chr(10)), 1) AS i FROM l)),
+g AS (SELECT *, i - row_number() OVER (PARTITION BY rid, level ORDER BY i) AS grp FROM ln),
+pas AS (SELECT rid, conv_id, turn, level, min(i) AS i, string_agg(content, chr(10) ORDER BY i) AS content
+        FROM g GROUP BY rid, conv_id, turn, level, grp),
+body AS (SELECT l.rid, trim(regexp_replace(coalesce(string_agg(content, chr(10) ORDER BY i), ''), '^\s+|\s+$', '', 'g')) AS content
+         FROM l LEFT JOIN pas ON pas.rid = l.rid AND level = 0 GROUP BY l.rid),
+own AS (SELECT conv_id, turn, content FROM pas WHERE level = 0
+        UNION ALL SELECT conv_id, turn, content FROM l JOIN body USING (rid)),
+o AS (SELECT conv_id, trim(regexp_replace(lower(content), '[^\p{L}\p{N}]+', ' ', 'g')) AS h, min(turn) AS origin
+      FROM own GROUP BY ALL),
+q AS (SELECT rid, conv_id, turn, level, trim(regexp_replace(lower(content), '[^\p{L}\p{N}]+', ' ', 'g')) AS h
+      FROM pas WHERE level > 0 AND trim(regexp_replace(lower(content), '[^\p{L}\p{N}]+', ' ', 'g')) <> ''),
+k AS (SELECT DISTINCT conv_id, turn, level, h, origin FROM q JOIN o USING (conv_id, h) WHERE origin < turn),
+par AS (SELECT conv_id, turn, max_by(origin, [-level, origin]) AS reply_to, count(*) AS n_linked FROM k GROUP BY ALL),
+up AS (SELECT conv_id, turn, reply_to AS anc, 1 AS depth FROM par
+       UNION ALL SELECT up.conv_id, up.turn, par.reply_to, depth + 1 FROM up JOIN par ON par.conv_id = up.conv_id AND par.turn = up.anc),
+tops AS (SELECT conv_id, turn, max(depth) AS depth, min(anc) AS root FROM up GROUP BY ALL),
+nq AS (SELECT rid, count(*) AS n FROM q GROUP BY rid)
+SELECT l.conv_id, l.turn, l.role, reply_to, coalesce(root, l.turn) AS root_turn,
+       CAST(coalesce(depth, 0) AS BIGINT) AS reply_depth, CAST(coalesce(nq.n, 0) AS BIGINT) AS n_quotes,
+       CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked, body.content
+FROM l JOIN body USING (rid) LEFT JOIN par ON par.conv_id = l.conv_id AND par.turn = l.turn
+       LEFT JOIN tops ON tops.conv_id = l.conv_id AND tops.turn = l.turn LEFT JOIN nq ON nq.rid = l.rid
+""")
+def op10_quote_threads(spark: SparkSession, sf: str) -> DataFrame:
+    """The conversations as quoted mail, threaded back by their quotations."""
+    return quote_threads.thread(quote_threads.mail_replies(table(spark, sf, "conversations")))
