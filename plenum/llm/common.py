@@ -90,3 +90,12 @@ def map_in_place(docs: DataFrame, run, added: dict[str, str] | None = None) -> D
     schema = T.StructType([*plain.schema.fields, *[T.StructField(f"a{i}", T._parse_datatype_string(kind))
                                                    for i, kind in enumerate(added.values())]])
     return plain.mapInArrow(run, schema).toDF(*names, *added)
+
+
+def release_shuffles(spark) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished steps now instead
+    of at the driver's next garbage collection."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import table
-from . import (chunk_dedup, cotrain, decontaminate, language_id, piece_table, quote_threads, reshard, toxicity,
+from . import (chunk_dedup, cotrain, decontaminate, language_id, phrase_dedup, piece_table, quote_threads, reshard, toxicity,
                weighted_minhash)
 from .common import id_crc
 from .registry import query
@@ -146,3 +146,9 @@ FROM l JOIN body USING (rid) LEFT JOIN par ON par.conv_id = l.conv_id AND par.tu
 def op10_quote_threads(spark: SparkSession, sf: str) -> DataFrame:
     """The conversations as quoted mail, threaded back by their quotations."""
     return quote_threads.thread(quote_threads.mail_replies(table(spark, sf, "conversations")))
+
+
+@query("op6_phrase_dedup")
+def op6_phrase_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """50-byte strings that start in a smaller document, by prefix-free phrases."""
+    return phrase_dedup.remove_repeats(table(spark, sf, "documents"), keep_bytes=False)
