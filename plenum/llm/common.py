@@ -96,6 +96,9 @@ def release_shuffles(spark) -> None:
     """Let Spark's cleaner drop the shuffle files of finished steps now instead
     of at the driver's next garbage collection."""
     import gc
+    import time
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # Python lets go of its handles, then the JVM of the plans, then the cleaner acts
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

@@ -9,7 +9,9 @@ trigger at the same place in their phrases, and comparing phrases with the
 same trigger misses nothing.
 
 Dictionary. Phrases are known by (trigger hash, phrase hash). A trigger seen in
-one document only needs no further look. Where all occurrences of a trigger are
+one document only needs no further look: a first pass finds the triggers of
+several documents, a second one leaves out the rest (by a filter of fixed size
+before the shuffle, exactly by a join after it). Where all occurrences of a trigger are
 one phrase, the first document keeps it and later ones lose it whole: highly
 repetitive text ends here, without its bytes having moved. Only the distinct
 phrases of triggers with several phrases are fetched, each once, from its first
@@ -45,6 +47,8 @@ LENGTH, GRAM = 50, 20
 #: A trigger with more distinct phrases than this is split by string.
 MANY_PHRASES = 20_000
 _CHUNK = 4 << 20
+#: The filter of shared triggers: 2**FILTER_LOG blocks of FILTER_BLOCK bytes.
+FILTER_LOG, FILTER_BLOCK = 9, 1 << 16
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 
 
@@ -123,21 +127,66 @@ def _ids(docs: DataFrame) -> DataFrame:
     return d.select("doc", part.alias("part"), "text")
 
 
-def _phrases(d: DataFrame, length: int, gram: int, placed: bool) -> DataFrame:
-    """(doc, trigger, phrase) of every phrase, or with ``placed`` also (part, lo, n)."""
+def _phrases(d: DataFrame, length: int, gram: int, known=None) -> DataFrame:
+    """(doc, trigger) of every phrase; with ``known``, the broadcast filter of
+    the shared triggers, (doc, trigger, phrase, part, lo, n) of those it lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, 2):
                 doc, trigger, phrase, lo, n = parse(list(text_bytes(piece.column(2))), length, gram)
+                if known is not None:
+                    some = maybe_shared(trigger, known.value)
+                    doc, trigger, phrase, lo, n = doc[some], trigger[some], phrase[some], lo[some], n[some]
                 take = pa.array(doc)
-                cols = {"doc": piece.column(0).take(take), "trigger": pa.array(trigger.view(np.int64)),
-                        "phrase": pa.array(phrase.view(np.int64))}
-                if placed:
-                    cols |= {"part": piece.column(1).take(take), "lo": pa.array(lo, pa.int64()), "n": pa.array(n, pa.int64())}
+                cols = {"doc": piece.column(0).take(take), "trigger": pa.array(trigger.view(np.int64))}
+                if known is not None:
+                    cols |= {"phrase": pa.array(phrase.view(np.int64)), "part": piece.column(1).take(take),
+                             "lo": pa.array(lo, pa.int64()), "n": pa.array(n, pa.int64())}
                 yield pa.RecordBatch.from_pydict(cols)
 
-    return d.mapInArrow(run, "doc long, trigger long, phrase long" + (", part long, lo long, n long" if placed else ""))
+    return d.mapInArrow(run, "doc long, trigger long" + (", phrase long, part long, lo long, n long" if known is not None else ""))
+
+
+def _bits(trigger: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Block of a trigger in the filter and its two bits there."""
+    mask = np.uint64(8 * FILTER_BLOCK - 1)
+    return ((trigger >> np.uint64(64 - FILTER_LOG)).astype(np.int64), ((trigger >> np.uint64(20)) & mask).astype(np.int64),
+            ((mix(trigger) >> np.uint64(9)) & mask).astype(np.int64))
+
+
+def maybe_shared(trigger: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which triggers the filter lets through: all shared ones and few others."""
+    block, x, y = _bits(trigger)
+    base = block * FILTER_BLOCK
+    hit = (table[base + (x >> 3)] >> (x & 7).astype(np.uint8)) & (table[base + (y >> 3)] >> (y & 7).astype(np.uint8))
+    return np.flatnonzero(hit & 1)
+
+
+def shared_filter(shared: DataFrame) -> np.ndarray:
+    """A blocked Bloom filter of the shared triggers. Its size is fixed
+    (``2**FILTER_LOG`` blocks of ``FILTER_BLOCK`` bytes); with more triggers it
+    lets more through, and the join after it stays exact."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[int, np.ndarray] = {}
+        for batch in batches:
+            block, x, y = _bits(batch.column(0).to_numpy().view(np.uint64))
+            order = np.argsort(block, kind="stable")
+            which, start = np.unique(block[order], return_index=True)
+            for k, part in zip(which.tolist(), np.split(order, start[1:]), strict=True):
+                bits = own.setdefault(k, np.zeros(FILTER_BLOCK, np.uint8))
+                for z in (x[part], y[part]):
+                    np.bitwise_or.at(bits, z >> 3, np.uint8(1) << (z & 7).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int64()),
+                                          pa.array([v.tobytes() for v in own.values()], pa.binary())], ["block", "bits"])
+
+    block = F.shiftrightunsigned("trigger", 64 - FILTER_LOG)
+    rows = shared.select("trigger").repartition(block).mapInArrow(run, "block long, bits binary").collect()
+    table = np.zeros((1 << FILTER_LOG, FILTER_BLOCK), np.uint8)
+    for r in rows:
+        table[r.block] |= np.frombuffer(bytes(r.bits), np.uint8)
+    return table.reshape(-1)
 
 
 def _fetch(d: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -235,13 +284,15 @@ def repeated_strings(d: DataFrame, length: int = LENGTH, gram: int = GRAM, many:
     """(doc, part, lo, n): runs of ``n`` strings from byte ``lo`` on that also
     start in a smaller document (the same string may be in several runs)."""
     spark = d.sparkSession
-    shared = materialise(_phrases(d, length, gram, False).groupBy("trigger").agg(
-        F.min("doc").alias("first"), F.max("doc").alias("last"), F.min("phrase").alias("p0"), F.max("phrase").alias("p1"))
-        .where("first < last").select("trigger", "first", (F.col("p0") == F.col("p1")).alias("one")))
+    shared = materialise(_phrases(d, length, gram).groupBy("trigger").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+                         .where("first < last").select("trigger", "first"))
     release_shuffles(spark)
-    seen = materialise(_phrases(d, length, gram, True).join(shared, "trigger").where("NOT (one AND doc = first)"))
+    known = spark.sparkContext.broadcast(shared_filter(shared))  # a fixed size, whatever the corpus
+    seen = materialise(_phrases(d, length, gram, known).join(shared, "trigger"))
     release_shuffles(spark)
-    whole = seen.where("one").select("doc", "part", "lo", "n")
+    kinds = materialise(seen.groupBy("trigger").agg((F.min("phrase") == F.max("phrase")).alias("one")))
+    seen = seen.join(kinds, "trigger")
+    whole = seen.where("one AND doc > first").select("doc", "part", "lo", "n")
     mixed = seen.where("NOT one").select("trigger", "phrase", "doc", "part", "lo", "n")
     origin = materialise(mixed.groupBy("trigger", "phrase").agg(F.min("doc").alias("origin")))
     placed = materialise(mixed.join(origin, ["trigger", "phrase"]))
