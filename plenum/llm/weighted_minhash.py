@@ -16,9 +16,10 @@ shingle's hash; equal values go to the smaller hash.
 
 Candidates and classes. Texts with the same words are collapsed first. Members
 of a bucket (equal band) are compared with its smallest member; the verified
-links form components. Then pairs of a bucket whose components still differ are
-compared too, so a bucket of copies costs one comparison a member and no link
-inside a bucket is lost. Every link has a verified weighted Jaccard similarity
+links form components. Members outside a bucket's largest component are then
+compared with a few members of it, and last come all pairs of a bucket whose
+components still differ: a bucket of copies costs a few comparisons a member,
+and no link inside a bucket is lost. Every link has a verified weighted Jaccard similarity
 of at least ``THRESHOLD``; a class is a connected component of links.
 """
 
@@ -35,11 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import id_and_text, materialise, slices, split_words, text_bytes
+from .common import id_and_text, materialise, release_shuffles, slices, split_words, text_bytes
 from .shingles import mix, shingle_sets
 
 SIZE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 14, 5
+#: After the stars, what is left is compared with so many members of its bucket's largest component.
+PIVOTS = 16
 SPAN = 0.5
 DF_BITS = 20
 DF_CELLS = 1 << DF_BITS
@@ -227,7 +230,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     list, by alternating large-star and small-star steps. Every round is a few
     aggregations and equi-joins, checkpointed; rounds end when nothing changes."""
     e = cut_lineage(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct())
-    before = None
+    before, rounds = None, 0
     while True:
         # large star: neighbours larger than u join u's smallest neighbour
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -238,10 +241,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v") \
             .unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         e = cut_lineage(small)
-        state = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if state == before:
-            return e.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label")
-        before = state
+        rounds += 1
+        if rounds >= 2:  # the first rounds always change something worth another one
+            state = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+            if state == before:
+                return cut_lineage(e.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label"))
+            before = state
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
@@ -275,7 +280,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
 
 def _likely(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
     """Candidate pairs whose samples agree often enough. Samples agree in about
-    the similarity's share; more than five deviations below the threshold there
+    the similarity's share; more than four deviations below the threshold there
     is no link to find, and no text needs to be fetched."""
     x = sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sketch_a"))
     y = sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sketch_b"))
@@ -288,7 +293,7 @@ def _agreement(x: str, y: str):
 
 
 def _least(threshold: float, samples: int = BANDS * ROWS) -> float:
-    return max(0.0, threshold - 5.0 * math.sqrt(threshold * (1 - threshold) / samples))
+    return max(0.0, threshold - 4.0 * math.sqrt(threshold * (1 - threshold) / samples))
 
 
 def rep_classes(docs: DataFrame, reps: DataFrame, threshold: float, bands: int, rows: int, size: int,
@@ -309,28 +314,50 @@ def rep_classes(docs: DataFrame, reps: DataFrame, threshold: float, bands: int,
     # The texts of bucket members, fetched once for all comparisons (one row an id).
     texts = materialise(every.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")))
     sketches = cut_lineage(banded.join(wanted, "doc_id", "left_semi").groupBy("doc_id")
-                           .agg(F.max("sketch").alias("sketch")))
+                           .agg(F.max(F.struct("sketch", "keys")).alias("s")).select("doc_id", "s.sketch", "s.keys"))
     star = members.where("doc_id != pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
     star = cut_lineage(_likely(star, sketches, threshold))
     links = cut_lineage(_verify(star, texts, factors, threshold, size).select("a", "b"))
-    labels = cut_lineage(components(links))
-    # What the stars left apart: pairs of a bucket in different components.
-    labelled = cut_lineage(members.join(labels, members.doc_id == labels.node, "left")
-                           .select("key", "doc_id", F.coalesce("label", "doc_id").alias("label")))
-    split = cut_lineage(labelled.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
-                        .where("l0 != l1").select("key"))
-    open_members = cut_lineage(labelled.join(split, "key").join(sketches, "doc_id")
-                               .select("key", "doc_id", "label", "sketch"))
-    x = open_members.select("key", *[F.col(c).alias(f"{c}_x") for c in ("doc_id", "label", "sketch")])
-    y = open_members.select("key", *[F.col(c).alias(f"{c}_y") for c in ("doc_id", "label", "sketch")])
+    labels = components(links)
+    apart = _apart(members, labels)
+    pairs = _likely(_to_pivots(apart).join(star, ["a", "b"], "left_anti"), sketches, threshold)
+    links = cut_lineage(links.unionByName(_verify(pairs, texts, factors, threshold, size).select("a", "b")))
+    labels = components(links)
+    release_shuffles(spark)
+    # What is still apart in a bucket: all pairs of different components, each in the first bucket it shares.
+    apart = cut_lineage(_apart(members, labels).join(sketches, "doc_id").select("key", "doc_id", "label", "sketch", "keys"))
+    x = apart.select("key", *[F.col(c).alias(f"{c}_x") for c in ("doc_id", "label", "sketch", "keys")])
+    y = apart.select("key", *[F.col(c).alias(f"{c}_y") for c in ("doc_id", "label", "sketch", "keys")])
+    same = F.zip_with("keys_x", "keys_y", lambda p, q: p == q)
+    first = F.element_at("keys_x", F.array_position(same, True).cast("int")) == F.col("key")
     near = _agreement("sketch_x", "sketch_y") >= _least(threshold, bands * rows) * F.size("sketch_x")
-    rest = x.join(y, "key").where((F.col("label_x") < F.col("label_y")) & near) \
+    rest = x.join(y, "key").where((F.col("label_x") < F.col("label_y")) & first & near) \
         .select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct()
     rest = cut_lineage(rest.join(star, ["a", "b"], "left_anti"))
     if rest.isEmpty():
         return labels
     more = _verify(rest, texts, factors, threshold, size).select("a", "b")
-    return cut_lineage(components(links.unionByName(more)))
+    return components(links.unionByName(more))
+
+
+def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, doc_id, label) of the buckets whose members are not all in one component."""
+    labelled = cut_lineage(members.join(labels, members.doc_id == labels.node, "left")
+                           .select("key", "doc_id", F.coalesce("label", "doc_id").alias("label")))
+    split = labelled.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 != l1").select("key")
+    return cut_lineage(labelled.join(split, "key").select("key", "doc_id", "label"))
+
+
+def _to_pivots(apart: DataFrame) -> DataFrame:
+    """Candidate pairs of each member outside its bucket's largest component with
+    a few members of that component: PIVOTS at most a bucket, picked by hash."""
+    sizes = apart.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("m")).select("key", F.col("m.label").alias("main"))
+    placed = cut_lineage(apart.join(main, "key"))
+    pivots = cut_lineage(placed.where("label = main").groupBy("key", F.pmod(F.xxhash64("doc_id"), F.lit(PIVOTS)).alias("pick"))
+                         .agg(F.min("doc_id").alias("p")).select("key", "p"))
+    pairs = placed.where("label != main").select("key", "doc_id").join(pivots, "key")
+    return pairs.select(F.least("p", "doc_id").alias("a"), F.greatest("p", "doc_id").alias("b")).distinct()
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
