@@ -168,7 +168,7 @@ def first_char(c) -> Column:
 def sub_first(c, pattern: str, replacement: str) -> Column:
     """Replace the first occurrence of ``pattern`` (a literal char or
     simple class) — anchored so only the first match changes."""
-    return F.regexp_replace(_c(c), f"^(.*?){pattern}", f"$1{replacement}")
+    return F.regexp_replace(_c(c), f"(?s)^(.*?){pattern}", f"$1{replacement}")
 
 
 def concat_key(*cols) -> Column:

@@ -81,7 +81,7 @@ def salvage_fields(pred, keys: Sequence[str] = P.REQUIRED_KEYS, list_sep: str =
     fields = []
     for k in keys:
         lst = F.regexp_extract(_c(pred), rf'(?i)"{k}"\s*:\s*(\[[^\]]*?\])', 1)
-        parsed = F.from_json(lst, "array<string>")
+        parsed = F.from_json(lst, "array<string>", {"allowSingleQuotes": "false"})
         scal = F.regexp_extract(_c(pred), rf'(?i)"{k}"\s*:\s*"([^"]*?)"', 1)
         # no scalar match and an empty scalar both give '' — one regex suffices
         v = (F.when(lst != "", F.coalesce(F.array_join(parsed, list_sep), F.lit("")))

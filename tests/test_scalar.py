@@ -142,3 +142,8 @@ def test_map_values(spark):
     r = df.select(X.map_values("s", {"AL": "alabama"}),
                   X.map_values("s", {"AL": "alabama", "AK": "alaska"}, default=None, normalise=True)).collect()
     assert [tuple(x) for x in r] == [("alabama", "alabama"), ("zz", None), (" ak ", "alaska")]
+
+
+def test_sub_first_crosses_lines(spark):
+    df = spark.createDataFrame([("a\nb-c-d",), ("x-y",), (None,)], "s string")
+    assert [r[0] for r in df.select(X.sub_first("s", "-", "+")).collect()] == ["a\nb+c-d", "x+y", None]
