@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .common import materialise
 
 # Marks at the start of a line, each followed by blanks; the rest of the line is its content.
 MARKS = r"^((?:[ \t]*>)*)[ \t]?(.*)$"
@@ -94,16 +95,21 @@ def thread(messages: DataFrame) -> DataFrame:
 
 def _depths(parent: DataFrame) -> DataFrame:
     """(conv_id, turn, root, depth) of every replying message. Each round doubles
-    the distance a pointer has gone; a pointer ends at a turn that replies to none."""
-    at = parent.select("conv_id", "turn", F.col("reply_to").alias("root"), F.lit(1).cast("long").alias("depth"))
+    the distance a pointer has gone; a pointer ends at a turn that replies to
+    none, and only pointers that have not ended go on."""
+    every = active = parent.select("conv_id", "turn", F.col("reply_to").alias("root"), F.lit(1).cast("long").alias("depth"))
+    ended = None
     while True:
-        step = at.select("conv_id", F.col("turn").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
-        at = cut_lineage(at.join(step, ["conv_id", "root"], "left").select(
+        step = every.select("conv_id", F.col("turn").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
+        now = materialise(active.join(step, ["conv_id", "root"], "left").select(
             "conv_id", "turn", F.coalesce("next", "root").alias("root"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("moved")))
-        if at.where("moved").isEmpty():
-            return at.select("conv_id", "turn", "root", "depth")
-        at = at.drop("moved")
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("on")))
+        stop = now.where("NOT on").drop("on")
+        ended = stop if ended is None else ended.unionByName(stop)
+        active = now.where("on").drop("on")
+        if active.isEmpty():
+            return ended
+        every = ended.unionByName(active)
 
 
 def mail_replies(conversations: DataFrame) -> DataFrame:
