@@ -17,9 +17,10 @@ shingle's hash; equal values go to the smaller hash.
 Candidates and classes. Texts with the same words are collapsed first. Members
 of a bucket (equal band) are compared with its smallest member; the verified
 links form components. Members outside a bucket's largest component are then
-compared with a few members of it, and last come all pairs of a bucket whose
-components still differ: a bucket of copies costs a few comparisons a member,
-and no link inside a bucket is lost. Every link has a verified weighted Jaccard similarity
+compared with a few members of it. Last come the pairs of a bucket whose
+components still differ, without those that cannot reach the threshold because
+too much of their weight lies on shingles of one text alone: a bucket of copies
+costs a few comparisons a member, and no link inside a bucket is lost. Every link has a verified weighted Jaccard similarity
 of at least ``THRESHOLD``; a class is a connected component of links.
 """
 
@@ -43,6 +44,8 @@ SIZE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 14, 5
 #: After the stars, what is left is compared with so many members of its bucket's largest component.
 PIVOTS = 16
+#: Room for rounding in the bounds on a similarity.
+SLACK = 1e-6
 SPAN = 0.5
 DF_BITS = 20
 DF_CELLS = 1 << DF_BITS
@@ -324,14 +327,23 @@ def rep_classes(docs: DataFrame, reps: DataFrame, threshold: float, bands: int,
     links = cut_lineage(links.unionByName(_verify(pairs, texts, factors, threshold, size).select("a", "b")))
     labels = components(links)
     release_shuffles(spark)
-    # What is still apart in a bucket: all pairs of different components, each in the first bucket it shares.
-    apart = cut_lineage(_apart(members, labels).join(sketches, "doc_id").select("key", "doc_id", "label", "sketch", "keys"))
-    x = apart.select("key", *[F.col(c).alias(f"{c}_x") for c in ("doc_id", "label", "sketch", "keys")])
-    y = apart.select("key", *[F.col(c).alias(f"{c}_y") for c in ("doc_id", "label", "sketch", "keys")])
+    # What is still apart in a bucket: pairs of different components, each in the first bucket it shares, where the
+    # shingles that occur in more than one of these texts leave room for a link.
+    apart = _apart(members, labels)
+    left = cut_lineage(apart.select("doc_id").distinct())
+    room = cut_lineage(_shared_mass(texts.join(left, "doc_id", "left_semi"), factors, size)
+                       .where(F.col("shared") >= (threshold - SLACK) * F.col("mass")))
+    apart = _split_buckets(cut_lineage(apart.join(room, "doc_id").select("key", "doc_id", "label", "mass", "shared")))
+    carried = ("doc_id", "label", "mass", "shared", "sketch", "keys")
+    apart = cut_lineage(apart.join(sketches, "doc_id").select("key", *carried))
+    x = apart.select("key", *[F.col(c).alias(f"{c}_x") for c in carried])
+    y = apart.select("key", *[F.col(c).alias(f"{c}_y") for c in carried])
+    common = F.least("shared_x", "shared_y")
+    roomy = common * (1 + threshold) >= (threshold - SLACK) * (F.col("mass_x") + F.col("mass_y"))
     same = F.zip_with("keys_x", "keys_y", lambda p, q: p == q)
     first = F.element_at("keys_x", F.array_position(same, True).cast("int")) == F.col("key")
     near = _agreement("sketch_x", "sketch_y") >= _least(threshold, bands * rows) * F.size("sketch_x")
-    rest = x.join(y, "key").where((F.col("label_x") < F.col("label_y")) & first & near) \
+    rest = x.join(y, "key").where((F.col("label_x") < F.col("label_y")) & roomy & first & near) \
         .select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct()
     rest = cut_lineage(rest.join(star, ["a", "b"], "left_anti"))
     if rest.isEmpty():
@@ -344,8 +356,41 @@ def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, doc_id, label) of the buckets whose members are not all in one component."""
     labelled = cut_lineage(members.join(labels, members.doc_id == labels.node, "left")
                            .select("key", "doc_id", F.coalesce("label", "doc_id").alias("label")))
+    return _split_buckets(labelled)
+
+
+def _split_buckets(labelled: DataFrame) -> DataFrame:
+    """The rows of the buckets that hold more than one label."""
     split = labelled.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 != l1").select("key")
-    return cut_lineage(labelled.join(split, "key").select("key", "doc_id", "label"))
+    return cut_lineage(labelled.join(split, "key").select(*labelled.columns))
+
+
+def _shared_mass(texts: DataFrame, factors, size: int) -> DataFrame:
+    """(doc_id, mass, shared): the weight of a text's shingles, and of those that
+    another of the texts has too. Two texts have at most the smaller ``shared``
+    in common, which bounds their similarity from above."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                s, w, start = weighted_sets(list(text_bytes(part.column(1))), factors.value, size)
+                ids = part.column(0).to_numpy(zero_copy_only=False)
+                lens, w = np.diff(start), w.astype(np.float64)
+                some = np.flatnonzero(lens)
+                if not len(some):
+                    continue
+                whole = np.add.reduceat(w, start[some])  # a row for the whole text, under its own id
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate([np.repeat(ids, lens), ids[some]])),
+                    pa.array(np.concatenate([s.view(np.int64), ids[some]])), pa.array(np.concatenate([w, whole])),
+                    pa.array(np.arange(len(s) + len(some)) >= len(s))], ["doc_id", "shingle", "weight", "whole"])
+
+    rows = texts.mapInArrow(run, "doc_id long, shingle long, weight double, whole boolean")
+    own = rows.groupBy("whole", "shingle").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("other"),
+                                               F.max("weight").alias("weight")).where("doc_id = other")
+    sums = own.groupBy("doc_id").agg(F.sum(F.when(F.col("whole"), F.col("weight"))).alias("mass"),
+                                     F.sum(F.when(~F.col("whole"), F.col("weight")).otherwise(0.0)).alias("alone"))
+    return sums.select("doc_id", "mass", (F.col("mass") - F.col("alone")).alias("shared"))
 
 
 def _to_pivots(apart: DataFrame) -> DataFrame:
