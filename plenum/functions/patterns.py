@@ -8,30 +8,29 @@ the same text also runs on RE2 (DuckDB) for the oracle.
 """
 
 # --- FIXED VALUES: meeting header fields ---------------------------------
-WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday"]
-MONTHS = ["January", "February", "March", "April", "May", "June", "July",
-          "August", "September", "October", "November", "December"]
 DAY_RE = r"(?i)\b(Monday|Tuesday|Wednesday|Thursday|Friday)\b"
 DATE_RE = (r"(?i)\b((?:January|February|March|April|May|June|July|August|"
-           r"September|October|November|December)\s+\d{1,2},\s+\d{4})\b")
+           r"September|October|November|December)[\s\p{Z}]+\d{1,2},[\s\p{Z}]+\d{4})\b")
 MEET_TYPE_RE = r"(?i)(Regular|Special|Joint) Meeting"
 PRESENT_RE = r"(?is)PRESENT:\s*(.+?)(?:\n|$)"
 ABSENT_RE = r"(?is)ABSENT:\s*(.+?)(?:\n|$)"
 STAFF_RE = r"(?is)STAFF IN ATTENDANCE:\s*(.+?)(?:\n|$)"
 LOCATION_WORDS = ["ROOM", "HALL", "BUILDING"]
 HEADER_LINES = 20
-ANCHOR_RE = r"^\d+_\d{1,2}_\d{2}$"
+# a named anchor without href, either quote, any case, other attributes
+NAMED_ANCHOR_RE = (r"""(?i)<a\s(?:(?!href\s*=)[^>])*?\bname\s*=\s*["'](\d+_\d{1,2}_\d{2})["']"""
+                   r"""(?:(?!href\s*=)[^>])*>(?:\s*</a>)?""")
 # weekday, optional comma, month-name date (inference-time meeting date)
-HEADER_DATE_RE = (r"(?i)(Monday|Tuesday|Wednesday|Thursday|Friday),?\s*"
+HEADER_DATE_RE = (r"(?i)(Monday|Tuesday|Wednesday|Thursday|Friday),?[\s\p{Z}]*"
                   r"((?:January|February|March|April|May|June|July|August|"
-                  r"September|October|November|December)\s+\d{1,2},\s+\d{4})")
+                  r"September|October|November|December)[\s\p{Z}]+\d{1,2},[\s\p{Z}]+\d{4})")
 
 # --- FIXED VALUES: block boundaries ---------------------------------------
 # case header at line start: 2- or 4-digit year, dot, >=3 digits, suffix,
 # then a dash, a colon or whitespace.
 CASE_HEADER_RE = (r"(?m)^[ \t]*(?:\d{2}|\d{4})\.\d{3,}(?:[A-Z0-9/]+)?"
-                  r"(?:\s*[–-]\s*|\s*:\s*|\s+)")
-AGENDA_ITEM_RE = r"(?m)^\s*\d+\.\s"
+                  r"(?:[\s\p{Z}]*[–-][\s\p{Z}]*|[\s\p{Z}]*:[\s\p{Z}]*|[\s\p{Z}]+)")
+AGENDA_ITEM_RE = r"(?m)^\s*\d+\.[\s\p{Z}]"
 CASE_CODE_RE = r"\b((?:\d{2}|\d{4})\.\d{3,}(?:[A-Z0-9/]+)?)\b"
 PROJECT_START = "<<Project Start>>"
 PROJECT_END = "<<Project End>>"
@@ -41,11 +40,11 @@ MISSING_CASE = "<missing case_number>"
 
 # --- FIXED VALUES: modern item parser --------------------------------------
 ITEM_HEADER_RE = r"(?m)^(\d{1,2}[a-zA-Z]?\.)\s+(\d{4}-\d{6,}[A-Z]*)"
-ITEM_LINE_RE = r"^(\d{1,2})[a-zA-Z]?\.\s+(\d{4}-\d{6,}[A-Z]*)\s+\((.*?)\)"
 ADDRESS_RE = r"(\d+ [A-Z\s]+(STREET|AVENUE|BOULEVARD|PLACE|ROAD|DRIVE))"
 ACTION_RE = r"ACTION:\s+([^\n]+)"
 AYES_RE = r"AYES:\s+([^\n]+)"
 NAYS_RE = r"NAYS:\s+([^\n]+)"
+BLOCK_ABSENT_RE = r"ABSENT:\s+([^\n]+)"
 MOTION_RE = r"(MOTION|RESOLUTION):\s+(\d+)"
 SPEAKERS_RE = r"(?s)SPEAKERS:(.*?)(?:ACTION:|AYES:|NAYS:|RESOLUTION:|MOTION:|$)"
 SPEAKER_LINE_RE = r"[+=-][^\n]*"

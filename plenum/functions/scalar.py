@@ -71,8 +71,10 @@ def to_year(c) -> Column:
 
 
 def parse_long_date(c) -> Column:
-    """X8b: 'October 14, 2004' -> date; NULL when it does not parse."""
-    return F.to_date(F.try_to_timestamp(_c(c), F.lit("MMMM d, yyyy")))
+    """X8b: 'October 14, 2004' -> date; NULL when it does not parse. Runs of
+    blanks (no-break ones too) count as one."""
+    plain = F.regexp_replace(_c(c), r"[\s\p{Z}]+", " ")
+    return F.to_date(F.try_to_timestamp(plain, F.lit("MMMM d, yyyy")))
 
 
 def date_slug(d) -> Column:
@@ -83,9 +85,9 @@ def date_slug(d) -> Column:
 def parse_weekday_date(c) -> Column:
     """X10: 'Thursday, October 14, 2004' -> date. The weekday is dropped first
     (Spark cannot parse full weekday names); a date without the comma after the
-    day gives NULL rather than an error."""
-    m = F.regexp_extract(_c(c), P.HEADER_DATE_RE, 2)
-    return F.when(m != "", parse_long_date(m))
+    weekday or the day gives NULL rather than an error."""
+    found = F.regexp_extract(_c(c), P.HEADER_DATE_RE, 0)
+    return F.when(found.rlike(r"^[A-Za-z]+,[\s\p{Z}]"), parse_long_date(F.regexp_extract(_c(c), P.HEADER_DATE_RE, 2)))
 
 
 def expand_year(yy) -> Column:
@@ -248,7 +250,7 @@ def _remove_dot_segments(path: Column) -> Column:
     segs = F.split(path, "/")
     # Fold left: keep a stack as an array; '..' pops, '.' is skipped.
     folded = F.aggregate(
-        F.slice(segs, 2, 1 << 20),
+        F.slice(segs, F.lit(2), F.size(segs)),
         F.array().cast("array<string>"),
         lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
         .when(s == ".", acc)

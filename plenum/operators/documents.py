@@ -31,10 +31,15 @@ def _c(c) -> Column:
 
 
 # ---------------------------------------------------------------- splitting
+def _unmarked(text: Column) -> Column:
+    """The text without the control characters that mark boundaries."""
+    return F.translate(text, SENTINEL + "\u0002", "")
+
+
 def pieces_after(text, boundary_re: str) -> Column:
     """Pieces between successive matches of ``boundary_re`` (text before the
     first match dropped), stripped, empty pieces removed."""
-    marked = F.regexp_replace(_c(text), boundary_re, SENTINEL + "$0")
+    marked = F.regexp_replace(_unmarked(_c(text)), boundary_re, SENTINEL + "$0")
     parts = F.slice(F.split(marked, SENTINEL), 2, 1 << 30)
     return F.filter(F.transform(parts, lambda p: X.strip(p)), lambda p: p != "")
 
@@ -74,7 +79,7 @@ def with_blocks(df: DataFrame, text: str = "text", blocks: str = "blocks", mode:
 
 
 def _raw_pieces(text: Column, boundary_re: str) -> Column:
-    marked = F.regexp_replace(text, boundary_re, SENTINEL + "$0")
+    marked = F.regexp_replace(_unmarked(text), boundary_re, SENTINEL + "$0")
     return F.slice(F.split(marked, SENTINEL), 2, 1 << 30)
 
 
@@ -137,8 +142,7 @@ def split_meetings(html) -> Column:
     """Cut a page at named anchors ``<a name="m_d_yy">``; the part before
     the first anchor is dropped; a page without anchors is one meeting named
     'single'. Returns array<struct<anchor, html>>."""
-    anchor = r'<a\s+name="(\d+_\d{1,2}_\d{2})"\s*>(?:\s*</a>)?'
-    marked = F.regexp_replace(_c(html), anchor, SENTINEL + "$1" + "\u0002")
+    marked = F.regexp_replace(_unmarked(_c(html)), P.NAMED_ANCHOR_RE, SENTINEL + "$1" + "\u0002")
     parts = F.slice(F.split(marked, SENTINEL), 2, 1 << 30)
     meetings = F.transform(parts, lambda p: F.struct(F.substring_index(p, "\u0002", 1).alias("anchor"),
                                                      F.substring_index(p, "\u0002", -1).alias("html")))
@@ -231,7 +235,7 @@ def speakers(block) -> Column:
     their stance: + for, - against, = neutral."""
     lst = F.transform(F.regexp_extract_all(_c(block), F.lit(P.SPEAKER_LINE_RE), 0), lambda s: X.strip(s))
     return F.transform(lst, lambda s: F.struct(
-        X.strip(F.substring(s, 2, 1 << 20)).alias("name"),
+        X.strip(F.substring(s, F.lit(2), F.length(s))).alias("name"),
         F.when(s.startswith("+"), F.lit("for")).when(s.startswith("-"), F.lit("against"))
         .otherwise(F.lit("neutral")).alias("stance")))
 

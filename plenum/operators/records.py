@@ -98,7 +98,7 @@ def build_prompts(block, instruction: str = P.PROMPT_INSTRUCTION) -> Column:
 def _name_lists(b: Column) -> tuple[Column, Column, Column]:
     return (X.split_names(F.regexp_extract(b, P.AYES_RE, 1)),
             X.split_names(F.regexp_extract(b, P.NAYS_RE, 1)),
-            X.split_names(F.regexp_extract(b, r"ABSENT:\s+([^\n]+)", 1)))
+            X.split_names(F.regexp_extract(b, P.BLOCK_ABSENT_RE, 1)))
 
 
 def rule_predictor(block, names: tuple[Column, Column, Column] | None = None) -> Column:
@@ -257,7 +257,7 @@ def project_history(records: DataFrame, case_col: str = "case_number", date_col:
     action at the last meeting (max_by, partially aggregated)."""
     return records.filter(F.col(case_col) != "").groupBy(case_col).agg(
         F.min(date_col).alias("first_meeting"), F.max(date_col).alias("last_meeting"),
-        F.count(F.lit(1)).alias("appearances"), F.max_by(action_col, date_col).alias("last_action"),
+        F.count(F.lit(1)).alias("appearances"), F.max_by(action_col, F.struct(F.coalesce(F.col(date_col), F.lit("")), F.col(action_col))).alias("last_action"),
         F.countDistinct(action_col).cast("bigint").alias("n_actions"))
 
 

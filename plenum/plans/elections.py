@@ -47,11 +47,12 @@ def _ballots(spark: SparkSession, sf: str) -> DataFrame:
 def unit_panel(ballots: DataFrame, keys, party: str, votes: str, parties, names, fold, fold_into: str,
                total_out: str) -> DataFrame:
     """Pivot party votes with sum and zero fill (A10), fold minor parties into
-    one column (A12) and attach the per-unit maximum (A3) — one aggregation,
-    one shuffle."""
+    one column (A12), with every party that is not listed, and attach the
+    per-unit maximum (A3) — one aggregation, one shuffle."""
+    unlisted = F.when(~F.coalesce(F.col(party).isin(*parties), F.lit(False)), F.col(votes))
     wide = A.pivot_sum(ballots, keys, party, votes, parties, names,
-                       extra=[F.max(votes).alias(total_out)])
-    return A.fold_other(wide, [names[p] for p in fold], fold_into)
+                       extra=[F.max(votes).alias(total_out), F.coalesce(F.sum(unlisted), F.lit(0.0)).alias("__unlisted")])
+    return A.fold_other(wide, [*[names[p] for p in fold], "__unlisted"], fold_into)
 
 
 def county_panel(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,7 +79,7 @@ SELECT year, region, nation,
   round(coalesce(sum(votes) FILTER (WHERE party = '2-HIGH'), 0), 2) AS high_qty,
   round(coalesce(sum(votes) FILTER (WHERE party = '3-MEDIUM'), 0)
       + coalesce(sum(votes) FILTER (WHERE party = '4-NOT SPECIFIED'), 0)
-      + coalesce(sum(votes) FILTER (WHERE party = '5-LOW'), 0), 2) AS other_qty,
+      + coalesce(sum(votes) FILTER (WHERE party NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED') OR party IS NULL), 0), 2) AS other_qty,
   round(max(votes), 2) AS max_order_qty
 FROM b GROUP BY year, region, nation
 """)
@@ -101,7 +102,7 @@ panel AS (
     coalesce(sum(votes) FILTER (WHERE party = '2-HIGH'), 0) AS high_qty,
     coalesce(sum(votes) FILTER (WHERE party = '3-MEDIUM'), 0)
       + coalesce(sum(votes) FILTER (WHERE party = '4-NOT SPECIFIED'), 0)
-      + coalesce(sum(votes) FILTER (WHERE party = '5-LOW'), 0) AS other_qty,
+      + coalesce(sum(votes) FILTER (WHERE party NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED') OR party IS NULL), 0) AS other_qty,
     max(votes) AS max_order_qty
   FROM b GROUP BY year, region, nation)
 SELECT year, region, round(sum(urgent_qty), 2) AS urgent_qty, round(sum(high_qty), 2) AS high_qty,

@@ -127,7 +127,7 @@ def zscore_global(spark: SparkSession, sf: str) -> DataFrame:
     return _r(S.zscore(c, ["c_acctbal"]).select("c_custkey", "c_acctbal_z"), ["c_acctbal_z"])
 
 
-KDE_POINTS = 50
+KDE_POINTS = 500
 
 
 @query("coverage_kde", sql=f"""

@@ -2,17 +2,15 @@
 Spark derives from the driver tables.
 
 The driver's ``documents`` contain no case headers, numbered items or
-month-name dates, so the minutes are derived: one document per order, a
-header (weekday date, meeting type, location, attendance) and one project
-block per line item (a handful per order: TPC-H numbers them 1-7; the
-generated data has at most 17 at sf0.1 — an order is a naturally small
-group, so the per-order collect stays bounded). Even orders use case-code headers
-(``98.000011AF – ...``), odd orders numbered items in the modern format
+month-name dates, so the minutes are derived: one document per order row, a
+header (weekday date, meeting type, location, attendance) and one to four
+project blocks, all from that row's own columns. Even orders use case-code
+headers (``98.000011AF – ...``), odd orders numbered items in the modern format
 (``1. 1998-000011AF (STAFF)``), so every splitting mode is exercised. The
 same text is built in SQL for the oracle (``MINUTES_CTE``).
 
-Scale: the per-order grouping shuffles only narrow numeric line columns;
-the text is assembled after the shuffle from the collected structs.
+Scale: the text is a projection of one scan, so there is no group, join or
+shuffle whose size could depend on a key.
 """
 
 from __future__ import annotations
@@ -69,19 +67,21 @@ def _block(x, ok: Column, odate: Column) -> Column:
               .otherwise(F.concat(F.lit("Continued to "), F.date_format(sd, "MMMM"), F.lit(" "),
                                   _s(F.dayofmonth(sd)), F.lit(", "), _s(F.year(sd)))))
     ayes = F.concat_ws(", ", _name(ok + ln), _name(ok + ln + 1), _name(ok + ln + 2))
-    nays = F.when(x["l_discount"] >= 0.05, _name(ok + ln + 3)).otherwise(F.lit("None"))
+    nays = F.when(x["l_discount"] >= 5, _name(ok + ln + 3)).otherwise(F.lit("None"))
+    gone = F.when((ok + ln) % 4 < 2, F.concat(F.lit("\nABSENT: "), _name(ok + ln + 5))).otherwise(F.lit(""))
     even = F.concat(dotted, sep, title, F.lit("\n"), address, F.lit("\nSPEAKERS:\n"), speakers,
-                    F.lit("\nACTION: "), action, F.lit("\nAYES: "), ayes, F.lit("\nNAYS: "), nays)
+                    F.lit("\nACTION: "), action, F.lit("\nAYES: "), ayes, F.lit("\nNAYS: "), nays, gone)
     odd = F.concat(_s(ln), F.lit(". "), _s(yr), F.lit("-"), digits, suffix, F.lit(" ("), F.upper(_name(ok)),
                    F.lit(")\n"), title, F.lit("\n"), address, F.lit("\nSPEAKERS:\n"), speakers,
-                   F.lit("\nACTION:\n"), action, F.lit("\nAYES: "), ayes, F.lit("\nNAYS: "), nays,
+                   F.lit("\nACTION:\n"), action, F.lit("\nAYES: "), ayes, F.lit("\nNAYS: "), nays, gone,
                    F.lit("\nMOTION: "), _s(ok * 10 + ln))
     return F.when(ok % 2 == 0, even).otherwise(odd)
 
 
 def _header(ok: Column, ck: Column, odate: Column, prio: Column, status: Column) -> Column:
     d = odate
-    date_line = F.concat(F.date_format(d, "EEEE"), F.lit(", "), F.date_format(d, "MMMM"), F.lit(" "),
+    date_line = F.concat(F.date_format(d, "EEEE"), F.when(ok % 5 == 0, F.lit(" ")).otherwise(F.lit(", ")),
+                         F.date_format(d, "MMMM"), F.when(ok % 7 == 0, F.lit("\u00a0 ")).otherwise(F.lit(" ")),
                          _s(F.dayofmonth(d)),
                          F.when(prio == "4-NOT SPECIFIED", F.lit(" ")).otherwise(F.lit(", ")), _s(F.year(d)))
     mtype = (F.when(prio == "1-URGENT", F.lit("Special Meeting"))
@@ -96,44 +96,41 @@ def _header(ok: Column, ck: Column, odate: Column, prio: Column, status: Column)
                        F.concat(F.lit("STAFF IN ATTENDANCE: "), staff))
 
 
-_LINE_COLS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount",
-              "l_returnflag", "l_linestatus", "l_shipdate"]
+MAX_BLOCKS = 4
 
 
-PAGE_LINES = 64
+def _line(i, ok: Column, ck: Column, od: Column) -> dict[str, Column]:
+    """The fields of an order's block ``i``, from the order's own columns."""
+    return {"l_linenumber": (F.lit(i) if isinstance(i, int) else i).cast("bigint"), "l_partkey": ck + i, "l_suppkey": ok + 3 * i,
+            "l_quantity": (ok + 7 * i) % 50, "l_discount": (ok + i) % 10,
+            "l_returnflag": F.when((ck + i) % 3 == 0, F.lit("A")).when((ck + i) % 3 == 1, F.lit("R")).otherwise(F.lit("N")),
+            "l_linestatus": F.when((ck + i) % 2 == 0, F.lit("F")).otherwise(F.lit("O")),
+            "l_shipdate": F.date_add(od, 30 * i if isinstance(i, int) else (30 * i).cast("int"))}
 
 
 def minutes(spark: SparkSession, sf: str) -> DataFrame:
-    """Minutes documents: (o_orderkey, page, year, source_file, text), one per
-    order and page of at most ``PAGE_LINES`` items (line numbers 1-64 are
-    page 0, 65-128 page 1, ...). Paging bounds the per-document collect even
-    if one order held a third of all line items; ordinary orders are one page.
-
-    Plan: the narrow numeric line columns are collected per order key (the
-    only shuffle of line items; a handful of small structs per order), then
-    joined to orders, and the text is assembled after the shuffle. Measured
-    alternative: building each block's text before grouping shuffles ~4x the
-    bytes and forces collect_list onto its sort-based fallback — 6x slower at
-    sf0.1. Blocks are ordered by the line fields (line number first), the same
-    tie order the SQL oracle uses."""
-    li = table(spark, sf, "lineitem").select("l_orderkey", *_LINE_COLS)
-    li = li.withColumn("page", F.floor((F.col("l_linenumber") - 1) / PAGE_LINES).cast("bigint"))
-    lines = li.groupBy(F.col("l_orderkey").alias("o_orderkey"), "page").agg(
-        F.sort_array(F.collect_list(F.struct(*_LINE_COLS))).alias("lines"))
+    """Minutes documents: (o_orderkey, year, source_file, text), one per order
+    row; a customer's number decides whether it has one, two, three or four
+    blocks. A projection of the scan: no shuffle."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
-    j = lines.join(o, "o_orderkey")
-    ok, od = F.col("o_orderkey"), F.col("o_orderdate")
-    body = F.array_join(F.transform("lines", lambda x: _block(x, ok, od)), "\n")
-    text = F.concat(_header(ok, F.col("o_custkey"), od, F.col("o_orderpriority"), F.col("o_orderstatus")),
-                    F.lit("\n\n"), body)
-    return j.select("o_orderkey", "page", _s(F.year(od)).alias("year"),
+    ok, ck, od = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
+    blocks = [F.when(ck % MAX_BLOCKS >= i - 1, _block(_line(i, ok, ck, od), ok, od)) for i in range(1, MAX_BLOCKS + 1)]
+    head = _header(ok, ck, od, F.col("o_orderpriority"), F.col("o_orderstatus"))
+    return o.select("o_orderkey", _s(F.year(od)).alias("year"),
                     F.concat(F.lit("minutes_"), _s(ok), F.lit(".txt")).alias("source_file"),
-                    text.alias("text"))
+                    F.concat(head, F.lit("\n\n"), F.concat_ws("\n", *blocks)).alias("text"))
 
 
 MINUTES_CTE = f"""
+order_lines AS (
+  SELECT o_orderkey AS l_orderkey, ln AS l_linenumber, o_custkey + ln AS l_partkey, o_orderkey + 3 * ln AS l_suppkey,
+    (o_orderkey + 7 * ln) % 50 AS l_quantity, (o_orderkey + ln) % 10 AS l_discount,
+    ['A', 'R', 'N'][(o_custkey + ln) % 3 + 1] AS l_returnflag,
+    CASE WHEN (o_custkey + ln) % 2 = 0 THEN 'F' ELSE 'O' END AS l_linestatus,
+    o_orderdate + to_days(CAST(30 * ln AS INTEGER)) AS l_shipdate
+  FROM (SELECT *, unnest(range(1, CAST(o_custkey % 4 + 2 AS BIGINT))) AS ln FROM orders)),
 mlines AS (
-  SELECT l.l_orderkey AS o_orderkey, CAST((l.l_linenumber - 1) // 64 AS BIGINT) AS page, l.l_linenumber AS ln, l.l_partkey AS s1, l.l_suppkey AS s2, l.l_quantity AS s3,
+  SELECT l.l_orderkey AS o_orderkey, l.l_linenumber AS ln, l.l_partkey AS s1, l.l_suppkey AS s2, l.l_quantity AS s3,
     l.l_discount AS s4, l.l_returnflag AS s5, l.l_linestatus AS s6, l.l_shipdate AS s7,
     CASE WHEN o.o_orderkey % 2 = 0 THEN
       (CASE WHEN l.l_linenumber % 2 = 0 THEN CAST(year(o.o_orderdate) AS VARCHAR)
@@ -149,7 +146,8 @@ mlines AS (
            ELSE 'Continued to ' || monthname(l.l_shipdate) || ' ' || CAST(day(l.l_shipdate) AS VARCHAR) || ', ' || CAST(year(l.l_shipdate) AS VARCHAR) END
       || chr(10) || 'AYES: ' || {_SQL_NAMES}[(o.o_orderkey + l.l_linenumber) % 12 + 1] || ', ' || {_SQL_NAMES}[(o.o_orderkey + l.l_linenumber + 1) % 12 + 1]
       || ', ' || {_SQL_NAMES}[(o.o_orderkey + l.l_linenumber + 2) % 12 + 1]
-      || chr(10) || 'NAYS: ' || CASE WHEN l.l_discount >= 0.05 THEN {_SQL_NAMES}[(o.o_orderkey + l.l_linenumber + 3) % 12 + 1] ELSE 'None' END
+      || chr(10) || 'NAYS: ' || CASE WHEN l.l_discount >= 5 THEN {_SQL_NAMES}[(o.o_orderkey + l.l_linenumber + 3) % 12 + 1] ELSE 'None' END
+      || CASE WHEN (o.o_orderkey + l.l_linenumber) % 4 < 2 THEN chr(10) || 'ABSENT: ' || {_SQL_NAMES}[(o.o_orderkey + l.l_linenumber + 5) % 12 + 1] ELSE '' END
     ELSE
       CAST(l.l_linenumber AS VARCHAR) || '. ' || CAST(year(o.o_orderdate) AS VARCHAR) || '-'
       || lpad(CAST(o.o_orderkey * 10 + l.l_linenumber AS VARCHAR), 6, '0') || l.l_returnflag || l.l_linestatus
@@ -163,14 +161,16 @@ mlines AS (
            ELSE 'Continued to ' || monthname(l.l_shipdate) || ' ' || CAST(day(l.l_shipdate) AS VARCHAR) || ', ' || CAST(year(l.l_shipdate) AS VARCHAR) END
       || chr(10) || 'AYES: ' || {_SQL_NAMES}[(o.o_orderkey + l.l_linenumber) % 12 + 1] || ', ' || {_SQL_NAMES}[(o.o_orderkey + l.l_linenumber + 1) % 12 + 1]
       || ', ' || {_SQL_NAMES}[(o.o_orderkey + l.l_linenumber + 2) % 12 + 1]
-      || chr(10) || 'NAYS: ' || CASE WHEN l.l_discount >= 0.05 THEN {_SQL_NAMES}[(o.o_orderkey + l.l_linenumber + 3) % 12 + 1] ELSE 'None' END
+      || chr(10) || 'NAYS: ' || CASE WHEN l.l_discount >= 5 THEN {_SQL_NAMES}[(o.o_orderkey + l.l_linenumber + 3) % 12 + 1] ELSE 'None' END
+      || CASE WHEN (o.o_orderkey + l.l_linenumber) % 4 < 2 THEN chr(10) || 'ABSENT: ' || {_SQL_NAMES}[(o.o_orderkey + l.l_linenumber + 5) % 12 + 1] ELSE '' END
       || chr(10) || 'MOTION: ' || CAST(o.o_orderkey * 10 + l.l_linenumber AS VARCHAR)
     END AS block
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+  FROM order_lines l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 minutes AS (
-  SELECT o.o_orderkey, b.page, CAST(year(o.o_orderdate) AS VARCHAR) AS year,
+  SELECT o.o_orderkey, CAST(year(o.o_orderdate) AS VARCHAR) AS year,
     'minutes_' || CAST(o.o_orderkey AS VARCHAR) || '.txt' AS source_file,
-    dayname(o.o_orderdate) || ', ' || monthname(o.o_orderdate) || ' ' || CAST(day(o.o_orderdate) AS VARCHAR)
+    dayname(o.o_orderdate) || CASE WHEN o.o_orderkey % 5 = 0 THEN ' ' ELSE ', ' END || monthname(o.o_orderdate)
+      || CASE WHEN o.o_orderkey % 7 = 0 THEN chr(160) || ' ' ELSE ' ' END || CAST(day(o.o_orderdate) AS VARCHAR)
       || CASE WHEN o.o_orderpriority = '4-NOT SPECIFIED' THEN ' ' ELSE ', ' END || CAST(year(o.o_orderdate) AS VARCHAR)
     || chr(10) || 'CITY PLANNING COMMISSION' || chr(10)
     || CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Special Meeting' WHEN '2-HIGH' THEN 'Joint Meeting' ELSE 'Regular Meeting' END
@@ -180,8 +180,8 @@ minutes AS (
     || chr(10) || 'ABSENT: ' || CASE WHEN o.o_orderkey % 3 = 0 THEN 'None' ELSE {_SQL_NAMES}[(o.o_custkey + 5) % 12 + 1] END
     || chr(10) || 'STAFF IN ATTENDANCE: ' || {_SQL_NAMES}[(o.o_orderkey + 7) % 12 + 1] || ', ' || {_SQL_NAMES}[(o.o_orderkey + 9) % 12 + 1]
     || chr(10) || chr(10) || b.body AS text
-  FROM orders o JOIN (SELECT o_orderkey, page, string_agg(block, chr(10) ORDER BY ln, s1, s2, s3, s4, s5, s6, s7) AS body
-                     FROM mlines GROUP BY o_orderkey, page) b
+  FROM orders o JOIN (SELECT o_orderkey, string_agg(block, chr(10) ORDER BY ln, s1, s2, s3, s4, s5, s6, s7) AS body
+                     FROM mlines GROUP BY o_orderkey) b
     ON o.o_orderkey = b.o_orderkey)
 """
 
@@ -216,21 +216,21 @@ def blocks_of(docs: DataFrame, keys) -> DataFrame:
 
 BLOCKS_SQL = f"""
 blocks AS (
-  SELECT o_orderkey, page, year, source_file, mode, CAST(pos AS BIGINT) AS pos, blocks[pos] AS block
-  FROM (SELECT o_orderkey, page, year, source_file, {_sql_mode('text')} AS mode, {_sql_blocks('text')} AS blocks FROM minutes) s,
+  SELECT o_orderkey, year, source_file, mode, CAST(pos AS BIGINT) AS pos, blocks[pos] AS block
+  FROM (SELECT o_orderkey, year, source_file, {_sql_mode('text')} AS mode, {_sql_blocks('text')} AS blocks FROM minutes) s,
        range(1, len(blocks) + 1) r(pos))
 """
 
 
 @query("split_blocks", sql=f"""
 WITH {MINUTES_CTE}, {BLOCKS_SQL}
-SELECT o_orderkey, page, mode, pos, block FROM blocks
+SELECT o_orderkey, mode, pos, block FROM blocks
 """)
 def split_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """D6 + W2/W3: minutes -> project blocks (case headers, else numbered
     items, else the whole text) with their ordinal."""
-    b = blocks_of(minutes(spark, sf), ["o_orderkey", "page"])
-    return b.select("o_orderkey", "page", "mode", F.col("pos").cast("bigint").alias("pos"), "block")
+    b = blocks_of(minutes(spark, sf), ["o_orderkey"])
+    return b.select("o_orderkey", "mode", F.col("pos").cast("bigint").alias("pos"), "block")
 
 
 @query("split_documents", sql=f"""
@@ -258,19 +258,19 @@ def _sql_untag(tagged: str) -> str:
 
 @query("tag_untag", sql=f"""
 WITH {MINUTES_CTE},
-t AS (SELECT o_orderkey, page, {_sql_blocks('text')} AS blocks FROM minutes),
-g AS (SELECT o_orderkey, page, blocks, {_sql_tag('blocks')} AS tagged FROM t)
-SELECT o_orderkey, page, CAST(len(blocks) AS BIGINT) AS n_blocks, CAST(length(tagged) AS BIGINT) AS tagged_chars,
+t AS (SELECT o_orderkey, {_sql_blocks('text')} AS blocks FROM minutes),
+g AS (SELECT o_orderkey, blocks, {_sql_tag('blocks')} AS tagged FROM t)
+SELECT o_orderkey, CAST(len(blocks) AS BIGINT) AS n_blocks, CAST(length(tagged) AS BIGINT) AS tagged_chars,
        md5(tagged) AS tagged_md5, {_sql_untag('tagged')} = blocks AS roundtrip
 FROM g
 """)
 def tag_untag(spark: SparkSession, sf: str) -> DataFrame:
     """D7 + D8: blocks wrapped in start/end tags, then extracted again; the
     round trip is the identity on non-blank blocks."""
-    m = D.with_blocks(minutes(spark, sf).select("o_orderkey", "page", "text"), mode=None) \
-        .select("o_orderkey", "page", "blocks")
+    m = D.with_blocks(minutes(spark, sf).select("o_orderkey", "text"), mode=None) \
+        .select("o_orderkey", "blocks")
     g = m.withColumn("tagged", D.tag_blocks("blocks"))
-    return g.select("o_orderkey", "page", F.size("blocks").cast("bigint").alias("n_blocks"),
+    return g.select("o_orderkey", F.size("blocks").cast("bigint").alias("n_blocks"),
                     F.length("tagged").cast("bigint").alias("tagged_chars"), F.md5("tagged").alias("tagged_md5"),
                     (D.untag_blocks("tagged") == F.col("blocks")).alias("roundtrip"))
 
@@ -279,9 +279,19 @@ def _sql_squash(x: str) -> str:
     return f"regexp_replace(regexp_replace({x}, '\\s+', ' ', 'g'), '^\\s+|\\s+$', '', 'g')"
 
 
+def _sql_long_date(x: str) -> str:
+    return f"try_strptime(regexp_replace({x}, '[\\s\\p{{Z}}]+', ' ', 'g'), '%B %d, %Y')"
+
+
+def _sql_weekday_date(x: str) -> str:
+    found = f"regexp_extract({x}, '{P.HEADER_DATE_RE}', 0)"
+    return (f"CASE WHEN regexp_matches({found}, '^[A-Za-z]+,[\\s\\p{{Z}}]') THEN "
+            + _sql_long_date(f"regexp_extract({x}, '{P.HEADER_DATE_RE}', 2)") + " END")
+
+
 @query("meeting_header", sql=f"""
 WITH {MINUTES_CTE},
-h AS (SELECT o_orderkey, page, year, text,
+h AS (SELECT o_orderkey, year, text,
   regexp_extract(text, '{P.DATE_RE}', 1) AS date,
   regexp_extract(text, '{P.DAY_RE}', 1) AS day_of_week,
   regexp_extract(text, '{P.MEET_TYPE_RE}', 1) AS meeting_type,
@@ -290,10 +300,10 @@ h AS (SELECT o_orderkey, page, year, text,
   {_sql_squash(f"regexp_extract(text, '{P.PRESENT_RE}', 1)")} AS present,
   {_sql_squash(f"regexp_extract(text, '{P.ABSENT_RE}', 1)")} AS absent,
   {_sql_squash(f"regexp_extract(text, '{P.STAFF_RE}', 1)")} AS staff,
-  regexp_extract(text, '{P.HEADER_DATE_RE}', 2) AS wd_date
+  {_sql_weekday_date('text')} AS wd_date
   FROM minutes)
-SELECT o_orderkey, page, date, day_of_week, meeting_type, location, present, absent, staff,
-  CAST(CASE WHEN wd_date <> '' THEN CAST(try_strptime(wd_date, '%B %d, %Y') AS DATE) END AS VARCHAR) AS meeting_date,
+SELECT o_orderkey, date, day_of_week, meeting_type, location, present, absent, staff,
+  CAST(CAST(wd_date AS DATE) AS VARCHAR) AS meeting_date,
   coalesce(nullif(replace(replace(replace(date, ',', ''), '/', '-'), ' ', '_'), ''), year || '_minutes_' || CAST(o_orderkey AS VARCHAR)) AS file_key
 FROM h
 """)
@@ -301,64 +311,64 @@ def meeting_header(spark: SparkSession, sf: str) -> DataFrame:
     """D9 + X10 + X17 + X26 + X28: header fields of each minutes document,
     the weekday-prefixed meeting date and the file key."""
     m = minutes(spark, sf)
-    h = m.select("o_orderkey", "page", "year", D.meeting_header("text").alias("h"),
+    h = m.select("o_orderkey", "year", D.meeting_header("text").alias("h"),
                  X.parse_weekday_date("text").cast("string").alias("meeting_date"))
-    return h.select("o_orderkey", "page", "h.*", "meeting_date",
+    return h.select("o_orderkey", "h.*", "meeting_date",
                     X.file_key("h.date", "year", F.lit("minutes"), "o_orderkey").alias("file_key"))
 
 
 @query("date_strings", sql=f"""
 WITH {MINUTES_CTE},
-d AS (SELECT o_orderkey, page, unnest(list_distinct(regexp_extract_all(text, '{P.DATE_RE}', 1))) AS date_text FROM minutes)
-SELECT o_orderkey, page, date_text, lower(strftime(CAST(try_strptime(date_text, '%B %d, %Y') AS DATE), '%B-%d-%Y')) AS slug FROM d
+d AS (SELECT o_orderkey, unnest(list_distinct(regexp_extract_all(text, '{P.DATE_RE}', 1))) AS date_text FROM minutes)
+SELECT o_orderkey, date_text, lower(strftime(CAST({_sql_long_date('date_text')} AS DATE), '%B-%d-%Y')) AS slug FROM d
 """)
 def date_strings(spark: SparkSession, sf: str) -> DataFrame:
     """D5 + X8 + X9: distinct month-name dates per document and their slugs."""
     m = minutes(spark, sf)
-    d = A.explode_nonempty(m, ["o_orderkey", "page"], D.extract_dates("text"), ("date_text",), with_pos=False)
+    d = A.explode_nonempty(m, ["o_orderkey"], D.extract_dates("text"), ("date_text",), with_pos=False)
     return d.withColumn("slug", X.date_slug(X.parse_long_date("date_text")))
 
 
+# The ways in which the pages write a named anchor, one a block.
+ANCHOR_FORMS = [('<a name="', '"></a>'), ("<A NAME='", "'></A>"), ('<a class="z" name="', '">'), ('<a  id="q" name="', '" title="t"></a>')]
+
+
 def _meeting_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Minutes wrapped as HTML pages: each block behind a named anchor
     ``<a name="m_d_yy"></a>`` (month, day, two-digit year of the line's ship
     date); pending orders get no anchors (single-meeting pages)."""
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    sd = F.col("l_shipdate")
-    anchor = F.concat(_s(F.month(sd)), F.lit("_"), _s(F.dayofmonth(sd)), F.lit("_"), F.lpad(_s(F.year(sd) % 100), 2, "0"))
-    piece = F.struct("l_linenumber", F.concat(F.lit('<a name="'), anchor, F.lit('"></a><p>Item '),
-                                              _s(F.col("l_linenumber")), F.lit("</p>")).alias("html"))
-    page = F.floor((F.col("l_linenumber") - 1) / PAGE_LINES).cast("bigint").alias("page")
-    g = li.groupBy(F.col("l_orderkey").alias("o_orderkey"), page).agg(F.sort_array(F.collect_list(piece)).alias("p"))
-    g = g.join(o, "o_orderkey")
-    body = F.array_join(F.transform("p", lambda x: x["html"]), "")
-    body = F.when(F.col("o_orderstatus") == "P", F.regexp_replace(body, r'<a name="[^"]*"></a>', "")).otherwise(body)
-    return g.select("o_orderkey", "page",
-                    F.concat(F.lit("<html><body><p>Preamble</p>"), body, F.lit("</body></html>")).alias("html"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    ok, ck, od = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
+    pieces = []
+    for i, (opened, closed) in enumerate(ANCHOR_FORMS, 1):
+        sd = F.date_add(od, 30 * i)
+        name = F.concat(_s(F.month(sd)), F.lit("_"), _s(F.dayofmonth(sd)), F.lit("_"), F.lpad(_s(F.year(sd) % 100), 2, "0"))
+        mark = F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.concat(F.lit(opened), name, F.lit(closed)))
+        pieces.append(F.when(ck % MAX_BLOCKS >= i - 1, F.concat(mark, F.lit(f"<p>Item {i}</p>"))))
+    return o.select("o_orderkey", F.concat(F.lit("<html><body><p>Preamble</p>"), F.concat_ws("", *pieces),
+                                           F.lit("</body></html>")).alias("html"))
 
 
 @query("split_meetings", sql="""
-WITH pieces AS (
-  SELECT l.l_orderkey AS o_orderkey, CAST((l.l_linenumber - 1) // 64 AS BIGINT) AS page, l.l_linenumber AS ln,
-    '<a name="' || CAST(month(l.l_shipdate) AS VARCHAR) || '_' || CAST(day(l.l_shipdate) AS VARCHAR) || '_'
-      || lpad(CAST(year(l.l_shipdate) % 100 AS VARCHAR), 2, '0') || '"></a><p>Item ' || CAST(l.l_linenumber AS VARCHAR) || '</p>' AS html
-  FROM lineitem l),
+WITH lines AS (SELECT *, unnest(range(1, CAST(o_custkey % 4 + 2 AS BIGINT))) AS ln FROM orders),
+named AS (SELECT *, CAST(month(sd) AS VARCHAR) || '_' || CAST(day(sd) AS VARCHAR) || '_' || lpad(CAST(year(sd) % 100 AS VARCHAR), 2, '0') AS a
+          FROM (SELECT *, o_orderdate + to_days(CAST(30 * ln AS INTEGER)) AS sd FROM lines)),
 pg AS (
-  SELECT p.o_orderkey, p.page, '<html><body><p>Preamble</p>' ||
-    CASE WHEN o.o_orderstatus = 'P' THEN regexp_replace(string_agg(p.html, '' ORDER BY p.ln, p.html), '<a name="[^"]*"></a>', '', 'g')
-         ELSE string_agg(p.html, '' ORDER BY p.ln, p.html) END || '</body></html>' AS html
-  FROM pieces p JOIN orders o ON p.o_orderkey = o.o_orderkey GROUP BY p.o_orderkey, p.page, o.o_orderstatus),
+  SELECT o_orderkey, '<html><body><p>Preamble</p>' || string_agg(
+      CASE WHEN o_orderstatus = 'P' THEN '' WHEN ln = 1 THEN '<a name="' || a || '"></a>' WHEN ln = 2 THEN '<A NAME=' || chr(39) || a || chr(39) || '></A>'
+           WHEN ln = 3 THEN '<a class="z" name="' || a || '">' ELSE '<a  id="q" name="' || a || '" title="t"></a>' END
+      || '<p>Item ' || CAST(ln AS VARCHAR) || '</p>', '' ORDER BY ln) || '</body></html>' AS html
+  FROM named GROUP BY o_orderkey),
 parts AS (
-  SELECT o_orderkey, page, html,
-    string_split(regexp_replace(html, '<a\\s+name="(\\d+_\\d{1,2}_\\d{2})"\\s*>(?:\\s*</a>)?', chr(1) || '\\1' || chr(2), 'g'), chr(1))[2:] AS ps
+  SELECT o_orderkey, html,
+    string_split(regexp_replace(html, '(?i)<a\\s[^>]*?name=["''](\\d+_\\d{1,2}_\\d{2})["''][^>]*>(?:\\s*</a>)?', chr(1) || '\\1' || chr(2), 'g'), chr(1))[2:] AS ps
   FROM pg),
 m AS (
-  SELECT o_orderkey, page, CAST(pos AS BIGINT) AS meeting_pos,
+  SELECT o_orderkey, CAST(pos AS BIGINT) AS meeting_pos,
     CASE WHEN len(ps) > 0 THEN split_part(ps[pos], chr(2), 1) ELSE 'single' END AS anchor,
     CASE WHEN len(ps) > 0 THEN split_part(ps[pos], chr(2), 2) ELSE html END AS mhtml
   FROM parts, range(1, greatest(len(ps), 1) + 1) r(pos))
-SELECT o_orderkey, page, meeting_pos, anchor,
+SELECT o_orderkey, meeting_pos, anchor,
   CASE WHEN regexp_matches(anchor, '(\\d{1,2})_(\\d{1,2})_(\\d{2})')
     THEN lpad(regexp_extract(anchor, '(\\d{1,2})_(\\d{1,2})_(\\d{2})', 1), 2, '0') || '/' ||
          lpad(regexp_extract(anchor, '(\\d{1,2})_(\\d{1,2})_(\\d{2})', 2), 2, '0') || '/19' ||
@@ -370,22 +380,22 @@ def split_meetings(spark: SparkSession, sf: str) -> DataFrame:
     """D4 + X27: pages cut into meetings at named anchors (a page without
     anchors is one meeting named 'single') and the anchor's fallback date."""
     pg = _meeting_pages(spark, sf)
-    m = A.explode_nonempty(pg, ["o_orderkey", "page"], D.split_meetings("html"), ("meeting_pos", "m"))
-    return m.select("o_orderkey", "page", (F.col("meeting_pos") + 1).cast("bigint").alias("meeting_pos"),
+    m = A.explode_nonempty(pg, ["o_orderkey"], D.split_meetings("html"), ("meeting_pos", "m"))
+    return m.select("o_orderkey", (F.col("meeting_pos") + 1).cast("bigint").alias("meeting_pos"),
                     F.col("m.anchor").alias("anchor"), X.anchor_date("m.anchor").alias("anchor_date"),
                     F.length("m.html").cast("bigint").alias("html_chars"))
 
 
 @query("case_codes", sql=f"""
 WITH {MINUTES_CTE}, {BLOCKS_SQL}
-SELECT o_orderkey, page, pos, upper(replace(coalesce(regexp_extract(block, '{P.CASE_CODE_RE}', 1), ''), ' ', '')) AS code,
+SELECT o_orderkey, pos, upper(replace(coalesce(regexp_extract(block, '{P.CASE_CODE_RE}', 1), ''), ' ', '')) AS code,
   upper(replace(coalesce(regexp_extract(block, '\\b((?:\\d{{2}}|\\d{{4}})\\.\\d{{3,}}(?: ?[A-Z0-9/]+)?)\\b', 1), ''), ' ', '')) AS code_lenient
 FROM blocks
 """)
 def case_codes(spark: SparkSession, sf: str) -> DataFrame:
     """D10 + X16: normalised case code of every block (strict and lenient)."""
-    b = blocks_of(minutes(spark, sf), ["o_orderkey", "page"])
-    return b.select("o_orderkey", "page", F.col("pos").cast("bigint").alias("pos"), D.case_code("block").alias("code"),
+    b = blocks_of(minutes(spark, sf), ["o_orderkey"])
+    return b.select("o_orderkey", F.col("pos").cast("bigint").alias("pos"), D.case_code("block").alias("code"),
                     D.case_code("block", lenient=True).alias("code_lenient"))
 
 
@@ -395,16 +405,16 @@ def _sql_initcap(x: str) -> str:
 
 @query("item_records", sql=f"""
 WITH {MINUTES_CTE},
-it AS (SELECT o_orderkey, page, {_sql_pieces('text', P.ITEM_HEADER_RE)} AS items FROM minutes),
-b AS (SELECT o_orderkey, page, CAST(pos AS BIGINT) AS pos, items[pos] AS b FROM it, range(1, len(items) + 1) r(pos)),
-f AS (SELECT o_orderkey, page, pos, b,
+it AS (SELECT o_orderkey, {_sql_pieces('text', P.ITEM_HEADER_RE)} AS items FROM minutes),
+b AS (SELECT o_orderkey, CAST(pos AS BIGINT) AS pos, items[pos] AS b FROM it, range(1, len(items) + 1) r(pos)),
+f AS (SELECT o_orderkey, pos, b,
   list_filter(string_split(b, chr(10))[2:], lambda l: regexp_replace(l, '^\\s+|\\s+$', '', 'g') <> ''
               AND NOT starts_with(regexp_replace(l, '^\\s+|\\s+$', '', 'g'), '(')) AS rest,
   list_transform(regexp_extract_all(regexp_replace(regexp_extract(b, '{P.SPEAKERS_RE}', 1), '^\\s+|\\s+$', '', 'g'), '{P.SPEAKER_LINE_RE}', 0),
                  lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')) AS sp,
   regexp_extract(b, '{P.ADDRESS_RE}', 1) AS addr
   FROM b)
-SELECT o_orderkey, page, pos,
+SELECT o_orderkey, pos,
   regexp_extract(b, '^(\\d{{1,2}})[a-zA-Z]?\\.', 1) AS item_num,
   regexp_extract(b, '^\\d{{1,2}}[a-zA-Z]?\\.\\s+(\\d{{4}}-\\d{{6,}}[A-Z]*)', 1) AS code,
   regexp_extract(b, '^\\d{{1,2}}[a-zA-Z]?\\.\\s+\\d{{4}}-\\d{{6,}}[A-Z]*\\s+\\((.*?)\\)', 1) AS staff,
@@ -419,7 +429,7 @@ FROM f
 """)
 def item_records(spark: SparkSession, sf: str) -> DataFrame:
     """D11 + D12 + X20 + X21: modern-format items parsed into fields."""
-    r = D.item_rows(minutes(spark, sf), ["o_orderkey", "page"])
+    r = D.item_rows(minutes(spark, sf), ["o_orderkey"])
     return r.withColumn("pos", F.col("pos").cast("bigint"))
 
 
@@ -466,10 +476,10 @@ _SQL_RULE_PRED = (
 
 PRED_SQL = f"""
 preds AS (
-  SELECT o_orderkey, page, pos, source_file, block, raw,
+  SELECT o_orderkey, pos, source_file, block, raw,
     CASE (o_orderkey + pos) % 3 WHEN 0 THEN substr(raw, 1, greatest(length(raw) - 40, 1))
          WHEN 1 THEN replace(raw, '"noes": [', '"noes": [,') ELSE raw END AS pred
-  FROM (SELECT o_orderkey, page, pos, source_file, block, {_SQL_RULE_PRED} AS raw FROM blocks) s)
+  FROM (SELECT o_orderkey, pos, source_file, block, {_SQL_RULE_PRED} AS raw FROM blocks) s)
 """
 
 
@@ -481,23 +491,23 @@ def _sql_salvage(pred: str, k: str) -> str:
             f"ELSE '' END")
 
 
-_SALVAGE_KEYS = ["case_number", "project_address", "action", "ayes", "noes", "vote", "lot_number"]
+_SALVAGE_KEYS = P.REQUIRED_KEYS
 
 
 def _predictions(spark: SparkSession, sf: str) -> DataFrame:
     m = minutes(spark, sf)
-    b = blocks_of(m, ["o_orderkey", "page", "source_file"])
+    b = blocks_of(m, ["o_orderkey", "source_file"])
     return _with_damaged_pred(b)
 
 
 @query("salvage_json", sql=f"""
 WITH {MINUTES_CTE}, {BLOCKS_SQL}, {PRED_SQL},
-s AS (SELECT o_orderkey, page, pos, source_file, block, substr(pred, 1, CASE WHEN strpos(pred, '{P.TERMINATOR}') > 0
+s AS (SELECT o_orderkey, pos, source_file, block, substr(pred, 1, CASE WHEN strpos(pred, '{P.TERMINATOR}') > 0
         THEN strpos(pred, '{P.TERMINATOR}') - 1 ELSE length(pred) END) AS p FROM preds)
-SELECT o_orderkey, page, CAST(pos AS BIGINT) AS pos, source_file, substr(split_part(block, chr(10), 1), 1, 120) AS block_header,
+SELECT o_orderkey, CAST(pos AS BIGINT) AS pos, source_file, substr(split_part(block, chr(10), 1), 1, 120) AS block_header,
   {", ".join(_sql_salvage("p", k) + " AS " + k for k in _SALVAGE_KEYS)},
-  CASE WHEN regexp_matches(p, '^\\s*(\\d{{1,4}})\\b') THEN regexp_extract(p, '^\\s*(\\d{{1,4}})\\b', 1)
-       ELSE regexp_replace(p, '^\\s+|\\s+$', '', 'g') END IS NOT NULL AS has_text,
+  CASE WHEN regexp_matches(block, '^\\s*(\\d{{1,4}})\\b') THEN regexp_extract(block, '^\\s*(\\d{{1,4}})\\b', 1)
+       ELSE regexp_replace(block, '^\\s+|\\s+$', '', 'g') END AS block_no,
   json_valid(p) AS valid_json
 FROM s
 """)
@@ -505,25 +515,25 @@ def salvage_json(spark: SparkSession, sf: str) -> DataFrame:
     """D15/D16 + X12/X13/X18/X19: fields salvaged from damaged predictions,
     the block header and strict JSON validity."""
     p = _predictions(spark, sf).withColumn("p", X.before_token("pred"))
-    return p.select("o_orderkey", "page", F.col("pos").cast("bigint").alias("pos"), "source_file",
+    return p.select("o_orderkey", F.col("pos").cast("bigint").alias("pos"), "source_file",
                     X.block_header("block").alias("block_header"),
                     R.salvage_fields("p", _SALVAGE_KEYS).alias("f"),
-                    X.clean_block_no("p").isNotNull().alias("has_text"),
+                    X.clean_block_no("block").alias("block_no"),
                     R.is_valid_json(X.outer_object("p")).alias("valid_json")).select(
-        "o_orderkey", "page", "pos", "source_file", "block_header", "f.*", "has_text", "valid_json")
+        "o_orderkey", "pos", "source_file", "block_header", "f.*", "block_no", "valid_json")
 
 
 @query("valid_json_ratio", sql=f"""
 WITH {MINUTES_CTE}, {BLOCKS_SQL}, {PRED_SQL},
 s AS (SELECT year_of, substr(pred, 1, CASE WHEN strpos(pred, '{P.TERMINATOR}') > 0
         THEN strpos(pred, '{P.TERMINATOR}') - 1 ELSE length(pred) END) AS p
-      FROM (SELECT p.*, b.year AS year_of FROM preds p JOIN blocks b ON p.o_orderkey = b.o_orderkey AND p.page = b.page AND p.pos = b.pos) q)
+      FROM (SELECT p.*, b.year AS year_of FROM preds p JOIN blocks b ON p.o_orderkey = b.o_orderkey AND p.pos = b.pos) q)
 SELECT year_of AS year, round(avg(CASE WHEN json_valid(p) THEN 1.0 ELSE 0.0 END), 6) AS valid_json_ratio FROM s GROUP BY year_of
 """)
 def valid_json_ratio(spark: SparkSession, sf: str) -> DataFrame:
     """Share of predictions that are valid JSON, per year."""
     m = minutes(spark, sf)
-    b = blocks_of(m, ["o_orderkey", "page", "year"])
+    b = blocks_of(m, ["o_orderkey", "year"])
     p = _with_damaged_pred(b).withColumn("pred", X.before_token("pred"))
     p = p.withColumn("ok", R.is_valid_json("pred"))
     return A.valid_ratio(p, "ok", "year").withColumn("valid_json_ratio", F.round("valid_json_ratio", 6))
@@ -531,30 +541,30 @@ def valid_json_ratio(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("prompts_infer", sql=f"""
 WITH {MINUTES_CTE}, {BLOCKS_SQL}
-SELECT o_orderkey, page, CAST(pos AS BIGINT) AS pos, CAST(length('{P.PROMPT_INSTRUCTION.replace(chr(10), "' || chr(10) || '")}' || block) AS BIGINT) AS prompt_chars,
+SELECT o_orderkey, CAST(pos AS BIGINT) AS pos, CAST(length('{P.PROMPT_INSTRUCTION.replace(chr(10), "' || chr(10) || '")}' || block) AS BIGINT) AS prompt_chars,
   {_SQL_RULE_PRED} AS pred
 FROM blocks
 """)
 def prompts_infer(spark: SparkSession, sf: str) -> DataFrame:
     """D13 + D14: prompt = instruction + block; predictions from the default
     (rule) predictor in the batch-inference surface."""
-    b = blocks_of(minutes(spark, sf), ["o_orderkey", "page"])
+    b = blocks_of(minutes(spark, sf), ["o_orderkey"])
     b = b.withColumn("prompt", R.build_prompts("block"))
     r = R.infer(b, "prompt", None, "pred", block_col="block")
-    return r.select("o_orderkey", "page", F.col("pos").cast("bigint").alias("pos"),
+    return r.select("o_orderkey", F.col("pos").cast("bigint").alias("pos"),
                     F.length("prompt").cast("bigint").alias("prompt_chars"), "pred")
 
 
 # ---------------------------------------------------------------- pairs
 def _labels(spark: SparkSession, sf: str) -> DataFrame:
-    """Hand-label stand-ins: one label per fulfilled line item of an even
+    """Hand-label stand-ins: one label per fulfilled block of every
     order with the case number it should pair with; every 5th carries a
     blank case number, every 7th a number with a stray space."""
-    li = table(spark, sf, "lineitem").filter(F.col("l_linestatus") == "F").select(
-        "l_orderkey", "l_linenumber", "l_returnflag")
-    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    j = li.join(o, "l_orderkey")
-    ok, ln = F.col("l_orderkey"), F.col("l_linenumber").cast("bigint")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    ok, ck, ln = F.col("o_orderkey"), F.col("o_custkey"), F.col("ln")
+    j = o.withColumn("ln", F.explode(F.sequence(F.lit(1).cast("bigint"), ck % MAX_BLOCKS + 1)))
+    line = _line(ln, ok, ck, F.col("o_orderdate"))
+    j = j.withColumn("l_returnflag", line["l_returnflag"]).filter(line["l_linestatus"] == "F")
     yr = F.year("o_orderdate")
     code = F.concat(F.when(ln % 2 == 0, _s(yr)).otherwise(F.lpad(_s(yr % 100), 2, "0")), F.lit("."),
                     F.lpad(_s(ok * 10 + ln), 6, "0"), F.col("l_returnflag"), F.lit("F"))
@@ -576,7 +586,7 @@ labels_d AS (
   FROM (SELECT *, (CASE WHEN l_linenumber % 2 = 0 THEN CAST(year(o_orderdate) AS VARCHAR)
                ELSE lpad(CAST(year(o_orderdate) % 100 AS VARCHAR), 2, '0') END)
           || '.' || lpad(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), 6, '0') || l_returnflag || 'F' AS code
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linestatus = 'F') l
+        FROM order_lines JOIN orders ON l_orderkey = o_orderkey WHERE l_linestatus = 'F') l
   JOIN orders o ON l.l_orderkey = o.o_orderkey)
 """
 
@@ -600,7 +610,7 @@ pairs AS (
 
 def _pairs(spark: SparkSession, sf: str, materialize: bool = False):
     m = minutes(spark, sf)
-    blocks = blocks_of(m, ["o_orderkey", "page", "year"])
+    blocks = blocks_of(m, ["o_orderkey", "year"])
     # The summary (one row per (year, code)) feeds the pairs, the block counts
     # and the unmatched codes. With several consumers it is written once to the shared checkpoint
     # folder, so the expensive text stages (minutes -> split -> codes) run once
@@ -686,9 +696,9 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
     vote lists as text), extracted directly with the rule predictor's field
     patterns — one regex per field instead of generating JSON and salvaging
     it back."""
-    m = minutes(spark, sf).select("o_orderkey", "page", "text", "year")
+    m = minutes(spark, sf).select("o_orderkey", "text", "year")
     m = m.withColumn("meeting_date", X.parse_weekday_date("text").cast("string"))
-    b = blocks_of(m, ["o_orderkey", "page", "meeting_date"])
+    b = blocks_of(m, ["o_orderkey", "meeting_date"])
     blk = F.col("block")
     return b.select(
         "o_orderkey", "pos", "meeting_date",
@@ -696,19 +706,20 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
         X.strip(F.regexp_extract(blk, r"[–-]\s*([^\n]*)", 1)).alias("project_address"),
         X.strip(F.regexp_extract(blk, P.ACTION_RE, 1)).alias("action"),
         F.array_join(X.split_names(F.regexp_extract(blk, P.AYES_RE, 1)), ", ").alias("ayes"),
-        F.array_join(X.split_names(F.regexp_extract(blk, P.NAYS_RE, 1)), ", ").alias("noes"))
+        F.array_join(X.split_names(F.regexp_extract(blk, P.NAYS_RE, 1)), ", ").alias("noes"),
+        F.array_join(X.split_names(F.regexp_extract(blk, P.BLOCK_ABSENT_RE, 1)), ", ").alias("absent"))
 
 
 _RECORDS_SQL = f"""
 recs AS (
-  SELECT b.o_orderkey, b.pos, CAST(CASE WHEN regexp_extract(m.text, '{P.HEADER_DATE_RE}', 2) <> ''
-           THEN CAST(try_strptime(regexp_extract(m.text, '{P.HEADER_DATE_RE}', 2), '%B %d, %Y') AS DATE) END AS VARCHAR) AS meeting_date,
+  SELECT b.o_orderkey, b.pos, CAST(CAST({_sql_weekday_date('m.text')} AS DATE) AS VARCHAR) AS meeting_date,
     regexp_extract(b.block, '{P.CASE_CODE_RE}', 1) AS case_number,
     regexp_replace(regexp_extract(b.block, '[–-]\\s*([^\\n]*)', 1), '^\\s+|\\s+$', '', 'g') AS project_address,
     regexp_replace(regexp_extract(b.block, '{P.ACTION_RE}', 1), '^\\s+|\\s+$', '', 'g') AS action,
     array_to_string({_sql_names_list(f"regexp_extract(b.block, '{P.AYES_RE}', 1)")}, ', ') AS ayes,
-    array_to_string({_sql_names_list(f"regexp_extract(b.block, '{P.NAYS_RE}', 1)")}, ', ') AS noes
-  FROM blocks b JOIN minutes m ON b.o_orderkey = m.o_orderkey AND b.page = m.page)
+    array_to_string({_sql_names_list(f"regexp_extract(b.block, '{P.NAYS_RE}', 1)")}, ', ') AS noes,
+    array_to_string({_sql_names_list(f"regexp_extract(b.block, '{P.BLOCK_ABSENT_RE}', 1)")}, ', ') AS absent
+  FROM blocks b JOIN minutes m ON b.o_orderkey = m.o_orderkey)
 """
 
 
@@ -717,22 +728,23 @@ WITH {MINUTES_CTE}, {BLOCKS_SQL}, {_RECORDS_SQL}
 SELECT case_number, meeting_date, trim(member) AS member, vote FROM (
   SELECT case_number, meeting_date, unnest({_sql_names_list('ayes')}) AS member, 'aye' AS vote FROM recs
   UNION ALL
-  SELECT case_number, meeting_date, unnest({_sql_names_list('noes')}) AS member, 'no' AS vote FROM recs)
+  SELECT case_number, meeting_date, unnest({_sql_names_list('noes')}) AS member, 'no' AS vote FROM recs
+  UNION ALL
+  SELECT case_number, meeting_date, unnest({_sql_names_list('absent')}) AS member, 'absent' AS vote FROM recs)
 """)
 def votes_long(spark: SparkSession, sf: str) -> DataFrame:
     """Long vote table (case, meeting date, member, vote)."""
     r = _records(spark, sf)
-    return R.explode_votes(r, "case_number", "meeting_date", {"ayes": "aye", "noes": "no"})
+    return R.explode_votes(r, "case_number", "meeting_date")
 
 
 @query("project_history", sql=f"""
 WITH {MINUTES_CTE}, {BLOCKS_SQL}, {_RECORDS_SQL}
-SELECT project_address, min(meeting_date) AS first_meeting, max(meeting_date) AS last_meeting,
-       count(*) AS appearances, CAST(count(DISTINCT action) AS BIGINT) AS n_actions
-FROM recs WHERE project_address <> '' AND meeting_date IS NOT NULL GROUP BY project_address
+SELECT case_number, min(meeting_date) AS first_meeting, max(meeting_date) AS last_meeting, count(*) AS appearances,
+       max_by(action, [coalesce(meeting_date, ''), action]) AS last_action, CAST(count(DISTINCT action) AS BIGINT) AS n_actions
+FROM recs WHERE case_number <> '' GROUP BY case_number
 """)
 def project_history(spark: SparkSession, sf: str) -> DataFrame:
-    """History of each project across meetings (first/last meeting,
-    appearances, distinct actions)."""
-    r = _records(spark, sf).filter((F.col("project_address") != "") & F.col("meeting_date").isNotNull())
-    return R.project_history(r, "project_address", "meeting_date", "action").drop("last_action")
+    """History of each case across meetings (first/last meeting,
+    appearances, last and distinct actions); undated records count."""
+    return R.project_history(_records(spark, sf), "case_number", "meeting_date", "action")
