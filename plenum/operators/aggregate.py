@@ -140,16 +140,18 @@ def transpose_table(df: DataFrame, key: str, row_values: Sequence[str], name: st
 
 
 def share_where(df: DataFrame, keys, cond: Column, out: str = "share") -> DataFrame:
-    """Share of rows meeting a predicate; a NULL comparison counts as False."""
-    return df.groupBy(*_cols(keys)).agg(F.avg(F.coalesce(cond, F.lit(False)).cast("double")).alias(out))
+    """Share of rows meeting a predicate; a NULL comparison counts as False,
+    rows with a NULL key are dropped."""
+    return df.dropna(subset=_cols(keys)).groupBy(*_cols(keys)).agg(F.avg(F.coalesce(cond, F.lit(False)).cast("double")).alias(out))
 
 
-def longest_per_key(df: DataFrame, keys, text: str, pos: str) -> DataFrame:
+def longest_per_key(df: DataFrame, keys, text: str, pos: str, sized: bool = False) -> DataFrame:
     """The longest text per key; the first (lowest ``pos``) wins ties.
-    ``max_by`` is partially aggregated, so a hot key stays cheap."""
+    ``max_by`` is partially aggregated, so a hot key stays cheap. With ``sized``
+    the column holds the text's length already, and no text travels."""
     keys = _cols(keys)
     others = [c for c in df.columns if c not in keys]
-    order = F.struct(F.length(text), -F.col(pos))
+    order = F.struct(F.col(text) if sized else F.length(text), -F.col(pos))
     packed = F.struct(*[F.col(f"`{c}`") for c in others])
     return df.groupBy(*keys).agg(F.max_by(packed, order).alias("__b")).select(*keys, "__b.*")
 
@@ -190,8 +192,9 @@ def valid_ratio(df: DataFrame, flag: str, keys=None, out: str = "valid_json_rati
 
 
 def rollup_level(df: DataFrame, keys, measures: Sequence[str]) -> DataFrame:
-    """The same measures summed at a coarser level."""
-    return df.groupBy(*_cols(keys)).agg(*[F.sum(m).alias(m) for m in measures])
+    """The same measures summed at a coarser level, by the null rules of A1
+    (NULL keys dropped, an all-NULL sum is 0)."""
+    return group_sum(df, keys, measures)
 
 
 def collapse_units(df: DataFrame, unit_keys, year: str, value: str, mean_out: str | None = None,

@@ -16,13 +16,12 @@ from pyspark.sql import functions as F
 
 
 def zscore(df: DataFrame, cols: Sequence[str], suffix: str = "_z") -> DataFrame:
-    """(x - mean) / sd over the whole frame; sd with ddof=1; NULLs ignored."""
-    out = {}
-    for c in cols:
-        mean = df.select(F.avg(c)).scalar()
-        sd = df.select(F.stddev_samp(c)).scalar()
-        out[c + suffix] = F.try_divide(F.col(c) - mean, sd)
-    return df.withColumns(out)
+    """(x - mean) / sd over the whole frame; sd with ddof=1; NULLs ignored.
+    The moments of all columns are one struct of one aggregate."""
+    moments = df.select(*cols).agg(F.struct(*[f(c).alias(f"{name}{i}") for i, c in enumerate(cols)
+                                              for name, f in (("mean", F.avg), ("sd", F.stddev_samp))])).scalar()
+    return df.withColumns({c + suffix: F.try_divide(F.col(c) - moments[f"mean{i}"], moments[f"sd{i}"])
+                           for i, c in enumerate(cols)})
 
 
 def fit_line(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -34,11 +33,11 @@ def fit_line(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFra
 
 
 def add_fit(df: DataFrame, x: str, y: str, out: str = "fitted") -> DataFrame:
-    """Fitted values on the global line, as scalar subqueries."""
-    pairs = df.select(x, y)
-    slope = pairs.select(F.regr_slope(y, x)).scalar()
-    intercept = pairs.select(F.regr_intercept(y, x)).scalar()
-    return df.withColumn(out, slope * F.col(x) + intercept)
+    """Fitted values on the global line; slope and intercept are one struct
+    of one aggregate."""
+    line = df.select(x, y).agg(F.struct(F.regr_slope(y, x).alias("slope"),
+                                        F.regr_intercept(y, x).alias("intercept"))).scalar()
+    return df.withColumn(out, line["slope"] * F.col(x) + line["intercept"])
 
 
 def grid(lo: Column, hi: Column, n: int) -> Column:
@@ -53,7 +52,8 @@ def kde(df: DataFrame, x: str, group: str, n: int = 500, groups: Sequence | None
     standard deviation and m the group size; density(g) =
     sum(exp(-((g - x)/h)^2 / 2)) / (m * h * sqrt(2 pi)).
 
-    Distributed form: each data row emits its ``n`` kernel terms in the map
+    Distributed form: equal values are counted first; each distinct value emits
+    its ``n`` kernel terms, times its count, in the map
     stage (a generator inside the codegen span), and the terms are partially
     summed by (group, grid index) before the shuffle, so the shuffle carries
     at most tasks x groups x n rows whatever the data size. The per-group
@@ -62,15 +62,15 @@ def kde(df: DataFrame, x: str, group: str, n: int = 500, groups: Sequence | None
     d = df.select(F.col(group).alias("grp"), F.col(x).cast("double").alias("x")).dropna()
     if groups is not None:
         d = d.filter(F.col("grp").isin(list(groups)))
-    lo = d.select(F.min("x")).scalar()
-    hi = d.select(F.max("x")).scalar()
+    ends = d.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    lo, hi = ends["lo"], ends["hi"]
     bw = d.groupBy("grp").agg(F.count(F.lit(1)).alias("m"),
                               (F.stddev_samp("x") * F.pow(F.count(F.lit(1)), F.lit(-0.2))).alias("h"))
     step = (hi - lo) / F.lit(n - 1)
-    terms = (d.join(bw, "grp")
-             .select("grp", "m", "h", "x", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
+    terms = (d.groupBy("grp", "x").agg(F.count(F.lit(1)).alias("c")).join(bw, "grp")
+             .select("grp", "m", "h", "x", "c", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
              .withColumn("g", lo + F.col("i") * step)
-             .withColumn("k", F.exp(-0.5 * F.pow((F.col("g") - F.col("x")) / F.col("h"), 2))))
+             .withColumn("k", F.col("c") * F.exp(-0.5 * F.pow((F.col("g") - F.col("x")) / F.col("h"), 2))))
     dens = terms.groupBy("grp", "i").agg(F.sum("k").alias("s"), F.first("m").alias("m"),
                                          F.first("h").alias("h"), F.first("g").alias("g"))
     return dens.select(F.col("grp").alias(group), F.col("i").cast("bigint").alias("grid_index"),

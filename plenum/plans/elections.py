@@ -8,7 +8,9 @@ Role mapping (documented in the README):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as X
@@ -120,19 +122,26 @@ REPAIR_YEAR = 2000
 
 
 def repair_totals(rows: DataFrame, unit: str, year: str, mode: str, party: str, votes: str, total: str,
-                  target_year: int, total_mode: str) -> DataFrame:
+                  target_year: int, total_mode: str, in_year: Column | None = None) -> DataFrame:
     """Rebuild one year. Units that have a row with the total
     mode keep those rows; for the others the total is the mean per mode summed
     over modes and the votes are summed per party; every other year passes
-    through unchanged."""
-    y = rows.filter(F.col(year) == target_year)
-    existing = y.filter(F.col(mode) == total_mode)
-    missing_units = M.missing_keys(y.select(unit).distinct(), existing.select(unit), unit)
-    manual = M.matching_keys(y, missing_units, unit)
-    tot = A.mean_then_sum(manual, unit, mode, total, total)
-    cand = manual.groupBy(unit, party).agg(F.sum(votes).alias(votes))
-    repaired = M.outer_merge(tot, cand, unit).withColumn(year, F.lit(target_year).cast(rows.schema[year].dataType))
-    return M.replace_slice(rows, F.col(year) == target_year, M.union_outer(existing, repaired))
+    through unchanged. ``in_year`` may say the year in terms of another column
+    (a date range that reaches the scan).
+
+    The rows that stay (other years, and the year's total rows) are one filter.
+    The year is reduced once to a cell per (unit, mode, party); whether a unit
+    has a total row (``any_total``), its total and its votes come from the cells."""
+    in_year = F.col(year) == target_year if in_year is None else in_year
+    is_total = F.coalesce(F.col(mode) == total_mode, F.lit(False))
+    cells = rows.filter(in_year & F.col(unit).isNotNull()).groupBy(unit, mode, party).agg(
+        F.sum(votes).alias("__votes"), F.sum(total).alias("__sum"), F.count(total).alias("__n"))
+    per_mode = cells.groupBy(unit, mode).agg(F.try_divide(F.sum("__sum"), F.sum("__n")).alias("__mean"))
+    tot = per_mode.groupBy(unit).agg(F.sum("__mean").alias(total), F.bool_or(is_total).alias("__any_total"))
+    tot = tot.filter(~F.col("__any_total")).drop("__any_total")
+    cand = cells.groupBy(unit, party).agg(F.sum("__votes").alias(votes))
+    repaired = tot.join(cand, unit).withColumn(year, F.lit(target_year).cast(rows.schema[year].dataType))
+    return M.replace_slice(rows, in_year & ~is_total, repaired)
 
 
 @query("repair_totals", sql=f"""
@@ -156,8 +165,10 @@ def repair_totals_q(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
     rows = li.select(F.col("l_partkey").alias("unit"), F.year("l_shipdate").cast("bigint").alias("year"),
                      F.col("l_linestatus").alias("mode"), F.col("l_returnflag").alias("party"),
-                     F.col("l_quantity").alias("votes"), F.col("l_extendedprice").alias("total"))
-    out = repair_totals(rows, "unit", "year", "mode", "party", "votes", "total", REPAIR_YEAR, "F")
+                     F.col("l_quantity").alias("votes"), F.col("l_extendedprice").alias("total"), "l_shipdate")
+    bound = lambda y: F.lit(f"{y}-01-01").cast("timestamp_ntz")
+    in_year = (F.col("l_shipdate") >= bound(REPAIR_YEAR)) & (F.col("l_shipdate") < bound(REPAIR_YEAR + 1))
+    out = repair_totals(rows, "unit", "year", "mode", "party", "votes", "total", REPAIR_YEAR, "F", in_year)
     out = _round(out.select("unit", "year", "mode", "party", "votes", "total"), ["votes"])
     return _round(out, ["total"], 6)
 
@@ -175,16 +186,20 @@ def units_missing_category(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- shares
-def office_panel(rows: DataFrame, office: str, unit: str, party: str, votes: str) -> DataFrame:
-    """Per unit the office's total votes, democrat and republican
-    counts (NULL when the party has no rows) and their shares. The group total
-    and the party sums share one aggregation."""
-    agg = rows.groupBy(unit).agg(
-        F.sum(votes).alias(f"{office}_total"),
-        F.sum(F.when(F.col(party) == "democrat", F.col(votes))).alias(f"{office}_dem"),
-        F.sum(F.when(F.col(party) == "republican", F.col(votes))).alias(f"{office}_rep"))
-    return agg.withColumns({f"dem_pct_{office}": X.share(f"{office}_dem", f"{office}_total"),
-                            f"rep_pct_{office}": X.share(f"{office}_rep", f"{office}_total")})
+def office_panel(rows: DataFrame, offices: Sequence[str], unit: str, office: str, party: str, votes: str) -> DataFrame:
+    """Per unit and office the total votes, democrat and republican
+    counts (NULL when the office or party has no rows) and their shares. All
+    offices, totals and party sums share one aggregation; units that are NULL
+    are dropped and units without any of the offices are absent, as in a full
+    merge of the offices' panels."""
+    aggs = []
+    for o in offices:
+        here = F.col(office) == o
+        aggs += [F.sum(F.when(here, F.col(votes))).alias(f"{o}_total"),
+                 F.sum(F.when(here & (F.col(party) == "democrat"), F.col(votes))).alias(f"{o}_dem"),
+                 F.sum(F.when(here & (F.col(party) == "republican"), F.col(votes))).alias(f"{o}_rep")]
+    agg = rows.filter(F.col(unit).isNotNull() & F.col(office).isin(*offices)).groupBy(unit).agg(*aggs)
+    return agg.withColumns({f"{p}_pct_{o}": X.share(f"{o}_{p}", f"{o}_total") for o in offices for p in ("dem", "rep")})
 
 
 def _office_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -218,10 +233,8 @@ FROM h FULL JOIN s ON h.county = s.county
 """)
 def downballot_shares(spark: SparkSession, sf: str) -> DataFrame:
     rows = _office_rows(spark, sf)
-    house = office_panel(rows.filter(F.col("office") == "house"), "house", "county", "party", "votes")
-    senate = office_panel(rows.filter(F.col("office") == "senate"), "senate", "county", "party", "votes")
-    out = M.outer_merge(house, senate, "county")
-    return out.withColumns({c: F.round(c, 6 if "pct" in c else 4) for c in _SHARE_COLS})
+    out = office_panel(rows, ["house", "senate"], "county", "office", "party", "votes")
+    return out.select("county", *_SHARE_COLS).withColumns({c: F.round(c, 6 if "pct" in c else 4) for c in _SHARE_COLS})
 
 
 @query("two_wave_outer", sql="""

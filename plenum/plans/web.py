@@ -88,13 +88,20 @@ k AS (SELECT coalesce(nullif(regexp_extract(url, '(\\d+)', 1), ''), 'unknown') A
 SELECT year, count(*) AS n_links, count(DISTINCT link) AS n_distinct FROM k GROUP BY year
 """)
 def links_by_year(spark: SparkSession, sf: str) -> DataFrame:
-    """A20 + A22 + X31: links grouped by the first digit run of the page URL
+    """Links grouped by the first digit run of the page URL
     ('unknown' when none): counts and distinct links per group."""
     ln = links(spark, sf).withColumn(
         "year", F.coalesce(F.nullif(F.regexp_extract("url", r"(\d+)", 1), F.lit("")), F.lit("unknown")))
-    uniq = A.sorted_unique_by(ln, "year", "link")
-    n_distinct = uniq.groupBy("year").agg(F.count(F.lit(1)).alias("n_distinct"))
-    return A.count_by(ln, "year", "n_links").join(n_distinct, "year")
+    return ln.groupBy("year").agg(F.count(F.lit(1)).alias("n_links"), F.count_distinct("link").alias("n_distinct"))
+
+
+@query("unique_links_by_year", sql=f"""
+WITH {LINKS_SQL}
+SELECT DISTINCT coalesce(nullif(regexp_extract(url, '(\\d{{4}})', 1), ''), 'unknown') AS year, link FROM links
+""")
+def unique_links_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    """A22 + X31 by value: the sorted distinct links of each URL year."""
+    return A.sorted_unique_by(links(spark, sf).withColumn("year", X.url_year("url")), "year", "link")
 
 
 @query("page_text")

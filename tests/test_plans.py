@@ -39,4 +39,15 @@ def test_scans_are_pruned(spark):
     assert lineitem and all(set(x.split(":")[0] for x in s.split(",")) <= {"l_orderkey", "l_quantity"}
                             for s in lineitem)
     plan = _plan(E.queries()["zero_share"](spark, SF_SMALL))
-    assert "IsNotNull(o_orderdate)" in "".join(re.findall(r"PushedFilters: \[[^\]]*\]", plan))
+    assert "GreaterThanOrEqual(o_orderdate" in "".join(re.findall(r"PushedFilters: \[[^\]]*\]", plan))
+
+
+def test_scans_of_one_pass_plans(spark):
+    """How often a query reads its largest table (plans before reuse of exchanges)."""
+    def scans(name, t):
+        return len(re.findall(rf"Location: [^\n]*/{t}\.parquet", _plan(E.queries()[name](spark, SF_SMALL))))
+
+    assert scans("repair_totals", "lineitem") <= 3
+    assert scans("downballot_shares", "events") == 1
+    assert scans("links_by_year", "pages") == 1
+    assert scans("ols_fitted", "lineitem") <= 3

@@ -179,3 +179,35 @@ def test_map_columns_row_key_and_batches(spark):
     t = spark.createDataFrame([("l1\nl2\nl3",)], "t string")
     assert t.select(X.head_lines("t", 2)).first()[0] == ["l1", "l2"]
     assert t.select(X.first_match("t", r"l(\d)", 1)).first()[0] == "1"
+
+
+def test_rebuilt_year_keeps_total_rows_and_drops_no_year(spark):
+    from plenum.plans.elections import repair_totals
+
+    df = spark.createDataFrame(
+        [("a", 2000, "F", "x", 5.0, 10.0), ("a", 2000, "O", "x", 7.0, 20.0),
+         ("b", 2000, "O", "x", 1.0, 2.0), ("b", 2000, "O", "y", 2.0, 4.0), ("b", 2000, "P", "x", 3.0, 8.0),
+         ("b", 2001, "O", "x", 9.0, 9.0), ("c", None, "F", "x", 1.0, 1.0)],
+        "unit string, year long, mode string, party string, votes double, total double")
+    got = repair_totals(df, "unit", "year", "mode", "party", "votes", "total", 2000, "F")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([
+        ("a", 2000, "F", "x", 5.0, 10.0), ("b", 2000, None, "x", 4.0, 11.0), ("b", 2000, None, "y", 2.0, 11.0),
+        ("b", 2001, "O", "x", 9.0, 9.0), ("c", None, "F", "x", 1.0, 1.0)], key=str)
+
+
+def test_null_keys_and_sums_in_groups(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 1, None), (None, 1, 2.0), ("b", 1, 3.0)], "k string, y long, v double")
+    assert sorted(map(tuple, A.rollup_level(df, ["k", "y"], ["v"]).collect())) == [("a", 1, 0.0), ("b", 1, 3.0)]
+    assert sorted(map(tuple, A.share_where(df, "k", F.col("v") > 2).collect())) == [("a", 0.0), ("b", 1.0)]
+
+
+def test_office_panel_in_one_pass(spark):
+    from plenum.plans.elections import office_panel
+
+    df = spark.createDataFrame([("a", "house", "democrat", 3.0), ("a", "house", "other", 1.0), ("b", "senate", "republican", 2.0),
+                                (None, "house", "democrat", 1.0), ("c", "mayor", "democrat", 1.0)],
+                               "unit string, office string, party string, votes double")
+    got = {r.unit: r.asDict() for r in office_panel(df, ["house", "senate"], "unit", "office", "party", "votes").collect()}
+    assert set(got) == {"a", "b"}
+    assert got["a"]["dem_pct_house"] == 0.75 and got["a"]["rep_pct_house"] is None and got["a"]["senate_total"] is None
+    assert got["b"]["senate_rep"] == 2.0 and got["b"]["house_total"] is None
