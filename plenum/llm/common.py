@@ -79,6 +79,15 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``materialise`` wrote and nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        if folder.rsplit("/", 1)[1].startswith("plenum-"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def map_in_place(docs: DataFrame, run, added: dict[str, str] | None = None) -> DataFrame:
     """``mapInArrow`` over all columns of a table whatever their names (clashes,
     dots): they travel as ``c0, c1, ...`` and get their names back. ``added``

@@ -3,10 +3,9 @@
 Weights. A document is its distinct shingles of five words, each weighted
 ``(1 + ln tf) * (1 + SPAN * idf)``: tf is the number of times it occurs in the
 text, idf is ``ln(N / df) / ln N`` (0 for a shingle of every document, 1 for a
-rare one). df comes from a counting table of fixed size (``DF_CELLS`` cells,
-every document counted), so what is broadcast does not grow with the corpus;
-a cell shared by several shingles only makes them look more frequent. SPAN
-bounds how far idf may pull the measure from plain resemblance.
+rare one). df is counted for each 64-bit shingle over all documents and
+travels with the texts; nothing is broadcast. SPAN bounds how far idf may pull
+the measure from plain resemblance.
 
 Signature. Each of ``BANDS * ROWS`` samples draws (r, c, beta) per shingle and
 keeps the shingle and level of the smallest ln a (Ioffe 2010); two documents
@@ -28,16 +27,18 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import id_and_text, materialise, release_shuffles, slices, split_words, text_bytes
+from .common import discard, id_and_text, materialise, release_shuffles, slices, split_words, text_bytes
 from .shingles import mix, shingle_sets
 
 SIZE, THRESHOLD = 5, 0.8
@@ -47,67 +48,127 @@ PIVOTS = 16
 #: Room for rounding in the bounds on a similarity.
 SLACK = 1e-6
 SPAN = 0.5
-DF_BITS = 20
-DF_CELLS = 1 << DF_BITS
-_BLOCK = 1 << 14
+#: Text whose shingles are counted together before they meet the others'; text a part of the shingles stands for
+#: (its shingles take about as much again, in texts of very short words a few times that); the fewest parts, in bits.
+UNIT_BYTES, PART_BYTES, LEAST_PART_BITS = 1 << 22, 1 << 24, 9
 _TRIPLE_BITS = 14
 _TRIPLES = 1 << _TRIPLE_BITS
 
 
 # ---------------------------------------------------------------- weights
 
-def document_frequencies(docs: DataFrame, size: int = SIZE) -> tuple[np.ndarray, int]:
-    """The counting table over all documents and their number. Each task counts
-    into a table of its own and emits its non-empty blocks; Spark adds them up."""
+def _units(every: DataFrame) -> DataFrame:
+    """(doc_id, text, unit), written once: about UNIT_BYTES of text that one task
+    read in a row share a unit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, n = np.zeros(DF_CELLS, np.uint32), 0
+        base, before = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            for part in slices(batch, 0):
-                s, _, _ = shingle_sets(list(text_bytes(part.column(0))), size)
-                table += np.bincount((s >> np.uint64(64 - DF_BITS)).astype(np.int64), minlength=DF_CELLS).astype(np.uint32)
-                n += part.num_rows
-        blocks = table.reshape(-1, _BLOCK)
-        full = np.flatnonzero(blocks.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array([*full.tolist(), -1], pa.int32()),
-                                          pa.array([*(blocks[i].tobytes() for i in full), b""], pa.binary()),
-                                          pa.array([0] * len(full) + [n], pa.int64())], ["block", "counts", "n"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        n = 0
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = before + np.cumsum(sizes)
+            units = base + (ends - sizes) // UNIT_BYTES
+            before = int(ends[-1]) if len(ends) else before
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(units, pa.int64())],
+                                             ["doc_id", "text", "unit"])
+
+    return materialise(every.mapInArrow(run, "doc_id long, text string, unit long"))
+
+
+def _blobs(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """One binary value for each run of ``values`` between two cuts."""
+    offsets = (cuts * values.itemsize * math.prod(values.shape[1:])).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(
+        np.ascontiguousarray(values))]).cast(pa.binary())
+
+
+def _split(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """High and low bytes of sorted hashes: apart, the high ones take little room when compressed."""
+    b = np.ascontiguousarray(s).view(np.uint8).reshape(-1, 8)
+    return b[:, 6:], b[:, :6]
+
+
+def _joined(high: bytes, low: bytes) -> np.ndarray:
+    out = np.empty((len(high) // 2, 8), np.uint8)
+    out[:, 6:] = np.frombuffer(high, np.uint8).reshape(-1, 2)
+    out[:, :6] = np.frombuffer(low, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).reshape(-1)
+
+
+def _runs(*columns: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(start, end) of the runs of rows with equal values."""
+    if len(columns[0]):
+        new = np.any([np.diff(c) != 0 for c in columns], axis=0)
+        edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(columns[0])]
+        yield from zip(edges, edges[1:])
+
+
+def document_frequencies(units: DataFrame, size: int = SIZE) -> DataFrame:
+    """(unit, high, low, df), the shingles in two parts: the number of documents of the corpus that hold each
+    64-bit shingle, for those of a unit's shingles that occur in two documents
+    or more. Each unit counts its distinct shingles and sends them, sorted, to
+    parts by their first bits; a part adds the counts up and answers each unit.
+    A shingle of very many documents is one entry a unit; the number of parts
+    follows the corpus, their size does not."""
+    total = units.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(LEAST_PART_BITS, (total // PART_BYTES).bit_length())
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, counts, rows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                n += rows
-                if block >= 0:
-                    got = np.frombuffer(counts, np.uint32 if len(counts) == 4 * _BLOCK else np.uint64)
-                    sums[block] = sums.get(block, 0) + got.astype(np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array([*sums, -1], pa.int32()),
-                                          pa.array([*(v.tobytes() for v in sums.values()), b""], pa.binary()),
-                                          pa.array([0] * len(sums) + [n], pa.int64())], ["block", "counts", "n"])
-
-    schema = "block int, counts binary, n long"
-    parts = id_and_text(docs).select("text").mapInArrow(run, schema)
-    # Blocks meet by number; at most DF_CELLS / _BLOCK groups of fixed size leave each reducer.
-    summed = parts.repartition(16, "block").mapInArrow(add, schema).collect()
-    table, n = np.zeros((DF_CELLS // _BLOCK, _BLOCK), np.uint64), 0
-    for r in summed:
-        n += r.n
-        if r.block >= 0:
-            table[r.block] += np.frombuffer(bytes(r.counts), np.uint64)
-    return table.reshape(-1), n
-
-
-def idf_table(df: np.ndarray, n_docs: int, span: float = SPAN) -> np.ndarray:
-    """Weight factor of each cell: 1 + span * idf."""
+            unit = batch.column(1).to_numpy()
+            for a, b in _runs(unit):
+                s, _, _ = shingle_sets(list(text_bytes(batch.column(0).slice(a, b - a))), size)
+                if not len(s):
+                    continue
+                s, n = np.unique(s, return_counts=True)
+                part = (s >> np.uint64(64 - bits)).astype(np.int64)
+                at = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(s)]])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(part[at[:-1]]), pa.array(np.full(len(at) - 1, unit[a])), *(_blobs(x, at) for x in _split(s)),
+                    _blobs(n.astype(np.uint32), at)], ["part", "unit", "high", "low", "n"])
+
+    def add_up(rows: list[tuple[int, bytes, bytes, bytes]]) -> pa.RecordBatch:
+        unit, high, low, n = zip(*rows, strict=True)
+        s = _joined(b"".join(high), b"".join(low))
+        _, which = np.unique(s, return_inverse=True)
+        df = np.bincount(which, np.frombuffer(b"".join(n), np.uint32))[which].astype(np.uint32)
+        more = df > 1
+        at = np.concatenate([[0], np.cumsum(more)])[np.cumsum([0] + [len(x) // 4 for x in n])]
+        out = pa.RecordBatch.from_arrays([pa.array(unit, pa.int64()), *(_blobs(x, at) for x in _split(s[more])),
+                                          _blobs(df[more], at)], ["unit", "high", "low", "df"])
+        return out.filter(pa.array(np.diff(at) > 0))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, now = [], None
+        for batch in batches:
+            for part, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part != now and rows:
+                    yield add_up(rows)
+                    rows = []
+                now = part
+                rows.append(row)
+        if rows:
+            yield add_up(rows)
+
+    asked = units.select("text", "unit").mapInArrow(ask, "part long, unit long, high binary, low binary, n binary")
+    return asked.repartition("part").sortWithinPartitions("part") \
+        .mapInArrow(answer, "unit long, high binary, low binary, df binary")
+
+
+def idf_factors(df: np.ndarray, n_docs: int, span: float = SPAN) -> np.ndarray:
+    """Weight factor of each document frequency: 1 + span * idf."""
     idf = np.log(max(n_docs, 2) / np.clip(df, 1, max(n_docs, 2)).astype(float)) / math.log(max(n_docs, 2))
     return (1.0 + span * idf).astype(np.float32)
 
 
-def weighted_sets(texts: list[bytes], factors: np.ndarray, size: int = SIZE):
+def shingle_weights(tf: np.ndarray, df: np.ndarray, n_docs: int, span: float = SPAN) -> np.ndarray:
+    return ((1.0 + np.log(tf.astype(np.float32))) * idf_factors(df, n_docs, span)).astype(np.float32)
+
+
+def weighted_sets(texts: list[bytes], dfs: Iterable[bytes], n_docs: int, size: int = SIZE, span: float = SPAN):
+    """Shingles, weights and starts of texts; ``dfs`` are their shingles' document
+    frequencies (32 bits each, in the order of ``shingle_sets``)."""
     s, tf, start = shingle_sets(texts, size)
-    w = (1.0 + np.log(tf.astype(np.float32))) * factors[(s >> np.uint64(64 - DF_BITS)).astype(np.int64)]
-    return s, w.astype(np.float32), start
+    return s, shingle_weights(tf, np.frombuffer(b"".join(dfs), np.uint32), n_docs, span), start
 
 
 def weighted_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
@@ -183,42 +244,73 @@ def _word_keys(docs: DataFrame) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, "doc_id long, word_key binary")
 
 
-def _bands(reps: DataFrame, factors, bands: int, rows: int, size: int) -> DataFrame:
-    """(doc_id, sim array<binary-free long>, band keys) of each representative text."""
+def _signed(units: DataFrame, n_docs: int, bands: int, rows: int, size: int, span: float) -> DataFrame:
+    """(doc_id, text, dfs, keys, sketch) of each document with a shingle, written
+    once: the document frequencies of its shingles, its band keys and samples."""
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    counted = materialise(document_frequencies(units, size))
+    release_shuffles(units.sparkSession)
+    both = counted.select("unit", F.lit(0).alias("kind"), none("long", "doc_id"), none("string", "text"), "high", "low", "df") \
+        .unionByName(units.select("unit", F.lit(1).alias("kind"), "doc_id", "text",
+                                  *(none("binary", c) for c in ("high", "low", "df"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = draws(bands * rows)
+        now, heard, known, known_df = None, [], np.empty(0, np.uint64), np.empty(0, np.uint32)
         for batch in batches:
-            for part in slices(batch, 1):
-                s, w, start = weighted_sets(list(text_bytes(part.column(1))), factors.value, size)
-                some = np.flatnonzero(np.diff(start))
-                if not len(some):
+            unit, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for a, b in _runs(unit, kind):
+                if unit[a] != now:
+                    now, heard, known = unit[a], [], None
+                if kind[a] == 0:
+                    heard += zip(*(batch.column(c).slice(a, b - a).to_pylist() for c in (4, 5, 6)), strict=True)
                     continue
-                # texts without a shingle have no extent, so the others' starts still fit together
-                sig = signatures(s, w, np.append(start[some], start[-1]), table)
-                keys = band_keys(sig, bands, rows)
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0).take(pa.array(some)),
-                    pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), bands).cast(pa.list_(pa.int64())),
-                    pa.FixedSizeListArray.from_arrays(pa.array((sig & np.uint64(0x7FFF)).astype(np.int16).reshape(-1)),
-                                                      bands * rows).cast(pa.list_(pa.int16()))],
-                    ["doc_id", "keys", "sketch"])
-
-    return reps.mapInArrow(run, "doc_id long, keys array<long>, sketch array<short>")
-
-
-def _verify(pairs: DataFrame, texts: DataFrame, factors, threshold: float, size: int) -> DataFrame:
+                if known is None:  # a unit's counts come before its texts
+                    known = _joined(b"".join(x for x, _, _ in heard), b"".join(x for _, x, _ in heard))
+                    order = np.argsort(known, kind="stable")
+                    known = known[order]
+                    known_df = np.frombuffer(b"".join(x for _, _, x in heard), np.uint32)[order]
+                    heard = []
+                for part in slices(batch.slice(a, b - a), 3):
+                    s, tf, start = shingle_sets(list(text_bytes(part.column(3))), size)
+                    some = np.flatnonzero(np.diff(start))
+                    if not len(some):
+                        continue
+                    df = np.ones(len(s), np.uint32)
+                    if len(known):
+                        at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                        df = np.where(known[at] == s, known_df[at], df)
+                    # texts without a shingle have no extent, so the others' starts still fit together
+                    start = np.append(start[some], start[-1])
+                    sig = signatures(s, shingle_weights(tf, df, n_docs, span), start, table)
+                    keys = band_keys(sig, bands, rows)
+                    pick = pa.array(some)
+                    yield pa.RecordBatch.from_arrays([
+                        part.column(2).take(pick), part.column(3).take(pick), _blobs(df, start),
+                        pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), bands).cast(pa.list_(pa.int64())),
+                        pa.FixedSizeListArray.from_arrays(pa.array((sig & np.uint64(0x7FFF)).astype(np.int16).reshape(-1)),
+                                                          bands * rows).cast(pa.list_(pa.int16()))],
+                        ["doc_id", "text", "dfs", "keys", "sketch"])
+
+    signed = materialise(both.repartition("unit").sortWithinPartitions("unit", "kind").mapInArrow(
+        run, "doc_id long, text string, dfs binary, keys array<long>, sketch array<short>"))
+    discard(counted)
+    return signed
+
+
+def _verify(pairs: DataFrame, texts: DataFrame, n_docs: int, threshold: float, size: int, span: float) -> DataFrame:
     """(a, b, similarity) of the candidate pairs that reach the threshold. Each
     text of a pair is fetched by an equi-join."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"), F.col("dfs").alias("dfs_a"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"), F.col("dfs").alias("dfs_b"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b", "dfs_a", "dfs_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 2):
                 n = part.num_rows
-                s, w, at = weighted_sets([*text_bytes(part.column(2)), *text_bytes(part.column(3))], factors.value, size)
+                s, w, at = weighted_sets([*text_bytes(part.column(2)), *text_bytes(part.column(3))],
+                                         [*part.column(4).to_pylist(), *part.column(5).to_pylist()], n_docs, size, span)
                 sim = [weighted_jaccard(s[at[i]:at[i + 1]], w[at[i]:at[i + 1]], s[at[n + i]:at[n + i + 1]],
                                         w[at[n + i]:at[n + i + 1]]) for i in range(n)]
                 out = pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sim, pa.float64())],
@@ -303,11 +395,13 @@ def rep_classes(docs: DataFrame, reps: DataFrame, threshold: float, bands: int,
                 span: float) -> DataFrame:
     """(node, label) over the representative ids that have a verified link."""
     spark = docs.sparkSession
-    df, n = document_frequencies(docs, size)
-    factors = spark.sparkContext.broadcast(idf_table(df, n, span))  # DF_CELLS floats, whatever the corpus
-    every = id_and_text(docs)
+    units = _units(id_and_text(docs))
+    n = units.count()
+    signed = _signed(units, n, bands, rows, size, span)
+    discard(units)
+    release_shuffles(spark)
     # Signatures are cut down to the representatives afterwards: they are short, texts are not.
-    banded = cut_lineage(_bands(every, factors, bands, rows, size)
+    banded = cut_lineage(signed.select("doc_id", "keys", "sketch")
                          .join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
     buckets = banded.select("doc_id", F.explode("keys").alias("key"))
     shared = cut_lineage(buckets.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"))
@@ -315,23 +409,24 @@ def rep_classes(docs: DataFrame, reps: DataFrame, threshold: float, bands: int,
     members = cut_lineage(buckets.join(shared, "key").select("key", "pivot", "doc_id"))
     wanted = cut_lineage(members.select("doc_id").distinct())
     # The texts of bucket members, fetched once for all comparisons (one row an id).
-    texts = materialise(every.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")))
+    texts = materialise(signed.select("doc_id", "text", "dfs").join(wanted, "doc_id", "left_semi").groupBy("doc_id")
+                        .agg(F.max(F.struct("text", "dfs")).alias("t")).select("doc_id", "t.text", "t.dfs"))
     sketches = cut_lineage(banded.join(wanted, "doc_id", "left_semi").groupBy("doc_id")
                            .agg(F.max(F.struct("sketch", "keys")).alias("s")).select("doc_id", "s.sketch", "s.keys"))
     star = members.where("doc_id != pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
     star = cut_lineage(_likely(star, sketches, threshold))
-    links = cut_lineage(_verify(star, texts, factors, threshold, size).select("a", "b"))
+    links = cut_lineage(_verify(star, texts, n, threshold, size, span).select("a", "b"))
     labels = components(links)
     apart = _apart(members, labels)
     pairs = _likely(_to_pivots(apart).join(star, ["a", "b"], "left_anti"), sketches, threshold)
-    links = cut_lineage(links.unionByName(_verify(pairs, texts, factors, threshold, size).select("a", "b")))
+    links = cut_lineage(links.unionByName(_verify(pairs, texts, n, threshold, size, span).select("a", "b")))
     labels = components(links)
     release_shuffles(spark)
     # What is still apart in a bucket: pairs of different components, each in the first bucket it shares, where the
     # shingles that occur in more than one of these texts leave room for a link.
     apart = _apart(members, labels)
     left = cut_lineage(apart.select("doc_id").distinct())
-    room = cut_lineage(_shared_mass(texts.join(left, "doc_id", "left_semi"), factors, size)
+    room = cut_lineage(_shared_mass(texts.join(left, "doc_id", "left_semi"), n, size, span)
                        .where(F.col("shared") >= (threshold - SLACK) * F.col("mass")))
     apart = _split_buckets(cut_lineage(apart.join(room, "doc_id").select("key", "doc_id", "label", "mass", "shared")))
     carried = ("doc_id", "label", "mass", "shared", "sketch", "keys")
@@ -348,7 +443,7 @@ def rep_classes(docs: DataFrame, reps: DataFrame, threshold: float, bands: int,
     rest = cut_lineage(rest.join(star, ["a", "b"], "left_anti"))
     if rest.isEmpty():
         return labels
-    more = _verify(rest, texts, factors, threshold, size).select("a", "b")
+    more = _verify(rest, texts, n, threshold, size, span).select("a", "b")
     return components(links.unionByName(more))
 
 
@@ -365,7 +460,7 @@ def _split_buckets(labelled: DataFrame) -> DataFrame:
     return cut_lineage(labelled.join(split, "key").select(*labelled.columns))
 
 
-def _shared_mass(texts: DataFrame, factors, size: int) -> DataFrame:
+def _shared_mass(texts: DataFrame, n_docs: int, size: int, span: float) -> DataFrame:
     """(doc_id, mass, shared): the weight of a text's shingles, and of those that
     another of the texts has too. Two texts have at most the smaller ``shared``
     in common, which bounds their similarity from above."""
@@ -373,7 +468,7 @@ def _shared_mass(texts: DataFrame, factors, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
-                s, w, start = weighted_sets(list(text_bytes(part.column(1))), factors.value, size)
+                s, w, start = weighted_sets(list(text_bytes(part.column(1))), part.column(2).to_pylist(), n_docs, size, span)
                 ids = part.column(0).to_numpy(zero_copy_only=False)
                 lens, w = np.diff(start), w.astype(np.float64)
                 some = np.flatnonzero(lens)
@@ -385,7 +480,7 @@ def _shared_mass(texts: DataFrame, factors, size: int) -> DataFrame:
                     pa.array(np.concatenate([s.view(np.int64), ids[some]])), pa.array(np.concatenate([w, whole])),
                     pa.array(np.arange(len(s) + len(some)) >= len(s))], ["doc_id", "shingle", "weight", "whole"])
 
-    rows = texts.mapInArrow(run, "doc_id long, shingle long, weight double, whole boolean")
+    rows = texts.select("doc_id", "text", "dfs").mapInArrow(run, "doc_id long, shingle long, weight double, whole boolean")
     own = rows.groupBy("whole", "shingle").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("other"),
                                                F.max("weight").alias("weight")).where("doc_id = other")
     sums = own.groupBy("doc_id").agg(F.sum(F.when(F.col("whole"), F.col("weight"))).alias("mass"),

@@ -142,6 +142,41 @@ def test_near_duplicates(spark):
     assert {r.doc_id for r in kept.collect()} == {1, 3, 5, 6, 7, 8, 11, 12, None}
 
 
+def test_document_frequencies_are_counted_per_shingle(spark):
+    rng = np.random.default_rng(21)
+    say = lambda n: ["".join(x) for x in rng.choice(list(string.ascii_lowercase), (n, 7))]
+    one = say(99)
+    two = [*one[:30], "changed", *one[31:60], "altered", *one[61:]]
+    pair = [" ".join(one).encode(), " ".join(two).encode()]
+    s, _, start = weighted_minhash.shingle_sets(pair, 5)
+    lone = np.setxor1d(s[:start[1]], s[start[1]:])
+    assert len(lone) == 20
+    # Texts of one shingle each with the first 20 bits of a shingle that only one of the two has.
+    words, fillers = say(4000), []
+    while len(fillers) < 20:
+        more = [" ".join(x).encode() for x in rng.choice(words, (200_000, 5))]
+        h = weighted_minhash.shingle_sets(more, 5)
+        assert len(h[0]) == len(more)
+        fillers += [more[i].decode() for i in np.flatnonzero(np.isin(h[0] >> np.uint64(44), lone >> np.uint64(44)))]
+    rows = [(1, pair[0].decode()), (2, pair[1].decode()), *((10 + i, t) for i, t in enumerate(fillers[:20]))]
+    rare, common = 1.5, 1 + 0.5 * (1 - np.log(2) / np.log(22))
+    assert 0.79 < 85 * common / (85 * common + 20 * rare) < 0.8 < 85 / (85 + 20)
+    got = {r.doc_id: r.class_size for r in weighted_minhash.near_duplicates(docs_of(spark, rows)).collect()}
+    assert got[1] == got[2] == 1
+
+    want = {}
+    rows += [(40, rows[0][1]), (41, None), (None, rows[0][1]), (42, "one two")]
+    for _, t in rows:
+        for x in weighted_minhash.shingle_sets([(t or "").encode()], 5)[0]:
+            want[x] = want.get(x, 0) + 1
+    units = weighted_minhash._units(weighted_minhash.id_and_text(docs_of(spark, rows)))
+    signed = weighted_minhash._signed(units, len(rows), 14, 5, 5, 0.5).collect()
+    assert len(signed) == len(rows) - 1
+    for r in signed:
+        keys = weighted_minhash.shingle_sets([r.text.encode()], 5)[0]
+        assert np.frombuffer(r.dfs, np.uint32).tolist() == [want[x] for x in keys]
+
+
 def test_sampling_agrees_with_weighted_jaccard():
     rng = np.random.default_rng(1)
     a = np.sort(rng.integers(0, 1 << 63, 400).astype(np.uint64))
