@@ -5,20 +5,20 @@ marks it opens with (blanks between marks are allowed). Consecutive lines of
 one level form a passage. Level 0 is what the author wrote; every deeper
 passage is normalised (lower case, runs of other characters than letters and
 digits become one blank) and hashed, and so are the whole own text and each own
-passage of every message. A quoted passage is linked to the first message of
-its conversation that holds a passage of that hash and comes earlier. A
+passage, paragraph and line of every message. A quoted passage is linked to the
+latest message of its conversation that holds that hash and comes earlier. A
 message replies to the latest message among its links at the shallowest linked
 level; without a link it opens a thread. Depth and thread are found by pointer
 doubling over the reply links.
 
-Skew: originals are reduced to one row per (conversation, hash) before the
-join; the quoted side is joined by an equi-join whose hot side AQE can split;
-no conversation is ever collected into one row or window.
+Skew: the latest holder is a running maximum over blocks of 2**BLOCK_BITS turns
+of one (conversation, hash), then over blocks of blocks; no conversation is ever
+collected into one row or window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -26,6 +26,8 @@ from .common import materialise
 
 # Marks at the start of a line, each followed by blanks; the rest of the line is its content.
 MARKS = r"^((?:[ \t]*>)*)[ \t]?(.*)$"
+#: Turns (then blocks of them) that one window holds; four levels span every 64-bit turn.
+BLOCK_BITS, LEVELS = 16, 4
 
 
 def _normalised(text: Column) -> Column:
@@ -68,20 +70,21 @@ def thread(messages: DataFrame) -> DataFrame:
     parsed = _passages(parse(messages))
     own = F.filter("passages", lambda p: p["level"] == 0)
     body = F.trim(F.regexp_replace(F.array_join(F.transform(own, lambda p: p["content"]), "\n"), r"(?s)^\s+|\s+$", ""))
+    paragraphs = F.flatten(F.transform(own, lambda p: F.split(p["content"], "\n[ \t]*\n")))
+    single = F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["content"])
     quoted = F.filter("passages", lambda p: (p["level"] > 0) & (_normalised(p["content"]) != ""))
     rows = cut_lineage(parsed.select(
         "conv_id", "turn", "role", body.alias("content"),
-        F.array_distinct(F.transform(F.concat(F.array(F.struct(F.lit(0).alias("level"), body.alias("content"))), own),
-                                     lambda p: _normalised(p["content"]))).alias("own"),
+        F.array_distinct(F.transform(F.concat(F.array(body), F.transform(own, lambda p: p["content"]), paragraphs, single),
+                                     _normalised)).alias("own"),
         F.transform(quoted, lambda p: F.struct(p["level"].alias("level"),
                                                F.sha2(_normalised(p["content"]), 256).alias("hash"))).alias("quotes")))
-    # The first message of a conversation that holds a passage, one row a passage: no hot group is left to multiply.
-    originals = cut_lineage(rows.where("conv_id IS NOT NULL AND turn IS NOT NULL")
-                            .select("conv_id", "turn", F.explode("own").alias("passage")).where("passage != ''")
-                            .groupBy("conv_id", F.sha2("passage", 256).alias("hash")).agg(F.min("turn").alias("origin")))
+    holders = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL") \
+        .select("conv_id", "turn", F.explode("own").alias("passage")).where("passage != ''") \
+        .select("conv_id", "turn", F.sha2("passage", 256).alias("hash")).distinct()
     quotes = rows.select("conv_id", "turn", F.explode("quotes").alias("q")) \
         .select("conv_id", "turn", "q.level", "q.hash").distinct()
-    links = quotes.join(originals, ["conv_id", "hash"]).where("origin < turn")
+    links = _latest_holders(quotes, holders).where("origin IS NOT NULL")
     # The shallowest linked level decides; of its originals the latest.
     parent = cut_lineage(links.groupBy("conv_id", "turn").agg(
         F.max(F.struct(-F.col("level"), "origin")).alias("best"), F.count(F.lit(1)).alias("n_linked"))
@@ -93,6 +96,35 @@ def thread(messages: DataFrame) -> DataFrame:
                          F.coalesce("n_linked", F.lit(0).cast("long")).alias("n_linked"), "content")
 
 
+def _latest_holders(quotes: DataFrame, holders: DataFrame) -> DataFrame:
+    """``quotes`` with ``origin``: the latest turn before the quoting one that
+    holds the hash. A quote looks into its own block of turns; without a holder
+    there, into the earlier blocks of its block of blocks, and so on."""
+    events = quotes.select("conv_id", "hash", "turn", "level", F.lit(None).cast("long").alias("held")) \
+        .unionByName(holders.select("conv_id", "hash", "turn", F.lit(None).cast("int").alias("level"), F.col("turn").alias("held")))
+    # Quotes sort before holders of the same turn, so a turn does not see itself.
+    before = Window.partitionBy("conv_id", "hash", "block").orderBy("turn", F.col("held").isNotNull())
+    events = cut_lineage(events.withColumn("block", F.shiftright("turn", BLOCK_BITS)).withColumn(
+        "origin", F.max("held").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    found = events.where("level IS NOT NULL").drop("held")
+    blocks = events.groupBy("conv_id", "hash", "block").agg(F.max("held").alias("last"))
+    # Most hashes live in one block; only those of several have earlier blocks to look into.
+    several = blocks.groupBy("conv_id", "hash").agg(F.min("block").alias("b0"), F.max("block").alias("b1")) \
+        .where("b0 < b1").select("conv_id", "hash")
+    blocks = cut_lineage(blocks.join(several, ["conv_id", "hash"]))
+    if blocks.isEmpty():
+        return found
+    for level in range(1, LEVELS):
+        above = F.shiftright("block", BLOCK_BITS) if level < LEVELS - 1 else F.lit(0).cast("long")  # both signs meet at the top
+        earlier = Window.partitionBy("conv_id", "hash", "above").orderBy("block")
+        blocks = cut_lineage(blocks.withColumn("above", above).withColumn(
+            "earlier", F.max("last").over(earlier.rowsBetween(Window.unboundedPreceding, -1))))
+        found = found.join(blocks.select("conv_id", "hash", "block", "above", "earlier"), ["conv_id", "hash", "block"], "left") \
+            .withColumn("origin", F.coalesce("origin", "earlier")).drop("block", "earlier").withColumnRenamed("above", "block")
+        blocks = blocks.groupBy("conv_id", "hash", F.col("above").alias("block")).agg(F.max("last").alias("last"))
+    return found
+
+
 def _depths(parent: DataFrame) -> DataFrame:
     """(conv_id, turn, root, depth) of every replying message. Each round doubles
     the distance a pointer has gone; a pointer ends at a turn that replies to

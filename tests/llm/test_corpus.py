@@ -272,3 +272,20 @@ def test_threads_from_quotations(spark):
     assert [got[1, t].reply_depth for t in range(5)] == [0, 1, 2, 0, 3] and got[1, 4].root_turn == 0
     assert got[1, 2].content == "Thanks" and got[2, 0].content == "" and got[2, 1].n_quotes == 0
     assert quote_threads.thread(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+@pytest.mark.parametrize("bits", [16, 2])
+def test_quotes_link_to_the_latest_holder(spark, monkeypatch, bits):
+    monkeypatch.setattr(quote_threads, "BLOCK_BITS", bits, raising=False)
+    rng = np.random.default_rng(8)
+    say = ["ok", "thanks", "yes please", "no"]
+    texts = {(c, int(t)): str(rng.choice(say)) for c in (1, 2) for t in rng.choice(400, 90, replace=False) - 100}
+    texts |= {(3, 0): "First line.\nSecond line\n\nNew paragraph\nof two lines", (3, 7): "second LINE"}
+    quoted = {k: str(rng.choice(say)) for k in texts if k[0] < 3}
+    quoted |= {(3, 1): "Second line", (3, 2): "new paragraph of two lines", (3, 8): "Second line", (3, 9): "no such line"}
+    rows = [(*k, "user", (f"> {quoted[k]}\n" if k in quoted else "") + texts.get(k, "")) for k in {*texts, *quoted}]
+    got = {(r.conv_id, r.turn): r.reply_to for r in quote_threads.thread(
+        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    for c, t in (k for k in quoted if k[0] < 3):
+        assert got[c, t] == max((u for d, u in texts if d == c and u < t and texts[d, u] == quoted[c, t]), default=None)
+    assert [got[3, t] for t in (1, 2, 8, 9)] == [0, 0, 7, None]
