@@ -55,8 +55,8 @@ WORD_CLASSES: dict[bytes, int] = {w.encode(): c for c, ws in ((TARGET, TARGETS),
                                   for w in ws}
 LEXICON: tuple[bytes, ...] = tuple(w.encode() for w in INSULTS + THREATS)
 
-#: How far (in words) a negation reaches forward, and the longest clause read at once.
-NEGATION_REACH, CLAUSE_WORDS = 2, 40
+#: How far (in words) a negation reaches forward.
+NEGATION_REACH = 2
 #: A path's factor on the word's weight.
 FACTORS = {"plain": 1.0, "target": 1.5}
 NEGATED, REPORTED = 0.35, 0.5
@@ -69,7 +69,19 @@ PATTERN_CHARS, REPEATS, IMPURITY, MIN_SUPPORT, MIN_SHARE = range(3, 8), (1, 2, 3
 #: Candidates of the covering (the best supported ones); words a task remembers.
 MAX_CANDIDATES, MEMO_WORDS = 50_000, 400_000
 
+#: Clauses end at ASCII marks and line ends and at the same marks of other scripts (full-width, CJK, Arabic, Devanagari,
+#: Armenian, Ethiopic, double quotation marks, ellipsis, line and paragraph separators, next line).
+_MARKS = "\u3002\uff0e\uff61\uff0c\u3001\uff64\uff1b\uff1a\uff01\uff1f\uff08\uff09\uff02\u300c\u300d\u300e\u300f\u060c\u061b\u061f\u06d4" \
+    "\u0964\u0965\u0589\u1362\u1363\u1364\u1365\u1367\u1368\u201c\u201d\u201e\u00ab\u00bb\u2026\u203c\u203d\u2047\u2048\u2049\u2028\u2029\u0085"
 _CLAUSE = re.compile(rb"[.,;:!?()\n\r\"]+")
+_OTHER_MARK = re.compile(f"[{_MARKS}]")
+
+
+def with_line_ends(text: bytes) -> bytes:
+    """The text with a line end for each mark of _MARKS (the word rule takes these for letters)."""
+    if text.isascii():
+        return text
+    return _OTHER_MARK.sub("\n", text.decode("utf-8", "surrogateescape")).encode("utf-8", "surrogateescape")
 
 
 # Each transducer: state x class -> state. Their outputs are read off the states.
@@ -169,16 +181,15 @@ class Grammar(dict):
 
     def match_text(self, text: bytes) -> list[tuple[int, float]]:
         """Matches of a whole text. Texts without a trigger word are left at once;
-        clauses end at punctuation, line ends and after CLAUSE_WORDS words."""
+        clauses end at punctuation and line ends and are read whole."""
+        text = with_line_ends(text)
         if not self.triggers(split_words(text)):
             return []
         out = []
         for clause in _CLAUSE.split(text):
             ws = split_words(clause)
-            for a in range(0, len(ws), CLAUSE_WORDS):
-                part = ws[a:a + CLAUSE_WORDS]
-                if self.triggers(part):
-                    out += self.match_clause(part)
+            if self.triggers(ws):
+                out += self.match_clause(ws)
         times = Counter(p for p, _ in out)
         return [m for m in out if times[m[0]] >= self.least[m[0]]]
 
@@ -223,6 +234,7 @@ def _count(rows: DataFrame, label: int, grammar: Grammar, wanted: frozenset[str]
         for batch in batches:
             docs, found = [], []
             for doc, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
+                text = with_line_ends(text)
                 if label and known.triggers(split_words(text)):
                     continue
                 got = beginnings(text)

@@ -100,6 +100,18 @@ def test_toxicity_clauses_and_learned_patterns(spark):
     assert empty.score([]) < 0.5
 
 
+def test_toxicity_reads_whole_clauses():
+    g = toxicity.Grammar()
+    for before in (0, 38, 39, 40, 41, 200):  # 'kill' is word 40 and 'you' word 41 where 39 come before
+        assert len(g.match_text(b"word " * before + b"kill you")) == 1
+        assert g.match_text(b"word " * before + b"not idiot") == g.match_text(b"not idiot")
+        assert g.match_text(b"she said " + b"word " * before + b"idiot") == g.match_text(b"she said idiot")
+        assert g.match_text(b"you " + b"word " * before + b"idiot") == g.match_text(b"you idiot")
+    for mark in "\uff01\u3002\uff0c\u060c\u0964\u2026\u201d":
+        assert g.match_text(f"kill it{mark} you".encode()) == []
+        assert g.match_text(f"you\u00e9{mark}idiot{mark}you".encode()) == g.match_text(b"idiot")
+
+
 def brute_repeats(rows, length):
     first, out = {}, {}
     for i, t in sorted(rows):
