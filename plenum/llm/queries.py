@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import table
-from . import (chunk_dedup, cotrain, decontaminate, language_id, phrase_dedup, piece_table, quote_threads, reshard, toxicity,
+from . import (chunk_dedup, cotrain, decontaminate, language_id, merkle, phrase_dedup, piece_table, quote_threads, reshard, toxicity,
+               turn_trie,
                weighted_minhash)
 from .common import id_crc
 from .registry import query
@@ -152,3 +153,82 @@ def op10_quote_threads(spark: SparkSession, sf: str) -> DataFrame:
 def op6_phrase_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """50-byte strings that start in a smaller document, by prefix-free phrases."""
     return phrase_dedup.remove_repeats(table(spark, sf, "documents"), keep_bytes=False)
+
+
+def _crc32(text: str) -> str:
+    """DuckDB expression of the unsigned crc32 of an ASCII text."""
+    return (f"xor(list_reduce(list_concat([4294967295], flatten(list_transform(range(1, length({text}) + 1), lambda i: "
+            f"list_concat([CAST(ascii({text}[i]) AS BIGINT)], [-1, -1, -1, -1, -1, -1, -1, -1])))), "
+            "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295)")
+
+
+@query("op11_turn_trie", sql=rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT *, md5(strlen(role) || ':' || role || text) AS k FROM t),
+o AS (SELECT conv_id, k, length(text) AS len,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 32), k) - 1 AS pos FROM k),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc32('CAST(conv_id AS VARCHAR)')} % 6 AS h
+      FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, o.k, o.len, o.pos FROM c JOIN o ON o.conv_id = c.base WHERE o.pos < c.h
+      UNION ALL SELECT c.conv_id, o.k, o.len, o.pos + 6 FROM c JOIN o USING (conv_id) WHERE o.pos >= c.h),
+s AS (SELECT c.conv_id, coalesce(list(r.k ORDER BY r.pos) FILTER (r.k IS NOT NULL), []) AS ks,
+             coalesce(list(r.len ORDER BY r.pos) FILTER (r.k IS NOT NULL), []) AS ls FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+p AS (SELECT conv_id, d, ks[1:d] AS prefix, CASE WHEN d = 0 THEN 0 ELSE ls[d] END AS len, d = len(ks) AS ended
+      FROM (SELECT *, unnest(range(0, len(ks) + 1)) AS d FROM s)),
+n AS (SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(len) AS len,
+             coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '') AS ids FROM p GROUP BY prefix, d),
+kids AS (SELECT prefix[1:d - 1] AS prefix, count(*) AS n FROM n WHERE d > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(kids.n, 0) AS n_children FROM n LEFT JOIN kids USING (prefix)),
+sub AS (SELECT prefix[1:a] AS prefix, sum(CAST(n_children = 0 AS BIGINT)) AS n_leaves, sum((n_convs - 1) * len) AS saved
+        FROM (SELECT prefix, n_children, n_convs, len, unnest(range(0, d + 1)) AS a FROM m) GROUP BY 1)
+SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, m.n_convs, CAST(m.n_children AS BIGINT) AS n_children,
+       CAST(sub.n_leaves AS BIGINT) AS n_leaves, CAST(sub.saved AS BIGINT) AS saved_tokens, sha256(m.ids) AS ends_sha256
+FROM m JOIN sub USING (prefix) LEFT JOIN n up ON m.d > 0 AND up.prefix = m.prefix[1:m.d - 1]
+""")
+def op11_turn_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    return turn_trie.prefix_nodes(table(spark, sf, "conversations"))
+
+
+def _leaf(text: str) -> str:
+    def part(column: str) -> str:
+        return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || {column}, '-')"
+
+    return "sha256(" + " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+@query("op12_merkle", sql=rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS grp, {_leaf('text')} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {_crc32('CAST(doc_id AS VARCHAR)')} % 3 = 0
+              THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS other FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf, other NULLS FIRST) - 1 AS pos FROM d),
+up AS (SELECT grp, 0 AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY grp) AS n FROM l
+       UNION ALL SELECT grp, level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (max(n) + 7) // 8
+       FROM up WHERE n > 1 GROUP BY grp, level, pos // 8),
+sub AS (SELECT grp, digest AS subroot, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (SELECT 0 AS level, pos, subroot AS digest, n FROM sub
+        UNION ALL SELECT level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (max(n) + 7) // 8
+        FROM top WHERE n > 1 GROUP BY level, pos // 8),
+root AS (SELECT digest AS root FROM top WHERE n = 1),
+kin AS (SELECT grp, level, pos, coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+               coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt
+        FROM up WHERE n > 1 WINDOW w AS (PARTITION BY grp, level, pos // 8 ORDER BY pos)),
+topkin AS (SELECT level, pos, coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+               coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt
+        FROM top WHERE n > 1 WINDOW w AS (PARTITION BY level, pos // 8 ORDER BY pos)),
+path AS (SELECT l.rid, kin.level, kin.lft, kin.rgt FROM l JOIN kin ON kin.grp = l.grp AND kin.pos = l.pos // CAST(pow(8, kin.level) AS BIGINT)
+         UNION ALL SELECT l.rid, 100 + topkin.level, topkin.lft, topkin.rgt FROM l JOIN sub USING (grp)
+         JOIN topkin ON topkin.pos = sub.pos // CAST(pow(8, topkin.level) AS BIGINT)),
+step AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY level) AS i FROM path),
+folds AS (SELECT rid, 1 AS i, coalesce(other, leaf) AS digest FROM l
+          UNION ALL SELECT f.rid, f.i + 1, sha256(s.lft || f.digest || s.rgt) FROM folds f JOIN step s ON s.rid = f.rid AND s.i = f.i),
+done AS (SELECT rid, max_by(digest, i) AS folded_root FROM folds GROUP BY rid),
+proof AS (SELECT rid, sha256(string_agg(lft || rgt, '' ORDER BY i)) AS proof_sha256 FROM step GROUP BY rid)
+SELECT l.doc_id, l.leaf, sub.subroot, root.root, coalesce(proof.proof_sha256, sha256('')) AS proof_sha256, done.folded_root,
+       done.folded_root = root.root AS verified
+FROM l JOIN sub USING (grp) JOIN done USING (rid) LEFT JOIN proof USING (rid), root
+""")
+def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    """Merkle manifest per language with a tamper check of every document."""
+    return merkle.manifest(table(spark, sf, "documents"))
