@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.readers import table
 from . import (chunk_dedup, cotrain, decontaminate, language_id, merkle, phrase_dedup, piece_table, quote_threads, reshard, toxicity,
-               turn_trie,
-               weighted_minhash)
+               turn_trie, vector_lsh, weighted_minhash)
 from .common import id_crc
 from .registry import query
 
@@ -232,3 +231,22 @@ FROM l JOIN sub USING (grp) JOIN done USING (rid) LEFT JOIN proof USING (rid), r
 def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
     """Merkle manifest per language with a tamper check of every document."""
     return merkle.manifest(table(spark, sf, "documents"))
+
+
+@query("op13_vector_lsh", sql=r"""
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT rid, vec_id, list_transform(e, lambda x: x / list_max(list_transform(e, lambda y: abs(y)))) AS e FROM v
+       WHERE vec_id IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.rid AS a, b.rid AS b FROM ok a JOIN ok b ON a.rid < b.rid AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT rid, rid AS seen FROM v UNION SELECT r.rid, k.b FROM reach r JOIN both k ON k.a = r.seen),
+comp AS (SELECT r.rid, min(v.vec_id) AS component_id FROM reach r JOIN v ON v.rid = r.seen GROUP BY r.rid),
+n AS (SELECT a AS rid, count(*) AS n FROM both GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, component_id, coalesce(v.vec_id = component_id, true) AS kept
+FROM v JOIN comp USING (rid) LEFT JOIN n USING (rid)
+""")
+def op13_vector_lsh(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate embeddings: p-stable hashing, exact cosines."""
+    return vector_lsh.near_vectors(table(spark, sf, "embeddings"))
