@@ -76,3 +76,5 @@ PROMPT_INSTRUCTION = (
 PAGE_LINK_SUFFIX_RE = r"\.html?$"
 URL_RE = r"https?://\S+"
 ILLEGAL_NAME_CHARS_RE = r'[\\/*?:"<>|]'
+CONTENT_ID = "ctl00_content_Screen"
+TABLE_CLASS = "wikitable"

@@ -6,22 +6,18 @@ boundary match with ``regexp_replace`` and the text is split on it, which is
 the same as "from this match to the next" without look-around and without
 leaving the JVM.
 
-HTML needs a real tokenizer (unclosed tags, comments, script bodies, entity
-decoding). That one step is an Arrow-batched ``mapInPandas`` over the stdlib
-HTML parser; it emits links, paragraph text, page text and tables in a single
-pass per page, so each page is parsed once whatever is asked of it.
+Page structure (D1-D3, D20) lies in ``markup``: tags are cut by patterns and
+nesting is counted over the pieces, in built-in expressions as well.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import scalar as X
+from .markup import extract_links, extract_tables, page_texts  # noqa: F401
 
 SENTINEL = "\u0001"
 
@@ -244,148 +240,3 @@ def speakers(block) -> Column:
 def href_links(html) -> Column:
     """D1 fast path: every double- or single-quoted ``href`` of an <a> tag."""
     return F.regexp_extract_all(_c(html), F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""), 1)
-
-
-def _parse_page(html: str, container_id: str | None, table_class: str | None):
-    from html.parser import HTMLParser
-
-    class Page(HTMLParser):
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.texts: list[str] = []
-            self.paras: list[list[str]] = []
-            self.links: list[tuple[str, list[str]]] = []
-            self.container_links: list[tuple[str, list[str]]] = []
-            self.tables: list[list[list[str]]] = []
-            self.skip = 0
-            self.in_p = False
-            self.anchor: tuple[str, list[str]] | None = None
-            self.depth_in_container = 0
-            self.stack: list[str] = []
-            self.table_depth = 0
-            self.cell: list[str] | None = None
-
-        def handle_starttag(self, tag, attrs):
-            a = dict(attrs)
-            if tag in ("script", "style", "template"):
-                self.skip += 1
-            if tag == "p":
-                self.paras.append([])
-                self.in_p = True
-            if tag == "a":
-                self.anchor = (a.get("href"), [])
-                if self.anchor[0] is not None:
-                    self.links.append(self.anchor)
-                    if self.depth_in_container:
-                        self.container_links.append(self.anchor)
-            if container_id and a.get("id") == container_id and not self.depth_in_container:
-                self.depth_in_container = 1
-                self.stack = [tag]
-            elif self.depth_in_container and tag not in _VOID:
-                self.stack.append(tag)
-            if tag == "table" and (table_class is None or table_class in (a.get("class") or "").split()):
-                self.table_depth += 1
-                self.tables.append([])
-            if self.table_depth and tag == "tr":
-                self.tables[-1].append([])
-            if self.table_depth and tag in ("td", "th"):
-                self.cell = []
-
-        def handle_endtag(self, tag):
-            if tag in ("script", "style", "template") and self.skip:
-                self.skip -= 1
-            if tag == "p":
-                self.in_p = False
-            if tag == "a":
-                self.anchor = None
-            if self.depth_in_container:
-                if tag in self.stack:
-                    while self.stack and self.stack.pop() != tag:
-                        pass
-                if not self.stack:
-                    self.depth_in_container = 0
-            if self.table_depth and tag in ("td", "th") and self.cell is not None:
-                if self.tables[-1]:
-                    self.tables[-1][-1].append(" ".join("".join(self.cell).split()))
-                self.cell = None
-            if tag == "table" and self.table_depth:
-                self.table_depth -= 1
-
-        def handle_data(self, data):
-            if self.skip:
-                return
-            self.texts.append(data)
-            if self.in_p and self.paras:
-                self.paras[-1].append(data)
-            if self.anchor is not None:
-                self.anchor[1].append(data)
-            if self.cell is not None:
-                self.cell.append(data)
-
-    p = Page()
-    try:
-        p.feed(html or "")
-        p.close()
-    except Exception:  # malformed markup: keep what was parsed
-        pass
-    links = p.container_links if container_id and p.container_links else p.links
-    return p, links
-
-
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-
-LINK_SCHEMA = "page_id bigint, url string, pos bigint, href string, text string"
-PAGE_SCHEMA = "page_id bigint, url string, paragraph_text string, page_text string, n_tables bigint"
-TABLE_SCHEMA = "page_id bigint, table_pos bigint, row_pos bigint, cells array<string>"
-
-
-def extract_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                  container_id: str | None = "ctl00_content_Screen") -> DataFrame:
-    """Anchors with an href (href stripped, anchor text stripped), taken
-    inside the element with ``container_id`` when the page has one, else from
-    the whole page."""
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            rows = []
-            for pid, url, html in zip(pdf[id_col], pdf[url_col], pdf[html_col]):
-                _, links = _parse_page(html, container_id, None)
-                for i, (href, txt) in enumerate(links, 1):
-                    rows.append((pid, url, i, href.strip(), "".join(txt).strip()))
-            yield pd.DataFrame(rows, columns=["page_id", "url", "pos", "href", "text"])
-
-    return pages.select(id_col, url_col, html_col).mapInPandas(run, LINK_SCHEMA)
-
-
-def page_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """D2 + D3 in one pass: paragraph text (non-empty stripped <p> texts joined
-    by newlines) and page text (all text nodes joined by newlines; script,
-    style and comments excluded; entities decoded)."""
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            rows = []
-            for pid, url, html in zip(pdf[id_col], pdf[url_col], pdf[html_col]):
-                p, _ = _parse_page(html, None, None)
-                paras = [s for s in ("".join(x).strip() for x in p.paras) if s]
-                rows.append((pid, url, "\n".join(paras), "\n".join(p.texts), len(p.tables)))
-            yield pd.DataFrame(rows, columns=["page_id", "url", "paragraph_text", "page_text", "n_tables"])
-
-    return pages.select(id_col, url_col, html_col).mapInPandas(run, PAGE_SCHEMA)
-
-
-def extract_tables(pages: DataFrame, table_class: str | None = "wikitable", id_col: str = "page_id",
-                   html_col: str = "html") -> DataFrame:
-    """Rows of every table with ``table_class`` (cells whitespace-squashed)."""
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            rows = []
-            for pid, html in zip(pdf[id_col], pdf[html_col]):
-                p, _ = _parse_page(html, None, table_class)
-                for ti, tab in enumerate(p.tables, 1):
-                    for ri, cells in enumerate(tab, 1):
-                        rows.append((pid, ti, ri, cells))
-            yield pd.DataFrame(rows, columns=["page_id", "table_pos", "row_pos", "cells"])
-
-    return pages.select(id_col, html_col).mapInPandas(run, TABLE_SCHEMA)

@@ -1,9 +1,8 @@
 """Records: prompts, predictions, field salvage, training pairs, diagnostics
 (D13-D19, D21-D23, X12, X14, A25 inputs).
 
-Everything but strict JSON validation (``json.loads`` semantics, X12) and an
-injected predictor (D14) is a built-in expression. Those two run as
-Arrow-batched pandas UDFs.
+Everything but an injected predictor (D14) and a batched map (V7) is a
+built-in expression.
 """
 
 from __future__ import annotations
@@ -56,21 +55,31 @@ def dump_json(df: DataFrame, cols: Sequence[str]) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
 
 
-@F.pandas_udf(T.BooleanType())
-def is_valid_json(s: pd.Series) -> pd.Series:
-    """Does Python's ``json.loads`` accept the text (Arrow batches)."""
-    import json
-
-    def ok(x):
-        if x is None:
-            return False
-        try:
-            json.loads(x)
-            return True
-        except Exception:
-            return False
-
-    return s.map(ok).astype(bool)
+# Marks for what a piece of JSON text is: characters that JSON allows inside strings only.
+_ESCAPED, _STRING, _VALUE = "\ue000", "\ue001", "\ue002"
+_NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?"
+
+
+def is_valid_json(c, allow_nan: bool = True) -> Column:
+    """Whether the whole text is one JSON value, as Python's ``json.loads`` has it: duplicate keys are allowed,
+    trailing text is not, NaN and the infinities are numbers. Without ``allow_nan`` these are refused, as the JSON
+    standard does. Null is not valid.
+
+    The text is reduced: escapes, strings, numbers and words become marks, blanks between them go, and then the
+    innermost lists and objects become value marks, one nesting level a step, until one mark is left."""
+    v, s = _VALUE, f"[{_STRING}{_VALUE}]"
+    text = F.translate(_c(c), _ESCAPED + _STRING + _VALUE, "xxx")  # letters: fine in a string, nothing outside
+    text = F.regexp_replace(text, r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})', _ESCAPED)
+    text = F.regexp_replace(text, r'"[^"\\\x00-\x1F]*+"', _STRING)
+    words = "true|false|null" + ("|NaN|-?Infinity" if allow_nan else "")
+    text = F.regexp_replace(text, f"{words}|{_NUMBER}", v)
+    text = F.regexp_replace(text, r"[ \t\n\r]++", "")
+    one = rf"\[(?:{s}(?:,{s})*+)?\]|\{{(?:{_STRING}:{s}(?:,{_STRING}:{s})*+)?\}}"
+    # A level is opened by a bracket, so there are no more steps than brackets; most end as one mark long before.
+    opened = F.length(text) - F.length(F.translate(text, "[{", ""))
+    steps = F.when(opened > 0, F.sequence(F.lit(1), opened)).otherwise(F.array().cast("array<int>"))
+    left = F.aggregate(steps, text, lambda t, _: F.when(F.length(t) > 1, F.regexp_replace(t, one, v)).otherwise(t))
+    return F.coalesce(left.isin(_STRING, _VALUE), F.lit(False))
 
 
 def salvage_fields(pred, keys: Sequence[str] = P.REQUIRED_KEYS, list_sep: str = ", ") -> Column:
