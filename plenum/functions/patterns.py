@@ -78,3 +78,6 @@ URL_RE = r"https?://\S+"
 ILLEGAL_NAME_CHARS_RE = r'[\\/*?:"<>|]'
 CONTENT_ID = "ctl00_content_Screen"
 TABLE_CLASS = "wikitable"
+
+# --- FIXED VALUES: label files -------------------------------------------------
+LABEL_FILE_RE = r"(?i)^(\d{4})_labeled\.json$"

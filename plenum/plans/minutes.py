@@ -22,6 +22,7 @@ from ..functions import patterns as P
 from ..functions import scalar as X
 from ..operators import aggregate as A
 from ..operators import documents as D
+from ..operators import labels as L
 from ..operators import records as R
 from ..session import cut_lineage
 from ..sources.readers import table
@@ -635,6 +636,47 @@ def training_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select("year", "label_id", "code", "paired", "prompt", "completion")
 
 
+KEY_ALIASES = {"actoin": "action", "Speakers": "speakers"}
+
+
+def _label_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Stand-in label files: JSON arrays of the hand labels of 64 order numbers each, named by their year, with nested
+    lists, numbers, nulls, irregular blanks and a misspelt key."""
+    n, action = F.col("label_id"), F.coalesce(R.json_string("action"), F.lit("null"))
+    text = F.concat(F.lit('{"case_number":'), R.json_string("case_number"), F.when(n % 3 == 0, F.lit(' ,"actoin": ')).otherwise(F.lit(', "action" : ')), action,
+                    F.lit(',"lot_number":'), _s(n), F.lit(', "votes": [{"name":"An:n, B", "seat": '), _s(n % 7), F.lit('},{"name": "Bo\\"b","seat":null}]'),
+                    F.when(n % 2 == 0, F.lit(',\n"ayes": ["A, B" , "C"]')).otherwise(F.lit(',\t"ayes":"A"')),
+                    F.when(n % 4 == 1, F.lit(', "vote":2.5,"absent":null')).otherwise(F.lit("")), F.lit("}"))
+    rows = _labels(spark, sf).select("year", n.alias("n"), text.alias("label"), F.floor(n / 640).alias("part"))
+    files = rows.groupBy("year", "part").agg(F.sort_array(F.collect_list(F.struct("n", "label"))).alias("l"))
+    return files.select(F.concat("year", F.lit("_labeled.json")).alias("file_name"),
+                        F.concat(F.lit(" [\n"), F.array_join("l.label", ",\n"), F.lit("]")).alias("value"))
+
+
+@query("label_pairs", sql=f"""
+WITH {MINUTES_CTE}, {BLOCKS_SQL}, {_LABEL_SQL},
+coded AS (
+  SELECT year, code, max_by(block, [length(block), -pos]) AS block FROM (
+    SELECT year, pos, block, upper(replace(coalesce(regexp_extract(block, '{P.CASE_CODE_RE}', 1), ''), ' ', '')) AS code
+    FROM blocks) WHERE code <> '' GROUP BY year, code),
+lab AS (SELECT *, upper(replace(case_number, ' ', '')) AS code FROM labels_d)
+SELECT lab.year, lab.label_id, lab.code, c.block IS NOT NULL AS paired, c.block || chr(10) || chr(10) AS prompt,
+  '{{"case_number": "' || case_number || '", "action": ' || coalesce('"' || action || '"', 'null') || ', "lot_number": ' || label_id ||
+  ', "votes": [{{"name": "An:n, B", "seat": ' || label_id % 7 || '}}, {{"name": "Bo\\"b", "seat": null}}], "ayes": ' ||
+  CASE WHEN label_id % 2 = 0 THEN '["A, B", "C"]' ELSE '"A"' END || CASE WHEN label_id % 4 = 1 THEN ', "vote": 2.5, "absent": null' ELSE '' END ||
+  ', "project_address": "", "assessor_block": "", "project_descr": "", "type_district": "", "type_district_descr": "", "speakers": "", '
+  || '"modifications": "", "noes": []' || CASE WHEN label_id % 4 = 1 THEN '' ELSE ', "absent": [], "vote": ""' END || ', "action_name": ""}}'
+  || ' {P.TERMINATOR}' AS completion
+FROM lab LEFT JOIN coded c ON lab.year = c.year AND lab.code = c.code
+""")
+def label_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """S5 + D23 + P22 + X14 + D17 + J8 + A19: label files, read with their types, mended and paired with blocks."""
+    labels = L.parse_labels(_label_files(spark, sf))
+    longest = R.block_codes(blocks_of(minutes(spark, sf), ["o_orderkey", "year"]), "block", "year", "pos")
+    pairs = L.pair_labels(labels, longest, KEY_ALIASES)
+    return pairs.select("year", F.element_at("raw", F.lit("lot_number")).cast("bigint").alias("label_id"), "code", "paired", "prompt", "completion")
+
+
 @query("pairing_diagnostics", sql=f"""
 WITH {MINUTES_CTE}, {BLOCKS_SQL}, {_LABEL_SQL}, {_CODED_SQL}
 SELECT year, 'missing_label_case_numbers' AS kind, CASE WHEN code = '' THEN '{P.MISSING_CASE}' ELSE code END AS code
