@@ -139,6 +139,21 @@ def transpose_table(df: DataFrame, key: str, row_values: Sequence[str], name: st
     return long.groupBy(name).pivot(key, [str(v) for v in row_values]).agg(F.first("__v"))
 
 
+def rows_to_maps(df: DataFrame, keys, name: str, value: str, out: str = "cells") -> DataFrame:
+    """Wide rows as maps: per group of ``keys`` one map from ``name`` to ``value``, with any number of entries and
+    without a pivot. Of repeated names the largest value counts; null names are left out."""
+    keys = _cols(keys)
+    cells = df.where(F.col(name).isNotNull()).groupBy(*keys, F.col(name).cast("string").alias("__name")).agg(F.max(value).alias("__value"))
+    return cells.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__name", "__value"))).alias(out))
+
+
+def transpose_maps(df: DataFrame, key: str, cells: str = "cells", name: str = "field") -> DataFrame:
+    """A13 for tables of any width: rows (``key``, map from column name to value) become rows (``name``, map from the
+    old keys to values). Names need not be known, and no job runs while the query is built."""
+    long = df.select(F.col(key).alias("__key"), F.explode(cells).alias(name, "__value"))
+    return rows_to_maps(long, name, "__key", "__value", cells)
+
+
 def share_where(df: DataFrame, keys, cond: Column, out: str = "share") -> DataFrame:
     """Share of rows meeting a predicate; a NULL comparison counts as False,
     rows with a NULL key are dropped."""
@@ -169,20 +184,21 @@ def sorted_unique_by(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.select(key, value).dropna().distinct().orderBy(key, value)
 
 
-def pairing_stats(labels: DataFrame, blocks: DataFrame, pairs: DataFrame, year: str = "year") -> DataFrame:
-    """Per year the number of labels, blocks found, paired, labels without
-    block and unmatched blocks, plus a grand-total row (year NULL)."""
-    lab = labels.groupBy(year).agg(F.count(F.lit(1)).alias("labels"))
-    blk = blocks.groupBy(year).agg(F.count(F.lit(1)).alias("blocks_found"))
-    par = pairs.groupBy(year).agg(F.sum(F.col("paired").cast("int")).alias("paired"),
-                                  F.sum((~F.col("paired")).cast("int")).alias("labels_without_block"))
-    unm = blocks.filter(~F.col("matched")).groupBy(year).agg(F.count(F.lit(1)).alias("unmatched_blocks"))
-    per_year = lab.join(blk, year, "full").join(par, year, "full").join(unm, year, "full")
-    per_year = per_year.na.fill(0, ["labels", "blocks_found", "paired", "labels_without_block", "unmatched_blocks"])
-    metrics = ["labels", "blocks_found", "paired", "labels_without_block", "unmatched_blocks"]
-    total = per_year.agg(*[F.sum(m).alias(m) for m in metrics]).withColumn(year, F.lit(None).cast(per_year.schema[year].dataType))
-    return per_year.select(year, *[F.col(m).cast("bigint") for m in metrics]) \
-        .unionByName(total.select(year, *[F.col(m).cast("bigint") for m in metrics]))
+PAIRING_METRICS = ["labels", "blocks_found", "paired", "labels_without_block", "unmatched_blocks"]
+
+
+def pairing_stats(labels: DataFrame, blocks: DataFrame, year: str = "year", code: str = "code") -> DataFrame:
+    """Per year the number of labels, blocks found, paired labels, labels without a block and block codes without
+    a label, and the total of all years (year null), from one aggregate over grouping sets. ``labels`` has a row per
+    label, ``blocks`` one per block, both with their year and normalised case code; blank codes pair with nothing."""
+    lab = labels.groupBy(year, code).agg(F.count(F.lit(1)).alias("n_labels"))
+    blk = blocks.groupBy(year, code).agg(F.count(F.lit(1)).alias("n_blocks"))
+    both = lab.join(blk, [year, code], "full").select(year, code, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_labels", "n_blocks")])
+    pairs = (F.col(code) != "") & (F.col("n_labels") > 0) & (F.col("n_blocks") > 0)
+    lone = (F.col(code) != "") & (F.col("n_labels") == 0)
+    parts = {"labels": F.col("n_labels"), "blocks_found": F.col("n_blocks"), "paired": F.when(pairs, F.col("n_labels")).otherwise(0),
+             "labels_without_block": F.when(pairs, 0).otherwise(F.col("n_labels")), "unmatched_blocks": F.when(lone, 1).otherwise(0)}
+    return rollup_levels(both.select(year, *[v.cast("bigint").alias(k) for k, v in parts.items()]), [[year], []], PAIRING_METRICS).drop("level")
 
 
 def valid_ratio(df: DataFrame, flag: str, keys=None, out: str = "valid_json_ratio") -> DataFrame:
@@ -197,6 +213,30 @@ def rollup_level(df: DataFrame, keys, measures: Sequence[str]) -> DataFrame:
     return group_sum(df, keys, measures)
 
 
+def rollup_levels(df: DataFrame, levels: Sequence[Sequence[str]], measures: Sequence[str]) -> DataFrame:
+    """A26 at several levels at once: the measures summed by each list of keys, in one aggregate over grouping sets.
+    ``level`` is the list's number; keys that a level does not have are null. Null rules as in A1: a row whose key
+    is null takes no part in the levels that have this key, and an all-null sum is 0."""
+    keys = list(dict.fromkeys(k for level in levels for k in level))
+    if not keys:
+        raise ValueError("one level must have a key")
+    own = F.lit(None).cast("int")
+    for i, level in enumerate(levels):
+        flags = F.lit(True)
+        for k in keys:
+            flags = flags & (F.grouping(k) == F.lit(0 if k in level else 1))
+        own = F.when(flags, F.lit(i)).otherwise(own)
+    sums = df.groupingSets([list(level) for level in levels], *keys).agg(
+        own.alias("level"), *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures])
+    whole = F.lit(False)
+    for i, level in enumerate(levels):
+        full = F.col("level") == i
+        for k in level:
+            full = full & F.col(k).isNotNull()
+        whole = whole | full
+    return sums.where(whole)
+
+
 def collapse_units(df: DataFrame, unit_keys, year: str, value: str, mean_out: str | None = None,
                    fill_unmatched: bool = True) -> DataFrame:
     """Sum ``value`` by (unit, year), then average over years per unit.

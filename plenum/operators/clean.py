@@ -207,6 +207,19 @@ def with_status(df: DataFrame, value: Column, out: str, status: str = "status")
         status, F.when(F.col(out).isNull(), F.lit("error")).otherwise(F.lit("ok")))
 
 
+def try_in_turn(df: DataFrame, parsers: Mapping[str, Column], out: str = "value", status: str = "status", failed: str = "failed") -> DataFrame:
+    """F10 as a cascade: the first parser (name -> ``try_*`` expression) that gives a value counts. Every row stays;
+    ``status`` is that parser's name or ``rejected``, ``failed`` the names of those before it that gave none. Later
+    parsers run only where all earlier ones failed."""
+    names = list(parsers)
+    got = F.coalesce(*[F.when(p.isNotNull(), F.struct(F.lit(i).alias("i"), p.alias("v"))) for i, p in enumerate(parsers.values())])
+    res = df.withColumn("__got", got)
+    at = F.coalesce(F.col("__got.i"), F.lit(len(names)))
+    labels = F.array(*[F.lit(n) for n in names])
+    return res.withColumns({out: F.col("__got.v"), status: F.coalesce(F.get(labels, F.col("__got.i")), F.lit("rejected")),
+                            failed: F.slice(labels, F.lit(1), at)}).drop("__got")
+
+
 def keep_type(df: DataFrame, content_col: str, kind: str) -> DataFrame:
     """keep payloads of ``kind`` ('pdf' or 'html') judged by leading bytes."""
     c = F.col(content_col)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -86,11 +86,12 @@ def expand_templates(df: DataFrame, templates: Sequence[str], name: str = "templ
 
 def build_master(base: DataFrame, parts: Sequence[tuple[DataFrame, Sequence[str], str]],
                  check_unique: bool = False) -> DataFrame:
-    """Fold a list of (frame, keys, how) joins onto ``base``."""
+    """Fold a list of (frame, keys, how) joins onto ``base``. With ``check_unique`` the query fails when a joined
+    frame has a key twice."""
     out = base
     for dim, keys, how in parts:
         if check_unique:
-            assert_unique(dim, keys)
+            dim = ensure_unique(dim, keys)
         out = out.join(dim, on=list(keys), how=how)
     return out
 
@@ -100,6 +101,27 @@ def duplicate_keys(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     return dim.groupBy(*keys).count().filter(F.col("count") > 1)
 
 
+def ensure_unique(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """J12 inside the plan: the same rows; the query fails when it meets a key twice. Counting uses the partitioning
+    by key that a join on these keys needs anyway, so there is no second scan and no job of its own. Null keys may
+    repeat: they meet nothing in a join."""
+    count = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    message = F.concat(F.lit(f"keys {list(keys)} are not unique, e.g. "), shown)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    # A filter, not a column: column pruning would drop the check.
+    return dim.withColumn("__n", count).where(F.when((F.col("__n") > 1) & known, F.raise_error(message)).otherwise(F.lit(True))).drop("__n")
+
+
+def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """A28 + A21 without a job of their own: the frame and an observation that holds the row count (``rows``) and the
+    given aggregates once an action has run over it."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]), seen
+
+
 def assert_unique(dim: DataFrame, keys: Sequence[str]) -> None:
     """J12 as a guard: raise when the dimension would fan out a join. The check
     is one distributed aggregate; only one offending key is brought back."""

@@ -7,7 +7,7 @@ built-in expression.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -151,6 +151,24 @@ def infer(df: DataFrame, prompt_col: str, predictor: Callable[[pd.Series], pd.Se
     return df.withColumn(out, udf(F.col(prompt_col)))
 
 
+def infer_with(df: DataFrame, prompt_col: str, load: Callable[[], Callable[[pd.Series], pd.Series]], out: str = "pred") -> DataFrame:
+    """D14 with a model: ``load`` returns a predictor (Series of prompts -> Series of texts) and is called once in each
+    Python worker's task, before its first batch; prompts then pass in Arrow batches. Null prompts stay null and are
+    not shown to the predictor."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        predict = load()
+        for prompts in batches:
+            result = pd.Series([None] * len(prompts), dtype=object)
+            asked = prompts.notna().to_numpy()
+            if asked.any():
+                result[asked] = list(predict(prompts[asked].reset_index(drop=True)))
+            yield result
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return df.withColumn(out, F.pandas_udf(run, T.StringType())(F.col(prompt_col)))
+
+
 def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str | T.StructType) -> DataFrame:
     """V7: a batched map over a dataset (e.g. tokenisation) — ``fn`` gets
     Arrow-backed pandas batches of each partition and returns frames of

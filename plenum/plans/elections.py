@@ -17,7 +17,7 @@ from ..functions import scalar as X
 from ..operators import aggregate as A
 from ..operators import clean as C
 from ..operators import merge as M
-from ..sources.readers import table
+from ..sources.readers import header_rows, table
 from .registry import query
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -398,8 +398,76 @@ def transpose_years(spark: SparkSession, sf: str) -> DataFrame:
     r = table(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     per = (o.join(c, "o_custkey").join(M.bounded_broadcast(n), "c_nationkey").join(M.bounded_broadcast(r), "n_regionkey")
            .groupBy("r_name", "year").agg(F.sum("o_totalprice").alias("total")))
-    # pivot values from the data (a small distinct set of years, capped by
-    # spark.sql.pivotMaxValues) so no year is silently dropped
-    wide = per.groupBy("r_name").pivot("year").agg(F.first("total"))
-    t = A.transpose_table(wide, "r_name", REGIONS, name="field")
-    return t.select("field", *[F.round(F.col(f"`{r}`"), 2).alias(r) for r in REGIONS])
+    wide = A.rows_to_maps(per, "r_name", "year", "total")  # a map per region: no pivot, no list of years
+    t = A.transpose_maps(wide, "r_name")
+    return t.select("field", *[F.round(F.try_element_at("cells", F.lit(r)), 2).alias(r) for r in REGIONS])
+
+
+@query("transpose_wide", sql="""
+WITH t AS (SELECT l_suppkey % 100 AS lot, l_partkey, max(l_extendedprice) AS price FROM lineitem GROUP BY ALL)
+SELECT CAST(l_partkey AS VARCHAR) AS field, CAST(count(*) AS BIGINT) AS n_cells, md5(string_agg(lot || '=' || round(price * 100)::BIGINT, ',' ORDER BY CAST(lot AS VARCHAR))) AS cells_md5
+FROM t GROUP BY l_partkey
+""")
+def transpose_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """A13 for a wide table: a hundred rows with a column per part become a row per part."""
+    li = table(spark, sf, "lineitem").select((F.col("l_suppkey") % 100).alias("lot"), "l_partkey", "l_extendedprice")
+    t = A.transpose_maps(A.rows_to_maps(li, "lot", "l_partkey", "l_extendedprice"), "lot")
+    cells = F.transform(F.array_sort(F.map_entries("cells")),
+                        lambda e: F.concat(e["key"], F.lit("="), F.round(e["value"] * 100).cast("bigint").cast("string")))
+    return t.select("field", F.size("cells").cast("bigint").alias("n_cells"), F.md5(F.array_join(cells, ",")).alias("cells_md5"))
+
+
+@query("panel_levels", sql="""
+WITH per_order AS (SELECT l_orderkey, sum(l_quantity) AS votes FROM lineitem GROUP BY l_orderkey),
+b AS (
+  SELECT CAST(year(o.o_orderdate) AS BIGINT) AS year, lower(r.r_name) AS region, lower(n.n_name) AS nation, o.o_orderpriority AS party, p.votes
+  FROM per_order p JOIN orders o ON p.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
+panel AS (
+  SELECT year, region, nation, coalesce(sum(votes) FILTER (WHERE party = '1-URGENT'), 0) AS urgent_qty,
+    coalesce(sum(votes) FILTER (WHERE party = '2-HIGH'), 0) AS high_qty,
+    coalesce(sum(votes) FILTER (WHERE party IS NULL OR party NOT IN ('1-URGENT', '2-HIGH')), 0) AS other_qty, max(votes) AS max_order_qty
+  FROM b GROUP BY year, region, nation)
+SELECT 0 AS level, year, region, nation, round(urgent_qty, 2) AS urgent_qty, round(high_qty, 2) AS high_qty, round(other_qty, 2) AS other_qty,
+       round(max_order_qty, 2) AS max_order_qty FROM panel
+UNION ALL SELECT 1, year, region, NULL, round(sum(urgent_qty), 2), round(sum(high_qty), 2), round(sum(other_qty), 2), round(sum(max_order_qty), 2)
+FROM panel GROUP BY year, region
+UNION ALL SELECT 2, year, NULL, NULL, round(sum(urgent_qty), 2), round(sum(high_qty), 2), round(sum(other_qty), 2), round(sum(max_order_qty), 2)
+FROM panel GROUP BY year
+""")
+def panel_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """The panel at county, state and year level from one aggregate over grouping sets."""
+    levels = [["year", "region", "nation"], ["year", "region"], ["year"]]
+    return _round(A.rollup_levels(county_panel(spark, sf), levels, PANEL_MEASURES), PANEL_MEASURES)
+
+
+@query("parse_cascade", sql="""
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 < 4 THEN strftime(o_orderdate, '%Y-%m-%d') END AS value,
+  ['iso', 'us', 'long', 'compact', 'rejected'][o_orderkey % 5 + 1] AS status, CAST(o_orderkey % 5 AS INTEGER) AS n_failed,
+  array_to_string(['iso', 'us', 'long', 'compact'][1:o_orderkey % 5], ',') AS failed
+FROM orders
+""")
+def parse_cascade(spark: SparkSession, sf: str) -> DataFrame:
+    """order dates written in four ways and a fifth that no parser reads; parsers are tried in turn and every row stays."""
+    d, n = F.col("o_orderdate"), F.col("o_orderkey") % 5
+    written = F.when(n == 0, F.date_format(d, "yyyy-MM-dd")).when(n == 1, F.date_format(d, "M/d/yyyy")).when(n == 2, F.date_format(d, "MMMM d, yyyy")) \
+        .when(n == 3, F.date_format(d, "yyyyMMdd")).otherwise(F.concat(F.lit("on "), F.date_format(d, "EEEE")))
+    rows = table(spark, sf, "orders").select("o_orderkey", written.alias("t"))
+    read = {k: F.try_to_timestamp("t", F.lit(f)).cast("date") for k, f in
+            (("iso", "yyyy-MM-dd"), ("us", "M/d/yyyy"), ("long", "MMMM d, yyyy"), ("compact", "yyyyMMdd"))}
+    out = C.try_in_turn(rows, read)
+    return out.select("o_orderkey", F.col("value").cast("string").alias("value"), "status", F.size("failed").alias("n_failed"), F.array_join("failed", ",").alias("failed"))
+
+
+@query("header_table", sql="""
+SELECT c_custkey, c_name AS name, round(c_acctbal, 2) AS balance, c_mktsegment AS col3 FROM customer
+""")
+def header_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A sheet of text cells (a title, a blank row, the header, then customers); the header names the cells."""
+    c = table(spark, sf, "customer")
+    sheet = c.select((F.col("c_custkey") + 3).alias("row"), F.col("c_custkey").cast("string").alias("a"), F.col("c_name").alias("b"),
+                     F.col("c_acctbal").cast("string").alias("c"), F.col("c_mktsegment").alias("col3"))
+    head = spark.sql("SELECT * FROM VALUES (0L, 'Customers', NULL, NULL, NULL), (1L, NULL, NULL, NULL, NULL), (2L, ' Cust Key', 'Name ', 'BALANCE', NULL) t(row, a, b, c, col3)")
+    rows = header_rows(sheet.unionByName(head), "row", 2, ["a", "b", "c", "col3"])
+    return rows.select(F.col("cells.cust key").cast("bigint").alias("c_custkey"), F.col("cells.name").alias("name"),
+                       F.round(F.col("cells.balance").cast("double"), 2).alias("balance"), F.col("cells.col3").alias("col3"))

@@ -332,7 +332,8 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 def star_master(spark: SparkSession, sf: str) -> DataFrame:
     """Chained left merges of per-customer aggregates and a dimension
     onto the customer table. The line quantities are summed per order before
-    the order join (pre-aggregation ahead of the shuffle)."""
+    the order join (pre-aggregation ahead of the shuffle). J12: each joined
+    frame is checked for repeated keys in the same plan."""
     o_raw = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     o = o_raw.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total_price"))
@@ -343,6 +344,6 @@ def star_master(spark: SparkSession, sf: str) -> DataFrame:
     n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     base = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     m = M.build_master(base, [(o, ["c_custkey"], "left"), (q, ["c_custkey"], "left"),
-                              (M.bounded_broadcast(n), ["c_nationkey"], "left")])
+                              (n, ["c_nationkey"], "left")], check_unique=True)
     return m.select("c_custkey", "n_name", "n_orders", F.round("total_price", 2).alias("total_price"),
                     F.round("total_qty", 2).alias("total_qty"))

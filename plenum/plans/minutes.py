@@ -25,7 +25,7 @@ from ..operators import documents as D
 from ..operators import labels as L
 from ..operators import records as R
 from ..session import cut_lineage
-from ..sources.readers import table
+from ..sources.readers import lenient_utf8, spread, table
 from .registry import query
 
 # FIXED VALUES: invented commissioner names and street kinds used to derive
@@ -112,8 +112,9 @@ def _line(i, ok: Column, ck: Column, od: Column) -> dict[str, Column]:
 def minutes(spark: SparkSession, sf: str) -> DataFrame:
     """Minutes documents: (o_orderkey, year, source_file, text), one per order
     row; a customer's number decides whether it has one, two, three or four
-    blocks. A projection of the scan: no shuffle."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    blocks. A projection of the scan; the narrow order rows are spread first
+    when the scan has fewer partitions than there are cores."""
+    o = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"))
     ok, ck, od = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
     blocks = [F.when(ck % MAX_BLOCKS >= i - 1, _block(_line(i, ok, ck, od), ok, od)) for i in range(1, MAX_BLOCKS + 1)]
     head = _header(ok, ck, od, F.col("o_orderpriority"), F.col("o_orderstatus"))
@@ -556,6 +557,46 @@ def prompts_infer(spark: SparkSession, sf: str) -> DataFrame:
                     F.length("prompt").cast("bigint").alias("prompt_chars"), "pred")
 
 
+def load_outline():
+    """A predictor without a model: the number of keys that the prompt asks for, and the first words of its block."""
+    import pandas as pd
+
+    def predict(prompts: pd.Series) -> pd.Series:
+        parts = prompts.str.split("Raw block:\n", n=1)
+        asked, block = parts.str[0].str.count(r"(?m)^- "), parts.str[1]
+        return asked.astype(str) + " " + block.str.slice(0, 12).str.replace("\n", " ")
+
+    return predict
+
+
+@query("prompts_predict", sql=f"""
+WITH {MINUTES_CTE}, {BLOCKS_SQL}
+SELECT o_orderkey, CAST(pos AS BIGINT) AS pos, CASE WHEN o_orderkey % 2 = 0 THEN '{len(P.REQUIRED_KEYS)} ' ELSE '2 ' END
+  || replace(substr(block, 1, 12), chr(10), ' ') AS pred
+FROM blocks
+""")
+def prompts_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """D13 + D14: a supplied predictor, loaded once a task, that reads the prompt; odd orders get a shorter instruction."""
+    b = blocks_of(minutes(spark, sf), ["o_orderkey"])
+    short = "Required keys:\n- action\n- vote\n\nRaw block:\n"
+    prompt = F.when(F.col("o_orderkey") % 2 == 0, R.build_prompts("block")).otherwise(R.build_prompts("block", short))
+    r = R.infer_with(b.select("o_orderkey", "pos", prompt.alias("prompt")), "prompt", load_outline)
+    return r.select("o_orderkey", F.col("pos").cast("bigint").alias("pos"), "pred")
+
+
+@query("lenient_text", sql="""
+SELECT doc_id, CAST(length(text) AS BIGINT) AS chars, md5(text) AS text_md5, doc_id % 4 > 0 AS repaired FROM documents
+""")
+def lenient_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as bytes, three of four with stray bytes around them, decoded without these."""
+    bad = lambda h: F.unhex(F.lit(h))
+    text, n = F.col("text").cast("binary"), F.col("doc_id") % 4
+    docs = table(spark, sf, "documents").select("doc_id", F.when(n == 1, F.concat(bad("FFC3"), text)).when(n == 2, F.concat(text, bad("E282")))
+                                                .when(n == 3, F.concat(bad("EDA080C080"), text, bad("F09080"))).otherwise(text).alias("content"))
+    out = docs.select("doc_id", lenient_utf8("content").alias("text"), (~F.is_valid_utf8(F.col("content").cast("string"))).alias("repaired"))
+    return out.select("doc_id", F.length("text").cast("bigint").alias("chars"), F.md5("text").alias("text_md5"), "repaired")
+
+
 # ---------------------------------------------------------------- pairs
 def _labels(spark: SparkSession, sf: str) -> DataFrame:
     """Hand-label stand-ins: one label per fulfilled block of every
@@ -710,27 +751,10 @@ SELECT NULL, CAST(sum(labels) AS BIGINT), CAST(sum(blocks_found) AS BIGINT), CAS
        CAST(sum(labels_without_block) AS BIGINT), CAST(sum(unmatched_blocks) AS BIGINT) FROM y
 """)
 def pairing_stats(spark: SparkSession, sf: str) -> DataFrame:
-    """Per-year pairing counts plus a grand total row."""
-    labels, summary, pairs = _pairs(spark, sf, materialize=True)
-    coded = R.block_codes(None, "block", "year", "pos", summary=summary)
-    matched = coded.join(pairs.filter("paired").select("year", "code").distinct().withColumn("m", F.lit(True)),
-                         ["year", "code"], "left").withColumn("matched", F.coalesce("m", F.lit(False)))
-    return _stats(labels, summary, pairs, matched)
-
-
-def _stats(labels: DataFrame, summary: DataFrame, pairs: DataFrame, matched_codes: DataFrame) -> DataFrame:
-    lab = labels.groupBy("year").agg(F.count(F.lit(1)).alias("labels"))
-    blk = summary.groupBy("year").agg(F.sum("n_blocks").alias("blocks_found"))
-    par = pairs.groupBy("year").agg(F.sum(F.col("paired").cast("int")).alias("paired"),
-                                    F.sum((~F.col("paired")).cast("int")).alias("labels_without_block"))
-    unm = matched_codes.filter(~F.col("matched")).groupBy("year").agg(F.count(F.lit(1)).alias("unmatched_blocks"))
-    metrics = ["labels", "blocks_found", "paired", "labels_without_block", "unmatched_blocks"]
-    per_year = lab.join(blk, "year", "full").join(par, "year", "full").join(unm, "year", "full").na.fill(0, metrics)
-    # tiny (one row per year); materialised so the total row does not re-run it
-    per_year = cut_lineage(per_year.select("year", *[F.col(m).cast("bigint").alias(m) for m in metrics]))
-    total = per_year.agg(*[F.sum(m).cast("bigint").alias(m) for m in metrics]).select(
-        F.lit(None).cast("string").alias("year"), *metrics)
-    return per_year.unionByName(total)
+    """Per-year pairing counts plus a grand total row, from one aggregate; no block text travels."""
+    blocks = blocks_of(minutes(spark, sf), ["o_orderkey", "year"]).select("year", D.case_code("block").alias("code"))
+    labels = _labels(spark, sf).select("year", X.normalise_case("case_number").alias("code"))
+    return A.pairing_stats(labels, blocks)
 
 
 def _records(spark: SparkSession, sf: str) -> DataFrame:

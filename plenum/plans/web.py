@@ -13,7 +13,7 @@ from ..operators import documents as D
 from ..operators import markup as MK
 from ..operators import merge as M
 from ..sources import sinks as K
-from ..sources.readers import table
+from ..sources.readers import spread, table
 from .registry import query
 
 _HREF_SQL = "regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1)"
@@ -78,7 +78,7 @@ SELECT page_id, url, CAST(pos AS BIGINT) AS pos, h AS href, text, {_RESOLVE_SQL}
 """)
 def link_parse(spark: SparkSession, sf: str) -> DataFrame:
     """D1 + X29: anchors with text, inside the content element when a page has one, and their absolute links."""
-    ln = D.extract_links(_framed(table(spark, sf, "pages")))
+    ln = D.extract_links(_framed(spread(table(spark, sf, "pages"))))
     return ln.withColumn("link", X.resolve_url("url", "href"))
 
 
@@ -143,8 +143,8 @@ SELECT page_id, CAST(length(paras) AS BIGINT) AS paragraph_chars, CAST(length(pa
 """)
 def page_text(spark: SparkSession, sf: str) -> DataFrame:
     """D2 + D3: paragraph text (whole paragraphs stripped, and every text node stripped) and page text of each page."""
-    pages = table(spark, sf, "pages")
-    t = MK.page_texts(pages.withColumn("url", F.col("html")))  # the page itself is kept for the second form
+    pages = spread(table(spark, sf, "pages").select("page_id", "html"))
+    t = MK.page_texts(pages.select("page_id", F.col("html").alias("url"), "html"))  # the page itself is kept for the second form
     return t.select("page_id", F.length("paragraph_text").cast("bigint").alias("paragraph_chars"),
                     F.length("page_text").cast("bigint").alias("page_chars"), F.md5("paragraph_text").alias("paragraph_md5"),
                     F.md5("page_text").alias("page_md5"), F.md5(MK.paragraph_text("url", strip_nodes=True)).alias("stripped_md5"), "n_tables")

@@ -36,6 +36,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows over at least as many partitions as the session has cores: a file of one row group is one
+    partition, and heavy work on its rows would run in one task. Inputs with enough partitions stay as they are, so
+    only small ones are shuffled; select the needed columns first."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_by_filename(spark: SparkSession, glob: str, pattern: str, key: str = "part_key",
                      fmt: str = "csv", schema=None, **options) -> DataFrame:
     """S3: one scan over many files; a key derived from each file name by the
@@ -67,11 +75,24 @@ def read_labels(spark: SparkSession, glob: str, year_pattern: str = r"^(\d{4})_l
     return items
 
 
+def lenient_utf8(content) -> Column:
+    """Text of UTF-8 bytes in which bytes that belong to no character are dropped (the rest of a broken character too).
+    Read as Latin-1 every byte is one character, so whole byte sequences can be told from stray bytes by a pattern;
+    only bytes beyond ASCII are looked at."""
+    content = F.col(content) if isinstance(content, str) else content
+    tail = "[\\x80-\\xBF]"
+    whole = "|".join([f"[\\xC2-\\xDF]{tail}", f"\\xE0[\\xA0-\\xBF]{tail}", f"[\\xE1-\\xEC\\xEE\\xEF]{tail}{{2}}", f"\\xED[\\x80-\\x9F]{tail}",
+                      f"\\xF0[\\x90-\\xBF]{tail}{{2}}", f"[\\xF1-\\xF3]{tail}{{3}}", f"\\xF4[\\x80-\\x8F]{tail}{{2}}"])
+    kept = F.regexp_replace(F.decode(content, "ISO-8859-1"), f"({whole})|[\\x80-\\xFF]", "$1")
+    plain = content.cast("string")
+    return F.when(F.is_valid_utf8(plain), plain).otherwise(F.decode(F.encode(kept, "ISO-8859-1"), "UTF-8"))
+
+
 def read_documents(spark: SparkSession, glob: str, name_pattern: str | None = None) -> DataFrame:
-    """Whole-document text scan; ``\\r\\n`` and ``\\r`` normalised to
+    """Whole-document scan, bytes that are no UTF-8 dropped; ``\\r\\n`` and ``\\r`` normalised to
     ``\\n``; file name kept; optional year from the name."""
-    df = spark.read.text(glob, wholetext=True).select(
-        F.regexp_replace("value", "\r\n?", "\n").alias("text"),
+    df = spark.read.format("binaryFile").load(glob).select(
+        F.regexp_replace(lenient_utf8("content"), "\r\n?", "\n").alias("text"),
         F.col("_metadata.file_name").alias("file_name"))
     if name_pattern:
         df = df.withColumn("year", F.regexp_extract("file_name", name_pattern, 1))
@@ -89,7 +110,7 @@ def matrix_json_to_rows(df: DataFrame, col: str, extra: Sequence[str] = ()) -> D
     """A JSON array-of-arrays payload (row 0 = header) -> one row per data
     row with a map header -> value (all text)."""
     m = df.select(*extra, F.from_json(col, "array<array<string>>").alias("__m"))
-    return m.select(*extra, F.explode(F.slice("__m", 2, 1 << 30)).alias("__r"),
+    return m.select(*extra, F.explode(F.slice("__m", 2, F.greatest(F.size("__m"), F.lit(1)))).alias("__r"),
                     F.col("__m")[0].alias("__h")) \
             .select(*extra, F.map_from_arrays("__h", "__r").alias("row"))
 
@@ -114,6 +135,25 @@ def promote_header(df: DataFrame, order: str, skip: int, value_cols: Sequence[st
     return df.filter(F.col(order) > skip).select(*[F.col(c).alias(n) for c, n in zip(value_cols, names)])
 
 
+def header_rows(df: DataFrame, order: str, skip: int, value_cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """S11 in the plan: (``keep``, ``order``, ``cells``) of the rows after row ``skip``; ``cells`` is a map from the cleaned
+    cells of row ``skip`` (stripped, lower case; an empty one keeps its column's name) to the row's values. The header
+    is a scalar subquery, so nothing is fetched while the query is built. A repeated header cell keeps its first
+    column; without a header row there are no names and ``cells`` is empty."""
+    names = F.array(*[F.coalesce(F.nullif(F.lower(F.trim(F.col(c).cast("string"))), F.lit("")), F.lit(c)) for c in value_cols])
+    header = df.where(F.col(order) == skip).agg(F.min(names).alias("h")).scalar()
+    cells = F.array(*[F.col(c).cast("string") for c in value_cols])
+    named = F.transform(cells, lambda c, i: F.struct(F.get("__header", i).alias("name"), c.alias("value")))
+    pairs = F.filter(named, lambda p, i: F.array_position("__header", p["name"]) == i + 1)
+    rows = df.where(F.col(order) > skip).withColumn("__header", header)  # higher-order functions take no subquery themselves
+    return rows.select(*keep, order, F.map_from_entries(pairs).alias("cells"))
+
+
+def read_text_files(spark: SparkSession, path: str, text: str = "text") -> DataFrame:
+    """What ``sinks.write_text_files`` wrote: the folders' keys as columns and each file's whole text."""
+    return spark.read.text(path, wholetext=True).select(F.regexp_replace("value", r"\n\z", "").alias(text), "*").drop("value")
+
+
 def rows_to_table(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
     """An inline list of open-keyed records -> map<string,string> rows."""
     data = [({k: (None if v is None else str(v)) for k, v in r.items()},) for r in rows]

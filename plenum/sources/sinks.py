@@ -30,9 +30,18 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def write_diagnostics(df: DataFrame, path: str, year: str = "year") -> None:
-    """K4: diagnostics partitioned by year (one folder per year)."""
-    df.write.mode("overwrite").partitionBy(year).json(path)
+def write_diagnostics(df: DataFrame, path: str, year: str = "year", stats: DataFrame | None = None) -> None:
+    """K4: diagnostics partitioned by year (one folder per year). With ``stats`` (one row per year, the total's year
+    null, as ``pairing_stats`` gives them) these lie next to them: ``details`` and ``stats``, the total under
+    ``summary``. Other years of an earlier run stay."""
+    def write(rows: DataFrame, to: str) -> None:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).json(to)
+
+    if stats is None:
+        write(df, path)
+    else:
+        write(df, f"{path}/details")
+        write(stats.withColumn(year, F.coalesce(F.col(year).cast("string"), F.lit("summary"))), f"{path}/stats")
 
 
 def write_text_by(df: DataFrame, path: str, keys: Sequence[str], file_key: str, text: str,
@@ -43,7 +52,17 @@ def write_text_by(df: DataFrame, path: str, keys: Sequence[str], file_key: str,
     d = df
     if order:
         d = d.groupBy(*keys, file_key).agg(F.max_by(text, order).alias(text))
-    d.select(*keys, file_key, text).write.mode("overwrite").partitionBy(*keys).parquet(path)
+    d.select(*keys, file_key, text).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+
+
+def write_text_files(df: DataFrame, path: str, keys: Sequence[str], file_key: str, text: str, order: str | None = None) -> None:
+    """K5 as text: one folder per (keys, file_key) with one text file in it, e.g. ``year=1999/day=July_21``. A run
+    replaces the folders it writes and leaves the others (other years, other days). Several rows for one file: the
+    last by ``order`` wins, without ``order`` the largest text. Null texts are empty files."""
+    held = df.select(*keys, file_key, F.coalesce(text, F.lit("")).alias(text), *([order] if order else []))
+    one = F.max_by(text, order) if order else F.max(text)
+    rows = held.groupBy(*keys, file_key).agg(one.alias(text))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys, file_key).text(path)
 
 
 def write_metadata(df: DataFrame, path: str) -> None:
@@ -58,6 +77,11 @@ def split_rejects(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
     return df.filter(flag), df.filter(~flag)
 
 
+def write_by_status(df: DataFrame, path: str, status: str = "status", fmt: str = "parquet", mode: str = "overwrite") -> None:
+    """K7 in one write: a folder per status (``status=ok``, ``status=rejected``, ...), so the source is read once."""
+    df.write.mode(mode).partitionBy(status).format(fmt).save(path)
+
+
 def skip_landed(df: DataFrame, landed: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """K8: keep only rows whose key has not landed yet (left anti join)."""
     return missing_keys(df, landed, key)
