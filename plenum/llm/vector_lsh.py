@@ -13,10 +13,10 @@ threshold is on its own; one that never lies next to a smaller pivot is a
 centre, and other nodes take the smallest centre next to them as home. Angles
 obey the triangle inequality: two nodes of one home whose angles to the centre
 add up to no more than the threshold's angle are linked for certain and are
-counted by angle, not as pairs. The other pairs of a bucket are candidates, and
-each gets its exact cosine. A bucket of n close copies so costs about n
-comparisons; only what lies at the rim of a home, or between homes, is compared
-pair by pair.
+counted by angle, not as pairs. The other pairs of a home, and the pairs of a
+bucket whose homes differ, are candidates, and each gets its exact cosine. A
+bucket of n close copies so costs about n comparisons; only what lies at the
+rim of a home, or between homes, is compared pair by pair.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ THRESHOLD, RECALL, WIDTH = 0.95, 0.98, 2.0
 STRANGERS = 1.0
 #: The threshold's angle is divided into so many cells; angles are rounded up to whole cells.
 CELLS = 2048
+#: Cells are joined in so many bands.
+BANDS = 32
 _ROWS = 1024
 
 
@@ -213,23 +215,23 @@ def _homes(near: DataFrame, nodes: DataFrame, angle: float) -> DataFrame:
 
 
 def _open_pairs(members: DataFrame, homes: DataFrame, done: DataFrame) -> DataFrame:
-    """(a, b): pairs of a bucket that no angle vouches for and that were not compared yet."""
-    placed = cut_lineage(members.join(homes.select("node", "home", "cell"), "node", "left")
-                         .select("key", "node", F.coalesce("home", "node").alias("home"), F.coalesce("cell", F.lit(0)).alias("cell")))
-    # Inner nodes of one home need no pair among each other: rim nodes meet all of a bucket, inner ones those of other homes.
-    rim = F.col("cell") * 2 >= CELLS
-    x = placed.where(rim).select("key", F.col("node").alias("u"), F.col("home").alias("home_u"), F.col("cell").alias("cell_u"))
-    y = placed.select("key", F.col("node").alias("v"), F.col("home").alias("home_v"), F.col("cell").alias("cell_v"))
-    open_ = (F.col("u") != F.col("v")) & ((F.col("home_u") != F.col("home_v")) | (F.col("cell_u") + F.col("cell_v") >= CELLS))
-    outer = x.join(y, "key").where(open_).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
-    inner = placed.where(~rim)
-    # A home's inner nodes meet those of larger homes; buckets with one home are left out before the join.
-    mixed = inner.groupBy("key").agg(F.min("home").alias("low"), F.max("home").alias("high")).where("low < high").select("key")
-    inner = cut_lineage(inner.join(mixed, "key").select("key", "node", "home"))
-    x = inner.select("key", F.col("node").alias("u"), F.col("home").alias("home_u"))
-    y = inner.select("key", F.col("node").alias("v"), F.col("home").alias("home_v"))
-    between = x.join(y, "key").where("home_u < home_v").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
-    return cut_lineage(outer.unionByName(between).distinct().join(done, ["a", "b"], "left_anti"))
+    """(a, b): pairs that no angle vouches for and that were not compared yet: those of one home, each once, found by
+    their cells, and those of a bucket that have different homes."""
+    band = CELLS // BANDS
+    rim = homes.where(F.col("cell") * 2 >= CELLS)  # of two cells that add up to CELLS or more, the larger one
+    x = rim.select("home", F.explode(F.sequence(F.floor((CELLS - F.col("cell")) / band), F.floor(F.col("cell") / band))).alias("band"),
+                   F.col("node").alias("u"), F.col("cell").alias("cell_u"))
+    y = homes.select("home", F.floor(F.col("cell") / band).alias("band"), F.col("node").alias("v"), F.col("cell").alias("cell_v"))
+    larger = (F.col("cell_v") < F.col("cell_u")) | ((F.col("cell_v") == F.col("cell_u")) & (F.col("v") < F.col("u")))
+    within = x.join(y, ["home", "band"]).where((F.col("cell_u") + F.col("cell_v") >= CELLS) & larger) \
+        .select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
+    placed = cut_lineage(members.join(homes.select("node", "home"), "node", "left").select("key", "node", F.coalesce("home", "node").alias("home")))
+    mixed = placed.groupBy("key").agg(F.min("home").alias("low"), F.max("home").alias("high")).where("low < high").select("key")
+    placed = cut_lineage(placed.join(mixed, "key").select("key", "node", "home"))
+    x = placed.select("key", F.col("node").alias("u"), F.col("home").alias("home_u"))
+    y = placed.select("key", F.col("node").alias("v"), F.col("home").alias("home_v"))
+    between = x.join(y, "key").where("home_u < home_v").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+    return cut_lineage(within.unionByName(between).join(done, ["a", "b"], "left_anti"))
 
 
 def _sure_counts(homes: DataFrame) -> DataFrame:
