@@ -101,13 +101,13 @@ def map_in_place(docs: DataFrame, run, added: dict[str, str] | None = None) -> D
     return plain.mapInArrow(run, schema).toDF(*names, *added)
 
 
-def release_shuffles(spark) -> None:
+def release_shuffles(spark, passes: int = 2) -> None:
     """Let Spark's cleaner drop the shuffle files of finished steps now instead
     of at the driver's next garbage collection."""
     import gc
     import time
 
-    for _ in range(2):  # Python lets go of its handles, then the JVM of the plans, then the cleaner acts
+    for _ in range(passes):  # Python lets go of its handles, then the JVM of the plans, then the cleaner acts
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.5)
