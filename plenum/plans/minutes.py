@@ -109,12 +109,15 @@ def _line(i, ok: Column, ck: Column, od: Column) -> dict[str, Column]:
             "l_shipdate": F.date_add(od, 30 * i if isinstance(i, int) else (30 * i).cast("int"))}
 
 
-def minutes(spark: SparkSession, sf: str) -> DataFrame:
+def _orders(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+
+
+def minutes(spark: SparkSession, sf: str, orders: DataFrame | None = None) -> DataFrame:
     """Minutes documents: (o_orderkey, year, source_file, text), one per order
     row; a customer's number decides whether it has one, two, three or four
-    blocks. A projection of the scan; the narrow order rows are spread first
-    when the scan has fewer partitions than there are cores."""
-    o = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"))
+    blocks. A projection of the given orders (those of ``sf``): no shuffle."""
+    o = _orders(spark, sf) if orders is None else orders
     ok, ck, od = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
     blocks = [F.when(ck % MAX_BLOCKS >= i - 1, _block(_line(i, ok, ck, od), ok, od)) for i in range(1, MAX_BLOCKS + 1)]
     head = _header(ok, ck, od, F.col("o_orderpriority"), F.col("o_orderstatus"))
@@ -123,6 +126,11 @@ def minutes(spark: SparkSession, sf: str) -> DataFrame:
                     F.concat(head, F.lit("\n\n"), F.concat_ws("\n", *blocks)).alias("text"))
 
 
+def spread_minutes(spark: SparkSession, sf: str) -> DataFrame:
+    """The minutes, the narrow order rows dealt out first where the scan has fewer partitions than there are cores."""
+    return minutes(spark, sf, spread(_orders(spark, sf)))
+
+
 MINUTES_CTE = f"""
 order_lines AS (
   SELECT o_orderkey AS l_orderkey, ln AS l_linenumber, o_custkey + ln AS l_partkey, o_orderkey + 3 * ln AS l_suppkey,
@@ -231,7 +239,7 @@ SELECT o_orderkey, mode, pos, block FROM blocks
 def split_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """D6 + W2/W3: minutes -> project blocks (case headers, else numbered
     items, else the whole text) with their ordinal."""
-    b = blocks_of(minutes(spark, sf), ["o_orderkey"])
+    b = blocks_of(spread_minutes(spark, sf), ["o_orderkey"])
     return b.select("o_orderkey", "mode", F.col("pos").cast("bigint").alias("pos"), "block")
 
 
@@ -269,7 +277,7 @@ FROM g
 def tag_untag(spark: SparkSession, sf: str) -> DataFrame:
     """D7 + D8: blocks wrapped in start/end tags, then extracted again; the
     round trip is the identity on non-blank blocks."""
-    m = D.with_blocks(minutes(spark, sf).select("o_orderkey", "text"), mode=None) \
+    m = D.with_blocks(spread_minutes(spark, sf).select("o_orderkey", "text"), mode=None) \
         .select("o_orderkey", "blocks")
     g = m.withColumn("tagged", D.tag_blocks("blocks"))
     return g.select("o_orderkey", F.size("blocks").cast("bigint").alias("n_blocks"),
@@ -312,7 +320,7 @@ FROM h
 def meeting_header(spark: SparkSession, sf: str) -> DataFrame:
     """D9 + X10 + X17 + X26 + X28: header fields of each minutes document,
     the weekday-prefixed meeting date and the file key."""
-    m = minutes(spark, sf)
+    m = spread_minutes(spark, sf)
     h = m.select("o_orderkey", "year", D.meeting_header("text").alias("h"),
                  X.parse_weekday_date("text").cast("string").alias("meeting_date"))
     return h.select("o_orderkey", "h.*", "meeting_date",
@@ -326,7 +334,7 @@ SELECT o_orderkey, date_text, lower(strftime(CAST({_sql_long_date('date_text')}
 """)
 def date_strings(spark: SparkSession, sf: str) -> DataFrame:
     """D5 + X8 + X9: distinct month-name dates per document and their slugs."""
-    m = minutes(spark, sf)
+    m = spread_minutes(spark, sf)
     d = A.explode_nonempty(m, ["o_orderkey"], D.extract_dates("text"), ("date_text",), with_pos=False)
     return d.withColumn("slug", X.date_slug(X.parse_long_date("date_text")))
 
@@ -396,7 +404,7 @@ FROM blocks
 """)
 def case_codes(spark: SparkSession, sf: str) -> DataFrame:
     """D10 + X16: normalised case code of every block (strict and lenient)."""
-    b = blocks_of(minutes(spark, sf), ["o_orderkey"])
+    b = blocks_of(spread_minutes(spark, sf), ["o_orderkey"])
     return b.select("o_orderkey", F.col("pos").cast("bigint").alias("pos"), D.case_code("block").alias("code"),
                     D.case_code("block", lenient=True).alias("code_lenient"))
 
@@ -431,7 +439,7 @@ FROM f
 """)
 def item_records(spark: SparkSession, sf: str) -> DataFrame:
     """D11 + D12 + X20 + X21: modern-format items parsed into fields."""
-    r = D.item_rows(minutes(spark, sf), ["o_orderkey"])
+    r = D.item_rows(spread_minutes(spark, sf), ["o_orderkey"])
     return r.withColumn("pos", F.col("pos").cast("bigint"))
 
 
@@ -497,7 +505,7 @@ _SALVAGE_KEYS = P.REQUIRED_KEYS
 
 
 def _predictions(spark: SparkSession, sf: str) -> DataFrame:
-    m = minutes(spark, sf)
+    m = spread_minutes(spark, sf)
     b = blocks_of(m, ["o_orderkey", "source_file"])
     return _with_damaged_pred(b)
 
@@ -534,7 +542,7 @@ SELECT year_of AS year, round(avg(CASE WHEN json_valid(p) THEN 1.0 ELSE 0.0 END)
 """)
 def valid_json_ratio(spark: SparkSession, sf: str) -> DataFrame:
     """Share of predictions that are valid JSON, per year."""
-    m = minutes(spark, sf)
+    m = spread_minutes(spark, sf)
     b = blocks_of(m, ["o_orderkey", "year"])
     p = _with_damaged_pred(b).withColumn("pred", X.before_token("pred"))
     p = p.withColumn("ok", R.is_valid_json("pred"))
@@ -550,7 +558,7 @@ FROM blocks
 def prompts_infer(spark: SparkSession, sf: str) -> DataFrame:
     """D13 + D14: prompt = instruction + block; predictions from the default
     (rule) predictor in the batch-inference surface."""
-    b = blocks_of(minutes(spark, sf), ["o_orderkey"])
+    b = blocks_of(spread_minutes(spark, sf), ["o_orderkey"])
     b = b.withColumn("prompt", R.build_prompts("block"))
     r = R.infer(b, "prompt", None, "pred", block_col="block")
     return r.select("o_orderkey", F.col("pos").cast("bigint").alias("pos"),
@@ -577,7 +585,7 @@ FROM blocks
 """)
 def prompts_predict(spark: SparkSession, sf: str) -> DataFrame:
     """D13 + D14: a supplied predictor, loaded once a task, that reads the prompt; odd orders get a shorter instruction."""
-    b = blocks_of(minutes(spark, sf), ["o_orderkey"])
+    b = blocks_of(spread_minutes(spark, sf), ["o_orderkey"])
     short = "Required keys:\n- action\n- vote\n\nRaw block:\n"
     prompt = F.when(F.col("o_orderkey") % 2 == 0, R.build_prompts("block")).otherwise(R.build_prompts("block", short))
     r = R.infer_with(b.select("o_orderkey", "pos", prompt.alias("prompt")), "prompt", load_outline)
@@ -651,7 +659,7 @@ pairs AS (
 
 
 def _pairs(spark: SparkSession, sf: str, materialize: bool = False):
-    m = minutes(spark, sf)
+    m = spread_minutes(spark, sf)
     blocks = blocks_of(m, ["o_orderkey", "year"])
     # The summary (one row per (year, code)) feeds the pairs, the block counts
     # and the unmatched codes. With several consumers it is written once to the shared checkpoint
@@ -713,7 +721,7 @@ FROM lab LEFT JOIN coded c ON lab.year = c.year AND lab.code = c.code
 def label_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """S5 + D23 + P22 + X14 + D17 + J8 + A19: label files, read with their types, mended and paired with blocks."""
     labels = L.parse_labels(_label_files(spark, sf))
-    longest = R.block_codes(blocks_of(minutes(spark, sf), ["o_orderkey", "year"]), "block", "year", "pos")
+    longest = R.block_codes(blocks_of(spread_minutes(spark, sf), ["o_orderkey", "year"]), "block", "year", "pos")
     pairs = L.pair_labels(labels, longest, KEY_ALIASES)
     return pairs.select("year", F.element_at("raw", F.lit("lot_number")).cast("bigint").alias("label_id"), "code", "paired", "prompt", "completion")
 
@@ -752,7 +760,7 @@ SELECT NULL, CAST(sum(labels) AS BIGINT), CAST(sum(blocks_found) AS BIGINT), CAS
 """)
 def pairing_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Per-year pairing counts plus a grand total row, from one aggregate; no block text travels."""
-    blocks = blocks_of(minutes(spark, sf), ["o_orderkey", "year"]).select("year", D.case_code("block").alias("code"))
+    blocks = blocks_of(spread_minutes(spark, sf), ["o_orderkey", "year"]).select("year", D.case_code("block").alias("code"))
     labels = _labels(spark, sf).select("year", X.normalise_case("case_number").alias("code"))
     return A.pairing_stats(labels, blocks)
 
@@ -762,7 +770,7 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
     vote lists as text), extracted directly with the rule predictor's field
     patterns — one regex per field instead of generating JSON and salvaging
     it back."""
-    m = minutes(spark, sf).select("o_orderkey", "text", "year")
+    m = spread_minutes(spark, sf).select("o_orderkey", "text", "year")
     m = m.withColumn("meeting_date", X.parse_weekday_date("text").cast("string"))
     b = blocks_of(m, ["o_orderkey", "meeting_date"])
     blk = F.col("block")
