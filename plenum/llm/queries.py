@@ -126,12 +126,13 @@ pas AS (SELECT rid, conv_id, turn, level, min(i) AS i, string_agg(content, chr(1
 body AS (SELECT l.rid, trim(regexp_replace(coalesce(string_agg(content, chr(10) ORDER BY i), ''), '^\s+|\s+$', '', 'g')) AS content
          FROM l LEFT JOIN pas ON pas.rid = l.rid AND level = 0 GROUP BY l.rid),
 own AS (SELECT conv_id, turn, content FROM pas WHERE level = 0
-        UNION ALL SELECT conv_id, turn, content FROM l JOIN body USING (rid)),
-o AS (SELECT conv_id, trim(regexp_replace(lower(content), '[^\p{L}\p{N}]+', ' ', 'g')) AS h, min(turn) AS origin
-      FROM own GROUP BY ALL),
+        UNION ALL SELECT conv_id, turn, content FROM l JOIN body USING (rid)
+        UNION ALL SELECT conv_id, turn, unnest(string_split_regex(content, '\n[ \t]*\n')) FROM pas WHERE level = 0
+        UNION ALL SELECT conv_id, turn, content FROM ln WHERE level = 0),
+o AS (SELECT DISTINCT conv_id, trim(regexp_replace(lower(content), '[^\p{L}\p{N}]+', ' ', 'g')) AS h, turn AS origin FROM own),
 q AS (SELECT rid, conv_id, turn, level, trim(regexp_replace(lower(content), '[^\p{L}\p{N}]+', ' ', 'g')) AS h
       FROM pas WHERE level > 0 AND trim(regexp_replace(lower(content), '[^\p{L}\p{N}]+', ' ', 'g')) <> ''),
-k AS (SELECT DISTINCT conv_id, turn, level, h, origin FROM q JOIN o USING (conv_id, h) WHERE origin < turn),
+k AS (SELECT conv_id, turn, level, h, max(origin) AS origin FROM q JOIN o USING (conv_id, h) WHERE origin < turn GROUP BY ALL),
 par AS (SELECT conv_id, turn, max_by(origin, [-level, origin]) AS reply_to, count(*) AS n_linked FROM k GROUP BY ALL),
 up AS (SELECT conv_id, turn, reply_to AS anc, 1 AS depth FROM par
        UNION ALL SELECT up.conv_id, up.turn, par.reply_to, depth + 1 FROM up JOIN par ON par.conv_id = up.conv_id AND par.turn = up.anc),
