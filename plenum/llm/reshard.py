@@ -164,15 +164,17 @@ def rewrite(docs: DataFrame, placed: DataFrame, path: str) -> DataFrame:
     todo = placed.join(gives, "shard", "left_semi").groupBy("doc_id", "text_crc32").agg(
         F.array_sort(F.collect_list(F.struct("shard", "slot", "size"))).alias("places"))  # one entry a repeated row
     names = docs.columns
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("null")),
-                              "__crc": F.crc32(F.encode(text, "utf-8"))})
+    # Columns travel by position: c0, c1, ... clash with nothing.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    doc_id, text = (F.col(f"c{names.index(c)}") for c in ("doc_id", "text"))
+    keyed = plain.withColumns({"__id": F.coalesce(doc_id.cast("long").cast("string"), F.lit("null")),
+                               "__crc": F.crc32(F.encode(F.coalesce(text.cast("string"), F.lit("")), "utf-8"))})
     place = todo.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("__id"),
                         F.col("text_crc32").alias("__crc"), "places")
     nth = F.row_number().over(Window.partitionBy("__id", "__crc").orderBy(F.lit(0)))
     rows = keyed.join(place, ["__id", "__crc"]).withColumn("__place", F.element_at("places", nth))
     rows = rows.select(F.col("__place.shard").alias("shard"), F.col("__place.slot").alias("slot"),
-                       F.col("__place.size").alias("size"), F.struct(*names).alias("row"))
+                       F.col("__place.size").alias("size"), F.struct(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)]).alias("row"))
     out = rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
     out.write.mode("overwrite").partitionBy("shard").parquet(path)
     back = docs.sparkSession.read.parquet(path)
