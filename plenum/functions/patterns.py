@@ -47,7 +47,8 @@ NAYS_RE = r"NAYS:\s+([^\n]+)"
 BLOCK_ABSENT_RE = r"ABSENT:\s+([^\n]+)"
 MOTION_RE = r"(MOTION|RESOLUTION):\s+(\d+)"
 SPEAKERS_RE = r"(?s)SPEAKERS:(.*?)(?:ACTION:|AYES:|NAYS:|RESOLUTION:|MOTION:|$)"
-SPEAKER_LINE_RE = r"[+=-][^\n]*"
+SPEAKER_LINE_RE = r"[+=-]\s*[^\n]*"
+ITEM_STAFF_RE = r"^\d{1,2}[a-zA-Z]?\.\s+\d{4}-\d{6,}[A-Z]*\s+\((.*?)\)"
 
 # --- FIXED VALUES: record keys -----------------------------------------------
 REQUIRED_KEYS = [
@@ -65,12 +66,28 @@ FLAT_ORDER = [
     "modifications", "block_header",
 ]
 
-PROMPT_INSTRUCTION = (
-    "You are a strict JSON extractor. Given a block of raw meeting text, extract and return "
-    "exactly one valid double-quoted JSON object with the keys below (any order). \n"
-    "Only output the JSON—no commentary. Missing fields → empty string \"\".\n\n"
-    "Required keys:\n" + "".join(f"- {k}\n" for k in REQUIRED_KEYS) + "\nRaw block:\n"
-)
+PROMPT_INSTRUCTION = """You are a strict JSON extractor. Given a block of raw meeting text, extract and return exactly one valid double-quoted JSON object with the keys below (any order). \n\
+Only output the JSON—no commentary. Missing fields → empty string "".
+
+Required keys:
+- case_number
+- project_address
+- lot_number
+- assessor_block
+- project_descr
+- type_district
+- type_district_descr
+- speakers
+- action
+- modifications
+- ayes
+- noes
+- absent
+- vote
+- action_name
+
+Raw block:
+"""
 
 # --- FIXED VALUES: links -------------------------------------------------------
 PAGE_LINK_SUFFIX_RE = r"\.html?$"

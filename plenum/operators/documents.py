@@ -181,21 +181,26 @@ def parse_items(text) -> Column:
     """Modern minutes items -> array of structs (item_num, code, staff,
     title, address, action, aye_votes, nay_votes, motion_or_resolution,
     speakers_count, speakers_raw). Values may sit on the line after their
-    label. Text before the first item is dropped."""
+    label. Text before the first item is dropped, and so are items whose first
+    line names no staff in parentheses."""
     blocks = pieces_after(text, P.ITEM_HEADER_RE)
-    return F.transform(blocks, _item_fields)
+    return F.transform(F.filter(blocks, _has_staff), _item_fields)
+
+
+def _has_staff(b: Column) -> Column:
+    return F.substring_index(b, "\n", 1).rlike(P.ITEM_STAFF_RE)
 
 
 def item_rows(df: DataFrame, keys, text: str = "text", pos: str = "pos") -> DataFrame:
-    """D11 as rows: one row per item with its 1-based ordinal and the fields
-    of ``parse_items``. The item header always matches non-blank text, so the
+    """D11 as rows: one row per item with its 1-based ordinal (items without
+    staff are counted, but left out) and the fields of ``parse_items``. The item header always matches non-blank text, so the
     raw pieces are exploded and parsed in a flat projection (codegen) rather
     than inside an array lambda."""
     from .aggregate import explode_nonempty
 
     staged = df.select(*keys, _raw_pieces(F.col(text), P.ITEM_HEADER_RE).alias("__items"))
     rows = explode_nonempty(staged, keys, "__items", (pos, "__b"))
-    rows = rows.select(*keys, (F.col(pos) + 1).alias(pos), X.strip("__b").alias("__b"))
+    rows = rows.select(*keys, (F.col(pos) + 1).alias(pos), X.strip("__b").alias("__b")).where(_has_staff(F.col("__b")))
     return rows.select(*keys, pos, _item_fields(F.col("__b")).alias("__f")).select(*keys, pos, "__f.*")
 
 
@@ -214,7 +219,7 @@ def _item_fields(b: Column) -> Column:
     return F.struct(
         F.regexp_extract(b, r"^(\d{1,2})[a-zA-Z]?\.", 1).alias("item_num"),
         F.regexp_extract(b, r"^\d{1,2}[a-zA-Z]?\.\s+(\d{4}-\d{6,}[A-Z]*)", 1).alias("code"),
-        F.regexp_extract(b, r"^\d{1,2}[a-zA-Z]?\.\s+\d{4}-\d{6,}[A-Z]*\s+\((.*?)\)", 1).alias("staff"),
+        F.regexp_extract(b, P.ITEM_STAFF_RE, 1).alias("staff"),
         F.coalesce(X.strip(F.get(rest, 0)), F.lit("")).alias("title"),
         F.when(addr != "", X.title_address(addr)).alias("address"),
         opt(P.ACTION_RE).alias("action"),
@@ -227,8 +232,8 @@ def _item_fields(b: Column) -> Column:
 
 
 def speakers(block) -> Column:
-    """Speaker entries (from a +, = or - sign to the end of its line) with
-    their stance: + for, - against, = neutral."""
+    """Speaker entries (from a +, = or - sign to the end of its line; a name
+    may follow on the next line) with their stance: + for, - against, = neutral."""
     lst = F.transform(F.regexp_extract_all(_c(block), F.lit(P.SPEAKER_LINE_RE), 0), lambda s: X.strip(s))
     return F.transform(lst, lambda s: F.struct(
         X.strip(F.substring(s, F.lit(2), F.length(s))).alias("name"),

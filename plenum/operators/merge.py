@@ -48,10 +48,9 @@ def outer_merge(a: DataFrame, b: DataFrame, on, null_safe: bool = False) -> Data
                     *rest_a, *rest_b)
 
 
-def merge_indicator(a: DataFrame, b: DataFrame, on, name: str = "_merge") -> DataFrame:
-    """Full outer join plus an indicator in {both, left_only, right_only}."""
-    keys = _keys(on)
-    j = a.withColumn("__in_l", F.lit(True)).join(b.withColumn("__in_r", F.lit(True)), on=keys, how="full")
+def merge_indicator(a: DataFrame, b: DataFrame, on, name: str = "_merge", null_safe: bool = False) -> DataFrame:
+    """Full outer join plus an indicator in {both, left_only, right_only}. ``null_safe`` as in ``outer_merge``."""
+    j = outer_merge(a.withColumn("__in_l", F.lit(True)), b.withColumn("__in_r", F.lit(True)), on, null_safe)
     ind = (F.when(F.col("__in_l") & F.col("__in_r"), F.lit("both"))
            .when(F.col("__in_l"), F.lit("left_only"))
            .otherwise(F.lit("right_only")))

@@ -183,16 +183,27 @@ def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schem
 
 def assemble_records(df: DataFrame, source_file: str, meeting_date: str, block: str, pred: str,
                      pos: str = "pos") -> DataFrame:
-    """One result row per block: source file, meeting date, block header,
-    the salvaged fields (X19 applied first) and the cleaned block number."""
+    """One result row per block: source file, meeting date, block header
+    and the salvaged fields (X19 applied first) as the struct ``extracted``,
+    its ``assessor_block`` cleaned to the block number (X15)."""
     fields = salvage_fields(X.before_token(pred))
-    return df.select(
+    rows = df.select(
         F.col(source_file).alias("source_file"),
         F.col(meeting_date).alias("meeting_date"),
         F.col(pos).alias("block"),
         X.block_header(block).alias("block_header"),
         fields.alias("extracted"),
-    ).withColumn("assessor_block", X.clean_block_no(F.col("extracted.assessor_block")))
+    )
+    return rows.withColumn("extracted", F.col("extracted").withField(
+        "assessor_block", X.clean_block_no(F.col("extracted.assessor_block"))))
+
+
+def flat_records(records: DataFrame) -> DataFrame:
+    """D16 -> P20 -> P21 -> P7: records as a flat table in the fixed column
+    order, other columns at the end; list columns become joined text."""
+    from .clean import flatten_struct, join_lists, order_columns
+
+    return order_columns(join_lists(flatten_struct(records, "extracted"), P.JOINED_LIST_KEYS), P.FLAT_ORDER)
 
 
 # ---------------------------------------------------------------- pairs

@@ -238,29 +238,96 @@ def downballot_shares(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("two_wave_outer", sql="""
-WITH w1 AS (SELECT user_id, sum(value) AS error_value FROM events WHERE event_type = 'error' AND day(ts) <= 10 GROUP BY user_id),
-w2 AS (SELECT user_id, count(*) AS late_purchases FROM events WHERE event_type = 'purchase' AND day(ts) > 20 GROUP BY user_id),
-u AS (SELECT coalesce(w1.user_id, w2.user_id) AS user_id, w1.error_value, w2.late_purchases, 'merged' AS source
-      FROM w1 FULL JOIN w2 ON w1.user_id = w2.user_id)
-SELECT user_id, round(error_value, 4) AS error_value, late_purchases, source FROM u
+WITH e AS (SELECT user_id, date_trunc('hour', ts) AS unit_hour, event_type, value FROM events),
+w1 AS (SELECT user_id, unit_hour, sum(value) AS first_value FROM e WHERE event_type IN ('error', 'view') GROUP BY user_id, unit_hour),
+w2 AS (SELECT user_id, unit_hour, count(*) AS second_events FROM e WHERE event_type NOT IN ('error', 'view', 'signup') GROUP BY user_id, unit_hour),
+u AS (SELECT coalesce(w1.user_id, w2.user_id) AS user_id, coalesce(w1.unit_hour, w2.unit_hour) AS unit_hour,
+             w1.first_value, w2.second_events, 'merged' AS source
+      FROM w1 FULL JOIN w2 ON w1.user_id = w2.user_id AND w1.unit_hour = w2.unit_hour)
+SELECT user_id, CAST(unit_hour AS VARCHAR) AS unit_hour, round(first_value, 4) AS first_value, second_events, source FROM u
 UNION ALL
-SELECT user_id, NULL AS error_value, NULL AS late_purchases, 'signup_only' AS source
-FROM (SELECT DISTINCT user_id FROM events WHERE event_type = 'signup'
-      EXCEPT SELECT user_id FROM u)
+SELECT user_id, CAST(unit_hour AS VARCHAR), NULL, NULL, 'signup_only'
+FROM (SELECT DISTINCT user_id, unit_hour FROM e WHERE event_type = 'signup' EXCEPT SELECT user_id, unit_hour FROM u)
 """)
 def two_wave_outer(spark: SparkSession, sf: str) -> DataFrame:
-    """J3 + U1: two waves merged on the unit with a full outer join, then an
-    outer union with a frame of another schema (units seen only at signup)."""
-    e = table(spark, sf, "events").select("user_id", "ts", "event_type", "value")
-    w1 = e.filter((F.col("event_type") == "error") & (F.dayofmonth("ts") <= 10)) \
-          .groupBy("user_id").agg(F.sum("value").alias("error_value"))
-    w2 = e.filter((F.col("event_type") == "purchase") & (F.dayofmonth("ts") > 20)) \
-          .groupBy("user_id").agg(F.count(F.lit(1)).alias("late_purchases"))
-    merged = M.outer_merge(w1, w2, "user_id").withColumn("source", F.lit("merged"))
-    signup_only = M.missing_keys(e.filter(F.col("event_type") == "signup").select("user_id").distinct(),
-                                 merged, "user_id").withColumn("source", F.lit("signup_only"))
+    """J3 + U1: two waves (kinds of events) merged on the unit, a user in an hour, with a full outer join, then an outer
+    union with a frame of another schema (units seen only at signup). Every event is in one of the three."""
+    keys = ["user_id", "unit_hour"]
+    e = table(spark, sf, "events").select("user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("unit_hour"), "event_type", "value")
+    first, signup = F.col("event_type").isin("error", "view"), F.col("event_type") == "signup"
+    w1 = e.filter(first).groupBy(*keys).agg(F.sum("value").alias("first_value"))
+    w2 = e.filter(~first & ~signup).groupBy(*keys).agg(F.count(F.lit(1)).alias("second_events"))
+    merged = M.outer_merge(w1, w2, keys).withColumn("source", F.lit("merged"))
+    signup_only = M.missing_keys(e.filter(signup).select(*keys).distinct(), merged, keys).withColumn("source", F.lit("signup_only"))
     out = M.union_outer(merged, signup_only)
-    return out.select("user_id", F.round("error_value", 4).alias("error_value"), "late_purchases", "source")
+    return out.select("user_id", F.col("unit_hour").cast("string").alias("unit_hour"), F.round("first_value", 4).alias("first_value"),
+                      "second_events", "source")
+
+
+@query("merge_null_keys", sql="""
+WITH o AS (SELECT o_custkey, nullif(o_orderpriority, '4-NOT SPECIFIED') AS office, nullif(year(o_orderdate), 1995) AS year, o_orderstatus, o_totalprice FROM orders),
+a AS (SELECT o_custkey, office, year, round(sum(o_totalprice), 2) AS settled FROM o WHERE o_orderstatus = 'F' GROUP BY ALL),
+b AS (SELECT o_custkey, office, year, count(*) AS pending FROM o WHERE o_orderstatus <> 'F' GROUP BY ALL)
+SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(a.office, b.office) AS office,
+  CAST(coalesce(a.year, b.year) AS BIGINT) AS year, a.settled, b.pending,
+  CASE WHEN a.o_custkey IS NULL THEN 'right_only' WHEN b.o_custkey IS NULL THEN 'left_only' ELSE 'both' END AS _merge
+FROM a FULL JOIN b ON a.o_custkey = b.o_custkey AND a.office IS NOT DISTINCT FROM b.office AND a.year IS NOT DISTINCT FROM b.year
+""")
+def merge_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """J3 + J4 on several keys that may be null: two office panels of a unit meet on (unit, office, year), and a null
+    office or year meets a null one."""
+    o = table(spark, sf, "orders").select(
+        "o_custkey", F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("office"),
+        F.nullif(F.year("o_orderdate"), F.lit(1995)).cast("bigint").alias("year"), "o_orderstatus", "o_totalprice")
+    keys = ["o_custkey", "office", "year"]
+    settled = C.keep_eq(o, "o_orderstatus", "F").groupBy(*keys).agg(F.round(F.sum("o_totalprice"), 2).alias("settled"))
+    pending = C.keep_eq(o, "o_orderstatus", "F", negate=True).groupBy(*keys).agg(F.count(F.lit(1)).alias("pending"))
+    return M.merge_indicator(settled, pending, keys, null_safe=True)
+
+
+@query("unit_lookup", sql="""
+SELECT c.c_custkey, n.n_nationkey, lower(c.c_name) AS unit, lower(n.n_name) AS state,
+  regexp_replace(lower(c.c_name), '#', ' no. ') AS label, CAST(c.c_nationkey AS VARCHAR) || lpad(CAST(c.c_custkey AS VARCHAR), 9, '0') AS key,
+  CAST(trunc(c.c_acctbal) AS BIGINT) AS balance
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE (c.c_mktsegment = 'BUILDING' OR c.c_acctbal > 5000 OR c.c_nationkey IN (1, 2)) AND NOT contains(lower(c.c_name), '7')
+   OR contains(lower(c.c_name), '77') AND c.c_acctbal BETWEEN 0 AND 9000
+""")
+def unit_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """P1 + P2 + F4-F6 + J5 + X23 + X24: units with lower-cased names and text, kept by a disjunction, without those whose name
+    holds a 7 (but with a range of those that hold 77), looked up under a key of another name, labelled and keyed."""
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("C_CustKey"), F.col("c_name").alias("Unit"), F.col("c_nationkey").alias("C_NationKey"),
+                                            F.col("c_acctbal").alias("C_AcctBal"), F.col("c_mktsegment").alias("Segment"))
+    c = C.lower_strings(C.lower_columns(c))
+    wanted = C.drop_containing(C.keep_any(c, F.col("segment") == "building", F.col("c_acctbal") > 5000, F.col("c_nationkey").isin(1, 2)), "unit", "7")
+    others = C.keep_range(C.keep_any(c, F.col("unit").contains("77")), "c_acctbal", 0, 9000)
+    nation = C.lower_strings(table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("state")))
+    out = M.join_on(M.union_strict(wanted, others), M.bounded_broadcast(nation), "c_nationkey", "n_nationkey")
+    return out.select("c_custkey", "n_nationkey", "unit", "state", X.sub_first("unit", "#", " no. ").alias("label"),
+                      X.concat_key("c_nationkey", X.zfill(F.col("c_custkey").cast("string"), 9)).alias("key"),
+                      F.col("c_acctbal").cast("bigint").alias("balance"))
+
+
+@query("incomplete_units", sql="""
+WITH u AS (SELECT o_custkey, round(sum(o_totalprice) FILTER (WHERE o_orderstatus = 'P'), 2) AS pending,
+             max(o_orderpriority) FILTER (WHERE o_orderstatus = 'P' AND year(o_orderdate) = 1998) AS late
+           FROM orders GROUP BY o_custkey)
+SELECT 'any' AS rule, o_custkey, pending, late FROM u WHERE pending IS NOT NULL AND late IS NOT NULL
+UNION ALL
+SELECT 'all', o_custkey, coalesce(pending, 0), coalesce(late, '0') FROM u WHERE pending IS NOT NULL OR late IS NOT NULL
+""")
+def incomplete_units(spark: SparkSession, sf: str) -> DataFrame:
+    """P18 + P19 + P17 + U2 on measures with gaps (pending value, last priority of one year): rows without any gap, and rows
+    with something in them, whose gaps become 0."""
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate")
+    pending = F.col("o_orderstatus") == "P"
+    u = o.groupBy("o_custkey").agg(
+        F.round(F.sum(F.when(pending, F.col("o_totalprice"))), 2).alias("pending"),
+        F.max(F.when(pending & (F.year("o_orderdate") == 1998), F.col("o_orderpriority"))).alias("late"))
+    measures = ["pending", "late"]
+    whole = C.drop_incomplete(u, measures).withColumn("rule", F.lit("any"))
+    filled = C.fill_nulls(C.drop_incomplete(u, measures, how="all")).withColumn("rule", F.lit("all"))
+    return M.union_strict(whole, filled).select("rule", "o_custkey", *measures)
 
 
 # ---------------------------------------------------------------- value maps

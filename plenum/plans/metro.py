@@ -63,10 +63,17 @@ def weighted_index(spark: SparkSession, sf: str) -> DataFrame:
     return _r(_r(out, ["l_discount", "l_tax"]), ["l_extendedprice"], 4)
 
 
+def _two_registers(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Two sides that cover each other in part: all customers, and the totals of all orders under a register that numbers
+    customers by twos (some units are on one side only)."""
+    a = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    b = table(spark, sf, "orders").groupBy((2 * F.col("o_custkey")).alias("c_custkey")).agg(F.sum("o_totalprice").alias("order_total"))
+    return a, b
+
+
 @query("merge_indicator", sql="""
-WITH a AS (SELECT c_custkey, c_acctbal FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
-b AS (SELECT o_custkey AS c_custkey, sum(o_totalprice) AS order_total FROM orders
-      WHERE o_orderdate >= TIMESTAMP '1997-01-01' GROUP BY o_custkey)
+WITH a AS (SELECT c_custkey, c_acctbal FROM customer),
+b AS (SELECT 2 * o_custkey AS c_custkey, sum(o_totalprice) AS order_total FROM orders GROUP BY 2 * o_custkey)
 SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey, a.c_acctbal, round(b.order_total, 2) AS order_total,
   CASE WHEN a.c_custkey IS NOT NULL AND b.c_custkey IS NOT NULL THEN 'both'
        WHEN a.c_custkey IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS _merge
@@ -74,16 +81,14 @@ FROM a FULL JOIN b ON a.c_custkey = b.c_custkey
 """)
 def merge_indicator(spark: SparkSession, sf: str) -> DataFrame:
     """Full outer merge with a both/left_only/right_only indicator."""
-    a = table(spark, sf, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD").select("c_custkey", "c_acctbal")
-    b = (table(spark, sf, "orders").filter(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
-         .groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.sum("o_totalprice").alias("order_total")))
+    a, b = _two_registers(spark, sf)
     m = M.merge_indicator(a, b, "c_custkey")
     return m.select("c_custkey", "c_acctbal", F.round("order_total", 2).alias("order_total"), "_merge")
 
 
 @query("merge_side_counts", sql="""
-WITH a AS (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
-b AS (SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'),
+WITH a AS (SELECT c_custkey FROM customer),
+b AS (SELECT DISTINCT 2 * o_custkey AS c_custkey FROM orders),
 m AS (SELECT CASE WHEN a.c_custkey IS NOT NULL AND b.c_custkey IS NOT NULL THEN 'both'
                   WHEN a.c_custkey IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS _merge
       FROM a FULL JOIN b ON a.c_custkey = b.c_custkey)
@@ -95,9 +100,8 @@ def merge_side_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("merge_both_zscore", sql="""
-WITH a AS (SELECT c_custkey, c_acctbal FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
-b AS (SELECT o_custkey AS c_custkey, sum(o_totalprice) AS order_total FROM orders
-      WHERE o_orderdate >= TIMESTAMP '1997-01-01' GROUP BY o_custkey),
+WITH a AS (SELECT c_custkey, c_acctbal FROM customer),
+b AS (SELECT 2 * o_custkey AS c_custkey, sum(o_totalprice) AS order_total FROM orders GROUP BY 2 * o_custkey),
 both_sides AS (SELECT a.c_custkey, a.c_acctbal, b.order_total FROM a JOIN b ON a.c_custkey = b.c_custkey)
 SELECT c_custkey,
   round((c_acctbal - (SELECT avg(c_acctbal) FROM both_sides)) / (SELECT stddev_samp(c_acctbal) FROM both_sides), 6) AS acctbal_z,
@@ -107,9 +111,7 @@ FROM both_sides
 def merge_both_zscore(spark: SparkSession, sf: str) -> DataFrame:
     """F9 + A9: rows present on both sides of the merge, z-scored on both
     measures (the step before the index-vs-index line fit)."""
-    a = table(spark, sf, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD").select("c_custkey", "c_acctbal")
-    b = (table(spark, sf, "orders").filter(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
-         .groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.sum("o_totalprice").alias("order_total")))
+    a, b = _two_registers(spark, sf)
     both = M.keep_side(M.merge_indicator(a, b, "c_custkey"), "both")
     z = S.zscore(both, ["c_acctbal", "order_total"])
     return z.select("c_custkey", F.round("c_acctbal_z", 6).alias("acctbal_z"),
@@ -155,6 +157,22 @@ def coverage_kde(spark: SparkSession, sf: str) -> DataFrame:
     return _r(k, ["grid_x", "density"])
 
 
+@query("price_density", sql=f"""
+WITH d AS (SELECT l_returnflag AS grp, l_extendedprice / 1000.0 AS x FROM lineitem),
+b AS (SELECT min(x) AS lo, max(x) AS hi FROM d),
+s AS (SELECT grp, count(*) AS m, stddev_samp(x) * pow(count(*), -0.2) AS h FROM d GROUP BY grp),
+g AS (SELECT range AS i, lo + range * ((hi - lo) / {KDE_POINTS - 1}) AS gx FROM b, range({KDE_POINTS}))
+SELECT d.grp AS l_returnflag, CAST(g.i AS BIGINT) AS grid_index, round(g.gx, 6) AS grid_x,
+  round(sum(exp(-0.5 * pow((g.gx - d.x) / s.h, 2))) / (s.m * s.h * sqrt(2 * pi())), 6) AS density
+FROM d JOIN s ON d.grp = s.grp, g
+GROUP BY d.grp, g.i, g.gx, s.m, s.h
+""")
+def price_density(spark: SparkSession, sf: str) -> DataFrame:
+    """A17 + A18 over few groups of many distinct values: line prices (thousands) per return flag, from moments of cells."""
+    li = table(spark, sf, "lineitem").select("l_returnflag", (F.col("l_extendedprice") / 1000.0).alias("price"))
+    return _r(S.kde_cells(li, "price", "l_returnflag", KDE_POINTS), ["grid_x", "density"])
+
+
 def _lines_per_order(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.count(F.lit(1)).cast("double").alias("n_lines"))

@@ -60,7 +60,7 @@ def _block(x, ok: Column, odate: Column) -> Column:
     sep = F.when(x["l_linestatus"] == "F", F.lit(" – ")).otherwise(F.lit(": "))
     title = F.concat(F.lit("PROJECT "), _s(pk))
     address = F.concat_ws(" ", _s(100 + pk % 900), F.upper(_name(sk)), _kind(pk))
-    speakers = F.concat(F.lit("+ "), _name(pk), F.lit("\n- "), _name(sk),
+    speakers = F.concat(F.when(x["l_quantity"] % 5 == 0, F.lit("+\n")).otherwise(F.lit("+ ")), _name(pk), F.lit("\n- "), _name(sk),
                         F.when(x["l_quantity"] > 25, F.concat(F.lit("\n= "), _name(pk + sk))).otherwise(F.lit("")))
     sd = x["l_shipdate"]
     action = (F.when(x["l_returnflag"] == "A", F.lit("Approved"))
@@ -72,8 +72,8 @@ def _block(x, ok: Column, odate: Column) -> Column:
     gone = F.when((ok + ln) % 4 < 2, F.concat(F.lit("\nABSENT: "), _name(ok + ln + 5))).otherwise(F.lit(""))
     even = F.concat(dotted, sep, title, F.lit("\n"), address, F.lit("\nSPEAKERS:\n"), speakers,
                     F.lit("\nACTION: "), action, F.lit("\nAYES: "), ayes, F.lit("\nNAYS: "), nays, gone)
-    odd = F.concat(_s(ln), F.lit(". "), _s(yr), F.lit("-"), digits, suffix, F.lit(" ("), F.upper(_name(ok)),
-                   F.lit(")\n"), title, F.lit("\n"), address, F.lit("\nSPEAKERS:\n"), speakers,
+    staff = F.when((ok + ln) % 11 == 0, F.lit("")).otherwise(F.concat(F.lit(" ("), F.upper(_name(ok)), F.lit(")")))
+    odd = F.concat(_s(ln), F.lit(". "), _s(yr), F.lit("-"), digits, suffix, staff, F.lit("\n"), title, F.lit("\n"), address, F.lit("\nSPEAKERS:\n"), speakers,
                    F.lit("\nACTION:\n"), action, F.lit("\nAYES: "), ayes, F.lit("\nNAYS: "), nays, gone,
                    F.lit("\nMOTION: "), _s(ok * 10 + ln))
     return F.when(ok % 2 == 0, even).otherwise(odd)
@@ -149,7 +149,7 @@ mlines AS (
       || CASE WHEN l.l_linestatus = 'F' THEN ' – ' ELSE ': ' END
       || 'PROJECT ' || CAST(l.l_partkey AS VARCHAR) || chr(10)
       || CAST(100 + l.l_partkey % 900 AS VARCHAR) || ' ' || upper({_SQL_NAMES}[l.l_suppkey % 12 + 1]) || ' ' || {_SQL_KINDS}[l.l_partkey % 6 + 1]
-      || chr(10) || 'SPEAKERS:' || chr(10) || '+ ' || {_SQL_NAMES}[l.l_partkey % 12 + 1] || chr(10) || '- ' || {_SQL_NAMES}[l.l_suppkey % 12 + 1]
+      || chr(10) || 'SPEAKERS:' || chr(10) || CASE WHEN l.l_quantity % 5 = 0 THEN '+' || chr(10) ELSE '+ ' END || {_SQL_NAMES}[l.l_partkey % 12 + 1] || chr(10) || '- ' || {_SQL_NAMES}[l.l_suppkey % 12 + 1]
       || CASE WHEN l.l_quantity > 25 THEN chr(10) || '= ' || {_SQL_NAMES}[(l.l_partkey + l.l_suppkey) % 12 + 1] ELSE '' END
       || chr(10) || 'ACTION: '
       || CASE l.l_returnflag WHEN 'A' THEN 'Approved' WHEN 'R' THEN 'Disapproved'
@@ -161,10 +161,10 @@ mlines AS (
     ELSE
       CAST(l.l_linenumber AS VARCHAR) || '. ' || CAST(year(o.o_orderdate) AS VARCHAR) || '-'
       || lpad(CAST(o.o_orderkey * 10 + l.l_linenumber AS VARCHAR), 6, '0') || l.l_returnflag || l.l_linestatus
-      || ' (' || upper({_SQL_NAMES}[o.o_orderkey % 12 + 1]) || ')' || chr(10)
+      || CASE WHEN (o.o_orderkey + l.l_linenumber) % 11 = 0 THEN '' ELSE ' (' || upper({_SQL_NAMES}[o.o_orderkey % 12 + 1]) || ')' END || chr(10)
       || 'PROJECT ' || CAST(l.l_partkey AS VARCHAR) || chr(10)
       || CAST(100 + l.l_partkey % 900 AS VARCHAR) || ' ' || upper({_SQL_NAMES}[l.l_suppkey % 12 + 1]) || ' ' || {_SQL_KINDS}[l.l_partkey % 6 + 1]
-      || chr(10) || 'SPEAKERS:' || chr(10) || '+ ' || {_SQL_NAMES}[l.l_partkey % 12 + 1] || chr(10) || '- ' || {_SQL_NAMES}[l.l_suppkey % 12 + 1]
+      || chr(10) || 'SPEAKERS:' || chr(10) || CASE WHEN l.l_quantity % 5 = 0 THEN '+' || chr(10) ELSE '+ ' END || {_SQL_NAMES}[l.l_partkey % 12 + 1] || chr(10) || '- ' || {_SQL_NAMES}[l.l_suppkey % 12 + 1]
       || CASE WHEN l.l_quantity > 25 THEN chr(10) || '= ' || {_SQL_NAMES}[(l.l_partkey + l.l_suppkey) % 12 + 1] ELSE '' END
       || chr(10) || 'ACTION:' || chr(10)
       || CASE l.l_returnflag WHEN 'A' THEN 'Approved' WHEN 'R' THEN 'Disapproved'
@@ -423,7 +423,7 @@ f AS (SELECT o_orderkey, pos, b,
   list_transform(regexp_extract_all(regexp_replace(regexp_extract(b, '{P.SPEAKERS_RE}', 1), '^\\s+|\\s+$', '', 'g'), '{P.SPEAKER_LINE_RE}', 0),
                  lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')) AS sp,
   regexp_extract(b, '{P.ADDRESS_RE}', 1) AS addr
-  FROM b)
+  FROM b WHERE regexp_matches(string_split(b, chr(10))[1], '\\([^)]*\\)'))
 SELECT o_orderkey, pos,
   regexp_extract(b, '^(\\d{{1,2}})[a-zA-Z]?\\.', 1) AS item_num,
   regexp_extract(b, '^\\d{{1,2}}[a-zA-Z]?\\.\\s+(\\d{{4}}-\\d{{6,}}[A-Z]*)', 1) AS code,
@@ -797,6 +797,98 @@ recs AS (
 """
 
 
+@query("speaker_stances", sql=f"""
+WITH {MINUTES_CTE},
+numbered AS (SELECT l.*, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS pos FROM order_lines l),
+said AS (
+  SELECT l_orderkey AS o_orderkey, pos, 1 AS entry, {_SQL_NAMES}[l_partkey % 12 + 1] AS name, 'for' AS stance FROM numbered
+  UNION ALL SELECT l_orderkey, pos, 2, {_SQL_NAMES}[l_suppkey % 12 + 1], 'against' FROM numbered
+  UNION ALL SELECT l_orderkey, pos, 3, {_SQL_NAMES}[(l_partkey + l_suppkey) % 12 + 1], 'neutral' FROM numbered WHERE l_quantity > 25)
+SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 2 = 0 AND n = 1 THEN 1 ELSE pos END AS BIGINT) AS pos, CAST(entry AS BIGINT) AS entry, name, stance
+FROM said JOIN (SELECT l_orderkey, count(*) AS n FROM order_lines GROUP BY l_orderkey) c ON said.o_orderkey = c.l_orderkey
+""")
+def speaker_stances(spark: SparkSession, sf: str) -> DataFrame:
+    """The speakers of every block, in order, with the side they took; some names stand on the line after their sign."""
+    b = blocks_of(spread_minutes(spark, sf), ["o_orderkey"])
+    section = F.regexp_extract("block", P.SPEAKERS_RE, 1)
+    said = A.explode_nonempty(b.select("o_orderkey", "pos", D.speakers(section).alias("said")), ["o_orderkey", "pos"], "said", ("entry", "s"))
+    return said.select("o_orderkey", F.col("pos").cast("bigint").alias("pos"), (F.col("entry") + 1).cast("bigint").alias("entry"), "s.name", "s.stance")
+
+
+def _model_output(ok: Column, ln: Column) -> Column:
+    """Stand-in output of a model for block ``ln`` of an order: all keys, sometimes cut off after the last complete one, with a
+    list that does not parse, or with text after the end mark."""
+    no = _s(ok * 10 + ln)
+    parts = [('"case_number": "98.', no, 'C"'), (', "project_address": " ', no, ' Main \\u0026 First "'), (', "lot_number": "', _s(ok % 97), '"'),
+             (', "assessor_block": "', F.concat(_s(ok % 9000 + 1), F.when(ok % 2 == 0, F.lit(" and others")).otherwise(F.lit(""))), '"'),
+             (', "project_descr": "Lot ', no, '"'), (', "TYPE_DISTRICT": "', F.concat(F.lit("RH-"), _s(ln)), '"'),
+             (', "type_district_descr": "house of ', _s(ln), '"'), (', "speakers": [', F.concat(F.lit('"+ '), _name(ok), F.lit('", "- '), _name(ln), F.lit('"')), ']'),
+             (', "action": "', F.when(ok % 3 == 0, F.lit("Approved")).otherwise(F.lit("Continued")), '"'),
+             (', "modifications": "', _s(ok % 5), '"'), (', "ayes": [', F.concat(F.lit('"'), _name(ok + ln), F.lit('", "'), _name(ok + ln + 1), F.lit('"')), ']'),
+             (', "noes": [', F.when(ok % 4 == 0, F.lit(",")).otherwise(F.concat(F.lit('"'), _name(ok), F.lit('"'))), ']'),
+             (', "absent": "', _name(ln), '"')]
+    tail = F.when((ok + ln) % 5 == 0, F.lit(', "vote": "3-')).otherwise(F.concat(
+        F.lit(', "vote": "2-'), _s(ok % 2), F.lit('", "action_name": "Motion '), no, F.lit(f'"}} {P.TERMINATOR} "vote": "9-9"')))
+    return F.concat(F.lit("{"), *[c for a, v, z in parts for c in (F.lit(a), v, F.lit(z))], tail)
+
+
+@query("flat_records", sql=f"""
+WITH {MINUTES_CTE}, {BLOCKS_SQL},
+k AS (SELECT b.*, m.text, b.o_orderkey AS ok, b.pos AS ln FROM blocks b JOIN minutes m ON b.o_orderkey = m.o_orderkey)
+SELECT source_file, CAST(CAST({_sql_weekday_date('text')} AS DATE) AS VARCHAR) AS meeting_date, '98.' || (ok * 10 + ln) || 'C' AS case_number,
+  (ok * 10 + ln) || ' Main \\u0026 First' AS project_address, CAST(ok % 97 AS VARCHAR) AS lot_number, CAST(ok % 9000 + 1 AS VARCHAR) AS assessor_block,
+  'Lot ' || (ok * 10 + ln) AS project_descr, 'RH-' || ln AS type_district, 'house of ' || ln AS type_district_descr,
+  CASE WHEN ok % 3 = 0 THEN 'Approved' ELSE 'Continued' END AS action,
+  CASE WHEN (ok + ln) % 5 = 0 THEN '' ELSE 'Motion ' || (ok * 10 + ln) END AS action_name,
+  CASE WHEN (ok + ln) % 5 = 0 THEN '' ELSE '2-' || (ok % 2) END AS vote,
+  {_SQL_NAMES}[(ok + ln) % 12 + 1] || ', ' || {_SQL_NAMES}[(ok + ln + 1) % 12 + 1] AS ayes,
+  CASE WHEN ok % 4 = 0 THEN '' ELSE {_SQL_NAMES}[ok % 12 + 1] END AS noes, {_SQL_NAMES}[ln % 12 + 1] AS absent,
+  CAST(ok % 5 AS VARCHAR) AS modifications, substr(split_part(block, chr(10), 1), 1, 120) AS block_header,
+  ln AS block, '+ ' || {_SQL_NAMES}[ok % 12 + 1] || ', - ' || {_SQL_NAMES}[ln % 12 + 1] AS speakers
+FROM k
+""")
+def flat_records(spark: SparkSession, sf: str) -> DataFrame:
+    """D6 -> X10 -> D15 -> D16 -> P20 -> P21 -> P7: blocks and a model's output become one flat table of records."""
+    m = spread_minutes(spark, sf).select("o_orderkey", "source_file", "text")
+    m = m.withColumn("meeting_date", X.parse_weekday_date("text").cast("string"))
+    b = blocks_of(m, ["o_orderkey", "source_file", "meeting_date"]).withColumn("pos", F.col("pos").cast("bigint"))
+    p = b.withColumn("pred", _model_output(F.col("o_orderkey"), F.col("pos")))
+    return R.flat_records(R.assemble_records(p, "source_file", "meeting_date", "block", "pred", "pos"))
+
+
+def _hearings(spark: SparkSession, sf: str) -> DataFrame:
+    """Stand-in minutes in which a project comes up again: an order is a meeting that hears its customer's project and the next
+    customer's one; the action follows from the order's status and priority."""
+    o = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"))
+    d, ck = F.col("o_orderdate"), F.col("o_custkey")
+    date = F.concat(F.date_format(d, "EEEE, MMMM "), _s(F.dayofmonth(d)), F.lit(", "), _s(F.year(d)))
+
+    def block(no: Column, action: Column) -> Column:
+        return F.concat(F.lit("\n97."), F.lpad(_s(no), 9, "0"), F.lit("E – PROJECT\nACTION: "), action, F.lit("\nAYES: Elm"))
+
+    first = F.when(F.col("o_orderstatus") == "F", F.lit("Approved")).when(F.col("o_orderstatus") == "O", F.lit("Continued")).otherwise(F.lit("Disapproved"))
+    return o.select("o_orderkey", F.concat(F.when(F.col("o_orderkey") % 13 == 0, F.lit("undated")).otherwise(date), F.lit("\nRegular Meeting"),
+                                           block(ck, first), block(ck + 1, F.col("o_orderpriority"))).alias("text"))
+
+
+@query("hearing_history", sql="""
+WITH h AS (
+  SELECT CASE WHEN o_orderkey % 13 <> 0 AND dayofweek(o_orderdate) BETWEEN 1 AND 5 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS meeting_date,
+    unnest([o_custkey, o_custkey + 1]) AS no,
+    unnest([CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Continued' ELSE 'Disapproved' END, o_orderpriority]) AS action
+  FROM orders)
+SELECT '97.' || lpad(CAST(no AS VARCHAR), 9, '0') || 'E' AS case_number, min(meeting_date) AS first_meeting, max(meeting_date) AS last_meeting,
+  count(*) AS appearances, max_by(action, [coalesce(meeting_date, ''), action]) AS last_action, CAST(count(DISTINCT action) AS BIGINT) AS n_actions
+FROM h GROUP BY no
+""")
+def hearing_history(spark: SparkSession, sf: str) -> DataFrame:
+    """D22 (after D6, X10, D10): projects heard at many meetings, some of them undated."""
+    m = _hearings(spark, sf).withColumn("meeting_date", X.parse_weekday_date("text").cast("string"))
+    b = blocks_of(m, ["o_orderkey", "meeting_date"])
+    recs = b.select("meeting_date", D.case_code("block").alias("case_number"), X.strip(F.regexp_extract("block", P.ACTION_RE, 1)).alias("action"))
+    return R.project_history(recs, "case_number", "meeting_date", "action")
+
+
 @query("votes_long", sql=f"""
 WITH {MINUTES_CTE}, {BLOCKS_SQL}, {_RECORDS_SQL}
 SELECT case_number, meeting_date, trim(member) AS member, vote FROM (

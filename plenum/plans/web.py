@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as X
 from ..operators import aggregate as A
+from ..operators import clean as C
 from ..operators import documents as D
 from ..operators import markup as MK
 from ..operators import merge as M
@@ -101,6 +102,69 @@ def link_filter(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.when(F.lower("href").contains("e"), 1)).alias("n_with_e"))
 
 
+# What an archive page lists: href, anchor text ({n} is the page's number).
+ARCHIVE = [("/doc/{n}.pdf", "Minutes of meeting {n}"), ("/files/minutes-{n}.PDF", "Record"), ("day{n}.HTML", "Day"),
+           ("agenda{n}.htm", "Agenda"), ("/doc/sample.pdf", "Minutes sample"), ("/doc/{n}.pdf?x=1", "Minutes, printed"),
+           ("notes{n}.htm", "<b>MIN</b>UTES"), ("/doc/plan{n}.pdf", "Plan")]
+
+
+def _archived(pages: DataFrame) -> DataFrame:
+    """Stand-in pages: a list of links goes before the article, the entries beginning at one that the page's number names."""
+    n = F.col("page_id").cast("string")
+    entries = [F.when((F.col("page_id") + i) % 3 != 0, F.replace(F.lit(f'<li><a href="{h}"> {t} </a></li>'), F.lit("{n}"), n))
+               for i, (h, t) in enumerate(ARCHIVE)]
+    listed = F.concat(F.lit("<ul>"), F.concat_ws("", *entries), F.lit("</ul><article>"))
+    return pages.withColumn("html", F.replace("html", F.lit("<article>"), listed))
+
+
+@query("archive_links", sql=f"""
+WITH listed AS (
+  SELECT page_id, e.i AS i, replace(e.h, '{{n}}', CAST(page_id AS VARCHAR)) AS h, replace(e.t, '{{n}}', CAST(page_id AS VARCHAR)) AS t
+  FROM pages, (VALUES {", ".join(f"({i}, '{h}', '{t.replace('<b>', '').replace('</b>', '')}')" for i, (h, t) in enumerate(ARCHIVE))}) e(i, h, t)
+  WHERE (page_id + e.i) % 3 <> 0)
+SELECT page_id, h AS href, t AS text, i IN (2, 6) AS is_page, i IN (0, 1) AS is_document FROM listed WHERE i IN (0, 1, 2, 6)
+""")
+def archive_links(spark: SparkSession, sf: str) -> DataFrame:
+    """D1 -> X29 -> F7/F8 -> F4: the links worth following on archive pages, pages by their suffix and documents by their
+    address or the text of the anchor."""
+    ln = D.extract_links(_archived(spread(table(spark, sf, "pages"))))
+    ln = ln.withColumns({"text": X.strip("text"), "link": X.resolve_url("url", "href")})
+    judged = ln.withColumns({"is_page": X.is_page_link("href"), "is_document": X.is_minutes_doc("link", "text")})
+    return C.keep_any(judged, F.col("is_page"), F.col("is_document")).select("page_id", "href", "text", "is_page", "is_document")
+
+
+@query("harvested_urls", sql="""
+WITH t AS (SELECT page_id, 1995 + page_id % 10 AS y, page_id % 7 AS f FROM pages),
+u AS (
+  SELECT y AS year, 'https://one.example/' || y || '/p' || (page_id // 20) AS url FROM t
+  UNION ALL SELECT 2004 - page_id % 10, 'http://two.example/a/' || (2004 - page_id % 10) || '-0' || (f + 1) || '.pdf' FROM t)
+SELECT DISTINCT CAST(year AS VARCHAR) AS year, url FROM u WHERE year BETWEEN 1998 AND 2001
+""")
+def harvested_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """X33 -> X31 (year in the path) -> F6 -> A22: addresses in free text, those of some years, distinct and sorted per year."""
+    n, y = F.col("page_id"), 1995 + F.col("page_id") % 10
+    text = F.concat(F.lit("See {https://one.example/"), y.cast("string"), F.lit("/p"), F.floor(n / 20).cast("string"), F.lit("}\nor <http://two.example/a/"),
+                    (2004 - n % 10).cast("string"), F.lit("-0"), (n % 7 + 1).cast("string"), F.lit(".pdf> ; ftp://no.example/1999/ https://none.example/"), n.cast("string"))
+    notes = table(spark, sf, "pages").select("page_id", text.alias("text"))
+    urls = A.explode_nonempty(notes, ["page_id"], X.harvest_urls("text"), ("url",), with_pos=False)
+    dated = urls.withColumn("year", X.url_year("url", default=None, mode="path"))
+    return A.sorted_unique_by(C.keep_range(dated, "year", "1998", "2001"), "year", "url")
+
+
+@query("payload_kinds", sql="""
+SELECT kind, count(*) AS n, min(page_id) AS first_page, CAST(sum(n_bytes) AS BIGINT) AS n_bytes
+FROM (SELECT page_id, CASE WHEN page_id % 4 = 1 THEN 'pdf' ELSE 'html' END AS kind,
+        octet_length(encode(html)) + CASE WHEN page_id % 4 = 1 THEN 9 ELSE 0 END AS n_bytes FROM pages)
+GROUP BY kind
+""")
+def payload_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    """payloads told apart by their first bytes (every fourth page stands in for a PDF file)."""
+    raw = table(spark, sf, "pages").select("page_id", F.concat(F.when(F.col("page_id") % 4 == 1, F.lit("%PDF-1.4\n")).otherwise(F.lit("")), "html").cast("binary").alias("body"))
+    kinds = [C.keep_type(raw, "body", k).withColumn("kind", F.lit(k)) for k in ("pdf", "html")]
+    return M.union_strict(*kinds).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("first_page"),
+                                                      F.sum(F.octet_length("body").cast("bigint")).alias("n_bytes"))
+
+
 @query("links_by_year", sql=f"""
 WITH {LINKS_SQL},
 k AS (SELECT coalesce(nullif(regexp_extract(url, '(\\d+)', 1), ''), 'unknown') AS year, link FROM links)

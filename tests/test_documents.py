@@ -131,6 +131,23 @@ def test_parse_items(spark):
     assert b.speakers_count == 0 and b.nay_votes is None
 
 
+def test_items_without_staff_are_left_out(spark):
+    text = "1. 2025-000444PCA (A. LEE)\nTitle\n2. 2025-000445PCA\n(B. KIM)\nNo staff on the first line\n3. 2025-000446PCA ()\nEmpty\n4. 2025-000447PCA"
+    df = spark.createDataFrame([(1, text), (2, ""), (3, None)], "id int, t string")
+    got = D.item_rows(df, ["id"], "t").orderBy("id", "pos").collect()
+    assert [(r.id, r.pos, r.code, r.staff, r.title) for r in got] == [
+        (1, 1, "2025-000444PCA", "A. LEE", "Title"), (1, 3, "2025-000446PCA", "", "Empty")]
+    assert [x.code for x in df.select(D.parse_items("t").alias("i")).first().i] == ["2025-000444PCA", "2025-000446PCA"]
+
+
+def test_speaker_names_on_the_next_line(spark):
+    section = "+\nAnn Lee\n-  \n\n Bob\n= Cy\n+"
+    r = spark.createDataFrame([(section,)], "t string").select(D.speakers("t").alias("s")).first().s
+    assert [(x.name, x.stance) for x in r] == [("Ann Lee", "for"), ("Bob", "against"), ("Cy", "neutral"), ("", "for")]
+    found = [x.strip() for x in re.findall(r"[+=-]\s*.*?(?=\n|$)", section)]
+    assert [x[1:].strip() for x in found] == [x.name for x in r]
+
+
 def test_speakers_stance(spark):
     r = spark.createDataFrame([("+ Ann\n- Bob\n= Cy",)], "t string").select(D.speakers("t").alias("s")).first().s
     assert [(x.name, x.stance) for x in r] == [("Ann", "for"), ("Bob", "against"), ("Cy", "neutral")]

@@ -118,3 +118,18 @@ def test_rule_predictor_is_valid_json(spark):
     pred = spark.createDataFrame([(blk,)], "b string").select(R.rule_predictor("b")).first()[0]
     obj = json.loads(pred.replace(P.TERMINATOR, ""))
     assert obj["case_number"] == "98.226D" and obj["ayes"] == ["Ash", "Oak"] and obj["action"] == "Approved"
+
+
+def test_assembled_records_become_a_flat_table(spark):
+    pred = ('{"case_number": "98.226D", "assessor_block": "0123 and others", "speakers": ["+ Ann", "- Bob"], "ayes": ["Elm", "Fir"], '
+            '"noes": [,], "action": " Approved "} <extra_id_0> "vote": "9-9"')
+    df = spark.createDataFrame([("a.txt", "1998-01-08", 1, "98.226D – X\nmore", pred), ("b.txt", None, 2, "", None)],
+                               "file string, day string, pos long, block string, pred string")
+    records = R.assemble_records(df, "file", "day", "block", "pred")
+    assert [r.extracted.assessor_block for r in records.orderBy("block").collect()] == ["0123", None]
+    flat = R.flat_records(records)
+    assert flat.columns[:3] == ["source_file", "meeting_date", "case_number"] and set(flat.columns[-2:]) == {"block", "speakers"}
+    a = flat.where("block = 1").first()
+    assert (a.source_file, a.meeting_date, a.block_header, a.case_number, a.assessor_block) == ("a.txt", "1998-01-08", "98.226D – X", "98.226D", "0123")
+    assert (a.speakers, a.ayes, a.noes, a.action, a.vote) == ("+ Ann, - Bob", "Elm, Fir", "", "Approved", "")
+    assert flat.where("block = 2").count() == 1

@@ -162,8 +162,35 @@ def test_kde_matches_numpy_and_integrates(spark):
         got = np.array([out[(name, i)][1] for i in range(n)])
         assert np.allclose(got, dens, rtol=1e-9, atol=1e-12)
         assert np.trapezoid(got, grid) == pytest.approx(1.0, abs=0.03)
-    binned = {(r.g, r.grid_index): r.density for r in S.kde_binned(df, "x", "g", n, bins=4096).collect()}
-    assert max(abs(binned[k] - out[k][1]) for k in out) < 1e-3
+    cells = {(r.g, r.grid_index): (r.grid_x, r.density) for r in S.kde_cells(df, "x", "g", n).collect()}
+    assert cells.keys() == out.keys()
+    assert max(abs(cells[k][1] - out[k][1]) for k in out) < 1e-11
+    assert max(abs(cells[k][0] - out[k][0]) for k in out) < 1e-12
+
+
+def test_indicator_with_null_keys(spark):
+    a = spark.createDataFrame([(1, "x", 10), (None, "x", 20), (None, None, 30), (2, None, 40)], "k int, s string, a int")
+    b = spark.createDataFrame([(None, "x", 1), (None, None, 2), (2, "y", 3)], "k int, s string, b int")
+    got = sorted(rows(M.merge_indicator(a, b, ["k", "s"], null_safe=True)), key=str)
+    assert got == sorted([(1, "x", 10, None, "left_only"), (None, "x", 20, 1, "both"), (None, None, 30, 2, "both"),
+                          (2, None, 40, None, "left_only"), (2, "y", None, 3, "right_only")], key=str)
+    plain = {r._merge for r in M.merge_indicator(a, b, ["k", "s"]).collect()}
+    assert plain == {"left_only", "right_only"}
+
+
+def test_kde_cells_far_values_and_groups_without_spread(spark):
+    """A long tail (many empty cells), a tight group far away, one row, equal values, nulls."""
+    rng = np.random.default_rng(5)
+    data = [("tail", float(x)) for x in np.exp(rng.normal(0, 2, 400))] + [("far", 900 + float(x)) for x in rng.normal(0, 0.1, 60)]
+    odd = [("one", 3.0), ("same", 2.0), ("same", 2.0), ("tail", None), (None, 1.0)]
+    n = 300
+    df = spark.createDataFrame(data, "g string, x double")
+    want = {(r.g, r.grid_index): r.density for r in S.kde(df, "x", "g", n).collect()}
+    got = {(r.g, r.grid_index): r.density for r in S.kde_cells(spark.createDataFrame(data + odd, "g string, x double"), "x", "g", n).collect()}
+    assert max(abs(got[k] - want[k]) for k in want) < 1e-9
+    assert {k[0] for k in got} == {"tail", "far", "one", "same"}
+    assert all(v is None for k, v in got.items() if k[0] in ("one", "same"))
+    assert S.kde_cells(spark.createDataFrame([], "g string, x double"), "x", "g", n).count() == 0
 
 
 def test_map_columns_row_key_and_batches(spark):
