@@ -7,9 +7,11 @@ keeping a byte where it is costs nothing, moving it costs one. Old shards are
 dealt into blocks of documents by a hash of the row; each block's place in its
 old shard's byte order is the sum of the blocks before it, and the flow's
 amounts cut that order into consecutive stretches, one for each receiving
-shard. A document goes where its first byte falls. Only shard totals (bounded
-by the number of shards) reach the driver; blocks grow in number, not in size,
-with the data.
+shard. A document that lies inside a stretch goes to its shard; the few that a
+cut runs through, at most one a cut, are placed last, the largest first, each
+where most room is left. Only shard totals and these documents' sizes (both
+bounded by the numbers of shards) reach the driver; blocks grow in number, not
+in size, with the data.
 """
 
 from __future__ import annotations
@@ -97,6 +99,26 @@ def plan_transfers(old_bytes: list[int], capacities: list[int]) -> list[list[int
     return min_cost_flow(old_bytes, capacities, lambda i, j: int(i != j))
 
 
+def place_last(placed: DataFrame, capacities: list[int]) -> Column:
+    """The shard of each row of ``placed`` (old, begin, size, stretch, is_cut): that of its stretch, and for rows that a cut runs
+    through the shard with most room left, the largest of them first. The other rows lie within the capacities, so the shards
+    end no further apart than the largest of these rows is. There are no more of them than cuts."""
+    whole = placed.where(~F.col("is_cut")).groupBy("stretch").agg(F.sum("size").alias("size")).collect()
+    free = list(capacities)
+    for r in whole:
+        free[r.stretch] -= r.size
+    chosen = []
+    for r in sorted(placed.where("is_cut").select("old", "begin", "size", "stretch").collect(), key=lambda r: (-r.size, r.old, r.begin)):
+        to = max(range(len(free)), key=lambda j: (free[j], j == r.old, j == r.stretch, -j))
+        free[to] -= r.size
+        chosen.append((f"{r.old}:{r.begin}", to))
+    if not chosen:
+        return F.col("stretch")
+    table = F.create_map(*[F.lit(x) for pair in chosen for x in pair])
+    here = F.try_element_at(table, F.concat_ws(":", F.col("old").cast("string"), F.col("begin").cast("string")))
+    return F.when(F.col("is_cut"), here).otherwise(F.col("stretch"))
+
+
 def assign(rows: DataFrame, n_old: int, shards: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Place ``sized`` rows: adds ``shard`` and ``slot`` (gapless from 0 in each
     shard) and ``moved`` (it leaves the shard of the same number)."""
@@ -129,9 +151,13 @@ def assign(rows: DataFrame, n_old: int, shards: int, block_rows: int = BLOCK_ROW
     ends = F.element_at(F.array(*[F.array(*[F.lit(int(x)).cast("long") for x in c]) for c in cuts]), F.col("old") + 1)
     who = F.element_at(F.array(*[F.array(*[F.lit(int(x)) for x in o]) for o in owners]), F.col("old") + 1)
     placed = placed.join(base, ["old", "block"]).withColumn("begin", begin)
-    rank = F.size(F.filter(ends, lambda e: e <= F.col("begin")))
-    placed = placed.withColumn("shard", F.element_at(who, F.least(rank + 1, F.size(who))))
-    placed = cut_lineage(placed.withColumn("n_in", F.row_number().over(
+    rank = F.least(F.size(F.filter(ends, lambda e: e <= F.col("begin"))) + 1, F.size(who))
+    placed = placed.withColumn("rank", rank)
+    placed = cut_lineage(placed.select(
+        "doc_id", "size", "text_crc32", "old", "block", "begin", F.element_at(who, F.col("rank")).alias("stretch"),
+        (F.col("begin") + F.col("size") > F.element_at(ends, F.col("rank"))).alias("is_cut")))
+    last = place_last(placed, even_capacities(sum(old_bytes), shards))
+    placed = cut_lineage(placed.withColumn("shard", last).withColumn("n_in", F.row_number().over(
         Window.partitionBy("old", "block", "shard").orderBy("doc_id", "text_crc32", "size")) - 1)
         .select("doc_id", "size", "text_crc32", "old", "block", "shard", "n_in"))
     # Slots: rows of the pieces (old shard, block) of a shard that come before.
@@ -145,8 +171,8 @@ def assign(rows: DataFrame, n_old: int, shards: int, block_rows: int = BLOCK_ROW
 
 def reshard(docs: DataFrame, old_shard: Column, n_old: int, shards: int = 24, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per document: ``doc_id, size, text_crc32, law, shard, slot,
-    grown_shard, old_shard, moved``. Law ``bytes``: shards hold equal bytes up
-    to about a document's size for each stretch they receive. Null texts have
+    grown_shard, old_shard, moved``. Law ``bytes``: the fullest and the emptiest
+    shard differ by no more than the largest document. Null texts have
     size 8; rows that are equal in id, size and crc are interchangeable; an empty
     table gives an empty result."""
     rows = cut_lineage(sized(docs, old_shard, n_old))
