@@ -47,13 +47,15 @@ def parse(messages: DataFrame) -> DataFrame:
 
 
 def _passages(parsed: DataFrame) -> DataFrame:
-    """Adds ``passages``: array of (level, content) over consecutive lines of one level."""
-    empty = F.array().cast("array<struct<level:int,content:string>>")
-    return parsed.withColumn("passages", F.aggregate("lines", empty, lambda acc, x: F.when(
-        (F.size(acc) > 0) & (F.element_at(acc, -1)["level"] == x["level"]),
-        F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(
-            x["level"].alias("level"), F.concat_ws("\n", F.element_at(acc, -1)["content"], x["content"]).alias("content")))))
-        .otherwise(F.concat(acc, F.array(x)))))
+    """Adds ``passages``: array of (level, content) over consecutive lines of one level. Each passage is cut out of the lines
+    once, from where it starts to where the next one does, so the work grows with the number of lines."""
+    n = F.size("lines")
+    level = lambda i: F.get("lines", i)["level"]
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (level(i) != level(i - 1)))
+    content = lambda i, end: F.array_join(F.transform(F.slice("lines", i + 1, end - i), lambda x: x["content"]), "\n")
+    # ``starts`` is a column of its own: it is read twice below, so it is not computed again for each passage.
+    return parsed.withColumn("starts", starts).withColumn("passages", F.transform("starts", lambda i, k: F.struct(
+        level(i).alias("level"), content(i, F.coalesce(F.get("starts", k + 1), n)).alias("content")))).drop("starts")
 
 
 def thread(messages: DataFrame) -> DataFrame:
