@@ -66,8 +66,8 @@ MAX_LABELLED = 20_000
 #: text; in at most this share as many other documents as toxic ones; each pattern explains
 #: MIN_SUPPORT more toxic documents and MIN_SHARE of those the lexicon leaves unexplained.
 PATTERN_CHARS, REPEATS, IMPURITY, MIN_SUPPORT, MIN_SHARE = range(3, 8), (1, 2, 3), 0.1, 6, 0.02
-#: Candidates of the covering (the best supported ones); words a task remembers.
-MAX_CANDIDATES, MEMO_WORDS = 50_000, 400_000
+#: Words a task remembers.
+MEMO_WORDS = 400_000
 
 #: Clauses end at ASCII marks and line ends and at the same marks of other scripts (full-width, CJK, Arabic, Devanagari,
 #: Armenian, Ethiopic, double quotation marks, ellipsis, line and paragraph separators, next line).
@@ -258,10 +258,10 @@ def _count(rows: DataFrame, label: int, grammar: Grammar, wanted: frozenset[str]
 
 
 def learn_patterns(rows: DataFrame) -> tuple[tuple[bytes, int], ...]:
-    """Cover the unexplained toxic rows of the (bounded) sample by pure patterns."""
+    """Cover the unexplained toxic rows of the sample by pure patterns. Every
+    beginning with MIN_SUPPORT is a candidate; the sample's bound on rows bounds them."""
     grammar = Grammar()
-    toxic = {r.pattern: r.n for r in _count(rows, 1, grammar, None).where(F.col("n") >= MIN_SUPPORT)
-             .orderBy(F.desc("n"), "pattern").limit(MAX_CANDIDATES).collect()}
+    toxic = {r.pattern: r.n for r in _count(rows, 1, grammar, None).where(F.col("n") >= MIN_SUPPORT).collect()}
     if not toxic:
         return ()
     clean = {r.pattern: r.n for r in _count(rows, 0, grammar, frozenset(toxic)).collect()}
