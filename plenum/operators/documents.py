@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import scalar as X
-from .markup import extract_links, extract_tables, page_texts  # noqa: F401
+from .markup import extract_links, extract_tables, page_text, page_texts  # noqa: F401
 
 SENTINEL = "\u0001"
 
@@ -170,6 +170,29 @@ def meeting_header(text) -> Column:
     )
 
 
+def meetings_of_pages(pages: DataFrame, keys, year: str = "year", slug: str = "slug", url: str = "url", html: str = "html",
+                      pos: str = "meeting_pos") -> DataFrame:
+    """D4 + D3 + D9 + X27 + D6 + D7 + X28: one row per meeting of a page, with its 1-based ordinal, anchor, header
+    fields, ``source_url``, ``file_key`` and ``tagged`` text. A meeting without a month-name date takes the date of its
+    anchor, without either the file is named after year, slug and ordinal. A null page is one meeting with empty text."""
+    from .aggregate import explode_nonempty
+
+    own = pages.select(F.struct(*keys).alias("__keys"), F.col(year).alias("__year"), F.col(slug).alias("__slug"),
+                       F.col(url).alias("__url"), F.col(html).alias("__html"))
+    held = ["__keys", "__year", "__slug", "__url"]
+    cut = explode_nonempty(own, held, split_meetings("__html"), ("__i", "__m"))
+    text = cut.select(*held, (F.col("__i") + 1).cast("bigint").alias("__pos"), F.col("__m.anchor").alias("__anchor"),
+                      page_text("__m.html").alias("__text"))
+    rows = with_blocks(text, "__text", "__blocks", mode=None).select(
+        *held, "__pos", "__anchor", meeting_header("__text").alias("__h"), tag_blocks("__blocks").alias("__tagged"))
+    date = F.when(F.col("__h.date") == "", X.anchor_date("__anchor")).otherwise(F.col("__h.date"))
+    rows = rows.withColumn("__date", date)
+    fields = [F.col(f"__h.{c}").alias(c) for c in ("day_of_week", "meeting_type", "location", "present", "absent", "staff")]
+    return rows.select("__keys.*", F.col("__year").alias(year), F.col("__pos").alias(pos), F.col("__anchor").alias("anchor"),
+                       F.col("__date").alias("date"), *fields, F.col("__url").alias("source_url"),
+                       X.file_key("__date", "__year", "__slug", "__pos").alias("file_key"), F.col("__tagged").alias("tagged"))
+
+
 def case_code(block, lenient: bool = False) -> Column:
     """D10 + X16: normalised case code of a block ('' when none). ``lenient``
     also accepts a suffix separated by one space."""

@@ -396,6 +396,82 @@ def split_meetings(spark: SparkSession, sf: str) -> DataFrame:
                     F.length("m.html").cast("bigint").alias("html_chars"))
 
 
+def _minutes_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """(o_orderkey, year, slug, url, html): a page per order with one to four meetings, the i-th with blocks 1 to i, its
+    header with or without a date line; pending orders have no anchors."""
+    o = spread(_orders(spark, sf))
+    ok, ck, od = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
+    o = o.select("*", *[F.replace(_block(_line(j, ok, ck, od), ok, od), F.lit("\n"), F.lit("<br/>")).alias(f"b{j}")
+                        for j in range(1, MAX_BLOCKS + 1)])
+    sections = []
+    for i, (opened, closed) in enumerate(ANCHOR_FORMS, 1):
+        sd = F.date_add(od, 30 * i)
+        name = F.concat(_s(F.month(sd)), F.lit("_"), _s(F.dayofmonth(sd)), F.lit("_"), F.lpad(_s(F.year(sd) % 100), 2, "0"))
+        mark = F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.concat(F.lit(opened), name, F.lit(closed)))
+        dated = F.when((ok + i) % 3 != 0, F.date_format(sd, "EEEE, MMMM d, yyyy"))
+        head = F.concat_ws("<br>", dated, F.lit("<b>PLANNING</b> &amp; ZONING"), F.lit("Special Meeting" if i % 2 == 0 else "Regular Meeting"),
+                           F.concat(F.lit("CITY HALL, ROOM "), _s(400 + ck % 10)),
+                           F.concat(F.lit("PRESENT: "), _name(ck), F.lit(", "), _name(ck + i)), F.concat(F.lit("ABSENT: "), _name(ok + i)),
+                           F.concat(F.lit("STAFF IN ATTENDANCE: "), _name(ok + 7)))
+        blocks = F.concat_ws("<br>", *[f"b{j}" for j in range(1, i + 1)])
+        sections.append(F.when(ck % MAX_BLOCKS >= i - 1, F.concat(mark, F.lit("<p>"), head, F.lit("</p><div>"), blocks, F.lit("</div>"))))
+    return o.select("o_orderkey", _s(F.year(od)).alias("year"), F.concat(F.lit("page"), _s(ok)).alias("slug"),
+                    F.concat(F.lit("http://minutes.example/"), _s(F.year(od)), F.lit("/page"), _s(ok), F.lit(".htm")).alias("url"),
+                    F.concat(F.lit("<html><body><!-- <p>x</p> --><p>Preamble</p>"), F.concat_ws("", *sections),
+                             F.lit("</body></html>")).alias("html"))
+
+
+_SQL_ANCHOR = "(\\d{1,2})_(\\d{1,2})_(\\d{2})"
+
+
+@query("meeting_files", sql=f"""
+WITH {MINUTES_CTE},
+sections AS (
+  SELECT o.o_orderkey, o.o_orderdate, o.o_orderstatus, a.ln AS i, o.o_orderdate + to_days(CAST(30 * a.ln AS INTEGER)) AS sd,
+    CASE WHEN (o.o_orderkey + a.ln) % 3 <> 0 THEN dayname(o.o_orderdate + to_days(CAST(30 * a.ln AS INTEGER))) || ', ' ||
+      monthname(o.o_orderdate + to_days(CAST(30 * a.ln AS INTEGER))) || ' ' || CAST(day(o.o_orderdate + to_days(CAST(30 * a.ln AS INTEGER))) AS VARCHAR)
+      || ', ' || CAST(year(o.o_orderdate + to_days(CAST(30 * a.ln AS INTEGER))) AS VARCHAR) || chr(10) ELSE '' END
+    || 'PLANNING' || chr(10) || ' & ZONING' || chr(10) || CASE WHEN a.ln % 2 = 0 THEN 'Special Meeting' ELSE 'Regular Meeting' END || chr(10)
+    || 'CITY HALL, ROOM ' || CAST(400 + o.o_custkey % 10 AS VARCHAR) || chr(10)
+    || 'PRESENT: ' || {_SQL_NAMES}[o.o_custkey % 12 + 1] || ', ' || {_SQL_NAMES}[(o.o_custkey + a.ln) % 12 + 1] || chr(10)
+    || 'ABSENT: ' || {_SQL_NAMES}[(o.o_orderkey + a.ln) % 12 + 1] || chr(10)
+    || 'STAFF IN ATTENDANCE: ' || {_SQL_NAMES}[(o.o_orderkey + 7) % 12 + 1] || chr(10)
+    || (SELECT string_agg(b.block, chr(10) ORDER BY b.ln) FROM mlines b WHERE b.o_orderkey = o.o_orderkey AND b.ln <= a.ln) AS text
+  FROM orders o JOIN mlines a ON a.o_orderkey = o.o_orderkey),
+meetings AS (
+  SELECT o_orderkey, o_orderdate, CAST(i AS BIGINT) AS meeting_pos,
+    CAST(month(sd) AS VARCHAR) || '_' || CAST(day(sd) AS VARCHAR) || '_' || lpad(CAST(year(sd) % 100 AS VARCHAR), 2, '0') AS anchor, text
+  FROM sections WHERE o_orderstatus <> 'P'
+  UNION ALL
+  SELECT o_orderkey, o_orderdate, CAST(1 AS BIGINT), 'single', 'Preamble' || chr(10) || string_agg(text, chr(10) ORDER BY i)
+  FROM sections WHERE o_orderstatus = 'P' GROUP BY o_orderkey, o_orderdate),
+h AS (SELECT *, CAST(year(o_orderdate) AS VARCHAR) AS year,
+  coalesce(nullif(regexp_extract(text, '{P.DATE_RE}', 1), ''), CASE WHEN regexp_matches(anchor, '{_SQL_ANCHOR}') THEN
+    lpad(regexp_extract(anchor, '{_SQL_ANCHOR}', 1), 2, '0') || '/' || lpad(regexp_extract(anchor, '{_SQL_ANCHOR}', 2), 2, '0')
+    || '/19' || regexp_extract(anchor, '{_SQL_ANCHOR}', 3) ELSE '' END) AS date,
+  {_sql_blocks('text')} AS blocks FROM meetings),
+g AS (SELECT *, {_sql_tag('blocks')} AS tagged FROM h)
+SELECT o_orderkey, year, meeting_pos, anchor, date, regexp_extract(text, '{P.DAY_RE}', 1) AS day_of_week,
+  regexp_extract(text, '{P.MEET_TYPE_RE}', 1) AS meeting_type,
+  coalesce(list_filter(string_split(text, chr(10))[1:20],
+      lambda l: l = upper(l) AND regexp_matches(l, '[A-Z]') AND regexp_matches(l, 'ROOM|HALL|BUILDING'))[1], '') AS location,
+  {_sql_squash(f"regexp_extract(text, '{P.PRESENT_RE}', 1)")} AS present,
+  {_sql_squash(f"regexp_extract(text, '{P.ABSENT_RE}', 1)")} AS absent,
+  {_sql_squash(f"regexp_extract(text, '{P.STAFF_RE}', 1)")} AS staff,
+  'http://minutes.example/' || year || '/page' || CAST(o_orderkey AS VARCHAR) || '.htm' AS source_url,
+  coalesce(nullif(replace(replace(replace(date, ',', ''), '/', '-'), ' ', '_'), ''),
+           year || '_page' || CAST(o_orderkey AS VARCHAR) || '_' || CAST(meeting_pos AS VARCHAR)) AS file_key,
+  CAST(length(tagged) AS BIGINT) AS tagged_chars, md5(tagged) AS tagged_md5
+FROM g
+""")
+def meeting_files(spark: SparkSession, sf: str) -> DataFrame:
+    """D4 + D3 + D9 + X27 + D6 + D7 + X28: pages to meetings, each with its header, the anchor's date where the text has
+    none, its file key and tagged text."""
+    m = D.meetings_of_pages(_minutes_pages(spark, sf), ["o_orderkey"])
+    return m.select(*[c for c in m.columns if c != "tagged"], F.length("tagged").cast("bigint").alias("tagged_chars"),
+                    F.md5("tagged").alias("tagged_md5"))
+
+
 @query("case_codes", sql=f"""
 WITH {MINUTES_CTE}, {BLOCKS_SQL}
 SELECT o_orderkey, pos, upper(replace(coalesce(regexp_extract(block, '{P.CASE_CODE_RE}', 1), ''), ' ', '')) AS code,

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.merge import missing_keys
+from ..session import cut_lineage
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -70,6 +71,16 @@ def write_metadata(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 
 
+def write_meetings(meetings: DataFrame, path: str, keys: Sequence[str], year: str = "year", pos: str = "meeting_pos") -> None:
+    """K5 + K6 of ``meetings_of_pages``: the tagged text of each meeting under ``tagged`` (a folder per year and file key;
+    of several meetings with one file key the last by keys and ordinal stays) and a CSV row per meeting under
+    ``metadata``. The pages are parsed once. Other years' texts of an earlier run stay; the metadata are those of this run."""
+    held = cut_lineage(meetings)
+    write_text_files(held.withColumn("__order", F.struct(*keys, pos)), f"{path}/tagged", [year], "file_key", "tagged", order="__order")
+    write_metadata(held.select("date", "day_of_week", "meeting_type", "location", "present", "absent", "staff", "source_url"),
+                   f"{path}/metadata")
+
+
 def split_rejects(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
     """K7: (good, rejects) by a status predicate. Callers writing both should
     persist ``df`` once (``cut_lineage``) so the source is not read twice."""
