@@ -160,6 +160,43 @@ def share_where(df: DataFrame, keys, cond: Column, out: str = "share") -> DataFr
     return df.dropna(subset=_cols(keys)).groupBy(*_cols(keys)).agg(F.avg(F.coalesce(cond, F.lit(False)).cast("double")).alias(out))
 
 
+def zero_share_by_year(df: DataFrame, unit, year: str, value: str, years: Sequence[int]) -> DataFrame:
+    """A14 for a list of years and their mean: (period, n_rows, share). A year's rows are those of that year and those
+    of year 0 (units filled in by an outer merge); period ``mean`` has a row per unit with its mean over all its rows. A
+    null value is not zero; rows with a null unit are dropped; a period without rows has a null share. One aggregate per
+    unit and one of these, so a unit with very many rows is summed map-side."""
+    mine = [F.col(year).isin(0, y) for y in years]
+    zero = F.coalesce(F.col(value) == 0, F.lit(False))
+    per = df.dropna(subset=_cols(unit)).groupBy(*_cols(unit)).agg(
+        F.avg(value).alias("__mean"), *[F.count_if(m).alias(f"__n{i}") for i, m in enumerate(mine)],
+        *[F.count_if(m & zero).alias(f"__z{i}") for i, m in enumerate(mine)])
+    none = F.lit(0).cast("bigint")
+    periods = [(str(y), F.coalesce(F.sum(f"__n{i}"), none), F.sum(f"__z{i}")) for i, y in enumerate(years)]
+    periods.append(("mean", F.count(F.lit(1)), F.count_if(F.col("__mean") == 0)))
+    total = per.agg(F.array(*[F.struct(F.lit(p).alias("period"), n.alias("n_rows"), z.alias("zeros")) for p, n, z in periods]).alias("__p"))
+    return total.select(F.explode_outer("__p").alias("p")).select(
+        "p.period", "p.n_rows", F.try_divide(F.col("p.zeros").cast("double"), F.col("p.n_rows")).alias("share"))
+
+
+def control_panel(sheets: DataFrame, state: str = "state", row: str = "row", cells: str = "cells") -> DataFrame:
+    """A13 + S11 + X23 + X11 + X24 + X22 + X25: sheets of states (a row per chamber, a map from column label to value) to
+    one row per state and year: ``state, year, stateyear, governor, senate, house, total_gov``. Rows 1 to 3 of a sheet
+    are governor, senate and house whatever they are called, further ones are left out; a label is a two-digit year
+    after one character (other labels give a null year); the first underscore of a state's name becomes a blank; values
+    keep their first character. Of repeated rows the largest value stays; a null value stays null. One shuffle by
+    (state, label), aggregated map-side."""
+    places = ("governor", "senate", "house")
+    long = explode_nonempty(sheets.select(F.col(state).alias("__s"), F.col(row).alias("__r"), F.col(cells).alias("__c")),
+                            ["__s", "__r"], F.map_entries("__c"), ("__i", "__e"))
+    wide = long.groupBy("__s", F.col("__e.key").alias("__label")).agg(
+        *[F.max(F.when(F.col("__r") == i, F.col("__e.value"))).alias(p) for i, p in enumerate(places, 1)])
+    yy = X.sub_first("__label", ".", "")
+    named = wide.select(X.sub_first("__s", "_", " ").alias("state"), X.expand_year(F.when(yy.rlike("^[0-9]{2}$"), yy)).alias("year"),
+                        *[X.first_char(p).alias(p) for p in places])
+    return named.select("state", "year", X.concat_key("state", "year").alias("stateyear"), *places,
+                        X.control("governor", "senate", "house").alias("total_gov"))
+
+
 def longest_per_key(df: DataFrame, keys, text: str, pos: str, sized: bool = False) -> DataFrame:
     """The longest text per key; the first (lowest ``pos``) wins ties.
     ``max_by`` is partially aggregated, so a hot key stays cheap. With ``sized``

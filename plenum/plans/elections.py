@@ -443,6 +443,34 @@ def control_ladder(spark: SparkSession, sf: str) -> DataFrame:
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 
+def _control_sheets(spark: SparkSession, sf: str) -> DataFrame:
+    """(state, row, label, cells): a sheet per customer, three rows, a column per year of its orders."""
+    o = table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").alias("y"), F.substring("o_orderpriority", 1, 1).cast("int").alias("p"))
+    per = o.groupBy("o_custkey", "y").agg(F.max("p").alias("hi"), F.min("p").alias("lo"), F.count(F.lit(1)).cast("int").alias("n"))
+    pick = lambda letters, i: F.element_at(F.array(*map(F.lit, letters)), (i % len(letters) + 1).cast("int"))
+    mark = F.when(F.col("n") % 2 == 0, F.lit("[a]")).otherwise(F.lit(""))
+    codes = [F.concat(pick("DRI", F.col("hi")), mark), pick("DRS", F.col("lo")), F.concat(pick("DR", F.col("n")), mark)]
+    cells = per.select("o_custkey", F.concat(F.lit("X"), F.lpad((F.col("y") % 100).cast("string"), 2, "0")).alias("label"),
+                       F.explode(F.array(*[F.struct(F.lit(i).alias("row"), c.alias("code")) for i, c in enumerate(codes, 1)])).alias("e"))
+    wide = A.rows_to_maps(cells.select("o_custkey", "e.row", "label", "e.code"), ["o_custkey", "row"], "label", "code")
+    return wide.select(F.concat(F.lit("State_"), F.col("o_custkey").cast("string"), F.lit("_x")).alias("state"), "row", "cells")
+
+
+@query("control_panel", sql="""
+WITH p AS (SELECT o_custkey, year(o_orderdate) AS y, max(CAST(substr(o_orderpriority, 1, 1) AS INT)) AS hi,
+             min(CAST(substr(o_orderpriority, 1, 1) AS INT)) AS lo, count(*) AS n FROM orders GROUP BY o_custkey, year(o_orderdate)),
+t AS (SELECT 'State ' || CAST(o_custkey AS VARCHAR) || '_x' AS state, CAST(y AS VARCHAR) AS year, ['D','R','I'][hi % 3 + 1] AS governor,
+        ['D','R','S'][lo % 3 + 1] AS senate, ['D','R'][n % 2 + 1] AS house FROM p)
+SELECT state, year, state || year AS stateyear, governor, senate, house,
+  CASE WHEN senate = 'S' THEN 'Split' WHEN governor = senate AND senate = house THEN governor ELSE 'Split' END AS total_gov
+FROM t
+""")
+def control_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """A13 + X23 + X11 + X24 + X22 + X25: sheets of three chambers by year labels, transposed, named, and summed up as the
+    control of each state and year."""
+    return A.control_panel(_control_sheets(spark, sf))
+
+
 @query("transpose_years", sql="""
 WITH s AS (
   SELECT r.r_name, CAST(year(o.o_orderdate) AS BIGINT) AS year, sum(o.o_totalprice) AS total

@@ -218,6 +218,26 @@ def zero_share(spark: SparkSession, sf: str) -> DataFrame:
     return _r(A.share_where(c, "c_nationkey", F.coalesce(F.col("n"), F.lit(0)) == 0), ["share"])
 
 
+@query("zero_share_by_year", sql="""
+WITH o AS (SELECT o_custkey, CAST(year(o_orderdate) AS BIGINT) AS year, sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS units
+           FROM orders GROUP BY o_custkey, year(o_orderdate)),
+j AS (SELECT coalesce(c.c_custkey, o.o_custkey) AS unit, coalesce(o.year, 0) AS year, coalesce(o.units, 0) AS units
+      FROM o FULL JOIN customer c ON o.o_custkey = c.c_custkey),
+m AS (SELECT unit, avg(units) AS mean FROM j GROUP BY unit),
+y AS (SELECT unnest([1996, 1997, 1998]) AS y)
+SELECT CAST(y.y AS VARCHAR) AS period, CAST(count(*) AS BIGINT) AS n_rows, round(avg(CASE WHEN j.units = 0 THEN 1.0 ELSE 0.0 END), 6) AS share
+FROM j JOIN y ON j.year = y.y OR j.year = 0 GROUP BY y.y
+UNION ALL SELECT 'mean', CAST(count(*) AS BIGINT), round(avg(CASE WHEN mean = 0 THEN 1.0 ELSE 0.0 END), 6) FROM m
+""")
+def zero_share_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    """J3 + P17 + A1 + A14: urgent orders per (customer, year) merged with all customers, what is missing filled with 0
+    (year 0), and the share of zeros of three years and of the customers' means."""
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("unit"), F.year("o_orderdate").cast("bigint").alias("year"),
+                                          (F.col("o_orderpriority") == "1-URGENT").cast("bigint").alias("units"))
+    every = M.outer_merge(A.group_sum(o, ["unit", "year"], ["units"]), table(spark, sf, "customer").select(F.col("c_custkey").alias("unit")), "unit")
+    return _r(A.zero_share_by_year(C.fill_nulls(every, 0), "unit", "year", "units", [1996, 1997, 1998]), ["share"])
+
+
 @query("collapse_units", sql="""
 WITH l AS (SELECT l_suppkey, CAST(year(l_shipdate) AS BIGINT) AS year, sum(l_quantity) AS qty
            FROM lineitem GROUP BY l_suppkey, year(l_shipdate)),
