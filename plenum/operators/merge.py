@@ -9,11 +9,14 @@ used only for sides whose row count is fixed by construction.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from ..functions import scalar as X
+from .clean import lower_strings
+
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast hint for a side whose size is fixed by construction (a
@@ -145,6 +148,23 @@ def union_strict(*dfs: DataFrame) -> DataFrame:
     return out
 
 
+def append_year(history: DataFrame, table: DataFrame, year: int, names: Mapping[str, str], other: str, state: str = "state",
+                states: Mapping[str, str] | None = None, corrected: bool = False) -> DataFrame:
+    """P2 + P9 + P8 + X2 + P4 + P6 + U1: one year's table in its own layout put under a history of years. ``names`` maps
+    the table's total, first and second party's columns, in this order, to the history's; ``other`` is what the total
+    leaves of them (literally ``total - (first - second)``, see ``residual``). Text is lower-cased, states go through
+    ``states`` with themselves as fallback; the history's columns come out, the table's further ones are left out, those
+    it lacks are null."""
+    total, first, second = names
+    own = lower_strings(table).withColumn("__state", X.map_values(state, states or {"": ""}))
+    out = own.withColumn("__other", X.residual(*(f"`{c}`" for c in (total, first, second)), corrected=corrected))
+    shared = [c for c in history.columns if c in table.columns and c not in {state, "year", other, *names.values()}]
+    rows = out.select(F.lit(year).cast(history.schema["year"].dataType).alias("year"), F.col("__state").alias(state),
+                      *[F.col(f"`{c}`").alias(n) for c, n in names.items()], F.col("__other").alias(other),
+                      *[F.col(f"`{c}`") for c in shared])
+    return union_outer(history, rows)
+
+
 def replace_slice(df: DataFrame, cond: Column, new: DataFrame) -> DataFrame:
     """U4: drop the rows matching ``cond`` and append ``new`` (outer union)."""
     return union_outer(df.filter(~F.coalesce(cond, F.lit(False))), new)

@@ -471,6 +471,43 @@ def control_panel(spark: SparkSession, sf: str) -> DataFrame:
     return A.control_panel(_control_sheets(spark, sf))
 
 
+NEW_YEAR = 1998
+VOTES = ["democratic_votes", "republican_votes", "other_votes", "total_votes"]
+
+
+@query("history_and_new_year", sql=f"""
+WITH p AS (SELECT c.c_nationkey AS k, CAST(o.o_custkey AS VARCHAR) AS county_name, CAST(year(o.o_orderdate) AS BIGINT) AS year,
+    sum(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice ELSE 0 END) AS d,
+    sum(CASE WHEN o_orderpriority = '2-HIGH' THEN o_totalprice ELSE 0 END) AS r, sum(o_totalprice) AS t
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE year(o.o_orderdate) <= {NEW_YEAR} GROUP BY ALL),
+m AS (SELECT year, 'state ' || CAST(k AS VARCHAR) AS state, county_name, d, r, t,
+        CASE WHEN year = {NEW_YEAR} THEN t - (d - r) ELSE t - d - r END AS o FROM p)
+SELECT CAST(0 AS INTEGER) AS level, year, state, county_name, round(d, 2) AS democratic_votes, round(r, 2) AS republican_votes,
+  round(o, 2) AS other_votes, round(t, 2) AS total_votes FROM m
+UNION ALL
+SELECT 1, year, state, NULL, round(sum(d), 2), round(sum(r), 2), round(sum(o), 2), round(sum(t), 2) FROM m GROUP BY year, state
+""")
+def history_and_new_year(spark: SparkSession, sf: str) -> DataFrame:
+    """P2 + P9 + P8 + X2 + P4 + P6 + U1 + A26: a history of years and the new year's table, which has its own column
+    names and state codes, in one panel, and its roll-up to states, both from one aggregate."""
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderdate", "o_orderpriority", "o_totalprice")
+    o = o.where(F.col("o_orderdate") < F.lit(f"{NEW_YEAR + 1}-01-01").cast("timestamp"))
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    votes = lambda p: F.sum(F.when(F.col("o_orderpriority") == p, F.col("o_totalprice")).otherwise(0))
+    per = o.groupBy("c_custkey", F.year("o_orderdate").cast("bigint").alias("year")).agg(
+        votes("1-URGENT").alias("d"), votes("2-HIGH").alias("r"), F.sum("o_totalprice").alias("t")).join(c, "c_custkey")
+    county, k = F.col("c_custkey").cast("string").alias("county_name"), F.col("c_nationkey").cast("string")
+    history = per.where(F.col("year") < NEW_YEAR).select(
+        "year", F.concat(F.lit("state "), k).alias("state"), county, F.col("d").alias(VOTES[0]), F.col("r").alias(VOTES[1]),
+        X.residual("t", "d", "r", corrected=True).alias(VOTES[2]), F.col("t").alias(VOTES[3]))
+    code = F.when(F.col("c_nationkey") < 20, F.concat(F.lit("N"), k)).otherwise(F.concat(F.lit("STATE "), k))
+    new = per.where(F.col("year") == NEW_YEAR).select(code.alias("state"), county, F.col("d").alias("smith"), F.col("r").alias("jones"),
+                                                      F.col("t").alias("total vote"), F.lit("County").alias("lsad_trans"))
+    master = M.append_year(history, new, NEW_YEAR, {"total vote": VOTES[3], "smith": VOTES[0], "jones": VOTES[1]}, VOTES[2],
+                           states={f"n{i}": f"state {i}" for i in range(20)})
+    return _round(A.rollup_levels(master, [["year", "state", "county_name"], ["year", "state"]], VOTES), VOTES)
+
+
 @query("transpose_years", sql="""
 WITH s AS (
   SELECT r.r_name, CAST(year(o.o_orderdate) AS BIGINT) AS year, sum(o.o_totalprice) AS total

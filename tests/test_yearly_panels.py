@@ -1,5 +1,6 @@
 """Zero shares by year and the control panel, with literal expected values."""
 from plenum.operators import aggregate as A
+from plenum.operators import merge as M
 
 
 def test_zero_share_by_year(spark):
@@ -23,3 +24,19 @@ def test_control_panel(spark):
     assert (got["New South_Land", "2004"].house, got["New South_Land", "2004"].total_gov) == (None, None)
     assert got["Ohio", "1992"].total_gov == "Split" and got["New South_Land", "1977"].governor is None
     assert A.control_panel(df.where("false")).count() == 0
+
+
+def test_append_year(spark):
+    history = spark.createDataFrame([(2020, "ohio", "adams", 5.0, 3.0, 1.0, 9.0, "old")],
+                                    "year long, state string, county string, dem double, rep double, oth double, tot double, note string")
+    new = spark.createDataFrame([("TX", "Bexar", 4.0, 6.0, 11.0, "County", 7), ("Utah", "Cache", None, 1.0, 2.0, None, 7)],
+                                "state string, county string, blue double, red double, `total vote` double, kind string, year int")
+    names = {"total vote": "tot", "blue": "dem", "red": "rep"}
+    got = M.append_year(history, new, 2024, names, "oth", states={"tx": "texas"})
+    assert got.columns == history.columns
+    assert sorted(map(tuple, got.collect()), key=str) == [
+        (2020, "ohio", "adams", 5.0, 3.0, 1.0, 9.0, "old"), (2024, "texas", "bexar", 4.0, 6.0, 13.0, 11.0, None),
+        (2024, "utah", "cache", None, 1.0, None, 2.0, None)]
+    right = M.append_year(history, new, 2024, names, "oth", corrected=True)
+    assert right.where("state = 'tx'").first().oth == 1.0
+    assert M.append_year(history.where("false"), new.where("false"), 2024, names, "oth").count() == 0
