@@ -25,9 +25,9 @@ from .aggregate import explode_nonempty
 
 # Attributes of a tag up to its end; a quoted value may hold any character but its quote.
 _ATTRS = r"""(?:[^"'>]++|"[^"]*+"|'[^']*+')*+"""
-_TAG = rf"""</?[a-zA-Z]{_ATTRS}>|<[a-zA-Z/!?][^>]*+(?:>|\z)"""
-_SILENT = (r"(?is)<!--.*?(?:-->|\z)|<script\b[^>]*+>.*?(?:</script\s*+>|\z)|<style\b[^>]*+>.*?(?:</style\s*+>|\z)"
-           r"|<template\b[^>]*+>.*?(?:</template\s*+>|\z)")
+_TAG = rf"""<(?:/?[a-zA-Z]{_ATTRS}>|[a-zA-Z/!?][^>]*+(?:>|\z))"""
+_SILENT = (r"(?is)<(?:!--.*?(?:-->|\z)|script\b[^>]*+>.*?(?:</script\s*+>|\z)|style\b[^>]*+>.*?(?:</style\s*+>|\z)"
+           r"|template\b[^>]*+>.*?(?:</template\s*+>|\z))")
 
 
 def _c(c) -> Column:
@@ -63,13 +63,16 @@ def decode_entities(c) -> Column:
         code = F.when(decimal != "", decimal.cast("bigint")).otherwise(F.conv(hexa, 16, 10).cast("bigint"))
         name = F.regexp_extract(part, r"^([a-zA-Z][a-zA-Z0-9]*);", 1)
         known = F.try_element_at(names, name)
-        return (F.when((decimal != "") | (hexa != ""), F.concat(_chr(code), F.regexp_replace(part, r"^#(?:[xX][0-9a-fA-F]{1,8}|[0-9]{1,9});?", "")))
+        return (F.when(part.startswith("amp;"), F.concat(F.lit("&"), F.substring(part, F.lit(5), F.length(part))))
+                .when((decimal != "") | (hexa != ""), F.concat(_chr(code), F.regexp_replace(part, r"^#(?:[xX][0-9a-fA-F]{1,8}|[0-9]{1,9});?", "")))
                 .when(known.isNotNull(), F.concat(known, F.substring(part, F.length(name) + 2, F.length(part))))
                 .otherwise(F.concat(F.lit("&"), part)))
 
-    text = _c(c)
-    parts = F.split(text, "&")
-    return F.when(text.contains("&"), F.concat(parts[0], F.array_join(F.transform(_rest(parts), one), ""))).otherwise(text)
+    def decoded(text: Column) -> Column:
+        cut = X.bound(F.split(text, "&"), lambda parts: F.concat(parts[0], F.array_join(F.transform(_rest(parts), one), "")))
+        return F.when(text.contains("&"), cut).otherwise(text)
+
+    return X.bound(c, decoded)
 
 
 def _nodes(html: Column) -> Column:
