@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from plenum.functions import scalar as X
 from plenum.operators import documents as D
 from plenum.operators import markup as MK
+from plenum.operators import records as R
 from plenum.plans import minutes as M
 from plenum.sources.readers import spread
 
@@ -37,6 +38,21 @@ def test_a_page_is_cut_once(spark, capsys):
     assert plan(split, capsys).count("regexp_replace") == 1
 
 
+def test_validity_marks_a_text_once(spark, capsys):
+    df = texts(spark, '{"a": ["\\n", 1]}', '{"a": [,1]}', "", None)
+    assert plan(df.select(R.is_valid_json("t").alias("x")), capsys).count("bfnrt") == 1
+    assert [r[0] for r in df.select(R.is_valid_json("t")).collect()] == [True, False, False, False]
+
+
+def test_salvage_reads_the_text_for_all_keys_at_once(spark, capsys):
+    df = texts(spark, '{"VOTE": " 2-1 ", "vote": ["x", "y"], "ayes": [,"z"], "noes": ["a", 1], "absent": [], "action": "say "ayes": ["q"]', "", None)
+    f = R.salvage_fields("t")
+    assert plan(df.select(f.alias("x")), capsys).count("regexp_extract") == 2
+    one, empty, null = [r.f for r in df.select(f.alias("f")).collect()]
+    assert (one.vote, one.ayes, one.noes, one.absent, one.action, one.lot_number) == ("x, y", "", "a, 1", "", "say", "")
+    assert set(empty) == {""} and set(null) == {None}
+
+
 def test_strip_looks_at_the_ends_only(spark, capsys):
     df = texts(spark, "  a   b\x85\n", "　", None)
     assert "regexp" not in plan(df.select(X.strip("t"), X.rstrip("t")), capsys)
