@@ -7,16 +7,14 @@ end of the page, a new ``<p>`` or ``<a>`` ends an open one, a stray closing tag
 changes nothing, quoted attribute values may hold ``>``, and a ``<`` that starts
 no tag is text. Comments, scripts, styles and templates hold no text.
 
-Every function takes a Column (or its name) of whole pages; anchors and texts
-need no shuffle. Table rows need one, of the pieces of pages that hold a table,
-by page: windows stay within one page.
+Every function takes a Column (or its name) of whole pages and needs no shuffle.
 """
 
 from __future__ import annotations
 
 from html.entities import name2codepoint
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
@@ -50,7 +48,7 @@ def _chr(code: Column) -> Column:
     low = F.create_map(*[F.lit(x) for i, ch in windows.items() if ch != "�" for x in (i, ch)])
     odd = code.isNull() | (code <= 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
     plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    return F.when(odd, F.lit("�")).when(code.between(128, 159), F.coalesce(F.try_element_at(low, code.cast("int")), plain)).otherwise(plain)
+    return F.when(code.between(1, 127), F.char(code)).when(odd, F.lit("�")).when(code.between(128, 159), F.coalesce(F.try_element_at(low, code.cast("int")), plain)).otherwise(plain)
 
 
 def decode_entities(c) -> Column:
@@ -59,14 +57,14 @@ def decode_entities(c) -> Column:
     names = F.create_map(*[F.lit(x) for n, code in [*sorted(name2codepoint.items()), ("apos", 39)] for x in (n, chr(code))])
 
     def one(part: Column) -> Column:
+        number = r"^#(?:[xX][0-9a-fA-F]{1,8}|[0-9]{1,9});?"
         decimal, hexa = F.regexp_extract(part, r"^#([0-9]{1,9})", 1), F.regexp_extract(part, r"^#[xX]([0-9a-fA-F]{1,8})", 1)
-        code = F.when(decimal != "", decimal.cast("bigint")).otherwise(F.conv(hexa, 16, 10).cast("bigint"))
-        name = F.regexp_extract(part, r"^([a-zA-Z][a-zA-Z0-9]*);", 1)
-        known = F.try_element_at(names, name)
+        code = X.bound(decimal, lambda d: F.when(d != "", d.cast("bigint")).otherwise(F.conv(hexa, 16, 10).cast("bigint")))
+        named = F.regexp_extract(part, r"^([a-zA-Z][a-zA-Z0-9]*);", 1)
+        known = X.bound(named, lambda name: F.concat(F.try_element_at(names, name), F.substring(part, F.length(name) + 2, F.length(part))))
         return (F.when(part.startswith("amp;"), F.concat(F.lit("&"), F.substring(part, F.lit(5), F.length(part))))
-                .when((decimal != "") | (hexa != ""), F.concat(_chr(code), F.regexp_replace(part, r"^#(?:[xX][0-9a-fA-F]{1,8}|[0-9]{1,9});?", "")))
-                .when(known.isNotNull(), F.concat(known, F.substring(part, F.length(name) + 2, F.length(part))))
-                .otherwise(F.concat(F.lit("&"), part)))
+                .when(part.rlike(number), F.concat(X.bound(code, _chr), F.regexp_replace(part, number, "")))
+                .otherwise(F.coalesce(known, F.concat(F.lit("&"), part))))
 
     def decoded(text: Column) -> Column:
         cut = X.bound(F.split(text, "&"), lambda parts: F.concat(parts[0], F.array_join(F.transform(_rest(parts), one), "")))
@@ -161,32 +159,57 @@ def page_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                         tables.cast("bigint").alias("n_tables"))
 
 
+_CELL_EDGE = r"(?i)(?=</?(?:table|tr|td|th)[\s/>])"
+
+
+def _tables(html: Column, table_class: str | None) -> Column:
+    """The tables of a page with ``table_class`` as an array of (number in the page's order, what lies in the table itself).
+    The page is cut at the tags of tables only; a fold keeps the open tables, and each cut goes to the innermost one
+    when that table ends. A stray end changes nothing, and the tables still open at the end of the page end there."""
+    inside = rf"^<[a-zA-Z]({_ATTRS})>"
+
+    def wanted(piece: Column) -> Column:
+        if not table_class:
+            return F.lit(True)
+        cls = r"""(?i)\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+        classes = X.bound(F.regexp_extract(F.split(piece, _CELL_EDGE, 2)[0], inside, 1),
+                          lambda own: F.split(F.concat(*[F.regexp_extract(own, cls, i) for i in (1, 2, 3)]), r"\s+"))
+        return piece.contains(table_class) & F.array_contains(classes, table_class)
+
+    def kind(piece: Column) -> Column:  # 1: a wanted table begins, 0: another one, -1: one ends; null: neither
+        return F.when(piece.rlike("(?i)^<table(?![a-z])"), F.when(wanted(piece), 1).otherwise(0)).when(piece.rlike("(?i)^</table(?![a-z])"), -1)
+
+    pieces = F.transform(F.split(html, r"(?i)(?=</?table[\s/>])"), lambda p: F.struct(kind(p).alias("kind"), p.alias("piece")))
+    none = F.array().cast("array<struct<no:int,own:array<string>>>")
+    start = F.struct(F.lit(0).alias("n"), none.alias("open"), none.alias("done"))
+
+    def step(s: Column, p: Column) -> Column:
+        begins, ends, depth = p["kind"] >= 0, p["kind"] < 0, F.size(s["open"])
+        n = s["n"] + F.greatest(p["kind"], F.lit(0))
+        own = F.when(p["kind"] == 1, F.array(p["piece"])).otherwise(F.array().cast("array<string>"))
+        fresh = F.struct(F.when(p["kind"] == 1, n).otherwise(F.lit(0)).alias("no"), own.alias("own"))
+        outer = F.get(s["open"], depth - 2)
+        resumed = F.struct(outer["no"].alias("no"), F.when(outer["no"] > 0, F.concat(outer["own"], F.array(p["piece"]))).otherwise(outer["own"]).alias("own"))
+        closed = F.when(depth == 1, none).otherwise(F.concat(F.slice(s["open"], 1, F.greatest(depth - 2, F.lit(0))), F.array(resumed)))
+        ended = F.when(F.get(s["open"], depth - 1)["no"] > 0, F.concat(s["done"], F.slice(s["open"], depth, 1))).otherwise(s["done"])
+        after = F.struct(n.alias("n"), F.concat(s["open"], F.array(fresh)).alias("open"), s["done"].alias("done"))
+        back = F.struct(s["n"].alias("n"), closed.alias("open"), ended.alias("done"))
+        return F.when(begins, after).when(ends & (depth > 0), back).otherwise(s)
+
+    found = F.aggregate(pieces, start, step, lambda s: F.concat(s["done"], F.filter(s["open"], lambda t: t["no"] > 0)))
+    return F.transform(found, lambda t: F.struct(t["no"].alias("no"), F.array_join(t["own"], "").alias("own")))
+
+
 def extract_tables(pages: DataFrame, table_class: str | None = P.TABLE_CLASS, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """One row per table row: page id, 1-based number of the table on its page (among those with
     ``table_class``), 1-based row number, and the cells' texts with single blanks. A row belongs to the innermost
-    table around it; a cell ends where another table, row or cell begins or ends."""
-    held = pages.select(id_col, F.monotonically_increasing_id().alias("__page"), visible(html_col).alias("__html")).where(F.col("__html").rlike("(?i)<table"))
-    pieces = explode_nonempty(held, [id_col, "__page"], F.split("__html", r"(?i)(?=</?(?:table|tr|td|th)[\s/>])"), ("__pos", "__piece"))
-    tag = F.lower(F.regexp_extract("__piece", r"^<(/?[a-zA-Z]+)", 1))
-    inside = rf"^<[a-zA-Z]({_ATTRS})>"
-    cls = F.concat(*[F.regexp_extract(F.regexp_extract("__piece", inside, 1), r"""(?i)\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", i)
-                     for i in (1, 2, 3)])
-    wanted = F.array_contains(F.split(cls, r"\s+"), table_class) if table_class else F.lit(True)
-    text = F.array_join(_nodes(F.regexp_replace("__piece", rf"^</?[a-zA-Z]{_ATTRS}>|^<[^>]*+(?:>|\z)", "")), "")
-    parts = pieces.withColumn("__tag", tag).where(F.col("__tag").isin("table", "/table", "tr", "td", "th")).select(
-        id_col, "__page", "__pos", "__tag", F.when(F.col("__tag") == "table", wanted).alias("__wanted"),
-        F.when(F.col("__tag").isin("td", "th"), X.strip(F.regexp_replace(decode_entities(text), r"[\s\p{Z}]+", " "))).alias("__text"))
-    page = Window.partitionBy("__page").orderBy("__pos")
-    level = F.sum(F.when(F.col("__tag") == "table", 1).when(F.col("__tag") == "/table", -1).otherwise(0)).over(page)
-    parts = parts.withColumn("__level", level)
-    parts = parts.withColumn("__depth", F.col("__level") - F.least(F.lit(0), F.min("__level").over(page)))  # stray ends change nothing
-    depth = Window.partitionBy("__page", "__depth").orderBy("__pos")
-    parts = parts.withColumn("__table", F.last(F.when(F.col("__tag") == "table", F.struct("__pos", "__wanted")), ignorenulls=True).over(depth))
-    parts = parts.where("__depth > 0 AND __table.__wanted")
-    rows = Window.partitionBy("__page", "__table").orderBy("__pos")
-    parts = parts.withColumn("__row", F.count(F.when(F.col("__tag") == "tr", 1)).over(rows)) \
-        .withColumn("__no", F.dense_rank().over(Window.partitionBy("__page").orderBy("__table")))
-    cells = F.sort_array(F.collect_list(F.when(F.col("__text").isNotNull(), F.struct("__pos", "__text"))))
-    return parts.where("__row > 0").groupBy("__page", id_col, "__no", "__row").agg(cells.alias("__cells")) \
-        .select(id_col, F.col("__no").cast("bigint").alias("table_pos"), F.col("__row").cast("bigint").alias("row_pos"),
-                F.col("__cells.__text").alias("cells"))
+    table around it; a cell ends where another table, row or cell begins or ends. Pages are read one by one: no shuffle."""
+    tables = explode_nonempty(pages, [id_col], _tables(visible(html_col), table_class), ("__t",), with_pos=False)
+    rows = explode_nonempty(tables, [id_col, F.col("__t.no").alias("__no")], _rest(F.split("__t.own", r"(?i)(?=<tr[\s/>])")), ("__row", "__own"))
+
+    def cell(piece: Column) -> Column:
+        text = F.regexp_replace(piece, rf"^</?[a-zA-Z]{_ATTRS}>|^<[^>]*+(?:>|\z)|{_TAG}", "")
+        return X.strip(F.regexp_replace(decode_entities(text), r"[\s\p{Z}]+", " "))
+
+    cells = F.transform(F.filter(F.split("__own", _CELL_EDGE), lambda p: p.rlike("(?i)^<t[dh]")), cell)
+    return rows.select(id_col, F.col("__no").cast("bigint").alias("table_pos"), (F.col("__row") + 1).cast("bigint").alias("row_pos"), cells.alias("cells"))

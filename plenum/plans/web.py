@@ -4,7 +4,7 @@ incremental skip-landed, on the driver ``pages`` table (page_id, url, html).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as X
@@ -218,13 +218,17 @@ def _order_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Stand-in pages with tables: one page per order, a table row per line item (seven at most). Other tables stand
     before and inside the table; closing tags are missing here and there."""
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
-    s = lambda c: F.col(c).cast("string")
-    odd = F.concat(F.lit("<tr><td> "), s("l_linenumber"), F.lit("\n</td><td>Part &amp; No.  "), s("l_partkey"), F.lit("<td class='wikitable'>"), s("l_returnflag"))
-    even = F.concat(F.lit("<TR><th>"), s("l_linenumber"), F.lit("</th><TD>Part &#38; <i>No.</i> "), s("l_partkey"),
-                    F.lit("<table class=inner><tr><td>inner</td></tr></table></TD><td>"), s("l_returnflag"), F.lit("<!-- <td> --></td></TR>"))
-    made = rows.withColumn("row", F.when(F.col("l_linenumber") % 2 == 0, even).otherwise(odd))
-    body = made.groupBy("l_orderkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "row"))),
-                                                                   lambda x: x["row"]), "").alias("body"))
+
+    def made(x: Column) -> Column:
+        s = lambda c: x[c].cast("string")
+        odd = F.concat(F.lit("<tr><td> "), s("l_linenumber"), F.lit("\n</td><td>Part &amp; No.  "), s("l_partkey"), F.lit("<td class='wikitable'>"), s("l_returnflag"))
+        even = F.concat(F.lit("<TR><th>"), s("l_linenumber"), F.lit("</th><TD>Part &#38; <i>No.</i> "), s("l_partkey"),
+                        F.lit("<table class=inner><tr><td>inner</td></tr></table></TD><td>"), s("l_returnflag"), F.lit("<!-- <td> --></td></TR>"))
+        return F.struct(x["l_linenumber"], x["l_partkey"], F.when(x["l_linenumber"] % 2 == 0, even).otherwise(odd).alias("row"))
+
+    # The numbers travel; the text is made where a page's rows have come together.
+    lines = rows.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_returnflag")).alias("lines"))
+    body = lines.select("l_orderkey", F.array_join(F.transform(F.sort_array(F.transform("lines", made)), lambda x: x["row"]), "").alias("body"))
     head = F.lit("</table><p>Intro<table><tr><td>not this one</td></tr></table><table id='t' class=\"sortable wikitable\"><tr><th>Line<th>Part<th>Flag</tr>")
     tail = F.when(F.col("l_orderkey") % 2 == 0, F.lit("</table><table class=wikitable><tr><td>second</td></tr>")).otherwise(F.lit(""))
     return body.select(F.col("l_orderkey").alias("page_id"), F.concat(head, "body", tail).alias("html"))

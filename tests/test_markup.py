@@ -71,6 +71,20 @@ def test_tables(spark):
     assert rows(spark, first, table_class=None) == [(0, 1, 1, ["1", "2 3"]), (0, 1, 2, ["&"]), (0, 2, 1, ["no"])]
 
 
+def test_tables_are_read_page_by_page(spark, capsys):
+    deep = "<table class=wikitable><tr><td>a" * 3 + "</table><td>b</table><TD title='>'>c&#x26;d &nbsp; e<i>f</i><tr><th>g</table></table><td>h"
+    split = "<table class='no' title='<td class=wikitable>'><tr><td>x</table><table CLASS = wikitable><tr/><tr ><td\n>y<td1>z<table1><tr><th>t"
+    df = spark.createDataFrame([(1, deep), (1, deep), (None, split), (2, "<td>no table<tr><td>q")], "page_id long, html string")
+    capsys.readouterr()
+    out = K.extract_tables(df)
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan and "Window" not in plan
+    got = sorted(((r.page_id or 0, r.table_pos, r.row_pos, r.cells) for r in out.collect()))
+    one_deep = [(1, 1, 1, ["a", "c&d ef"]), (1, 1, 2, ["g"]), (1, 2, 1, ["a", "b"]), (1, 3, 1, ["a"])]
+    assert got == [(0, 1, 1, []), (0, 1, 2, ["yz"]), (0, 1, 3, ["t"]), *sorted(one_deep * 2)]
+
+
 def test_long_pages_do_not_overflow(spark):
     page = "<div id=ctl00_content_Screen>" + "<div><p>text &amp; more</p><a href='x'>y</a></div>" * 20000 + "</div><table class=wikitable>" + "<tr><td>c" * 5000
     assert one(spark, page, K.anchors("h").alias("a"))[-1].href == "x"
