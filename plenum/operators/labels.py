@@ -51,16 +51,19 @@ def mend_keys(label, aliases: Mapping[str, str]) -> Column:
     if not aliases:
         return _c(label)
     known = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
-    entries = F.map_entries(_c(label))
     keys = F.map_keys(_c(label))
     right = F.transform(keys, lambda k: F.coalesce(F.try_element_at(known, k), k))
 
-    def stays(e: Column, i: Column) -> Column:
-        new = F.get(right, i)
-        return (e["key"] == new) | (~F.array_contains(keys, new) & (F.array_position(right, new) == i + 1))
+    def stays(both: Column, i: Column) -> Column:
+        new = F.get(both["right"], i)
+        return (F.get(both["keys"], i) == new) | (~F.array_contains(both["keys"], new) & (F.array_position(both["right"], new) == i + 1))
 
-    kept = F.filter(entries, stays)
-    return F.map_from_entries(F.transform(kept, lambda e: F.struct(F.coalesce(F.try_element_at(known, e["key"]), e["key"]).alias("key"), e["value"].alias("value"))))
+    def mended(both: Column) -> Column:
+        named = F.transform(F.map_entries(_c(label)), lambda e, i: F.struct(F.get(both["right"], i).alias("key"), e["value"].alias("value")))
+        return F.map_from_entries(F.filter(named, lambda e, i: stays(both, i)))
+
+    # The names are looked up once a label, not once for each of its keys.
+    return X.bound(F.struct(keys.alias("keys"), right.alias("right")), mended)
 
 
 def spaced_json(c) -> Column:
