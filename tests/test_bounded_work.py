@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from plenum.functions import scalar as X
 from plenum.operators import documents as D
+from plenum.operators import labels as L
 from plenum.operators import markup as MK
 from plenum.operators import records as R
 from plenum.plans import minutes as M
@@ -75,3 +76,40 @@ def test_minutes_are_one_expression_for_all_blocks(spark, capsys):
     assert plan(m, capsys).count("ACTION: ") == 1
     blocks = [r.text.split("\n\n")[1].count("PROJECT") for r in m.orderBy("o_orderkey").collect()]
     assert blocks == [4, 0, 0]
+
+
+def test_labels_are_spread_over_the_cores(spark, tmp_path):
+    spark.sql("SELECT id AS o_orderkey, id % 4 AS o_custkey, timestamp'2004-10-14' AS o_orderdate FROM range(0, 40, 1, 1)") \
+        .write.parquet(str(tmp_path / "orders.parquet"))
+    labels = M._labels(spark, str(tmp_path))
+    assert labels.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert labels.count() == 40
+
+
+def test_names_of_keys_are_looked_up_once_a_label(spark, capsys):
+    rows = [(["actoin", "b", "acton"], ["x", "y", "z"]), (["actoin", "action"], ["x", "y"]), (None, None)]
+    df = spark.createDataFrame(rows, "k array<string>, v array<string>").select(F.map_from_arrays("k", "v").alias("m"))
+    mended = df.select(L.mend_keys("m", {"actoin": "action", "acton": "action"}).alias("m"))
+    capsys.readouterr()
+    mended.explain("extended")
+    assert capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical")[0].count("actoin") == 1
+    assert [None if r[0] is None else list(r[0].items()) for r in mended.collect()] == [[("action", "x"), ("b", "y")], [("action", "y")], None]
+
+
+def test_what_is_paired_is_told_without_texts(spark, capsys):
+    labels = spark.createDataFrame([("2004", "04.1 23A"), ("2004", ""), (None, "04.123A"), ("2005", "04.123A")], "year string, case_number string")
+    blocks = spark.createDataFrame([("2004", 1, "04.123A x"), ("2004", 2, "04.123A longer"), (None, 1, "04.123A x"), ("2004", 3, "04.999 y"), ("2004", 4, "none")],
+                                   "year string, pos int, block string")
+    pairs = R.training_pairs(labels, blocks, ["case_number"])
+    told = pairs.select("year", "code", "paired")
+    assert "max_by" not in plan(told, capsys)
+    want = [(None, "04.123A", False), ("2004", "", False), ("2004", "04.123A", True), ("2005", "04.123A", False)]
+    assert sorted(map(tuple, told.collect()), key=str) == sorted(want, key=str)
+    assert {(r.year, r.code): r.prompt for r in pairs.collect()}["2004", "04.123A"] == "04.123A longer\n\n"
+    codes = R.code_summary(blocks).select("year", "code", "n_blocks")
+    alone = R.training_pairs(labels, None, ["case_number"], summary=codes)
+    assert sorted(map(tuple, alone.select("year", "code", "paired", "prompt").collect()), key=str) == sorted([(*w, None) for w in want], key=str)
+    diag = [tuple(r) for r in R.pairing_diagnostics(alone, None, summary=codes).collect()]
+    assert diag == [tuple(r) for r in R.pairing_diagnostics(pairs, blocks).collect()]
+    assert diag[0] == (None, "missing_label_case_numbers", "04.123A") and diag[1] == (None, "unmatched_block_case_numbers", "04.123A")
+    assert diag[-1] == ("2005", "missing_label_case_numbers", "04.123A") and ("2004", "unmatched_block_case_numbers", "04.999") in diag
