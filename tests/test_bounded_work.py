@@ -113,3 +113,13 @@ def test_what_is_paired_is_told_without_texts(spark, capsys):
     assert diag == [tuple(r) for r in R.pairing_diagnostics(pairs, blocks).collect()]
     assert diag[0] == (None, "missing_label_case_numbers", "04.123A") and diag[1] == (None, "unmatched_block_case_numbers", "04.123A")
     assert diag[-1] == ("2005", "missing_label_case_numbers", "04.123A") and ("2004", "unmatched_block_case_numbers", "04.999") in diag
+
+
+def test_minutes_are_made_in_tasks_of_a_bounded_number_of_orders(spark, tmp_path, capsys, monkeypatch):
+    spark.sql("SELECT id AS o_orderkey, id % 4 AS o_custkey, timestamp'2004-10-14' AS o_orderdate, '1-URGENT' AS o_orderpriority, 'F' AS o_orderstatus "
+              "FROM range(0, 60, 1, 1)").write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(M, "spread", lambda df: spread(df, rows=1))
+    for query in (M.speaker_stances, M.project_history, M.tag_untag, M.meeting_header):
+        p = plan(query(spark, str(tmp_path)), capsys)
+        assert p.count("RoundRobinPartitioning(60)") == 1, query.__name__
+        assert "PRESENT: " in p.split("RoundRobinPartitioning(60)")[0] and "PRESENT: " not in p.split("RoundRobinPartitioning(60)")[1]
